@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.functions import columns as fc
-from tabflow.operators import checks, metrics, registry, split
+from tabflow.operators import checks, metrics, model, registry, split
+from tabflow.operators.shapley import shapley
 from tabflow.operators.encode import OneHot
 from tabflow.operators.scale import impute_mean, standardize
 from tabflow.plans import fixtures as fx
@@ -224,6 +225,76 @@ def q_feature_table(spark, sf):
     return tables.read_table(spark, name)
 
 
+# ------------------------------------------------------------ model pipeline
+
+_TRAINED: dict = {}
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def _split_lineitem(spark, sf):
+    rows = fx.training_rows(spark, sf)
+    return split.hash_split(rows, LINE_KEY, 0.2, seed=0)
+
+
+def _production_model(spark, sf) -> model.TrainedModel:
+    k = (id(spark), sf, "production")
+    if k not in _TRAINED:
+        marked = _split_lineitem(spark, sf)
+        _TRAINED[k] = model.train_production(marked.where(F.col("split") == "train"), fx.TRAIN_FEATURES, "label")
+    return _TRAINED[k]
+
+
+def q_train_production(spark, sf):
+    """Fit on the 80 % hash split; training_ and test_ metrics, one row each."""
+    m = _production_model(spark, sf)
+    scored = model.score(m, _split_lineitem(spark, sf), keep=["split", "label"])
+    return (scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), *metrics.confusion_columns(F.col("label"), F.col("prediction")),
+        F.avg(F.when(F.col("label") == F.col("prediction"), 1).otherwise(0)).alias("accuracy_score")))
+
+
+def q_score(spark, sf):
+    m = _production_model(spark, sf)
+    return model.score(m, fx.training_rows(spark, sf), keep=[*LINE_KEY, "label"])
+
+
+def q_check_predicts(spark, sf):
+    m = _production_model(spark, sf)
+    return checks.check_predicts(model.score(m, fx.training_rows(spark, sf), keep=["label"]))
+
+
+def q_train_baseline(spark, sf):
+    """Stratified 25 % validation split, impute + hash + scale + boosted trees;
+    one row of val_ metrics."""
+    li = fx.table(spark, sf, "lineitem").select(*LINE_KEY, *fx.TRAIN_FEATURES, "l_linestatus",
+                                                (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    marked = split.stratified_split(li, "label", LINE_KEY, 0.25, seed=520692802)
+    m = model.train_baseline(marked.where(F.col("split") == "train"), fx.TRAIN_FEATURES, "label",
+                             hashed=["l_linestatus"])
+    val = model.score(m, marked.where(F.col("split") == "test"), keep=["label"])
+    return metrics.binary_metrics(val, "label", "prediction", "probability", prefix="val_")
+
+
+def q_hash_text(spark, sf):
+    p = fx.table(spark, sf, "part").select("p_partkey", "p_type")
+    h = model.hash_text(p, "p_type")
+    arr = model.vector_to_array(F.col("hashed"))
+    return h.select("p_partkey", "p_type",
+                    (F.array_position(arr, 1.0) - 1).cast("int").alias("hash_index"),
+                    F.size(F.filter(arr, lambda x: x != 0)).alias("n_nonzero"))
+
+
+def q_shapley(spark, sf):
+    """Importance of the four features for one held-out row, against 100
+    background rows of the training part, 20 feature orders."""
+    m = _production_model(spark, sf)
+    marked = _split_lineitem(spark, sf).withColumn("row_key", F.concat_ws(":", *LINE_KEY))
+    test = marked.where(F.col("split") == "test")
+    train = marked.where(F.col("split") == "train")
+    example = split.sample_n(test, 1, "row_key", seed=1)
+    return shapley(m, example, train, key="row_key", n_orders=20, max_background=100, seed=0)
+
+
 QUERIES: dict[str, Query] = {
     "one_hot": q_one_hot,
     "label_map": q_label_map,
@@ -259,4 +330,10 @@ QUERIES: dict[str, Query] = {
     "append_predictions": q_append_predictions,
     "csv_round_trip": q_csv_round_trip,
     "feature_table": q_feature_table,
+    "train_production": q_train_production,
+    "score": q_score,
+    "check_predicts": q_check_predicts,
+    "train_baseline": q_train_baseline,
+    "hash_text": q_hash_text,
+    "shapley": q_shapley,
 }

@@ -8,13 +8,20 @@ chosen run / version row.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.functions import columns as fc
+from tabflow.operators import checks, metrics, model, registry, split
 from tabflow.operators.encode import OneHot, OneHotModel
+from tabflow.session import scratch_path
+from tabflow.sources import tables
 
 
 def compute_features(
@@ -42,3 +49,223 @@ def compute_features(
     out = fc.clean_names(out)
     out = fc.drop_nulls(out)
     return out, enc
+
+
+# ---------------------------------------------------------------- flows
+
+
+@dataclass
+class Workspace:
+    """Where a model's tables live: a database holding ``runs`` and
+    ``version_events``, and a shared folder for saved pipelines."""
+    spark: SparkSession
+    db: str = "tabflow"
+    model_root: str = field(default="")
+
+    def __post_init__(self):
+        tables.ensure_database(self.spark, self.db)
+        if not self.model_root:
+            self.model_root = scratch_path(self.spark, "models")
+
+    @property
+    def runs_table(self) -> str:
+        return f"{self.db}.runs"
+
+    @property
+    def events_table(self) -> str:
+        return f"{self.db}.version_events"
+
+    def runs(self) -> DataFrame:
+        if not self.spark.catalog.tableExists(self.runs_table):
+            return self.spark.createDataFrame([], registry.RUN_SCHEMA)
+        return self.spark.table(self.runs_table)
+
+    def events(self) -> DataFrame:
+        if not self.spark.catalog.tableExists(self.events_table):
+            return self.spark.createDataFrame([], registry.EVENT_SCHEMA)
+        return self.spark.table(self.events_table)
+
+    def append_events(self, rows: list[tuple]) -> None:
+        """Append (name, version, kind, to_stage, archive_existing, key, value)
+        rows with the next sequence numbers (one aggregate row read)."""
+        start = (self.events().agg(F.max("seq")).first()[0] or 0) + 1
+        data = [(start + i, *r) for i, r in enumerate(rows)]
+        df = self.spark.createDataFrame(data, registry.EVENT_SCHEMA)
+        df.write.mode("append").format("parquet").saveAsTable(self.events_table)
+
+
+def build_features(spark: SparkSession, source: DataFrame, target: str, categorical: Sequence[str],
+                   label: str, key: str, label_map: Mapping[str, int] = fc.YES_NO, label_out: str = "churn",
+                   description: str = "") -> OneHotModel:
+    """Raw table -> feature table (checked key, description, category list
+    stored as a table property so scoring batches reuse it)."""
+    feats, enc = compute_features(source, categorical, label, label_map, label_out)
+    tables.write_feature_table(spark, feats, target, key, description)
+    spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('categories' = '{json.dumps(enc.categories).replace(chr(39), chr(39) * 2)}')")
+    return enc
+
+
+def feature_columns(df: DataFrame, label: str, key: Sequence[str] | str) -> list[str]:
+    drop = {label, *([key] if isinstance(key, str) else key)}
+    return [c for c in df.columns if c not in drop]
+
+
+def _metric_row(scored: DataFrame, label: str, prefix: str) -> dict[str, float]:
+    m = metrics.binary_metrics(scored, label, "prediction", "probability", prefix=prefix).first().asDict()
+    area = metrics.roc_pr_auc(scored, label, "probability").first()
+    m[f"{prefix}roc_auc"], m[f"{prefix}pr_auc"] = area.roc_auc, area.pr_auc
+    return {k: float(v) for k, v in m.items() if v is not None}
+
+
+def train(ws: Workspace, feature_table: str, label: str, key: Sequence[str] | str, run_name: str,
+          test_share: float = 0.2, seed: int = 0, params: dict | None = None,
+          demographic_vars: str = "", numeric_text: Sequence[str] = ()) -> str:
+    """Hash split -> fit -> training_/test_ metrics -> save pipeline -> log run."""
+    feats = fc.to_double(ws.spark.table(feature_table), numeric_text) if numeric_text else ws.spark.table(feature_table)
+    cols = feature_columns(feats, label, key)
+    marked = split.hash_split(feats, key, test_share, seed, out="_split")
+    tr = marked.where(F.col("_split") == "train").drop("_split")
+    te = marked.where(F.col("_split") == "test").drop("_split")
+    m = model.train_production(tr, cols, label, params or model.PRODUCTION_PARAMS)
+    run_id = uuid.uuid4().hex
+    mets = {**_metric_row(model.score(m, tr, keep=[label]), label, "training_"),
+            **_metric_row(model.score(m, te, keep=[label]), label, "test_")}
+    model.save_model(m, f"{ws.model_root}/{run_id}")
+    tags = {"db_table": feature_table, "demographic_vars": demographic_vars,
+            "model_path": f"{ws.model_root}/{run_id}", "label": label,
+            "key": ",".join([key] if isinstance(key, str) else key)}
+    registry.log_run(ws.spark, ws.runs_table, run_id=run_id, run_name=run_name, metrics=mets,
+                     params={k: str(v) for k, v in (params or model.PRODUCTION_PARAMS).items()}, tags=tags,
+                     end_time=datetime.now())
+    return run_id
+
+
+def run_info(ws: Workspace, run_id: str) -> dict:
+    r = ws.runs().where(F.col("run_id") == run_id).first()
+    if r is None:
+        raise KeyError(run_id)
+    return r.asDict()
+
+
+def register(ws: Workspace, run_id: str, name: str, description: str = "", to_stage: str = "Staging",
+             archive_existing: bool = False, comment: str = "") -> int:
+    """New version = previous + 1 for the model; registered (stage None),
+    described, optionally commented, then moved to ``to_stage``."""
+    cur = ws.events().where(F.col("name") == name).agg(F.max("version")).first()[0]
+    version = (cur or 0) + 1
+    rows = [(name, version, "stage", "None", False, None, None),
+            (name, version, "tag", None, False, "run_id", run_id),
+            (name, version, "tag", None, False, "description", description)]
+    if comment:
+        rows.append((name, version, "tag", None, False, "comment", comment))
+    if to_stage:
+        rows.append((name, version, "stage", to_stage.capitalize(), archive_existing, None, None))
+    ws.append_events(rows)
+    return version
+
+
+def _version_state(ws: Workspace, name: str, version: int) -> tuple[str, dict]:
+    ev = ws.events().where((F.col("name") == name) & (F.col("version") == version))
+    stage = registry.current_stage(ws.events().where(F.col("name") == name)) \
+        .where(F.col("version") == version).first()
+    tags = {r.key: r.value for r in registry.current_tags(ev).collect()}
+    return (stage.stage if stage else "None"), tags
+
+
+def validate(ws: Workspace, name: str, version: int | None = None, stage: str = "Staging",
+             flow: str = "validation", holdout: bool = False, floor: float = metrics.SLICE_FLOOR) -> dict:
+    """Checks on one version, written as tags; then the gate decides.
+
+    predicts (C3), has_signature (C2), demo_test (A3 + A7), has_description
+    (P9). ``holdout=True`` computes slice accuracy on the test part only."""
+    if version is None:
+        lv = registry.latest_versions(registry.current_stage(ws.events()), [stage]) \
+            .where(F.col("name") == name).first()
+        if lv is None:
+            raise LookupError(f"no {stage} version of {name}")
+        version = lv.version
+    _, vtags = _version_state(ws, name, version)
+    info = run_info(ws, vtags["run_id"])
+    rtags = info["tags"]
+    m = model.load_model(rtags["model_path"])
+    label, key = rtags["label"], rtags["key"].split(",")
+    feats = ws.spark.table(rtags.get("db_table") or "")
+    if holdout:
+        feats = split.hash_split(feats, key, 0.2, 0, out="_split").where(F.col("_split") == "test").drop("_split")
+    scored = model.score(m, feats, keep=[c for c in feats.columns])
+    results = {}
+    results["predicts"] = str(checks.check_predicts(scored).first().predicts)
+    results["has_signature"] = str(checks.has_signature(m.signature))
+    demo = [c.strip() for c in (rtags.get("demographic_vars") or "").split(",") if c.strip()]
+    if demo:
+        flagged = fc.flag_correct(scored, label, "prediction")
+        results["demo_test"] = metrics.slice_gate(metrics.slice_accuracy(flagged, demo), floor).first().demo_test
+    else:
+        results["demo_test"] = "none"
+    desc = vtags.get("description") or ""
+    results["has_description"] = "1" if len(desc) > 20 else "0"
+    ws.append_events([(name, version, "tag", None, False, k, v) for k, v in results.items()])
+    decision = registry.gate(registry.current_tags(ws.events().where(F.col("name") == name)),
+                             registry.current_stage(ws.events().where(F.col("name") == name)), flow=flow) \
+        .where(F.col("version") == version).first().asDict()
+    rows = [(name, version, "tag", None, False, registry.STATUS_KEY, decision["overall_status"])]
+    cur, _ = _version_state(ws, name, version)
+    if decision["next_stage"] != cur:
+        rows.append((name, version, "stage", decision["next_stage"], False, None, None))
+    ws.append_events(rows)
+    return {"version": version, **results, **decision}
+
+
+def promote(ws: Workspace, name: str, n_rows: int = 10) -> int | None:
+    """Newest Staging version cleared for release: smoke-score ``n_rows``
+    rows; on success tag it and move it to Production (archiving others)."""
+    ev = ws.events().where(F.col("name") == name)
+    rel = registry.find_release(registry.current_stage(ev), registry.current_tags(ev)).first()
+    if rel is None:
+        return None
+    version = rel.version
+    _, vtags = _version_state(ws, name, version)
+    rtags = run_info(ws, vtags["run_id"])["tags"]
+    m = model.load_model(rtags["model_path"])
+    feats = ws.spark.table(rtags["db_table"])
+    smoke = split.smoke_rows(feats, n_rows, rtags["key"].split(","))
+    ok = checks.check_predicts(model.score(m, smoke, keep=[rtags["label"]])).first().predicts == 1
+    if ok:
+        ws.append_events([(name, version, "tag", None, False, "predicts", "1"),
+                          (name, version, "tag", None, False, registry.STATUS_KEY, registry.STATUS_PROD),
+                          (name, version, "stage", "Production", True, None, None)])
+    else:
+        ws.append_events([(name, version, "tag", None, False, "predicts", "0")])
+    return version if ok else None
+
+
+def score_batch(ws: Workspace, name: str, predictions_table: str, batch_id: str,
+                feature_table: str | None = None) -> dict:
+    """Score the feature table with the newest Production version and write
+    the batch to the predictions table (a re-run replaces its batch).
+    Returns the batch accuracy. A scoring failure writes nothing."""
+    lv = registry.latest_versions(registry.current_stage(ws.events()), ["Production"]) \
+        .where(F.col("name") == name).first()
+    if lv is None:
+        raise LookupError(f"no Production version of {name}")
+    _, vtags = _version_state(ws, name, lv.version)
+    rtags = run_info(ws, vtags["run_id"])["tags"]
+    m = model.load_model(rtags["model_path"])
+    source = feature_table or rtags.get("db_table")
+    feats = ws.spark.table(source)
+    scored = model.score(m, feats, keep=feats.columns, prediction="predictions", probability="probability")
+    tables.append_predictions(scored, predictions_table, batch_id=batch_id)
+    written = ws.spark.table(predictions_table).where(F.col("batch_id") == batch_id)
+    acc = metrics.accuracy(written, rtags["label"], "predictions").first()
+    return {"version": lv.version, "rows": acc.n, "accuracy": acc.accuracy}
+
+
+def retrain(ws: Workspace, feature_table: str, name: str, label: str, key: Sequence[str] | str,
+            run_name: str, description: str, demographic_vars: str = "", params: dict | None = None) -> dict:
+    """Monthly retrain: train -> register -> Staging (archive existing) ->
+    comment -> checks -> gate: clear -> Production, reject -> None."""
+    run_id = train(ws, feature_table, label, key, run_name, params=params, demographic_vars=demographic_vars)
+    version = register(ws, run_id, name, description, "Staging", archive_existing=True,
+                       comment="This is a new model from the periodic retrain job.")
+    res = validate(ws, name, version, flow="retrain")
+    return {"run_id": run_id, **res}

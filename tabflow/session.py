@@ -27,7 +27,9 @@ _LOCAL_CONF = {
 def local_session(cores: str = "*", app: str = "tabflow", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks (never used on a cluster)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in {**_LOCAL_CONF, **conf}.items():
+    # the in-memory catalog dies with the session; its warehouse must too
+    warehouse = tempfile.mkdtemp(prefix="tabflow-warehouse-")
+    for k, v in {**_LOCAL_CONF, "spark.sql.warehouse.dir": warehouse, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

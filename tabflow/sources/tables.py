@@ -67,11 +67,13 @@ def write_feature_table(spark: SparkSession, df: DataFrame, name: str, key: str
         if bad:
             raise ValueError(f"primary key {keys} is not unique / has nulls, e.g. {bad[0].asDict()}")
     write_table(df, name, fmt=fmt, mode="overwrite")
-    props = {"primary_keys": ",".join(keys)}
+    spark.sql(f"ALTER TABLE {_ident(name)} SET TBLPROPERTIES ('primary_keys' = '{','.join(keys)}')")
     if description:
-        props["comment"] = description
-    kv = ", ".join(f"'{k}' = '{v.replace(chr(39), chr(39) * 2)}'" for k, v in props.items())
-    spark.sql(f"ALTER TABLE {_ident(name)} SET TBLPROPERTIES ({kv})")
+        spark.sql(f"COMMENT ON TABLE {_ident(name)} IS '{description.replace(chr(39), chr(39) * 2)}'")
+
+
+def table_description(spark: SparkSession, name: str) -> str | None:
+    return spark.catalog.getTable(_ident(name)).description
 
 
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
