@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import FeatureHasher, Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,12 +82,14 @@ def gbt_from_baseline(params: dict = BASELINE_PARAMS, features: str = "features"
 
 
 def assemble(numeric: Sequence[str], output: str = "features", impute: bool = True,
-             hashed: Sequence[str] = (), n_hash: int = HASH_FEATURES) -> list:
+             hashed: Sequence[str] = (), n_hash: int = HASH_FEATURES,
+             hash_slots: Sequence[int] | None = None) -> list:
     """Stages that turn columns into one dense/sparse vector column.
 
     Numeric columns are mean-imputed first (the assembler rejects nulls, and
     ``handleInvalid='keep'`` would feed NaN to the trees). Text columns in
-    ``hashed`` are hashed into ``n_hash`` slots after nulls become ''."""
+    ``hashed`` are hashed into ``n_hash`` slots after nulls become ''; with
+    ``hash_slots`` only those slots are kept (see ``used_hash_slots``)."""
     numeric = list(numeric)
     stages: list = []
     cols = numeric
@@ -96,13 +98,31 @@ def assemble(numeric: Sequence[str], output: str = "features", impute: bool = Tr
         stages.append(Imputer(strategy="mean", inputCols=numeric, outputCols=imputed))
         cols = imputed
     inputs = list(cols)
-    if hashed:
+    if hashed and (hash_slots is None or len(hash_slots) > 0):
         stages.append(FeatureHasher(inputCols=list(hashed), outputCol=f"{output}__hash", numFeatures=n_hash))
-        inputs.append(f"{output}__hash")
+        if hash_slots is None:
+            inputs.append(f"{output}__hash")
+        else:
+            stages.append(VectorSlicer(inputCol=f"{output}__hash", outputCol=f"{output}__slots",
+                                       indices=sorted(int(i) for i in hash_slots)))
+            inputs.append(f"{output}__slots")
     stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="error"))
     return stages
 
 
+def used_hash_slots(df: DataFrame, hashed: Sequence[str], n_hash: int = HASH_FEATURES) -> list[int]:
+    """Hash slots that are non-zero in at least one row (one pass, map-side
+    distinct; at most ``n_hash`` integers reach the driver).
+
+    Trees cannot split on a slot that is zero in every training row, so
+    dropping those slots leaves the model unchanged while MLlib's binning and
+    per-level histograms shrink from ``n_hash`` features to the used ones."""
+    h = FeatureHasher(inputCols=list(hashed), outputCol="_h", numFeatures=n_hash).transform(df)
+    slots = (h.select(F.posexplode(vector_to_array(F.col("_h"))).alias("slot", "v"))
+              .where(F.col("v") != 0).select("slot").distinct())
+    return sorted(r.slot for r in slots.limit(n_hash + 1).collect())
+
+
 def _prepare(df: DataFrame, numeric: Sequence[str], label: str, hashed: Sequence[str] = ()) -> DataFrame:
     cols = [F.col(f"`{c}`").try_cast("double").alias(c) for c in numeric]
     cols += [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in hashed]
@@ -147,10 +167,11 @@ def train_baseline(train: DataFrame, numeric: Sequence[str], label: str, hashed:
     """Impute numeric, hash text ('' for null), assemble, standardise, boosted
     trees with the baseline settings — one Spark ML pipeline."""
     numeric, hashed = list(numeric), list(hashed)
-    stages = assemble(numeric, output="raw_features", hashed=hashed)
+    data = _prepare(train, numeric, label, hashed)
+    slots = used_hash_slots(data, hashed) if hashed else None
+    stages = assemble(numeric, output="raw_features", hashed=hashed, hash_slots=slots)
     stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=not hashed, withStd=True))
     stages.append(gbt_from_baseline(params))
-    data = _prepare(train, numeric, label, hashed)
     model = Pipeline(stages=stages).fit(data)
     fields = [T.StructField(c, T.DoubleType()) for c in numeric] + [T.StructField(c, T.StringType()) for c in hashed]
     return TrainedModel(model, numeric + hashed, label, schema_to_json(T.StructType(fields)))
