@@ -16,6 +16,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import FeatureHasher, Imputer, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,6 +125,10 @@ def used_hash_slots(df: DataFrame, hashed: Sequence[str], n_hash: int = HASH_FEA
 
 
 def _prepare(df: DataFrame, numeric: Sequence[str], label: str, hashed: Sequence[str] = ()) -> DataFrame:
+    """Typed training frame (features, label), spread over the cluster.
+    Callers persist it for the length of one fit: the imputer, the split
+    finder and the booster each read it, and a lost cached block is simply
+    recomputed from the lineage."""
     cols = [F.col(f"`{c}`").try_cast("double").alias(c) for c in numeric]
     cols += [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in hashed]
     return _spread(df.select(*cols, F.col(f"`{label}`").try_cast("double").alias("label")))
@@ -156,8 +161,11 @@ def train_production(train: DataFrame, features: Sequence[str], label: str,
     """Impute -> assemble -> boosted trees with the production settings."""
     features = list(features)
     stages = assemble(features) + [gbt_from_production(params)]
-    data = _prepare(train, features, label)
-    model = Pipeline(stages=stages).fit(data)
+    data = _prepare(train, features, label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = Pipeline(stages=stages).fit(data)
+    finally:
+        data.unpersist()
     sig = T.StructType([T.StructField(c, T.DoubleType()) for c in features])
     return TrainedModel(model, features, label, schema_to_json(sig))
 
@@ -167,12 +175,15 @@ def train_baseline(train: DataFrame, numeric: Sequence[str], label: str, hashed:
     """Impute numeric, hash text ('' for null), assemble, standardise, boosted
     trees with the baseline settings — one Spark ML pipeline."""
     numeric, hashed = list(numeric), list(hashed)
-    data = _prepare(train, numeric, label, hashed)
-    slots = used_hash_slots(data, hashed) if hashed else None
-    stages = assemble(numeric, output="raw_features", hashed=hashed, hash_slots=slots)
-    stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=not hashed, withStd=True))
-    stages.append(gbt_from_baseline(params))
-    model = Pipeline(stages=stages).fit(data)
+    data = _prepare(train, numeric, label, hashed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        slots = used_hash_slots(data, hashed) if hashed else None
+        stages = assemble(numeric, output="raw_features", hashed=hashed, hash_slots=slots)
+        stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=not hashed, withStd=True))
+        stages.append(gbt_from_baseline(params))
+        model = Pipeline(stages=stages).fit(data)
+    finally:
+        data.unpersist()
     fields = [T.StructField(c, T.DoubleType()) for c in numeric] + [T.StructField(c, T.StringType()) for c in hashed]
     return TrainedModel(model, numeric + hashed, label, schema_to_json(T.StructType(fields)))
 
