@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tabflow.functions import columns as fc
 from tabflow.operators import checks, metrics, model, registry, split
-from tabflow.operators.shapley import shapley
+from tabflow.operators.shapley import impute_mode, shapley
 from tabflow.operators.encode import OneHot
 from tabflow.operators.scale import impute_mean, standardize
 from tabflow.plans import fixtures as fx
@@ -77,6 +77,11 @@ def q_fill_constant(spark, sf):
     return fc.fill_constant(o, "o_orderpriority", "")
 
 
+def q_impute_mode(spark, sf):
+    o = fx.orders_with_nulls(spark, sf).select("o_orderkey", "o_totalprice")
+    return impute_mode(o, ["o_totalprice"])
+
+
 def q_standardize(spark, sf):
     c = fx.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
     return standardize(c, ["c_acctbal"]).select("c_custkey", _r("c_acctbal"))
@@ -215,6 +220,14 @@ def q_csv_round_trip(spark, sf):
     return files.read_csv_fixed(spark, path, c.schema)
 
 
+def q_csv_inferred(spark, sf):
+    """CSV read back with inferred types (small integers come back as int)."""
+    c = fx.table(spark, sf, "customer")
+    path = scratch_path(spark, "csv")
+    files.write_csv(c, path)
+    return files.read_csv_inferred(spark, path)
+
+
 def q_feature_table(spark, sf):
     db = "tabflow_features"
     tables.ensure_database(spark, db)
@@ -315,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "to_double": q_to_double,
     "impute_mean": q_impute_mean,
     "fill_constant": q_fill_constant,
+    "impute_mode": q_impute_mode,
     "standardize": q_standardize,
     "hash_split": q_hash_split,
     "stratified_split": q_stratified_split,
@@ -341,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "check_description": q_check_description,
     "append_predictions": q_append_predictions,
     "csv_round_trip": q_csv_round_trip,
+    "csv_inferred": q_csv_inferred,
     "feature_table": q_feature_table,
     "train_production": q_train_production,
     "score": q_score,

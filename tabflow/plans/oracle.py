@@ -125,6 +125,11 @@ SELECT o_orderkey, ROUND(COALESCE(o_totalprice, (SELECT AVG(o_totalprice) FROM t
     q["fill_constant"] = f"""
 WITH t AS ({ORDERS_NULLED})
 SELECT o_orderkey, COALESCE(o_orderpriority, '') AS o_orderpriority FROM t"""
+    q["impute_mode"] = f"""
+WITH t AS ({ORDERS_NULLED}),
+m AS (SELECT o_totalprice AS v FROM t WHERE o_totalprice IS NOT NULL
+      GROUP BY o_totalprice ORDER BY COUNT(*) DESC, o_totalprice LIMIT 1)
+SELECT o_orderkey, COALESCE(o_totalprice, (SELECT v FROM m)) AS o_totalprice FROM t"""
     q["standardize"] = """
 SELECT c_custkey,
   ROUND((c_acctbal - (SELECT AVG(c_acctbal) FROM customer)) / (SELECT STDDEV_POP(c_acctbal) FROM customer), 6) AS c_acctbal
@@ -236,6 +241,8 @@ SELECT doc_id, label, prediction, CASE WHEN lang IN ('en', 'de') THEN 'b1' ELSE
 FROM ({SCORED})"""
     q["csv_round_trip"] = """
 SELECT * FROM customer"""
+    q["csv_inferred"] = """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"""
     q["check_predicts"] = """
 SELECT COUNT(*) AS n, COUNT(*) AS n_predicted, 1 AS predicts FROM lineitem"""
     return q
