@@ -137,12 +137,15 @@ def _prepare(df: DataFrame, numeric: Sequence[str], label: str, hashed: Sequence
 def _spread(df: DataFrame) -> DataFrame:
     """Training runs one task per input partition per tree level; a small
     input (one file) would train on one core. Spread it over the cluster's
-    default parallelism by a hash of the row — deterministic, unlike
-    round-robin. Inputs that already have enough partitions are left alone."""
+    default parallelism round-robin: immune to repeated rows (hashing whole
+    rows would send a block of identical rows to one task), and still
+    deterministic on recomputation because Spark sorts each input partition
+    before a round-robin repartition. Inputs that already have enough
+    partitions are left alone."""
     n = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= n:
         return df
-    return df.repartition(n, *[F.col(f"`{c}`") for c in df.columns])
+    return df.repartition(n)
 
 
 @dataclass

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabflow.sources.files import read_parquet
+
 # Run status per order status, stage per event type,
 # tag key by (k mod 8), and the texts used by the version-event fixture.
 RUN_STATUS = {"F": "FINISHED", "O": "RUNNING", "P": "FAILED"}
@@ -27,7 +29,7 @@ TRAIN_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(col: str, mapping: dict) -> F.Column:
