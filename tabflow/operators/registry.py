@@ -79,6 +79,13 @@ def log_run(spark: SparkSession, runs_table: str, **kw) -> str:
     return kw["run_id"]
 
 
+def append_runs(runs: DataFrame, runs_table: str) -> None:
+    """Append a batch of runs (e.g. backfilled from another tracker) to the
+    runs table; columns are matched by name to the runs schema."""
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_SCHEMA.fields]
+    runs.select(*cols).write.mode("append").format("parquet").saveAsTable(runs_table)
+
+
 def active_finished(runs: DataFrame, run_name: str | None = None) -> DataFrame:
     r = runs.where((F.col("status") == "FINISHED") & ~F.coalesce(F.col("deleted"), F.lit(False)))
     if run_name is not None:

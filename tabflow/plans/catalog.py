@@ -147,13 +147,25 @@ def q_pr_auc(spark, sf):
 
 # ------------------------------------------------------------ runs / versions
 
+def q_log_runs(spark, sf):
+    """Runs appended to a run table (twice: a table only grows), read back."""
+    name = "tabflow_runs_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    r = fx.runs(spark, sf)
+    registry.append_runs(r.where(F.col("status") == "FINISHED"), name)
+    registry.append_runs(r.where(F.col("status") != "FINISHED"), name)
+    back = tables.read_table(spark, name)
+    return back.select("run_id", "status", "end_time", "deleted",
+                       F.col("metrics")["test_accuracy_score"].alias("test_accuracy_score"),
+                       F.col("tags")["mlflow.runName"].alias("run_name"))
+
+
 def q_select_run(spark, sf):
     r = registry.select_run(fx.runs(spark, sf), "test_accuracy_score", 0.78, run_name=fx.RUN_NAME)
-    return r.select("run_id", "end_time", _r("test_accuracy_score"))
+    return r.select("run_id", "end_time", "test_accuracy_score")
 
 
 def q_leaderboard(spark, sf):
-    return registry.leaderboard(fx.runs(spark, sf), "val_f1_score", 10).select("run_id", "run_name", _r("val_f1_score"))
+    return registry.leaderboard(fx.runs(spark, sf), "val_f1_score", 10).select("run_id", "run_name", "val_f1_score")
 
 
 def q_versions(spark, sf):
@@ -228,6 +240,13 @@ def q_csv_inferred(spark, sf):
     return files.read_csv_inferred(spark, path)
 
 
+def q_external_table(spark, sf):
+    """customer written to a path and registered as an external table."""
+    name = "tabflow_ext_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    tables.write_external_table(spark, fx.table(spark, sf, "customer"), name, scratch_path(spark, "ext"))
+    return tables.read_table(spark, name)
+
+
 def q_feature_table(spark, sf):
     db = "tabflow_features"
     tables.ensure_database(spark, db)
@@ -341,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "binary_metrics": q_binary_metrics,
     "roc_auc": q_roc_auc,
     "pr_auc": q_pr_auc,
+    "log_runs": q_log_runs,
     "select_run": q_select_run,
     "leaderboard": q_leaderboard,
     "versions": q_versions,
@@ -356,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "append_predictions": q_append_predictions,
     "csv_round_trip": q_csv_round_trip,
     "csv_inferred": q_csv_inferred,
+    "external_table": q_external_table,
     "feature_table": q_feature_table,
     "train_production": q_train_production,
     "score": q_score,

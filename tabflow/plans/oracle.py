@@ -4,7 +4,10 @@ Each statement restates a query of ``tabflow.plans.catalog`` directly in SQL
 over the driver's views (``orders``, ``customer``, ``events``, ...), written
 from the operator's definition (ROW_NUMBER where we avoid one, EXISTS where we
 use a join), so the two sides are independent formulations. Floats are
-rounded to 6 digits on both sides; integer sums are cast to BIGINT.
+rounded to 6 digits on both sides where the engines sum in different orders
+(single IEEE operations such as one division are left unrounded: they are
+bit-identical, and rounding would only add half-way ties); integer sums are
+cast to BIGINT.
 """
 
 from __future__ import annotations
@@ -185,12 +188,14 @@ p AS (SELECT *, tp / (tp + fp) AS prec,
 SELECT ROUND(SUM(neg * (tp - pos / 2.0)) / (SUM(pos) * SUM(neg)), 6) AS roc_auc FROM p"""
     q["pr_auc"] = curve + """
 SELECT ROUND(SUM(pos * (prec + COALESCE(prev_prec, prec)) / 2.0) / SUM(pos), 6) AS pr_auc FROM p"""
+    q["log_runs"] = f"""
+SELECT run_id, status, end_time, deleted, test_accuracy_score, run_name FROM ({RUNS})"""
     q["select_run"] = f"""
-SELECT run_id, end_time, ROUND(test_accuracy_score, 6) AS test_accuracy_score FROM ({RUNS})
+SELECT run_id, end_time, test_accuracy_score FROM ({RUNS})
 WHERE status = 'FINISHED' AND NOT deleted AND run_name = {_q(fx.RUN_NAME)} AND test_accuracy_score > 0.78
 ORDER BY end_time DESC, run_id DESC LIMIT 1"""
     q["leaderboard"] = f"""
-SELECT run_id, run_name, ROUND(val_f1_score, 6) AS val_f1_score FROM ({RUNS})
+SELECT run_id, run_name, val_f1_score FROM ({RUNS})
 WHERE status = 'FINISHED' AND NOT deleted ORDER BY val_f1_score DESC, run_id LIMIT 10"""
     q["versions"] = f"""
 WITH ev AS ({EVENTS})
@@ -240,6 +245,8 @@ SELECT doc_id, CAST(COALESCE(length(text), 0) > 20 AS INTEGER) AS has_descriptio
 SELECT doc_id, label, prediction, CASE WHEN lang IN ('en', 'de') THEN 'b1' ELSE 'b2' END AS batch_id
 FROM ({SCORED})"""
     q["csv_round_trip"] = """
+SELECT * FROM customer"""
+    q["external_table"] = """
 SELECT * FROM customer"""
     q["csv_inferred"] = """
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"""
