@@ -15,6 +15,7 @@ other rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
@@ -38,6 +39,14 @@ def mode_values(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     return {c: got.get(c) for c in cols}
 
 
+def _mode(values: list[float]) -> float | None:
+    """Most frequent value of a bounded list, ties to the smallest."""
+    if not values:
+        return None
+    counts = Counter(values)
+    return min(counts, key=lambda v: (-counts[v], v))
+
+
 def impute_mode(df: DataFrame, cols: Sequence[str], modes: dict | None = None) -> DataFrame:
     modes = modes or mode_values(df, cols)
     return df.fillna({c: v for c, v in modes.items() if v is not None})
@@ -62,15 +71,16 @@ def shapley(
     feats = list(model.features)
     d = len(feats)
     bkey = background_key or key
-    bg_df = sample_n(background, max_background, bkey, seed=seed)
-    if impute:
-        modes = mode_values(bg_df, feats)
-        bg_df = impute_mode(bg_df, feats, modes)
-        examples = impute_mode(examples, feats, modes)
-    bg = [[None if r[c] is None else float(r[c]) for c in feats] for r in bg_df.select(*feats).collect()]
+    # one job: at most max_background rows reach the driver (a proven bound)
+    rows = sample_n(background, max_background, bkey, seed=seed).select(*feats).collect()
+    bg = [[None if r[c] is None else float(r[c]) for c in feats] for r in rows]
     n_bg = len(bg)
     if n_bg == 0:
         raise ValueError("empty background")
+    if impute:
+        modes = {c: _mode([row[i] for row in bg if row[i] is not None]) for i, c in enumerate(feats)}
+        bg = [[modes[c] if v is None else v for v, c in zip(row, feats)] for row in bg]
+        examples = examples.fillna({c: v for c, v in modes.items() if v is not None})
 
     rng = np.random.RandomState(seed)
     orders = [rng.permutation(d).tolist() for _ in range(n_orders)]
