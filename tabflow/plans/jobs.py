@@ -110,11 +110,18 @@ def feature_columns(df: DataFrame, label: str, key: Sequence[str] | str) -> list
     return [c for c in df.columns if c not in drop]
 
 
+# Metric names a classifier evaluation logs for a run (the
+# public tracking API's names), from our metric columns.
+LOGGED_NAMES = {"n": "example_count", "tp": "true_positives", "fp": "false_positives",
+                "tn": "true_negatives", "fn": "false_negatives", "pr_auc": "precision_recall_auc"}
+
+
 def _metric_row(scored: DataFrame, label: str, prefix: str) -> dict[str, float]:
-    m = metrics.binary_metrics(scored, label, "prediction", "probability", prefix=prefix).first().asDict()
+    """One aggregate row of classifier metrics, named as a run logs them."""
+    m = metrics.binary_metrics(scored, label, "prediction", "probability").first().asDict()
     area = metrics.roc_pr_auc(scored, label, "probability").first()
-    m[f"{prefix}roc_auc"], m[f"{prefix}pr_auc"] = area.roc_auc, area.pr_auc
-    return {k: float(v) for k, v in m.items() if v is not None}
+    m["roc_auc"], m["pr_auc"] = area.roc_auc, area.pr_auc
+    return {f"{prefix}{LOGGED_NAMES.get(k, k)}": float(v) for k, v in m.items() if v is not None}
 
 
 def train(ws: Workspace, feature_table: str, label: str, key: Sequence[str] | str, run_name: str,
