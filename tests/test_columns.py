@@ -83,3 +83,16 @@ def test_description_rule(spark):
 def test_flag_correct_null_is_zero(spark):
     df = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, None, 1)], "k int, y int, p int")
     assert dict(fc.flag_correct(df, "y", "p").select("k", "accurate").collect()) == {1: 1, 2: 0, 3: 0}
+
+
+def test_compute_features_null_order(spark):
+    from tabflow.plans.jobs import compute_features
+    raw = spark.createDataFrame(
+        [("a", "Male", " ", "Yes"), ("b", "Female", "10.5", "No"), ("c", None, "3", "Yes"), ("d", "Male", "1", "maybe")],
+        "customerID string, gender string, TotalCharges string, Churn string")
+    lax, enc = compute_features(raw, ["gender"], "Churn")
+    assert sorted(r.customerID for r in lax.collect()) == ["a", "b", "c"]  # blank amount kept as text
+    assert lax.columns == ["customerID", "TotalCharges", "churn", "gender_Female", "gender_Male"]
+    strict, _ = compute_features(raw, ["gender"], "Churn", strict=True, numeric_text=["TotalCharges"])
+    assert sorted(r.customerID for r in strict.collect()) == ["b", "c"]
+    assert dict(strict.dtypes)["TotalCharges"] == "double"

@@ -75,3 +75,13 @@ def test_hash_text_one_slot(spark):
     h = model.hash_text(p, "p_type")
     n = h.select(F.size(F.filter(model.vector_to_array("hashed"), lambda x: x != 0)).alias("n")).distinct().collect()
     assert [r.n for r in n] == [1]
+
+
+def test_fit_is_repeatable(spark):
+    rows = fx.training_rows(spark, SF001)
+    params = dict(model.PRODUCTION_PARAMS, n_estimators=2, min_child_samples=20)
+    a = model.train_production(rows, fx.TRAIN_FEATURES, "label", params)
+    b = model.train_production(rows, fx.TRAIN_FEATURES, "label", params)
+    pa = model.score(a, rows, keep=KEY).orderBy(*KEY, "probability").collect()
+    pb = model.score(b, rows, keep=KEY).orderBy(*KEY, "probability").collect()
+    assert pa == pb
