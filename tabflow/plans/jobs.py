@@ -199,16 +199,25 @@ def validate(ws: Workspace, name: str, version: int | None = None, stage: str =
     feats = ws.spark.table(rtags.get("db_table") or "")
     if holdout:
         feats = split.hash_split(feats, key, 0.2, 0, out="_split").where(F.col("_split") == "test").drop("_split")
-    scored = model.score(m, feats, keep=[c for c in feats.columns])
-    results = {}
-    results["predicts"] = str(checks.check_predicts(scored).first().predicts)
-    results["has_signature"] = str(checks.has_signature(m.signature))
     demo = [c.strip() for c in (rtags.get("demographic_vars") or "").split(",") if c.strip()]
-    if demo:
-        flagged = fc.flag_correct(scored, label, "prediction")
-        results["demo_test"] = metrics.slice_gate(metrics.slice_accuracy(flagged, demo), floor).first().demo_test
-    else:
+    scored = model.score(m, feats, keep=[label, *demo])
+    # one pass over the scored table: per slice (null slice keys included)
+    # rows, predicted rows and correct rows; both checks reduce that table
+    flagged = fc.flag_correct(scored, label, "prediction")
+    per = flagged.groupBy(*demo).agg(F.count(F.lit(1)).alias("obs"), F.count("prediction").alias("n_pred"),
+                                     F.sum("accurate").alias("acc"))
+    keyed = F.lit(True)
+    for c in demo:
+        keyed = keyed & F.col(c).isNotNull()
+    row = per.agg(F.sum("obs").alias("n"), F.sum("n_pred").alias("n_pred"),
+                  F.count(F.when(keyed, 1)).alias("n_slices"),
+                  F.min(F.when(keyed, F.col("acc") / F.col("obs"))).alias("min_pct")).first()
+    results = {"predicts": "1" if (row.n or 0) == (row.n_pred or 0) else "0",
+               "has_signature": str(checks.has_signature(m.signature))}
+    if not demo or row.n_slices == 0:
         results["demo_test"] = "none"
+    else:
+        results["demo_test"] = "pass" if row.min_pct > floor else "fail"
     desc = vtags.get("description") or ""
     results["has_description"] = "1" if len(desc) > 20 else "0"
     ws.append_events([(name, version, "tag", None, False, k, v) for k, v in results.items()])
