@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tabflow.functions.columns import correct_flag
 from tabflow.operators.cumulative import running_sums
 
-# The per-slice accuracy floor and the summary text of the gate.
+# Fixed value: the per-slice accuracy floor of the demographic check.
 SLICE_FLOOR = 0.55
 
 
@@ -126,9 +126,10 @@ def roc_pr_auc(df: DataFrame, label: str | Column, score: str | Column, pos_labe
     prec = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(1.0))
     prec0 = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(prec)
     P, N = F.sum("pos").cast("double"), F.sum("neg").cast("double")
+    # undefined (null) when one class is absent, instead of a division by zero
     return c.agg(
-        (F.sum(F.col("neg") * (tp - F.col("pos") / 2.0)) / (P * N)).alias("roc_auc"),
-        (F.sum(F.col("pos") * (prec + prec0) / 2.0) / P).alias("pr_auc"),
+        F.when(P * N > 0, F.sum(F.col("neg") * (tp - F.col("pos") / 2.0)) / (P * N)).alias("roc_auc"),
+        F.when(P > 0, F.sum(F.col("pos") * (prec + prec0) / 2.0) / P).alias("pr_auc"),
     )
 
 

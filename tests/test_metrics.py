@@ -56,3 +56,18 @@ def test_binary_metrics_and_slices(spark):
     assert metrics.slice_gate(sl).first().demo_test == "fail"        # 0.5 is not above 0.55
     assert metrics.slice_gate(sl, mode="any_nonzero").first().demo_test == "pass"
     assert metrics.slice_gate(None) == "none"
+
+
+def test_constant_label(spark):
+    from tabflow.operators import model
+    df = spark.createDataFrame([(1, 1, 0.2), (1, 0, 0.9), (1, 1, 0.4)], "label int, prediction int, score double")
+    a = metrics.roc_pr_auc(df, "label", "score", n_buckets=2).first()
+    assert a.roc_auc is None and a.pr_auc == pytest.approx(1.0)
+    none = metrics.roc_pr_auc(df.withColumn("label", F.lit(0)), "label", "score", n_buckets=2).first()
+    assert none.roc_auc is None and none.pr_auc is None
+    m = metrics.binary_metrics(df.withColumn("label", F.lit(0)), "label", "prediction").first()
+    assert m.recall_score == 0.0 and m.tp == 0
+    rows = spark.range(200).select((F.col("id") % 7).cast("double").alias("x"), F.lit(0).alias("label"))
+    params = dict(model.PRODUCTION_PARAMS, n_estimators=2, min_child_samples=5)
+    fit = model.train_production(rows, ["x"], "label", params)
+    assert {r.prediction for r in model.score(fit, rows).select("prediction").distinct().collect()} == {0}
