@@ -43,12 +43,20 @@ def _rows(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
 def compare(spark_df, con, sql: str) -> dict:
     t0 = time.time()
     s = spark_df.toPandas()
     t1 = time.time()
-    d = con.sql(sql).df()
+    rel = con.sql(sql)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    d = rel.df()
     res = {"spark_rows": len(s), "oracle_rows": len(d), "spark_sec": round(t1 - t0, 2)}
+    res["type_diffs"] = {c: (t, duck_types.get(c)) for c, t in spark_df.dtypes
+                         if SPARK_TO_DUCK.get(t, t) != duck_types.get(c)}
     res["columns_match"] = sorted(s.columns) == sorted(d.columns)
     if not res["columns_match"]:
         res["spark_cols"], res["oracle_cols"] = sorted(s.columns), sorted(d.columns)
@@ -59,7 +67,7 @@ def compare(spark_df, con, sql: str) -> dict:
     if not res["values_match"]:
         diff = [(a, b) for a, b in zip(rs, rd) if a != b][:3]
         res["first_diffs"] = diff
-    res["ok"] = res["values_match"] and len(s) == len(d)
+    res["ok"] = res["values_match"] and len(s) == len(d) and not res["type_diffs"]
     return res
 
 
