@@ -1,7 +1,4 @@
-import os
-
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import SF001

@@ -2,7 +2,6 @@
 validate -> promote -> batch score -> retrain, twice without duplicates."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from tabflow.operators import model, registry

@@ -1,6 +1,5 @@
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001, SF01
