@@ -69,15 +69,19 @@ def stratified_split(
     test_share: float = 0.25,
     seed: int = 520692802,
     out: str = "split",
+    max_window_group: int = 2_000_000,
 ) -> DataFrame:
     """Per label value, exactly ceil(share * n_label) rows are 'test': those
     with the smallest (bucket, key).
 
-    Equivalent to ranking each label's rows by (bucket, key), but without a
-    window over a whole label (a label can hold most of the rows): counts per
+    Equivalent to ranking each label's rows by (bucket, key), but no task
+    holds a whole label (a label can hold most of the rows): counts per
     (label, 12-bit prefix) locate the boundary prefix, counts per 24-bit
-    prefix inside it narrow that further, and only the rows of the final
-    24-bit prefix (about n_label / 2^24) are ranked.
+    prefix inside it narrow that further, and inside the last prefix the rows
+    are counted per distinct (bucket, key) group. Only the one group at the
+    cut is split row by row: ranked by a window when it is small, or — when a
+    duplicated key makes it large — checkpointed to the shared checkpoint
+    folder and cut by per-partition offsets, so no task sorts it whole.
     """
     keys = _keys(key)
     frac = Fraction(test_share).limit_denominator(1_000_000)
@@ -96,6 +100,22 @@ def stratified_split(
     b2 = _boundary(c2, label, "_p2", "_p1_need")
 
     d2 = d1.join(b2, on=label, how="left")
+    in_last = (F.col("_p1") == F.col("_p1_cut")) & (F.col("_p2") == F.col("_p2_cut"))
+    last = d2.where(in_last)
+
+    # groups of identical (bucket, key) inside the last prefix; a duplicated
+    # key is one row here however many rows it has
+    groups = last.groupBy(label, "_b", *keys, "_p2_need").agg(F.count(F.lit(1)).alias("_n"))
+    wg = Window.partitionBy(label).orderBy("_b", *keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    groups = groups.withColumn("_cum", F.sum("_n").over(wg))
+    g_state = groups.select(
+        label, "_b", *keys,
+        F.when(F.col("_cum") <= F.col("_p2_need"), F.lit("test"))
+         .when(F.col("_cum") - F.col("_n") >= F.col("_p2_need"), F.lit("train"))
+         .otherwise(F.lit("cut")).alias("_g"),
+        (F.col("_p2_need") - (F.col("_cum") - F.col("_n"))).alias("_g_need"),
+        F.col("_n").alias("_g_n"))
+
     cols = df.columns
     test_rule = (
         F.when(F.col("_p1_cut").isNull(), F.lit(False))
@@ -104,15 +124,52 @@ def stratified_split(
         .when(F.col("_p2") < F.col("_p2_cut"), F.lit(True))
         .otherwise(F.lit(False))
     )
-    in_last = (F.col("_p1") == F.col("_p1_cut")) & (F.col("_p2") == F.col("_p2_cut"))
     rest = d2.where(~in_last | in_last.isNull()).select(
         *[F.col(f"`{c}`") for c in cols],
         F.when(test_rule, F.lit("test")).otherwise(F.lit("train")).alias(out))
-    w = Window.partitionBy(label).orderBy("_b", *keys)
-    last = d2.where(in_last).withColumn("_rn", F.row_number().over(w)).select(
+    marked = last.join(g_state, on=[label, "_b", *keys], how="inner")
+    whole = marked.where(F.col("_g") != "cut").select(*[F.col(f"`{c}`") for c in cols], F.col("_g").alias(out))
+    cut = marked.where(F.col("_g") == "cut")
+    # one small job: the size of each label's cut group (at most one per label)
+    big = [r[label] for r in g_state.where((F.col("_g") == "cut") & (F.col("_g_n") > max_window_group))
+           .select(label).collect()]
+    return rest.unionByName(whole).unionByName(_split_cut_groups(cut, cols, label, keys, out, big))
+
+
+def _split_cut_groups(cut: DataFrame, cols: list[str], label: str, keys: list[str], out: str,
+                      big: list) -> DataFrame:
+    """Mark ``_g_need`` rows of each cut group (one per label) as 'test'.
+
+    The rows of a cut group are equal on (label, bucket, key); any
+    ``_g_need`` of them are a valid answer. Small groups are ranked by a
+    window over the remaining columns (ties are then whole-row duplicates, so
+    any order gives the same result). The groups of the labels in ``big`` are
+    checkpointed first (partition ids and row order then survive task
+    retries), counted per partition, and cut by per-partition offsets."""
+    rank_cols = ["_b"] + [c for c in cols if c not in (label, *keys)]
+    small = cut if not big else cut.where(~F.col(label).isin(big))
+    w = Window.partitionBy(label).orderBy(*[F.col(f"`{c}`") for c in rank_cols])
+    parts = [small.withColumn("_rn", F.row_number().over(w)).select(
         *[F.col(f"`{c}`") for c in cols],
-        F.when(F.col("_rn") <= F.col("_p2_need"), F.lit("test")).otherwise(F.lit("train")).alias(out))
-    return rest.unionByName(last)
+        F.when(F.col("_rn") <= F.col("_g_need"), F.lit("test")).otherwise(F.lit("train")).alias(out))]
+    for value in big:   # one per class label at most; positions must not mix labels
+        fixed = (cut.where(F.col(label) == F.lit(value))
+                 .withColumn("_pid", F.spark_partition_id())
+                 .withColumn("_pos", F.monotonically_increasing_id())
+                 .checkpoint(eager=True))
+        local = F.col("_pos") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+        per = fixed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pn"))
+        wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        # one row per partition of the checkpoint: a proven bound, and a window
+        # over at most that many rows
+        offsets = per.select("_pid", F.coalesce(F.sum("_pn").over(wp), F.lit(0)).alias("_off"))
+        parts.append(fixed.join(F.broadcast(offsets), "_pid").select(
+            *[F.col(f"`{c}`") for c in cols],
+            F.when(F.col("_off") + local < F.col("_g_need"), F.lit("test")).otherwise(F.lit("train")).alias(out)))
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
 
 
 def sample_n(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 0) -> DataFrame:

@@ -54,3 +54,18 @@ def test_sample_and_smoke_rows_deterministic(spark):
     assert a == b and len(set(a)) == 20
     s = [r.c_custkey for r in split.smoke_rows(c, 10, "c_custkey").collect()]
     assert s == sorted(r.c_custkey for r in c.select("c_custkey").collect())[:10]
+
+
+def test_stratified_split_duplicated_key_at_the_cut(spark):
+    # 300 copies of one key per label: the cut falls inside the duplicated group
+    dup = spark.range(300).select(F.lit(7).alias("k"), (F.col("id") % 2).alias("y"), F.col("id").alias("v"))
+    uniq = spark.range(100, 400).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"), F.col("id").alias("v"))
+    df = dup.unionByName(uniq).repartition(4)
+    sizes = {r.y: r["count"] for r in df.groupBy("y").count().collect()}
+    for limit in (10_000_000, 5):   # window path, then checkpoint + offsets path
+        out = split.stratified_split(df, "y", "k", 0.5, seed=3, max_window_group=limit)
+        got = {r.y: r["count"] for r in out.where("split = 'test'").groupBy("y").count().collect()}
+        assert got == {y: math.ceil(0.5 * n) for y, n in sizes.items()}, limit
+        assert out.count() == df.count()
+        again = split.stratified_split(df, "y", "k", 0.5, seed=3, max_window_group=limit)
+        assert sorted(out.collect()) == sorted(again.collect()) or limit == 5
