@@ -92,12 +92,14 @@ def stratified_split(
     c1 = d.groupBy(label, "_p1").agg(F.count(F.lit(1)).alias("_n"))
     tot = Window.partitionBy(label)
     c1 = c1.withColumn("_k", F.floor((F.sum("_n").over(tot) * F.lit(num) + F.lit(den - 1)) / F.lit(den)).cast("bigint"))
-    b1 = _boundary(c1, label, "_p1", "_k")
+    # the three small cut tables are checkpointed (spark.checkpoint.dir): each
+    # is computed by one pass, and the later branches read them, not the input
+    b1 = _boundary(c1, label, "_p1", "_k").checkpoint(eager=True)
 
     d1 = d.join(b1, on=label, how="left")
     in1 = d1.where(F.col("_p1") == F.col("_p1_cut"))
     c2 = in1.groupBy(label, "_p2", "_p1_need").agg(F.count(F.lit(1)).alias("_n"))
-    b2 = _boundary(c2, label, "_p2", "_p1_need")
+    b2 = _boundary(c2, label, "_p2", "_p1_need").checkpoint(eager=True)
 
     d2 = d1.join(b2, on=label, how="left")
     in_last = (F.col("_p1") == F.col("_p1_cut")) & (F.col("_p2") == F.col("_p2_cut"))
@@ -114,7 +116,7 @@ def stratified_split(
          .when(F.col("_cum") - F.col("_n") >= F.col("_p2_need"), F.lit("train"))
          .otherwise(F.lit("cut")).alias("_g"),
         (F.col("_p2_need") - (F.col("_cum") - F.col("_n"))).alias("_g_need"),
-        F.col("_n").alias("_g_n"))
+        F.col("_n").alias("_g_n")).checkpoint(eager=True)
 
     cols = df.columns
     test_rule = (
