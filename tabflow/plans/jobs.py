@@ -285,3 +285,7 @@ def retrain(ws: Workspace, feature_table: str, name: str, label: str, key: Seque
                        comment="This is a new model from the periodic retrain job.")
     res = validate(ws, name, version, flow="retrain")
     return {"run_id": run_id, **res}
+
+
+# the flow names of the build plan
+validate_and_gate = validate
