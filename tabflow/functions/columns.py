@@ -109,6 +109,9 @@ def hash_bucket(seed: int | str, *keys: str | Column) -> Column:
 
     Independent of partitioning and reproducible outside Spark
     (e.g. ``('0x'||substr(md5(seed||':'||key),1,8))::BIGINT`` in DuckDB).
+    A null key part is written as '' so (NULL, 5) and (5, NULL) differ
+    (``concat_ws`` alone would skip nulls).
     """
-    parts = [F.lit(str(seed))] + [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    parts = [F.lit(str(seed))] + [F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit(""))
+                                  for k in keys]
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 8), 16, 10).cast("bigint")

@@ -69,3 +69,10 @@ def test_stratified_split_duplicated_key_at_the_cut(spark):
         assert out.count() == df.count()
         again = split.stratified_split(df, "y", "k", 0.5, seed=3, max_window_group=limit)
         assert sorted(out.collect()) == sorted(again.collect()) or limit == 5
+
+
+def test_hash_bucket_null_key_parts_differ(spark):
+    from tabflow.functions.columns import hash_bucket
+    df = spark.createDataFrame([(None, 5), (5, None)], "a int, b int")
+    a, b = [r.h for r in df.select(hash_bucket(0, "a", "b").alias("h")).collect()]
+    assert a != b
