@@ -36,35 +36,44 @@ def check_schema(df: DataFrame, contract: T.StructType | str) -> DataFrame:
 
     One row per column of the contract or the table: ``column_name``,
     ``expected_type``, ``actual_type``, ``status`` ('ok', 'missing', 'extra',
-    'wrong_type') and ``nulls`` — how many nulls the table holds in a
-    contract column (null for missing columns). A column the contract marks
-    non-nullable with nulls present gets status 'null_violation'. The null
-    counts are one aggregate over the table.
+    'wrong_type'), ``nulls`` — how many nulls the table holds in a contract
+    column — and ``bad_values`` — how many non-null values do not convert to
+    the contract's type (null for missing and extra columns). A column the
+    contract marks non-nullable with nulls present gets status
+    'null_violation'. All counts come from one aggregate over the table.
     """
     spec = schema_from_json(contract) if isinstance(contract, str) else contract
     actual = {f.name: f for f in df.schema.fields}
     expected = {f.name: f for f in spec.fields}
     present = [c for c in expected if c in actual]
-    counts = {}
+    nulls, bad = {}, {}
     if present:
-        row = df.agg(*[(F.count(F.lit(1)) - F.count(F.col(f"`{c}`"))).alias(c) for c in present]).first()
-        counts = {c: row[c] for c in present}
+        aggs = []
+        for c in present:
+            col = F.col(f"`{c}`")
+            aggs.append((F.count(F.lit(1)) - F.count(col)).alias(f"n_{c}"))
+            aggs.append(F.count(F.when(col.isNotNull() & col.try_cast(expected[c].dataType).isNull(), 1))
+                        .alias(f"b_{c}"))
+        row = df.agg(*aggs).first()
+        nulls = {c: int(row[f"n_{c}"]) for c in present}
+        bad = {c: int(row[f"b_{c}"]) for c in present}
     rows = []
     for name, f in expected.items():
         a = actual.get(name)
         if a is None:
-            rows.append((name, f.dataType.simpleString(), None, "missing", None))
+            rows.append((name, f.dataType.simpleString(), None, "missing", None, None))
             continue
         status = "ok"
         if a.dataType != f.dataType:
             status = "wrong_type"
-        elif not f.nullable and counts[name] > 0:
+        elif not f.nullable and nulls[name] > 0:
             status = "null_violation"
-        rows.append((name, f.dataType.simpleString(), a.dataType.simpleString(), status, int(counts[name])))
+        rows.append((name, f.dataType.simpleString(), a.dataType.simpleString(), status, nulls[name], bad[name]))
     for name, a in actual.items():
         if name not in expected:
-            rows.append((name, None, a.dataType.simpleString(), "extra", None))
-    schema = "column_name string, expected_type string, actual_type string, status string, nulls bigint"
+            rows.append((name, None, a.dataType.simpleString(), "extra", None, None))
+    schema = ("column_name string, expected_type string, actual_type string, status string, "
+              "nulls bigint, bad_values bigint")
     return df.sparkSession.createDataFrame(rows, schema)
 
 

@@ -232,13 +232,17 @@ HAVING COUNT(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL"""
 SELECT doc_id, COUNT(*) AS n FROM documents GROUP BY doc_id HAVING COUNT(*) > 1 OR doc_id IS NULL"""
     q["check_schema"] = """
 SELECT * FROM (VALUES
-  ('c_custkey', 'bigint', 'bigint', 'ok', (SELECT COUNT(*) - COUNT(c_custkey) FROM customer)),
-  ('c_name', 'string', 'string', 'ok', (SELECT COUNT(*) - COUNT(c_name) FROM customer)),
-  ('c_nationkey', 'bigint', 'int', 'wrong_type', (SELECT COUNT(*) - COUNT(c_nationkey) FROM customer)),
-  ('c_acctbal', 'double', 'double', 'ok', (SELECT COUNT(*) - COUNT(c_acctbal) FROM customer)),
-  ('c_phone', 'string', NULL, 'missing', NULL),
-  ('c_mktsegment', NULL, 'string', 'extra', NULL)
-) AS t(column_name, expected_type, actual_type, status, nulls)"""
+  ('c_custkey', 'bigint', 'bigint', 'ok', (SELECT COUNT(*) - COUNT(c_custkey) FROM customer),
+   (SELECT COUNT(*) FROM customer WHERE c_custkey IS NOT NULL AND TRY_CAST(c_custkey AS BIGINT) IS NULL)),
+  ('c_name', 'string', 'string', 'ok', (SELECT COUNT(*) - COUNT(c_name) FROM customer),
+   (SELECT COUNT(*) FROM customer WHERE c_name IS NOT NULL AND TRY_CAST(c_name AS VARCHAR) IS NULL)),
+  ('c_nationkey', 'bigint', 'int', 'wrong_type', (SELECT COUNT(*) - COUNT(c_nationkey) FROM customer),
+   (SELECT COUNT(*) FROM customer WHERE c_nationkey IS NOT NULL AND TRY_CAST(c_nationkey AS BIGINT) IS NULL)),
+  ('c_acctbal', 'double', 'double', 'ok', (SELECT COUNT(*) - COUNT(c_acctbal) FROM customer),
+   (SELECT COUNT(*) FROM customer WHERE c_acctbal IS NOT NULL AND TRY_CAST(c_acctbal AS DOUBLE) IS NULL)),
+  ('c_phone', 'string', NULL, 'missing', NULL, NULL),
+  ('c_mktsegment', NULL, 'string', 'extra', NULL, NULL)
+) AS t(column_name, expected_type, actual_type, status, nulls, bad_values)"""
     q["check_description"] = """
 SELECT doc_id, CAST(COALESCE(length(text), 0) > 20 AS INTEGER) AS has_description FROM documents"""
     q["append_predictions"] = f"""

@@ -62,3 +62,10 @@ def test_tables_feature_table_and_batches(spark):
     assert tables.read_table(spark, "tabflow_test.ext").count() == 2
     tables.reset_database(spark, "tabflow_test")
     assert spark.catalog.listTables("tabflow_test") == []
+
+
+def test_check_schema_counts_values_that_do_not_convert(spark):
+    df = spark.createDataFrame([("1", "29.85"), ("2", " "), ("3", None)], "id string, TotalCharges string")
+    contract = T.StructType([T.StructField("id", T.StringType()), T.StructField("TotalCharges", T.DoubleType())])
+    row = checks.check_schema(df, contract).where("column_name = 'TotalCharges'").first()
+    assert (row.status, row.nulls, row.bad_values) == ("wrong_type", 1, 1)
