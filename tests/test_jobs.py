@@ -20,9 +20,10 @@ def ws(spark):
     raw = scratch_path(spark, "raw")
     orders = fx.attrition_rows(spark, SF001)
     files.write_csv(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"), raw)
-    bronze = files.read_csv_fixed(spark, raw, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
-                                              "o_totalprice double, o_orderpriority string")
-    tables.write_table(bronze, "tabflow_e2e.bronze_orders")
+    jobs.ingest_csv(spark, raw, "tabflow_e2e.bronze_orders",
+                    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string")
+    inferred = jobs.ingest_csv(spark, raw, "tabflow_e2e.bronze_inferred", location=scratch_path(spark, "bronze"))
+    assert inferred.count() == orders.count()
     jobs.build_features(spark, spark.table("tabflow_e2e.bronze_orders"), "tabflow_e2e.features",
                         ["o_orderpriority"], "o_orderstatus", "o_orderkey", {"F": 1, "O": 0},
                         description="orders: one-hot priority, 0/1 label from status")
@@ -67,3 +68,16 @@ def test_retrain_twice(spark, ws):
     assert st[b["version"]] in ("Production", "None")
     runs = ws.runs().groupBy("run_id").count().where("count > 1").count()
     assert runs == 0
+
+
+def test_validate_rejects_a_model_that_cannot_score(spark, ws):
+    feats = spark.table("tabflow_e2e.features")
+    tables.write_table(feats.drop("o_totalprice"), "tabflow_e2e.features_broken")
+    good = ws.runs().where("status = 'FINISHED'").first()
+    tags = dict(good.tags, db_table="tabflow_e2e.features_broken")
+    registry.log_run(spark, ws.runs_table, run_id="broken", run_name="broken", metrics={}, tags=tags)
+    v = jobs.register(ws, "broken", "broken_model", "A description that is long enough to pass.")
+    res = jobs.validate(ws, "broken_model", v)
+    assert res["predicts"] == "0" and res["has_signature"] == "0" and res["rejected"]
+    st = {r.version: r.stage for r in registry.current_stage(ws.events().where("name = 'broken_model'")).collect()}
+    assert st[v] == "Archived"
