@@ -1,0 +1,2 @@
+"""Sources and sinks: CSV and Parquet scans, catalog tables, the feature table,
+prediction batches."""

@@ -1,0 +1 @@
+"""Structured Streaming: incremental scoring with exactly-once batch appends."""
