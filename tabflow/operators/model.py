@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.operators.checks import schema_from_json, schema_to_json
+from tabflow.session import scratch_root
 
 
 # Production booster settings of the original model, and the
@@ -142,6 +143,7 @@ def _spread(df: DataFrame) -> DataFrame:
     deterministic on recomputation because Spark sorts each input partition
     before a round-robin repartition. Inputs that already have enough
     partitions are left alone."""
+    scratch_root(df.sparkSession)  # the boosting checkpoints need spark.checkpoint.dir
     n = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= n:
         return df

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import hash_bucket
+from tabflow.session import scratch_root
 
 TWO_32 = 1 << 32
 
@@ -84,6 +85,7 @@ def stratified_split(
     folder and cut by per-partition offsets, so no task sorts it whole.
     """
     keys = _keys(key)
+    scratch_root(df.sparkSession)  # checkpoints go to spark.checkpoint.dir
     frac = Fraction(test_share).limit_denominator(1_000_000)
     num, den = frac.numerator, frac.denominator
     d = df.withColumn("_b", hash_bucket(seed, *keys))
