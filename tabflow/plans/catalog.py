@@ -17,7 +17,7 @@ from tabflow.operators.encode import OneHot
 from tabflow.operators.scale import impute_mean, standardize
 from tabflow.plans import fixtures as fx
 from tabflow.plans import jobs
-from tabflow.session import scratch_path
+from tabflow.session import scratch_path, unique_name
 from tabflow.sources import files, tables
 from tabflow.streaming.scoring import score_stream
 
@@ -149,7 +149,7 @@ def q_pr_auc(spark, sf):
 
 def q_log_runs(spark, sf):
     """Runs appended to a run table (twice: a table only grows), read back."""
-    name = "tabflow_runs_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    name = unique_name("tabflow_runs")
     r = fx.runs(spark, sf)
     registry.append_runs(r.where(F.col("status") == "FINISHED"), name)
     registry.append_runs(r.where(F.col("status") != "FINISHED"), name)
@@ -216,7 +216,7 @@ def q_check_description(spark, sf):
 
 def q_append_predictions(spark, sf):
     s = fx.scored_rows(spark, sf)
-    name = "tabflow_preds_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    name = unique_name("tabflow_preds")
     b1 = s.where(F.col("lang").isin("en", "de")).select("doc_id", "label", "prediction")
     b2 = s.where(~F.col("lang").isin("en", "de")).select("doc_id", "label", "prediction")
     tables.append_predictions(b1, name, batch_id="b1")
@@ -242,7 +242,7 @@ def q_csv_inferred(spark, sf):
 
 def q_external_table(spark, sf):
     """customer written to a path and registered as an external table."""
-    name = "tabflow_ext_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    name = unique_name("tabflow_ext")
     tables.write_external_table(spark, fx.table(spark, sf, "customer"), name, scratch_path(spark, "ext"))
     return tables.read_table(spark, name)
 
@@ -250,7 +250,7 @@ def q_external_table(spark, sf):
 def q_feature_table(spark, sf):
     db = "tabflow_features"
     tables.ensure_database(spark, db)
-    name = f"{db}.orders_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    name = f"{db}." + unique_name("orders")
     feats, _ = jobs.compute_features(fx.attrition_rows(spark, sf), categorical=["o_orderpriority"],
                                      label="o_orderstatus", label_map={"F": 1, "O": 0})
     tables.write_feature_table(spark, feats, name, key="o_orderkey",
@@ -270,7 +270,7 @@ def _split_lineitem(spark, sf):
 
 
 def _production_model(spark, sf) -> model.TrainedModel:
-    k = (id(spark), sf, "production")
+    k = (spark.sparkContext.applicationId, sf, "production")
     if k not in _TRAINED:
         marked = _split_lineitem(spark, sf)
         _TRAINED[k] = model.train_production(marked.where(F.col("split") == "train"), fx.TRAIN_FEATURES, "label")
@@ -334,7 +334,7 @@ def q_score_stream(spark, sf):
     m = _production_model(spark, sf)
     src = f"{sf.rstrip('/')}/lineitem.parquet*"  # a glob: file sources watch directories
     schema = fx.table(spark, sf, "lineitem").schema
-    name = "tabflow_stream_preds_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    name = unique_name("tabflow_stream_preds")
     score_stream(spark, m, src, schema, name, keep=LINE_KEY)
     return tables.read_table(spark, name).select(*LINE_KEY, "prediction", "probability", "batch_id")
 

@@ -60,6 +60,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def unique_name(prefix: str) -> str:
+    """A fresh table name (letters, digits, underscore) for one run."""
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     try:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
