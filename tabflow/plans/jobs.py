@@ -16,6 +16,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabflow.functions import columns as fc
 from tabflow.operators import checks, metrics, model, registry, split
@@ -118,8 +119,12 @@ def build_features(spark: SparkSession, source: DataFrame, target: str, categori
 
 
 def feature_columns(df: DataFrame, label: str, key: Sequence[str] | str) -> list[str]:
+    """Every numeric or boolean column except the label and the key (text
+    amounts are converted with ``numeric_text`` first; dates and free text
+    are not features)."""
     drop = {label, *([key] if isinstance(key, str) else key)}
-    return [c for c in df.columns if c not in drop]
+    return [f.name for f in df.schema.fields
+            if f.name not in drop and isinstance(f.dataType, (T.NumericType, T.BooleanType))]
 
 
 # Metric names a classifier evaluation logs for a run (the

@@ -96,3 +96,11 @@ def test_compute_features_null_order(spark):
     strict, _ = compute_features(raw, ["gender"], "Churn", strict=True, numeric_text=["TotalCharges"])
     assert sorted(r.customerID for r in strict.collect()) == ["b", "c"]
     assert dict(strict.dtypes)["TotalCharges"] == "double"
+
+
+def test_feature_columns_numeric_only(spark):
+    from datetime import datetime
+    from tabflow.plans.jobs import feature_columns
+    df = spark.createDataFrame([(1, "a", 2.0, True, datetime(2024, 1, 1), 1, "x")],
+                               "id int, name string, x double, flag boolean, ts timestamp_ntz, churn int, note string")
+    assert feature_columns(df, "churn", "id") == ["x", "flag"]
