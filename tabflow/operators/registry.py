@@ -33,6 +33,7 @@ STATUS_KEY = "overall status"
 STATUS_RELEASE = "May proceed to cut a release"
 STATUS_PROD = "Clear for prod use"
 STATUS_RECHECK = "Please check tags to reassess"
+RUN_NAME_TAG = "run_name"
 
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -65,7 +66,7 @@ def run_row(spark: SparkSession, run_id: str, run_name: str, metrics: Mapping[st
             experiment_id: str = "0", status: str = "FINISHED",
             end_time: datetime | None = None) -> DataFrame:
     """One run as a one-row DataFrame, ready to append to the runs table."""
-    tags = {"mlflow.runName": run_name, **(tags or {})}
+    tags = {RUN_NAME_TAG: run_name, **(tags or {})}
     row = (run_id, experiment_id, run_name, status, end_time or datetime.now(),
            {k: float(v) for k, v in metrics.items()}, {k: str(v) for k, v in (params or {}).items()},
            {k: str(v) for k, v in tags.items()}, False)
@@ -89,7 +90,7 @@ def append_runs(runs: DataFrame, runs_table: str) -> None:
 def active_finished(runs: DataFrame, run_name: str | None = None) -> DataFrame:
     r = runs.where((F.col("status") == "FINISHED") & ~F.coalesce(F.col("deleted"), F.lit(False)))
     if run_name is not None:
-        r = r.where(F.col("tags")["mlflow.runName"] == F.lit(run_name))
+        r = r.where(F.col("tags")[RUN_NAME_TAG] == F.lit(run_name))
     return r
 
 

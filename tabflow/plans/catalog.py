@@ -156,7 +156,7 @@ def q_log_runs(spark, sf):
     back = tables.read_table(spark, name)
     return back.select("run_id", "status", "end_time", "deleted",
                        F.col("metrics")["test_accuracy_score"].alias("test_accuracy_score"),
-                       F.col("tags")["mlflow.runName"].alias("run_name"))
+                       F.col("tags")[registry.RUN_NAME_TAG].alias("run_name"))
 
 
 def q_select_run(spark, sf):

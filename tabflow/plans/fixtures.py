@@ -90,7 +90,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map(F.lit("test_accuracy_score"), metric,
                      F.lit("val_f1_score"), F.lit(1.0) - metric).alias("metrics"),
         F.create_map(F.lit("max_depth"), F.lit("6"), F.lit("n_estimators"), F.lit("15")).alias("params"),
-        F.create_map(F.lit("mlflow.runName"), F.col("o_orderpriority"),
+        F.create_map(F.lit("run_name"), F.col("o_orderpriority"),
                      F.lit("db_table"), F.lit("features.orders"),
                      F.lit("demographic_vars"), F.lit("toxic,lang")).alias("tags"),
         ((F.col("o_custkey") % 13) == 0).alias("deleted"),
