@@ -17,7 +17,7 @@ from tabflow.operators.encode import OneHot
 from tabflow.operators.scale import impute_mean, standardize
 from tabflow.plans import fixtures as fx
 from tabflow.plans import jobs
-from tabflow.session import scratch_path, unique_name
+from tabflow.session import scratch_path, scratch_root, unique_name
 from tabflow.sources import files, tables
 from tabflow.streaming.scoring import score_stream
 
@@ -34,6 +34,16 @@ CUSTOMER_CONTRACT = T.StructType([
 ])
 
 
+QUERY_DB = "tabflow_queries"
+
+
+def _table(spark, prefix: str) -> str:
+    """A fresh table name in a database kept under the scratch root, so the
+    writing queries do not depend on the working directory's warehouse."""
+    tables.ensure_database(spark, QUERY_DB, f"{scratch_root(spark).rstrip('/')}/{QUERY_DB}.db")
+    return f"{QUERY_DB}.{unique_name(prefix)}"
+
+
 def _r(c: str, digits: int = 6):
     return F.round(F.col(c), digits).alias(c)
 
@@ -149,7 +159,7 @@ def q_pr_auc(spark, sf):
 
 def q_log_runs(spark, sf):
     """Runs appended to a run table (twice: a table only grows), read back."""
-    name = unique_name("tabflow_runs")
+    name = _table(spark, "runs")
     r = fx.runs(spark, sf)
     registry.append_runs(r.where(F.col("status") == "FINISHED"), name)
     registry.append_runs(r.where(F.col("status") != "FINISHED"), name)
@@ -216,7 +226,7 @@ def q_check_description(spark, sf):
 
 def q_append_predictions(spark, sf):
     s = fx.scored_rows(spark, sf)
-    name = unique_name("tabflow_preds")
+    name = _table(spark, "preds")
     b1 = s.where(F.col("lang").isin("en", "de")).select("doc_id", "label", "prediction")
     b2 = s.where(~F.col("lang").isin("en", "de")).select("doc_id", "label", "prediction")
     tables.append_predictions(b1, name, batch_id="b1")
@@ -242,15 +252,13 @@ def q_csv_inferred(spark, sf):
 
 def q_external_table(spark, sf):
     """customer written to a path and registered as an external table."""
-    name = unique_name("tabflow_ext")
+    name = _table(spark, "ext")
     tables.write_external_table(spark, fx.table(spark, sf, "customer"), name, scratch_path(spark, "ext"))
     return tables.read_table(spark, name)
 
 
 def q_feature_table(spark, sf):
-    db = "tabflow_features"
-    tables.ensure_database(spark, db)
-    name = f"{db}." + unique_name("orders")
+    name = _table(spark, "orders_features")
     feats, _ = jobs.compute_features(fx.attrition_rows(spark, sf), categorical=["o_orderpriority"],
                                      label="o_orderstatus", label_map={"F": 1, "O": 0})
     tables.write_feature_table(spark, feats, name, key="o_orderkey",
@@ -334,7 +342,7 @@ def q_score_stream(spark, sf):
     m = _production_model(spark, sf)
     src = f"{sf.rstrip('/')}/lineitem.parquet*"  # a glob: file sources watch directories
     schema = fx.table(spark, sf, "lineitem").schema
-    name = unique_name("tabflow_stream_preds")
+    name = _table(spark, "stream_preds")
     score_stream(spark, m, src, schema, name, keep=LINE_KEY)
     return tables.read_table(spark, name).select(*LINE_KEY, "prediction", "probability", "batch_id")
 

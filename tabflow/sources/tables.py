@@ -22,8 +22,11 @@ def _ident(name: str) -> str:
     return name
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}")
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the database if missing; ``location`` puts its managed tables
+    under a chosen (shared) folder instead of the warehouse."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}{where}")
 
 
 def reset_database(spark: SparkSession, name: str) -> None:
