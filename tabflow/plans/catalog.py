@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from tabflow.functions import columns as fc
 from tabflow.operators import checks, metrics, model, registry, split
-from tabflow.operators.shapley import impute_mode, shapley
 from tabflow.operators.encode import OneHot
 from tabflow.operators.scale import impute_mean, standardize
+from tabflow.operators.shapley import impute_mode, shapley
 from tabflow.plans import fixtures as fx
 from tabflow.plans import jobs
 from tabflow.session import scratch_path, scratch_root, unique_name
@@ -23,8 +23,9 @@ from tabflow.streaming.scoring import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The schema contract the customer table is checked against
-# (one column missing from the table, one with a different type).
+# The schema contract the customer table is checked against in the
+# ``check_schema`` query (one column missing from the table, one with a
+# different type).
 CUSTOMER_CONTRACT = T.StructType([
     T.StructField("c_custkey", T.LongType(), False),
     T.StructField("c_name", T.StringType()),
