@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tabflow.sources.files import read_parquet
 
-# Run status per order status, stage per event type,
-# tag key by (k mod 8), and the texts used by the version-event fixture.
+# Derivation constants of FIXTURES.md §3: run status per order status, stage
+# per event type, tag key by (k mod 8), and the texts of the version events.
+# The two status texts are the gate's (see operators/registry.py).
 RUN_STATUS = {"F": "FINISHED", "O": "RUNNING", "P": "FAILED"}
 EVENT_STAGE = {"view": "None", "click": "Staging", "purchase": "Production", "error": "Archived"}
 TAG_KEYS = ["predicts", "has_signature", "demo_test", "has_description", "has_artifacts",
