@@ -94,3 +94,12 @@ def test_latest_and_release(spark):
     assert [tuple(r) for r in registry.latest_versions(st, ["staging"]).collect()] == [("m", "Staging", 2)]
     rel = registry.find_release(st, registry.current_tags(df)).collect()
     assert [(r.name, r.version) for r in rel] == [("m", 1)]
+
+
+def test_tags_as_map_last_write_wins(spark):
+    ev = [registry.register_event(spark, 1, "m", 1, "tag", key="predicts", value="0"),
+          registry.register_event(spark, 2, "m", 1, "tag", key="predicts", value="1"),
+          registry.register_event(spark, 3, "m", 1, "tag", key="description", value="d")]
+    df = ev[0].unionByName(ev[1]).unionByName(ev[2])
+    row = registry.tags_as_map(registry.current_tags(df)).first()
+    assert row.tags == {"predicts": "1", "description": "d"}
