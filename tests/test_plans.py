@@ -58,3 +58,12 @@ def test_filters_reach_the_scan(spark):
 def test_feature_build_is_one_codegen_stage(spark):
     plan = _plan(catalog.QUERIES["build_features"](spark, SF01))
     assert "Exchange" not in plan and "* Project" in plan
+
+
+def test_scored_join_never_reads_document_text(spark):
+    from tabflow.plans import fixtures as fx
+    plan = _plan(fx.scored_rows(spark, SF01))
+    schemas = [set(c.split(":")[0] for c in s.split(",")) for s in re.findall(r"ReadSchema: struct<(.*)>", plan)]
+    assert {"doc_id", "lang", "n_chars"} in schemas
+    assert {"doc_id", "quality", "toxic"} in schemas
+    assert all("text" not in s for s in schemas)
