@@ -88,7 +88,11 @@ class Workspace:
 
     def append_events(self, rows: list[tuple]) -> None:
         """Append (name, version, kind, to_stage, archive_existing, key, value)
-        rows with the next sequence numbers (one aggregate row read)."""
+        rows with the next sequence numbers (one aggregate row read).
+
+        One writer per model at a time: two jobs appending concurrently could
+        draw the same numbers (the flows of one model run one after another,
+        as the monthly job does)."""
         start = (self.events().agg(F.max("seq")).first()[0] or 0) + 1
         data = [(start + i, *r) for i, r in enumerate(rows)]
         df = self.spark.createDataFrame(data, registry.EVENT_SCHEMA)
