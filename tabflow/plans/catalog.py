@@ -287,12 +287,16 @@ def _production_model(spark, sf) -> model.TrainedModel:
 
 
 def q_train_production(spark, sf):
-    """Fit on the 80 % hash split; training_ and test_ metrics, one row each."""
+    """Fit on the 80 % hash split; training and test metrics, one row each
+    (counts, accuracy, and ROC / PR areas of the positive-class probability)."""
     m = _production_model(spark, sf)
     scored = model.score(m, _split_lineitem(spark, sf), keep=["split", "label"])
-    return (scored.groupBy("split").agg(
+    counts = scored.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), *metrics.confusion_columns(F.col("label"), F.col("prediction")),
-        F.avg(F.when(F.col("label") == F.col("prediction"), 1).otherwise(0)).alias("accuracy_score")))
+        F.avg(F.when(F.col("label") == F.col("prediction"), 1).otherwise(0)).alias("accuracy_score"))
+    areas = [metrics.roc_pr_auc(scored.where(F.col("split") == part), "label", "probability")
+             .withColumn("split", F.lit(part)) for part in ("train", "test")]
+    return counts.join(areas[0].unionByName(areas[1]), "split")
 
 
 def q_score(spark, sf):
