@@ -72,3 +72,16 @@ def ship(spark: SparkSession) -> None:
     with fs.open_output_stream(f"{root}/{top.name}.zip") as out:
         out.write(data.getvalue())
     spark.sparkContext.addPyFile(f"{folder}/{top.name}.zip")
+
+
+def materialise_at(spark: SparkSession, df: DataFrame, name: str, compression: str = "zstd") -> tuple[DataFrame, str]:
+    """Like materialise, with the folder's path for drop_table."""
+    path = scratch_path(spark, name)
+    df.write.option("compression", compression).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    fs, root = file_system(path)
+    fs.delete_dir(root)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import pack, records, warc
+from tabflow.llm import decontaminate, jaccard, langid, pack, pii, records, warc
 from tabflow.llm.common import ship, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,25 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(spark, table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = pii.joined(F.col("base"))
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(base, 256).alias("base_sha256"), pii.joined(F.concat("base", "terms")).alias("spans"))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(spark, table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.deduplicated_archives(spark, table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -40,6 +59,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_best_fit_packing, op9_warc, op10_token_records)}
+    op1_best_fit_packing, op3_pii, op4_jaccard_join, op5_decontamination, op6_language_id, op9_warc, op10_token_records)}
 
 ORACLE_SQL: dict[str, str] = {}

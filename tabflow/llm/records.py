@@ -76,37 +76,47 @@ def masked_crc32c(buffers: list[bytes]) -> np.ndarray:
     return ((out >> 15) | (out << 17)) + np.uint32(_MASK)
 
 
+_BYTE_LIST = _BYTE.tolist()
+
+
+def _masked_small(data: bytes) -> int:
+    """Masked CRC-32C of one short buffer."""
+    reg = 0xFFFFFFFF
+    for x in data:
+        reg = _BYTE_LIST[(reg ^ x) & 0xFF] ^ (reg >> 8)
+    reg ^= 0xFFFFFFFF
+    return ((reg >> 15 | reg << 17) + _MASK) & 0xFFFFFFFF
+
+
 def frame(datas: list[bytes]) -> list[bytes]:
     sizes = [struct.pack("<Q", len(d)) for d in datas]
-    return [s + struct.pack("<I", a) + d + struct.pack("<I", b) for s, a, d, b in zip(sizes, masked_crc32c(sizes).tolist(), datas, masked_crc32c(datas).tolist())]
+    return [s + struct.pack("<I", _masked_small(s)) + d + struct.pack("<I", b) for s, d, b in zip(sizes, datas, masked_crc32c(datas).tolist())]
 
 
 def read_frames(stream) -> Iterator[list[bytes]]:
     """The records' data in order, in bounded groups; raises ValueError on a wrong checksum or a cut file."""
-    group, heads, sums, held = [], [], [], 0
+    group, sums, held = [], [], 0
 
     def verified() -> list[bytes]:
-        got = masked_crc32c([h[:8] for h in heads]).tolist() + masked_crc32c(group).tolist()
-        if got != [struct.unpack("<I", h[8:])[0] for h in heads] + sums:
+        if masked_crc32c(group).tolist() != sums:
             raise ValueError("a record's checksum is wrong")
         return group
 
     while head := stream.read(_HEAD.size):
         if len(head) < _HEAD.size:
             raise ValueError("the file ends within a record")
-        length = _HEAD.unpack(head)[0]
-        if length > 1 << 40 or masked_crc32c([head[:8]])[0] != _HEAD.unpack(head)[1]:
+        length, check = _HEAD.unpack(head)
+        if _masked_small(head[:8]) != check:
             raise ValueError("a length's checksum is wrong")
         data, tail = stream.read(length), stream.read(4)
         if len(data) < length or len(tail) < 4:
             raise ValueError("the file ends within a record")
         group.append(data)
-        heads.append(head)
         sums.append(struct.unpack("<I", tail)[0])
         held += length
         if held > 4 << 20:
             yield verified()
-            group, heads, sums, held = [], [], [], 0
+            group, sums, held = [], [], 0
     if group:
         yield verified()
 
