@@ -46,20 +46,34 @@ def seeds(hashes: Column, mask: str, nth: int) -> Column:
     return F.when(n > 0, each).otherwise(F.array().cast("array<bigint>"))
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once: the optimizer may copy a column's expression into a lambda, where it would
+    be computed for each element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _seed_rows(rows: DataFrame, keep: list[str], place: str) -> DataFrame:
     """A row per seed of a frame with ``hashes``: its word position and the seed."""
-    both = rows.withColumn("_s", F.concat(*[seeds(F.col("hashes"), m, k) for k, m in enumerate(MASKS)]))
-    each = both.select(*keep, F.size("hashes").alias("_n"), F.posexplode("_s").alias("_p", "_seed"))
-    return each.withColumn(place, F.col("_p") % (F.col("_n") - (SPAN - 1))).drop("_n", "_p")
+    every = _let(F.col("hashes"), lambda h: F.concat(*[seeds(h, m, k) for k, m in enumerate(MASKS)]))
+    both = rows.select(*keep, F.size("hashes").alias("_n"), every.alias("_s"))
+    # the outer form keeps the optimizer from computing the seeds once more for a filter on their number
+    each = both.select(*keep, "_n", F.posexplode_outer("_s").alias("_p", "_seed"))
+    return each.where(F.col("_seed").isNotNull()).withColumn(place, F.col("_p") % (F.col("_n") - (SPAN - 1))).drop("_n", "_p")
 
 
-def _overlap(doc: Column, item: Column, i: Column, j: Column) -> Column:
-    """Of the windows around a hit at word i of the document and word j of the item: the most equal words."""
+def _best_window(doc: Column, item: Column, i: Column, j: Column, window: Column) -> Column:
+    """Of the windows around a hit at word i of the document and word j of the item: (equal words, -first word) of the most
+    equal one, null if none fits."""
     reach = WINDOW - 1 + SPAN
     back = F.least(i, j, F.lit(reach))
     span = F.least(F.size(doc) - i, F.size(item) - j, F.lit(reach)) + back
     same = F.zip_with(F.slice(doc, i - back + 1, span), F.slice(item, j - back + 1, span), lambda a, b: (a == b).cast("int"))
-    return F.struct(same.alias("same"), (i - back).alias("doc_from"))
+
+    def best(s: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.size(s) - window), lambda k: F.struct(F.aggregate(F.slice(s, k + 1, window), F.lit(0), lambda a, x: a + x).alias("equal"), (back - i - k).alias("from")))
+        return F.when(F.size(s) >= window, F.array_max(each))
+
+    return _let(same, best)
 
 
 def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -80,12 +94,10 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Data
         scans.append(hits.join(F.broadcast(own.select("_key", "item_id", F.col("hashes").alias("_item"))), "_key"))
     hits = reduce(DataFrame.unionByName, scans)
     size = F.least(F.lit(WINDOW), F.size("_item"))
-    hits = hits.select("doc_id", "item_id", size.alias("window"), _overlap(F.col("hashes"), F.col("_item"), F.col("_i"), F.col("_j")).alias("o"))
-    starts = F.sequence(F.lit(0), F.size("o.same") - F.col("window"))
-    sums = F.transform(starts, lambda k: F.struct(F.aggregate(F.slice(F.col("o.same"), k + 1, F.col("window")), F.lit(0), lambda a, x: a + x).alias("equal"), (-(F.col("o.doc_from") + k)).alias("from")))
-    best = F.when(F.size("o.same") >= F.col("window"), F.array_max(sums))
+    best = _best_window(F.col("hashes"), F.col("_item"), F.col("_i"), F.col("_j"), size)
+    hits = hits.select("doc_id", "item_id", size.alias("window"), best.alias("b"))
     allowed = F.floor(F.col("window") * F.lit(SUBSTITUTIONS) / F.lit(WINDOW))
-    found = hits.select("doc_id", "item_id", "window", best.alias("b")).where(F.col("b.equal") >= F.col("window") - allowed)
+    found = hits.where(F.col("b.equal") >= F.col("window") - allowed)
     return found.groupBy("doc_id", "item_id").agg(
         F.count("*").alias("n_hits"), F.max(F.struct("b.equal", "b.from", "window")).alias("m")).select(
         "doc_id", "item_id", "n_hits", (-F.col("m.from")).cast("int").alias("word_from"), F.col("m.window").alias("n_words"), F.col("m.equal").alias("n_equal"))
