@@ -106,12 +106,13 @@ def _terms(docs: DataFrame, marked: DataFrame, generalise: float, remove: float,
 
 def _spans(text: Column) -> Column:
     """All base spans in order with their surroundings: kind, s, e, v, left, right."""
-    parts = []
-    for kind, found in base_spans(text).items():
-        parts.append(F.transform(found, lambda x, kind=kind: F.struct(
+    def around(kind: str):
+        return lambda x: F.struct(
             F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"),
             F.substring(text, F.greatest(x["s"] - REACH, F.lit(0)) + 1, F.least(x["s"], F.lit(REACH))).alias("left"),
-            F.substring(text, x["e"] + 1, F.lit(REACH)).alias("right"))))
+            F.substring(text, x["e"] + 1, F.lit(REACH)).alias("right"))
+
+    parts = [F.transform(found, around(kind)) for kind, found in base_spans(text).items()]
     return F.concat(*parts)
 
 

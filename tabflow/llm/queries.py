@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, jaccard, langid, pack, pii, records, warc
+from tabflow.llm import decontaminate, html_text, jaccard, langid, neighbours, pack, pii, records, warc
 from tabflow.llm.common import ship, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +40,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(spark, table(spark, sf_dir, "pages"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.deduplicated_archives(spark, table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -59,6 +67,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_best_fit_packing, op3_pii, op4_jaccard_join, op5_decontamination, op6_language_id, op9_warc, op10_token_records)}
+    op1_best_fit_packing, op3_pii, op4_jaccard_join, op5_decontamination, op6_language_id, op7_near_vectors, op8_html, op9_warc, op10_token_records)}
 
 ORACLE_SQL: dict[str, str] = {}
