@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import decontaminate, html_text, jaccard, langid, neighbours, pack, pii, records, warc
+from tabflow.llm import decontaminate, html_text, jaccard, langid, neighbours, pack, pii, records, toxicity, warc
 from tabflow.llm.common import ship, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(spark, table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -67,6 +71,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_best_fit_packing, op3_pii, op4_jaccard_join, op5_decontamination, op6_language_id, op7_near_vectors, op8_html, op9_warc, op10_token_records)}
+    op1_best_fit_packing, op2_toxicity, op3_pii, op4_jaccard_join, op5_decontamination, op6_language_id, op7_near_vectors, op8_html, op9_warc, op10_token_records)}
 
 ORACLE_SQL: dict[str, str] = {}
