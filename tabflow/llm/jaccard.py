@@ -333,7 +333,7 @@ def _join_large(spark: SparkSession, members: DataFrame, percent: int, pivots: i
     chosen = members.select("family", "_row").withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= pivots).select("_row")
     blocks = members.groupBy("family").agg(F.ceil(F.sum("n") / FAMILY).cast("int").alias("blocks"))
     dealt = members.join(F.broadcast(blocks), "family").select("family", F.pmod(F.xxhash64("_row"), F.col("blocks")).alias("block"), "_row", "set")
-    heads = members.join(chosen, "_row", "left_semi").join(F.broadcast(blocks), "family").select("family", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).cast("long").alias("block"), "_row", "set")
+    heads = materialise(spark, members.join(chosen, "_row", "left_semi"), "heads").join(F.broadcast(blocks), "family").select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"), "_row", "set")
 
     def measure(key, left, right):
         sets, rows = _sets(left.column("set")), left.column("_row").to_pylist()

@@ -34,6 +34,10 @@ WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 8, 8, 8, 8
 WORD_ROWS, CHAR_ROWS = 1 << 15, 1 << 17
 CHAR_ORDERS = (3, 4, 5)
 TURNS, EPOCHS, BATCH, RATE = 2, 4, 256, 0.01
+#: Share of words that are shown by their characters alone while training.
+HIDE = 0.5
+#: Steps of a turn at least, for small samples.
+STEPS = 120
 #: Documents that a word's prior log-odds are shrunk by.
 SHRINK = 20.0
 #: Windows that are scored at a time.
@@ -186,11 +190,14 @@ class Network:
         at = np.where(on, which[np.minimum(first + steps, len(which) - 1)], none)
         return at, on[..., None].astype(np.float32)
 
-    def gradients(self, inputs: Inputs, at, mask, label) -> dict:
+    def gradients(self, inputs: Inputs, at, mask, label, hide: np.ndarray | None = None) -> dict:
         """Gradients of the mean log-loss of windows; at: the word at each step, (steps, windows). Those of the tables come
-        as rows and their gradients."""
+        as rows and their gradients. Words in ``hide`` are known by their characters alone."""
         p = self.p
-        x = inputs.vectors(p)[at]
+        x = inputs.vectors(p)
+        if hide is not None:
+            x[hide, :WORD_DIM] = 0
+        x = x[at]
         tf, tb = [], []
         logit, (h, a, w, pooled) = self._forward(x @ p["wf"] + p["bf"], x @ p["wb"] + p["bb"], mask, tf, tb)
         d = ((_sigmoid(logit) - label) / len(label)).astype(np.float32)
@@ -210,19 +217,20 @@ class Network:
             dx = dx + dg @ p[f"w{side}"].T
         distinct = np.zeros((len(inputs.word), dx.shape[2]), np.float32)
         np.add.at(distinct, at.ravel(), (dx * mask).reshape(-1, dx.shape[2]))
-        g["words"] = (inputs.word, distinct[:, :WORD_DIM])
+        shown = np.ones(len(inputs.word), bool) if hide is None else ~hide
+        g["words"] = (inputs.word[shown], distinct[shown, :WORD_DIM])
         g["chars"] = (inputs.char, distinct[inputs.of, WORD_DIM:] / inputs.n[inputs.of, None])
         return g
 
     def train(self, inputs: Inputs, which, first, length, label, rng, state: dict) -> None:
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(label)))):
             order = rng.permutation(len(label))
             for i in range(0, len(order), BATCH):
                 own = order[i : i + BATCH]
                 state["t"] = state.get("t", 0) + 1
                 at, mask = self._places(which, first[own], length[own], 0)
                 words, back = np.unique(at, return_inverse=True)
-                for k, g in self.gradients(inputs.take(words), back.reshape(at.shape), mask, label[own]).items():
+                for k, g in self.gradients(inputs.take(words), back.reshape(at.shape), mask, label[own], rng.random(len(words)) < HIDE).items():
                     if isinstance(g, tuple):  # rows of a table: a step for each row that was used
                         rows, back = np.unique(g[0], return_inverse=True)
                         total = np.zeros((len(rows), g[1].shape[1]), np.float32)
@@ -268,14 +276,25 @@ def _highest(logit: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np
 
 
 def _calibrate(score: np.ndarray, windows: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Weights of (1, highest score, log of windows): logistic regression with a small ridge, by Newton's steps."""
+    """Weights of (1, highest score, log of windows): logistic regression with a small ridge, by Newton's steps that are
+    halved until they help."""
     x = np.stack([np.ones(len(score)), score, np.log(windows)], 1)
+    ridge = np.array([1e-3, 0.05, 0.05])
+
+    def loss(b: np.ndarray) -> float:
+        z = x @ b
+        return float(weight @ (np.logaddexp(0, z) - label * z) + 0.5 * ridge @ b**2)
+
     b = np.array([0.0, 1.0, 0.0])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        grad = x.T @ (weight * (p - label)) + 0.01 * b
-        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(3), grad)
-        b -= np.clip(step, -2, 2)
+        p = _sigmoid(x @ b)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (weight * (p - label)) + ridge * b)
+        size = 1.0
+        while size > 1e-4 and loss(b - size * step) > loss(b):
+            size /= 2
+        b = b - size * step
+        if np.abs(size * step).max() < 1e-6:
+            break
     return b
 
 
