@@ -88,18 +88,23 @@ def _terms(docs: DataFrame, marked: DataFrame, generalise: float, remove: float,
     left = F.transform(F.filter(words("left"), lambda w: (w["s"] > 0) | (F.length("left") < REACH)), lambda w: F.struct((F.col("s") - F.length("left") + w["s"]).alias("s"), (F.col("s") - F.length("left") + w["e"]).alias("e"), w["v"].alias("v")))
     right = F.transform(F.filter(words("right"), lambda w: (w["e"] < F.length("right")) | (F.length("right") < REACH)), lambda w: F.struct((F.col("e") + w["s"]).alias("s"), (F.col("e") + w["e"]).alias("e"), w["v"].alias("v")))
     seen = entity.select("_row", "entity", "context", F.explode(F.concat(left, right)).alias("t")).select("_row", "entity", "context", F.col("t.v").alias("term"), F.col("t.s").alias("s"), F.col("t.e").alias("e"))
-    joint = seen.groupBy("entity", "term", "context").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
-    joint = materialise(docs.sparkSession, joint, "joint")
+    n_te = seen.groupBy("entity", "term", "context").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
+    n_e = entity.groupBy("entity", "context").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    # documents with the term near any entity: what n(t) is at least, so that common terms need no look at the corpus
+    least = seen.select("term", "_row").distinct().groupBy("term").agg(F.count("*").alias("least"))
+    total = docs.agg(F.count("*").alias("n"))  # one row
+
+    def share(n_t: Column) -> Column:
+        return F.log2(F.col("n_te") * F.col("n") / (F.greatest(n_t, F.col("n_te")) * F.col("n_e"))) / F.log2(F.col("n") / F.col("n_e"))
+
+    joint = n_te.join(n_e, "entity").join(least, "term").crossJoin(F.broadcast(total)).where(F.col("n") > F.col("n_e"))
+    joint = materialise(docs.sparkSession, joint.where(share(F.col("least")) >= generalise), "joint")
     candidates = joint.select("term").distinct()
     if candidates.count() <= BROADCAST_TERMS:
         candidates = F.broadcast(candidates)
     own = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"))).alias("term"))
     of_term = own.join(candidates, "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    of_entity = entity.groupBy("entity", "context").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    total = docs.agg(F.count("*").alias("n"))  # one row
-    scored = joint.join(of_term, "term").join(of_entity, "entity").crossJoin(F.broadcast(total))
-    share = F.log2(F.col("n_te") * F.col("n") / (F.greatest("n_t", "n_te") * F.col("n_e"))) / F.log2(F.col("n") / F.col("n_e"))
-    disclosing = scored.where(F.col("n") > F.col("n_e")).select("entity", "term", share.alias("share")).where(F.col("share") >= generalise)
+    disclosing = joint.join(of_term, "term").select("entity", "term", share(F.col("n_t")).alias("share")).where(F.col("share") >= generalise)
     kind = F.when(F.max("share") >= remove, "drop").otherwise("term")
     return seen.join(disclosing, ["entity", "term"]).groupBy("_row", "s", "e").agg(kind.alias("kind"))
 
