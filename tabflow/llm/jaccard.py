@@ -6,8 +6,9 @@ apart; regions are therefore made in three steps, each of which keeps every pair
 * Single shingles as pivots. A document is at distance 1 - 1/n from each of its n shingles and at 1 from all others, so
   these are its nearest pivots. If ties go to the shingle that is first in a global order, frequent ones last, a partner
   within the radius shares one of a document's first n - ceil(t n) + 1 shingles: the window of regions it is copied to.
-  Only the pairs (member, first member) of a region are kept; their connected components are families, and every pair
-  within the radius is in one family.
+  Within a region, counts of shingles by parts of the hash space bound the distance from below: members that may be
+  within the radius by that bound get an edge (in large regions, along a walk over them). The edges' connected components are
+  families, and every pair within the radius is in one family.
 * Documents as pivots, for families above FAMILY shingles. A document within the radius r of a pivot belongs to its cell and
   is linked to it. A partner of a member of p's cell is within 2r of p: p's window. What is in no cell goes on, with new
   pivots, and recursively, until it is small. A cell is joined with the others of its window in blocks, and only members x with
@@ -40,6 +41,10 @@ from tabflow.session import shuffle_partitions
 WORDS, PERCENT = 5, 75
 #: Shingles of more documents than this are put last in the order, the more frequent the later.
 FREQUENT = 16
+#: Regions up to this many members are compared pair by pair; larger ones hold documents of mostly frequent shingles.
+SMALL = 16
+#: Members of a region that a task holds at a time.
+HELD = 200_000
 #: The list of frequent shingles is broadcast; beyond this many the bound above is doubled until the list is as short.
 MAX_FREQUENT = 4_000_000
 #: Shingles (summed over documents) of a family that is joined in one task's memory, 12 bytes each.
@@ -99,13 +104,34 @@ def _linked(common: np.ndarray, a: int | np.ndarray, b: np.ndarray, percent: int
 # --- sets, classes, frequent shingles -------------------------------------------------------------------------------
 
 _BUCKETS = 64
-_PASS_SCHEMA = "_row long, n long, key binary, bucket int, hashes binary"
+_PASS_SCHEMA = "_row long, n long, key binary, node long, counts binary, bucket int, hashes binary"
+#: Parts that the space of hashes is cut into for counting a set's shingles in each.
+COUNTS = 64
+
+
+def _counts(sets: list[np.ndarray]) -> list[bytes]:
+    """How many of each set's hashes lie in each part, at most 255: sets differ in at least as many shingles as the sum of
+    these counts' differences says."""
+    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    n = np.bincount(owner * COUNTS + (flat % np.uint64(COUNTS)).astype(np.int64), minlength=COUNTS * len(sets))
+    return [x.tobytes() for x in np.minimum(n, 255).astype(np.uint8).reshape(-1, COUNTS)]
+
+
+def _node(key: bytes) -> int:
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
+def _may_link(counts: np.ndarray, sizes: np.ndarray, own: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the bound on the differing shingles leaves room for a link."""
+    differ = np.abs(counts.astype(np.int16) - own.astype(np.int16)).sum(axis=-1, dtype=np.int64)
+    return 100 * (sizes + size - differ) >= percent * (sizes + size + differ)
 
 
 def _measure(rows: DataFrame, words: int) -> DataFrame:
     """A row per document with its set's size and 128-bit key, and rows with the 32-bit heads of a task's shingle hashes
     by bucket (compressed, sorted), for counting."""
-    names = ["_row", "n", "key", "bucket", "hashes"]
+    names = ["_row", "n", "key", "node", "counts", "bucket", "hashes"]
 
     def measure(batches):
         held: list[np.ndarray] = []
@@ -122,13 +148,13 @@ def _measure(rows: DataFrame, words: int) -> DataFrame:
                 steps = np.diff(part, prepend=np.uint32(b << 26)).astype("<u4")
                 packs.append(zstandard.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1))
             nulls = [None] * _BUCKETS
-            yield pa.RecordBatch.from_arrays([pa.array(nulls, pa.int64()), pa.array(nulls, pa.int64()), pa.array(nulls, pa.binary()), pa.array(range(_BUCKETS), pa.int32()), pa.array(packs, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(nulls, pa.int64()), pa.array(nulls, pa.int64()), pa.array(nulls, pa.binary()), pa.array(nulls, pa.int64()), pa.array(nulls, pa.binary()), pa.array(range(_BUCKETS), pa.int32()), pa.array(packs, pa.binary())], names=names)
 
         for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text"), words)
             keys = [xxhash.xxh128_digest(s.tobytes()) for s in sets]
             nulls = [None] * len(sets)
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(nulls, pa.int32()), pa.array(nulls, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array([_node(k) for k in keys], pa.int64()), pa.array(_counts(sets), pa.binary()), pa.array(nulls, pa.int32()), pa.array(nulls, pa.binary())], names=names)
             held += [(s >> np.uint64(32)).astype(np.uint32) for s in sets if len(s)]
             if sum(map(len, held)) > 8_000_000:
                 yield from flush()
@@ -168,7 +194,7 @@ def _frequent(measured: DataFrame, above: int) -> DataFrame:
 
 
 def _first_shingles(rows: DataFrame, frequent, words: int, percent: int) -> DataFrame:
-    """sig, _row: each document's first shingles in the global order."""
+    """sig, node: each document's first shingles in the global order."""
     def first(batches):
         heads, classes = frequent.value
         for batch in slices(batches, "text"):
@@ -179,41 +205,100 @@ def _first_shingles(rows: DataFrame, frequent, words: int, percent: int) -> Data
             at = np.minimum(np.searchsorted(heads, h), max(0, len(heads) - 1))
             cls = np.where(heads[at] == h, classes[at], 0) if len(heads) else np.zeros(len(flat), np.uint8)
             edge = np.cumsum([0, *map(len, sets)])
-            for row, s, a, b in zip(batch.column("_row").to_pylist(), sets, edge, edge[1:]):
+            for s, a, b in zip(sets, edge, edge[1:]):
                 if not len(s):
                     continue
                 k = _allowed(len(s), percent)
                 c = cls[a:b]
                 rare = s[c == 0]
                 sig.append(rare[:k] if len(rare) >= k else s[np.argsort(c, kind="stable")[:k]])
-                of.append(np.full(k, row, np.int64))
+                of.append(np.full(k, _node(xxhash.xxh128_digest(s.tobytes())), np.int64))
             if sig:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(of))], names=["sig", "_row"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(of))], names=["sig", "node"])
 
-    return rows.mapInArrow(first, "sig long, _row long")
+    return rows.mapInArrow(first, "sig long, node long")
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    """a, b: each member of a region with the region's first one. Rows come sorted by region and member, so that a region
-    of any size needs only its first member to be kept."""
-    def star(batches):
-        sig, pivot = None, 0
+def _regions(members: DataFrame) -> DataFrame:
+    """What is to be compared, from the members (sig, node) of all regions. kind 0: a pair (a, b) of a small region. kind 1:
+    a member b of the larger region a. kind 2: a link (a, b) of a region that is too large to be held, which stands for its
+    pairs and is not compared but taken into the families as it is."""
+    def gather(batches):
+        sig, node, tied = np.empty(0, np.int64), np.empty(0, np.int64), None
         for batch in batches:
-            s, r = np.asarray(batch.column("sig")), np.asarray(batch.column("_row"))
-            if not len(s):
+            if not batch.num_rows:
                 continue
-            new = np.ones(len(s), bool)
-            new[1:] = s[1:] != s[:-1]
-            new[0] = sig is None or s[0] != sig
-            start = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
-            p = np.where(start >= 0, r[start], pivot)
-            sig, pivot = s[-1], p[-1]
-            pairs = np.unique(np.stack([r, p], 1)[r != p], axis=0)
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+            s, r = np.concatenate([sig, np.asarray(batch.column("sig"))]), np.concatenate([node, np.asarray(batch.column("node"))])
+            keep = np.ones(len(s), bool)
+            keep[1:] = (s[1:] != s[:-1]) | (r[1:] != r[:-1])
+            s, r = s[keep], r[keep]
+            cut = int(np.searchsorted(s, s[-1]))  # the last region may go on
+            yield from emit(s[:cut], r[:cut], tied)
+            sig, node = s[cut:], r[cut:]
+            if len(sig) > HELD:  # hand on what is there; the first member stays, and ties what follows
+                tied = sig[0]
+                yield from emit(sig, node, tied)
+                sig, node = sig[:1], node[:1]
+        yield from emit(sig, node, tied)
+
+    def emit(s, r, tied):
+        if len(s):
+            start = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+            size = np.diff(np.r_[start, len(s)])
+            out = []
+            for g in range(2, SMALL + 1):
+                own = r[start[(size == g) & (s[start] != tied if tied is not None else True)][:, None] + np.arange(g)]
+                i, j = np.triu_indices(g, 1)
+                if len(own):
+                    out.append(np.unique(np.stack([own[:, i].ravel(), own[:, j].ravel()], 1), axis=0))
+            pairs = np.concatenate(out) if out else np.empty((0, 2), np.int64)
+            large = np.repeat(size > SMALL, size)
+            huge = s == tied if tied is not None else np.zeros(len(s), bool)
+            heads = np.repeat(r[start], size)
+            large &= ~huge
+            a = np.concatenate([pairs[:, 0], s[large], heads[huge]])
+            b = np.concatenate([pairs[:, 1], r[large], r[huge]])
+            kind = np.repeat(np.array([0, 1, 2], np.int32), [len(pairs), large.sum(), huge.sum()])
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(kind)], names=["a", "b", "kind"])
 
     n = shuffle_partitions(members.sparkSession)
-    return members.repartition(n, "sig").sortWithinPartitions("sig", "_row").mapInArrow(star, "a long, b long").distinct()
+    return members.repartition(n, "sig").sortWithinPartitions("sig", "node").mapInArrow(gather, "a long, b long, kind int")
+
+
+def _candidates(spark: SparkSession, regions: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """a, b: edges whose components hold every pair within the radius. Pairs and members of regions meet through the counts
+    of their sets, which bound the distance from below: a metric of its own, whose cells need no exact distances."""
+    facts = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("counts").alias(f"counts_{c}"))
+    matrix = lambda column: np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COUNTS)
+
+    def near(batches):
+        for batch in batches:
+            if batch.num_rows:
+                ok = _may_link(matrix(batch.column("counts_a")), np.asarray(batch.column("n_a")), matrix(batch.column("counts_b")), np.asarray(batch.column("n_b")), percent)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
+
+    def cells(batches):
+        for t in _by_group(batches, "a"):
+            counts, sizes, nodes = matrix(t.column("counts_b")), np.asarray(t.column("n_b")), np.asarray(t.column("b"))
+            free, out = np.arange(len(nodes)), []
+            while len(free) > 1:  # a walk over what may link, from one member to all that it reaches
+                queue, free = [free[0]], free[1:]
+                while queue and len(free):
+                    p = queue.pop()
+                    ok = _may_link(counts[free], sizes[free], counts[p], sizes[p], percent)
+                    out += [(nodes[p], x) for x in nodes[free[ok]]]
+                    queue += free[ok].tolist()
+                    free = free[~ok]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+
+    pairs = regions.where("kind = 0").select("a", "b").distinct()
+    small = pairs.join(facts("a"), "a").join(facts("b"), "b").select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(near, "a long, b long")
+    n = shuffle_partitions(spark)
+    members = regions.where("kind = 1").select("a", "b").join(facts("b"), "b")
+    large = members.select("a", "b", "n_b", "counts_b").repartition(n, "a").sortWithinPartitions("a", "b").mapInArrow(cells, "a long, b long")
+    return small.unionByName(large).unionByName(regions.where("kind = 2").select("a", "b")).where("a <> b").distinct()
 
 
 # --- joins of document sets -----------------------------------------------------------------------------------------
@@ -395,9 +480,9 @@ def similar_documents(spark: SparkSession, docs: DataFrame, words: int = WORDS,
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("_row"), "text")
     measured, measured_path = materialise_at(spark, _measure(rows, words), "sets")
-    own = measured.where(F.col("bucket").isNull()).select("_row", "n", "key")
-    classes = own.where((F.col("n") > 0) & F.col("_row").isNotNull()).groupBy("key").agg(F.min("_row").alias("rep"))
-    mapped, mapped_path = materialise_at(spark, own.join(classes, "key", "left").select("_row", "n", "key", F.when(F.col("_row").isNotNull(), F.col("rep")).alias("rep")), "classes")
+    own = measured.where(F.col("bucket").isNull()).select("_row", "n", "key", "node", "counts")
+    known = own.where((F.col("n") > 0) & F.col("_row").isNotNull())
+    classes, _ = materialise_at(spark, known.groupBy("node", "key").agg(F.min("_row").alias("rep"), F.first("n").alias("n"), F.first("counts").alias("counts")), "classes")
 
     above = FREQUENT
     while True:
@@ -406,30 +491,30 @@ def similar_documents(spark: SparkSession, docs: DataFrame, words: int = WORDS,
             break
         drop_table(spark, frequent_path)
         above *= 2
-    drop_table(spark, measured_path)
     listed = frequent.toPandas().sort_values("head")  # at most MAX_FREQUENT rows
     handed = spark.sparkContext.broadcast((listed["head"].to_numpy(np.uint32), np.log2(listed["n"].to_numpy(float)).astype(np.uint8)))
-    stars, stars_path = materialise_at(spark, _stars(_first_shingles(rows.where("_row is not null"), handed, words, percent)), "stars")
-    rep = mapped.where("rep is not null").groupBy("_row").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
-    node = rep.select("_row", "rep")
-    by = lambda e, c: e.join(node.withColumnRenamed("_row", c), c).drop(c).withColumnRenamed("rep", c)
-    repeated = rep.where("rep <> other").select("_row").join(mapped.where("rep is not null"), "_row").select(F.col("rep").alias("a"), F.col("_row").alias("b"))
-    edges = by(by(stars, "a"), "b").unionByName(repeated).where("a <> b").distinct()
+    drop_table(spark, frequent_path)
+    regions, regions_path = materialise_at(spark, _regions(_first_shingles(rows.where("_row is not null").select("text"), handed, words, percent)), "regions")
+    # rows that repeat a doc_id tie their classes together
+    several = known.groupBy("_row").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("_row", "a")
+    repeated = materialise(spark, several.join(known.select("_row", F.col("node").alias("b")), "_row").select("a", "b").where("a <> b").distinct(), "repeated")
+    edges, edges_path = materialise_at(spark, _candidates(spark, regions, classes, percent), "candidates")
+    drop_table(spark, regions_path)
     families = components(spark, edges)
 
     # the classes' sets, with the family they are joined in
-    chosen = mapped.where("_row = rep").select("_row", "key").distinct().join(families.select(F.col("node").alias("_row"), F.col("component").alias("family")), "_row")
-    chosen, chosen_path = materialise_at(spark, chosen, "chosen")
+    chosen = classes.select("node", "key", "rep").join(families.select("node", F.col("component").alias("family")), "node")
+    chosen, _ = materialise_at(spark, chosen, "chosen")
     picked = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
-    found = rows.join(picked.withColumnRenamed("key", "_key"), "_row")
+    found = rows.join(picked.select(F.col("rep").alias("_row"), F.col("key").alias("_key"), "node", "family"), "_row")
 
     def fetch(batches):
         for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text"), words)
             ok = [xxhash.xxh128_digest(s.tobytes()) == k for s, k in zip(sets, batch.column("_key").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("_row"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["family", "_row", "n", "set"]).filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["family", "_row", "n", "set"]).filter(pa.array(ok, pa.bool_()))
 
-    members, members_path = materialise_at(spark, found.select("family", "_row", "_key", "text").mapInArrow(fetch, "family long, _row long, n long, set binary"), "members", "uncompressed")
+    members, _ = materialise_at(spark, found.select("family", "node", "_key", "text").mapInArrow(fetch, "family long, _row long, n long, set binary"), "members", "uncompressed")
     made: list[DataFrame] = []
     rest, pivots = members, PIVOTS
     while True:
@@ -443,8 +528,9 @@ def similar_documents(spark: SparkSession, docs: DataFrame, words: int = WORDS,
     links = repeated
     for x in made:
         links = links.unionByName(x.select("a", "b"))
-    joined = components(spark, links).select(F.col("node").alias("rep"), "component")
-    out = mapped.join(joined, "rep", "left")
-    # a repeated doc_id ties its texts' classes together; its own row may come from any of them
-    component = F.when(F.col("rep").isNull(), F.col("_row")).otherwise(F.coalesce("component", "rep"))
-    return out.select(F.col("_row").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    joined = components(spark, links)
+    smallest = joined.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_node = classes.select("node", "rep").join(joined, "node", "left").join(smallest, "component", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
+    # classes are rows of one each; a class that a third of all rows are of is split by adaptive execution
+    out = own.select("_row", "n", F.when((F.col("n") > 0) & F.col("_row").isNotNull(), F.col("node")).alias("node")).join(of_node, "node", "left")
+    return out.select(F.col("_row").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "_row").alias("component_id"))
