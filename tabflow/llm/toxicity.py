@@ -40,6 +40,8 @@ HIDE = 0.5
 STEPS = 120
 #: Documents that a word's prior log-odds are shrunk by.
 SHRINK = 20.0
+#: Words whose inputs are made at a time.
+WORDS = 20_000
 #: Windows that are scored at a time.
 CHUNK = 2048
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier
@@ -60,18 +62,23 @@ class Inputs:
     """Hashed inputs of distinct words: a row of the word table, and rows of the character table."""
 
     def __init__(self, words: list[str]):
+        parts = [self._hashed(words[i : i + WORDS]) for i in range(0, len(words), WORDS)] or [self._hashed([])]
+        self.word, self.char, self.n = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        self.of = np.repeat(np.arange(len(words), dtype=np.int32), self.n)
+
+    @staticmethod
+    def _hashed(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of the words, of their n-grams in the words' order, and how many n-grams each has."""
         codes = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         sizes = np.array([len(w) + 2 for w in words], np.int64)
         begin = np.cumsum(sizes) - sizes
-        h = np.zeros(len(codes), np.uint64)
         whole = np.zeros(len(words), np.uint64)
         for k in range(int(sizes.max(initial=0))):
             on = np.flatnonzero(sizes > k)
             whole[on] = (whole[on] ^ codes[begin[on] + k]) * _MIX
             whole[on] ^= whole[on] >> np.uint64(29)
-        self.word = (whole % np.uint64(WORD_ROWS)).astype(np.int64)
-        rows, of = [], []
-        owner = np.repeat(np.arange(len(words)), sizes)
+        rows, of = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         for n in CHAR_ORDERS:
             if len(codes) < n:
                 continue
@@ -80,13 +87,10 @@ class Inputs:
                 h = (h ^ codes[k : k + len(h)]) * _MIX
                 h ^= h >> np.uint64(29)
             inside = owner[: len(h)] == owner[n - 1 :]
-            rows.append((h[inside] % np.uint64(CHAR_ROWS)).astype(np.int64))
+            rows.append((h[inside] % np.uint64(CHAR_ROWS)).astype(np.int32))
             of.append(owner[: len(h)][inside])
-        rows, of = (np.concatenate(rows), np.concatenate(of)) if rows else (np.empty(0, np.int64), np.empty(0, np.int64))
-        order = np.argsort(of, kind="stable")
-        self.char, of = rows[order], of[order]
-        self.n = np.bincount(of, minlength=len(words))
-        self.of = of
+        rows, of = np.concatenate(rows), np.concatenate(of)
+        return (whole % np.uint64(WORD_ROWS)).astype(np.int32), rows[np.argsort(of, kind="stable")], np.bincount(of, minlength=len(words))
 
     def take(self, words: np.ndarray) -> "Inputs":
         """The inputs of some of the words."""
@@ -98,10 +102,15 @@ class Inputs:
         return out
 
     def vectors(self, p: dict[str, np.ndarray]) -> np.ndarray:
-        mean = np.zeros((len(self.word), CHAR_DIM), np.float32)
-        some = np.flatnonzero(self.n)
-        if len(some):
-            mean[some] = np.add.reduceat(p["chars"][self.char], (np.cumsum(self.n) - self.n)[some]) / self.n[some, None]
+        mean = np.zeros((len(self.word), CHAR_DIM), p["chars"].dtype)
+        end = np.cumsum(self.n)
+        for i in range(0, len(self.word), WORDS):
+            n = self.n[i : i + WORDS]
+            some = np.flatnonzero(n)
+            if len(some):
+                base = end[i] - n[0]
+                own = p["chars"][self.char[base : end[min(i + WORDS, len(end)) - 1]]]
+                mean[i + some] = np.add.reduceat(own, (end[i : i + WORDS] - n)[some] - base) / n[some, None]
         return np.concatenate([p["words"][self.word], mean], axis=1)
 
 
@@ -247,22 +256,21 @@ class Network:
 
     def begin(self, inputs: Inputs, which, counts, label) -> None:
         """The first column of both tables begins as the shrunk log-odds of documents with the row."""
-        doc = np.repeat(np.arange(len(counts)), counts)
-        share = label.mean()
-        for name, rows, of in (("words", inputs.word, np.arange(len(inputs.word))), ("chars", inputs.char, inputs.of)):
-            size = len(self.p[name])
-            own = np.unique(doc * np.int64(len(inputs.word)) + which)
-            word, at = own % len(inputs.word), own // len(inputs.word)
-            order = np.argsort(of, kind="stable")
-            n = np.bincount(of, minlength=len(inputs.word))
-            start = np.cumsum(n) - n
-            length = n[word]
-            row = rows[order][np.repeat(start[word] - np.cumsum(length) + length, length) + np.arange(length.sum())]
-            pair = np.unique(np.repeat(at, length) * np.int64(size) + row)
-            row, at = pair % size, pair // size
-            toxic, every = np.bincount(row, label[at], size), np.bincount(row, minlength=size)
-            p = (toxic + SHRINK * share) / (every + SHRINK)
-            self.p[name][:, 0] = np.log(p / (1 - p)) - np.log(share / (1 - share))
+        share, edge = label.mean(), np.cumsum([0, *counts])
+        start = np.cumsum(inputs.n) - inputs.n
+        toxic = {k: np.zeros(len(self.p[k])) for k in ("words", "chars")}
+        every = {k: np.zeros(len(self.p[k])) for k in ("words", "chars")}
+        for y, a, b in zip(label, edge, edge[1:]):
+            word = np.unique(which[a:b])
+            n = inputs.n[word]
+            char = inputs.char[np.repeat(start[word] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            for k, rows in (("words", inputs.word[word]), ("chars", char)):
+                rows = np.unique(rows)
+                every[k][rows] += 1
+                toxic[k][rows] += y
+        for k in toxic:
+            p = (toxic[k] + SHRINK * share) / (every[k] + SHRINK)
+            self.p[k][:, 0] = np.log(p / (1 - p)) - np.log(share / (1 - share))
 
 
 def _highest(logit: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
