@@ -148,7 +148,10 @@ def learn(pages: DataFrame, sample: int = SAMPLE) -> Weights:
     """Weights from a sample of labelled pages, counted on executors; the driver receives a row for each kind."""
     named = F.lower("html").rlike(r"<(article|main)\b|articlebody|role\s*=\s*[\"']?main")
     order = F.xxhash64(F.col("url").cast("string"), F.col("page_id").cast("string"))
-    labelled = pages.where(named).select("html", order.alias("_o")).orderBy("_o").limit(sample).select("html")
+    marked = pages.where(named).select("html", order.alias("_o"))
+    # hashes alone are sorted; the pages are then picked by them
+    chosen = marked.select("_o").orderBy("_o").limit(sample).distinct()
+    labelled = marked.join(F.broadcast(chosen), "_o").select("html")
 
     def count(batches):
         total: dict[str, list[float]] = {}
