@@ -2,8 +2,8 @@
 
 A seed hashes the words of a text at the chosen positions of a fixed mask and ignores the others, so that a hit survives
 substituted words. Seeds of documents are joined to those of the benchmark items; around a hit the two texts are laid over
-each other on the hit's diagonal and count as overlapping where some window of ``window`` words (the whole item, if it has
-fewer) differs in at most ``substitutions`` words (in proportion, for shorter items).
+each other on the hit's diagonal and count as overlapping where some window of WINDOW words differs in at most SUBSTITUTIONS
+words. An item of fewer words must be in the document as it is.
 
 Only DataFrame functions are used. A document's words and hashes stay in the row that is being scanned, and nothing but
 verified hits is shuffled. The items' seeds are broadcast in blocks of a fixed number of items' words, however many items
@@ -96,7 +96,7 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Data
     size = F.least(F.lit(WINDOW), F.size("_item"))
     best = _best_window(F.col("hashes"), F.col("_item"), F.col("_i"), F.col("_j"), size)
     hits = hits.select("doc_id", "item_id", size.alias("window"), best.alias("b"))
-    allowed = F.floor(F.col("window") * F.lit(SUBSTITUTIONS) / F.lit(WINDOW))
+    allowed = F.when(F.col("window") == WINDOW, SUBSTITUTIONS).otherwise(0)
     found = hits.where(F.col("b.equal") >= F.col("window") - allowed)
     return found.groupBy("doc_id", "item_id").agg(
         F.count("*").alias("n_hits"), F.max(F.struct("b.equal", "b.from", "window")).alias("m")).select(
