@@ -9,10 +9,10 @@ holdout would see different rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import hash_bucket
@@ -52,15 +52,40 @@ def train_test(df: DataFrame, key: str | Sequence[str], test_share: float = 0.2,
             marked.where(F.col("_split") == "test").drop("_split"))
 
 
-def _boundary(counts: DataFrame, label: str, pos: str, need: str) -> DataFrame:
-    """Per label, the prefix value where the running count first reaches
-    ``need``, and how many rows of that prefix are still needed.
-    Each window group holds at most 4096 prefix rows."""
-    w = Window.partitionBy(label).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = counts.withColumn("_cum", F.sum("_n").over(w))
-    return (c.where((F.col("_cum") >= F.col(need)) & (F.col("_cum") - F.col("_n") < F.col(need)))
-             .select(label, F.col(pos).alias(f"{pos}_cut"),
-                     (F.col(need) - (F.col("_cum") - F.col("_n"))).alias(f"{pos}_need")))
+#: Labels whose cut points are broadcast; with more, they are joined by a shuffle, to the same result.
+BROADCAST_LABELS = 100_000
+
+
+def _cut(counts: DataFrame, label: str, order: list[str]) -> DataFrame:
+    """Per label, the first group (in order) where the running count of ``_n``
+    reaches ``_need``, and what is still needed of that group's own rows."""
+    w = Window.partitionBy(label).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order])
+    c = counts.withColumn("_cum", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return (c.where((F.col("_cum") >= F.col("_need")) & (F.col("_cum") - F.col("_n") < F.col("_need")))
+             .select(F.col(f"`{label}`").alias("_l"), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(order)],
+                     (F.col("_need") - (F.col("_cum") - F.col("_n"))).alias("_left")))
+
+
+def _within(rows: DataFrame, label: str, order: list[str], size: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows (label, order columns, _need) of each label's cut group, with
+    ``_need`` lowered to what is needed of them. Groups are counted before the
+    shuffle, so a repeated value is one row of the count however often it occurs."""
+    counts = rows.groupBy(label, *order, "_need").agg(F.count(F.lit(1)).alias("_n"))
+    cut = size(_cut(counts, label, order))
+    same = F.col(f"`{label}`").eqNullSafe(F.col("_l"))
+    for i, c in enumerate(order):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"_c{i}"))
+    kept = rows.drop("_need").join(cut, same)
+    return kept.drop("_l", *[f"_c{i}" for i in range(len(order))]).withColumnRenamed("_left", "_need")
+
+
+def _before(pairs: list[tuple[Column, Column]]) -> Column:
+    """Whether the first of each pair come before the second ones, nulls first."""
+    out = F.lit(False)
+    for a, b in reversed(pairs):
+        less = F.when(a.isNull(), b.isNotNull()).otherwise(F.coalesce(a < b, F.lit(False)))
+        out = less | (a.eqNullSafe(b) & out)
+    return out
 
 
 def stratified_split(
@@ -70,118 +95,68 @@ def stratified_split(
     test_share: float = 0.25,
     seed: int = 520692802,
     out: str = "split",
-    max_window_group: int = 2_000_000,
 ) -> DataFrame:
-    """Per label value, exactly ceil(share * n_label) rows are 'test': those
-    with the smallest (bucket, key).
-
-    Equivalent to ranking each label's rows by (bucket, key), but no task
-    holds a whole label (a label can hold most of the rows): counts per
-    (label, 12-bit prefix) locate the boundary prefix, counts per 24-bit
-    prefix inside it narrow that further, and inside the last prefix the rows
-    are counted per distinct (bucket, key) group. Only the one group at the
-    cut is split row by row: ranked by a window when it is small, or — when a
-    duplicated key makes it large — checkpointed to the shared checkpoint
-    folder and cut by per-partition offsets, so no task sorts it whole.
+    """Per label value (null is one), exactly ceil(share * n_label) rows are
+    'test': those that come first by (bucket of the key, key, hash of the row).
+
+    No task ranks a label's rows. Counts by a prefix of the bucket find the
+    prefix in which the cut lies; only its rows are looked at further: by the
+    next prefix, by (bucket, key), and, where a repeated key is cut, by prefixes
+    of the row's hash in the same way. What remains at the cut are equal rows,
+    of which any will do: they are counted and written out again. Every row is
+    then compared with its label's cut in one scan. Keys and labels may be null.
     """
-    keys = _keys(key)
-    scratch_root(df.sparkSession)  # checkpoints go to spark.checkpoint.dir
-    frac = Fraction(test_share).limit_denominator(1_000_000)
-    num, den = frac.numerator, frac.denominator
-    d = df.withColumn("_b", hash_bucket(seed, *keys))
-    d = d.withColumn("_p1", F.shiftright("_b", 20)).withColumn("_p2", F.shiftright("_b", 8))
-
-    c1 = d.groupBy(label, "_p1").agg(F.count(F.lit(1)).alias("_n"))
-    tot = Window.partitionBy(label)
-    c1 = c1.withColumn("_k", F.floor((F.sum("_n").over(tot) * F.lit(num) + F.lit(den - 1)) / F.lit(den)).cast("bigint"))
-    # the three small cut tables are checkpointed (spark.checkpoint.dir): each
-    # is computed by one pass, and the later branches read them, not the input
-    b1 = _boundary(c1, label, "_p1", "_k").checkpoint(eager=True)
-
-    d1 = d.join(b1, on=label, how="left")
-    in1 = d1.where(F.col("_p1") == F.col("_p1_cut"))
-    c2 = in1.groupBy(label, "_p2", "_p1_need").agg(F.count(F.lit(1)).alias("_n"))
-    b2 = _boundary(c2, label, "_p2", "_p1_need").checkpoint(eager=True)
-
-    d2 = d1.join(b2, on=label, how="left")
-    in_last = (F.col("_p1") == F.col("_p1_cut")) & (F.col("_p2") == F.col("_p2_cut"))
-    last = d2.where(in_last)
-
-    # groups of identical (bucket, key) inside the last prefix; a duplicated
-    # key is one row here however many rows it has
-    groups = last.groupBy(label, "_b", *keys, "_p2_need").agg(F.count(F.lit(1)).alias("_n"))
-    wg = Window.partitionBy(label).orderBy("_b", *keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    groups = groups.withColumn("_cum", F.sum("_n").over(wg))
-    g_state = groups.select(
-        label, "_b", *keys,
-        F.when(F.col("_cum") <= F.col("_p2_need"), F.lit("test"))
-         .when(F.col("_cum") - F.col("_n") >= F.col("_p2_need"), F.lit("train"))
-         .otherwise(F.lit("cut")).alias("_g"),
-        (F.col("_p2_need") - (F.col("_cum") - F.col("_n"))).alias("_g_need"),
-        F.col("_n").alias("_g_n")).checkpoint(eager=True)
-
-    cols = df.columns
-    test_rule = (
-        F.when(F.col("_p1_cut").isNull(), F.lit(False))
-        .when(F.col("_p1") < F.col("_p1_cut"), F.lit(True))
-        .when(F.col("_p1") > F.col("_p1_cut"), F.lit(False))
-        .when(F.col("_p2") < F.col("_p2_cut"), F.lit(True))
-        .otherwise(F.lit(False))
-    )
-    rest = d2.where(~in_last | in_last.isNull()).select(
-        *[F.col(f"`{c}`") for c in cols],
-        F.when(test_rule, F.lit("test")).otherwise(F.lit("train")).alias(out))
-    marked = last.join(g_state, on=[label, "_b", *keys], how="inner")
-    whole = marked.where(F.col("_g") != "cut").select(*[F.col(f"`{c}`") for c in cols], F.col("_g").alias(out))
-    cut = marked.where(F.col("_g") == "cut")
-    # one small job: the size of each label's cut group (at most one per label)
-    big = [r[label] for r in g_state.where((F.col("_g") == "cut") & (F.col("_g_n") > max_window_group))
-           .select(label).collect()]
-    return rest.unionByName(whole).unionByName(_split_cut_groups(cut, cols, label, keys, out, big))
-
-
-def _split_cut_groups(cut: DataFrame, cols: list[str], label: str, keys: list[str], out: str,
-                      big: list) -> DataFrame:
-    """Mark ``_g_need`` rows of each cut group (one per label) as 'test'.
-
-    The rows of a cut group are equal on (label, bucket, key); any
-    ``_g_need`` of them are a valid answer. Small groups are ranked by a
-    window over the remaining columns (ties are then whole-row duplicates, so
-    any order gives the same result). The groups of the labels in ``big`` are
-    checkpointed first (partition ids and row order then survive task
-    retries), counted per partition, and cut by per-partition offsets."""
-    rank_cols = ["_b"] + [c for c in cols if c not in (label, *keys)]
-    small = cut if not big else cut.where(~F.col(label).isin(big))
-    w = Window.partitionBy(label).orderBy(*[F.col(f"`{c}`") for c in rank_cols])
-    parts = [small.withColumn("_rn", F.row_number().over(w)).select(
-        *[F.col(f"`{c}`") for c in cols],
-        F.when(F.col("_rn") <= F.col("_g_need"), F.lit("test")).otherwise(F.lit("train")).alias(out))]
-    for value in big:   # one per class label at most; positions must not mix labels
-        fixed = (cut.where(F.col(label) == F.lit(value))
-                 .withColumn("_pid", F.spark_partition_id())
-                 .withColumn("_pos", F.monotonically_increasing_id())
-                 .checkpoint(eager=True))
-        local = F.col("_pos") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-        per = fixed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pn"))
-        wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-        # one row per partition of the checkpoint: a proven bound, and a window
-        # over at most that many rows
-        offsets = per.select("_pid", F.coalesce(F.sum("_pn").over(wp), F.lit(0)).alias("_off"))
-        parts.append(fixed.join(F.broadcast(offsets), "_pid").select(
-            *[F.col(f"`{c}`") for c in cols],
-            F.when(F.col("_off") + local < F.col("_g_need"), F.lit("test")).otherwise(F.lit("train")).alias(out)))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+    spark, keys, cols = df.sparkSession, _keys(key), df.columns
+    scratch_root(spark)  # checkpoints go to spark.checkpoint.dir
+    share = Fraction(str(test_share))
+    name = {c: F.col(f"`{c}`") for c in cols}
+    d = df.withColumn("_b", hash_bucket(seed, *keys)).withColumn("_h", F.xxhash64(*name.values()))
+
+    first = d.groupBy(label, F.shiftright("_b", 20).alias("_p")).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    total = F.sum("_n").over(Window.partitionBy(label)).cast("decimal(38,0)")
+    need = F.ceil(total * F.lit(share.numerator).cast("decimal(12,0)") / F.lit(share.denominator).cast("decimal(12,0)")).cast("bigint")
+    few = first.select(label).distinct().count() <= BROADCAST_LABELS
+
+    def size(cuts: DataFrame) -> DataFrame:
+        cuts = cuts.checkpoint(eager=True)
+        return F.broadcast(cuts) if few else cuts
+
+    cut = size(_cut(first.withColumn("_need", need), label, ["_p"]))
+    narrow = d.select(label, *[k for k in keys if k != label], "_b", "_h").withColumn("_p", F.shiftright("_b", 20))
+    rows = narrow.join(cut, name[label].eqNullSafe(F.col("_l")) & (F.col("_p") == F.col("_c0")))
+    rows = rows.select(label, *[k for k in keys if k != label], "_b", "_h", F.col("_left").alias("_need")).checkpoint(eager=True)
+    rows = _within(rows.withColumn("_p", F.shiftright("_b", 8)), label, ["_p"], size)
+    rows = _within(rows, label, ["_b", *keys], size)
+    for bits in (52, 40):
+        rows = _within(rows.withColumn("_p", F.shiftright("_h", bits)), label, ["_p"], size)
+    rows = _within(rows, label, ["_h"], size)
+    at = rows.groupBy(F.col(f"`{label}`").alias("_l"), F.col("_b").alias("_cb"), F.col("_h").alias("_ch"),
+                      *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max("_need").alias("_need"))
+    at = size(at)
+
+    marked = d.join(at, name[label].eqNullSafe(F.col("_l")), "left")
+    pairs = [(F.col("_b"), F.col("_cb")), *[(name[k], F.col(f"_k{i}")) for i, k in enumerate(keys)], (F.col("_h"), F.col("_ch"))]
+    same = F.col("_ch").isNotNull()
+    for a, b in pairs:
+        same = same & a.eqNullSafe(b)
+    test = F.col("_ch").isNotNull() & _before(pairs)
+    rest = marked.where(~same).select(*name.values(), F.when(test, "test").otherwise("train").alias(out))
+    # the rows at the cut: equal ones are counted, so a group is one row here
+    groups = marked.where(same).groupBy(*cols, "_need").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(label).orderBy(*name.values()).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn("_take", F.greatest(F.lit(0).cast("bigint"), F.least("_n", F.col("_need") - F.coalesce(F.sum("_n").over(w), F.lit(0)))))
+    again = groups.select(*name.values(), "_take", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_i"))
+    return rest.unionByName(again.select(*name.values(), F.when(F.col("_i") <= F.col("_take"), "test").otherwise("train").alias(out)))
 
 
 def sample_n(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 0) -> DataFrame:
-    """A deterministic sample of min(n, rows) rows: smallest md5 buckets.
+    """A deterministic sample of min(n, rows) rows: smallest md5 buckets; rows
+    of one key go by a hash of the whole row, so the layout plays no part.
 
     Planned as TakeOrderedAndProject: each task keeps its n best rows."""
     keys = _keys(key)
-    return df.orderBy(hash_bucket(seed, *keys), *keys).limit(n)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.orderBy(hash_bucket(seed, *keys), *keys, row).limit(n)
 
 
 def smoke_rows(df: DataFrame, n: int = 10, key: str | Sequence[str] | None = None) -> DataFrame:

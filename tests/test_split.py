@@ -1,4 +1,6 @@
 import math
+from collections import Counter
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -62,13 +64,37 @@ def test_stratified_split_duplicated_key_at_the_cut(spark):
     uniq = spark.range(100, 400).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"), F.col("id").alias("v"))
     df = dup.unionByName(uniq).repartition(4)
     sizes = {r.y: r["count"] for r in df.groupBy("y").count().collect()}
-    for limit in (10_000_000, 5):   # window path, then checkpoint + offsets path
-        out = split.stratified_split(df, "y", "k", 0.5, seed=3, max_window_group=limit)
-        got = {r.y: r["count"] for r in out.where("split = 'test'").groupBy("y").count().collect()}
-        assert got == {y: math.ceil(0.5 * n) for y, n in sizes.items()}, limit
-        assert out.count() == df.count()
-        again = split.stratified_split(df, "y", "k", 0.5, seed=3, max_window_group=limit)
-        assert sorted(out.collect()) == sorted(again.collect()) or limit == 5
+    out = split.stratified_split(df, "y", "k", 0.5, seed=3)
+    got = {r.y: r["count"] for r in out.where("split = 'test'").groupBy("y").count().collect()}
+    assert got == {y: math.ceil(0.5 * n) for y, n in sizes.items()}
+    again = split.stratified_split(df.repartition(3, "v"), "y", "k", 0.5, seed=3)
+    assert sorted(out.collect()) == sorted(again.collect())
+
+
+def test_stratified_split_loses_no_row_with_nulls_and_equal_rows(spark):
+    rows = [(k if k % 3 else None, ["a", "b", None][k % 3 if k < 60 else 0], j, None if k % 5 else k)
+            for k in range(90) for j in [k % 4, 1]] + [(1, "c", 1, 1)] * 37 + [(None, None, None, None)] * 41
+    df = spark.createDataFrame(rows, "k1 int, y string, k2 int, v int").repartition(5)
+    counts = Counter(r[1] for r in rows)
+    for keys, share in ((["k1", "k2"], 0.25), ("k1", 0.1234567), (["k2"], 0.5)):
+        out = split.stratified_split(df, "y", keys, share, seed=11)
+        got = out.collect()
+        assert Counter(tuple(r)[:4] for r in got) == Counter(rows)
+        test = Counter(r.y for r in got if r.split == "test")
+        assert test == {y: math.ceil(Fraction(str(share)) * n) for y, n in counts.items()}
+        again = split.stratified_split(df.repartition(2), "y", keys, share, seed=11).collect()
+        assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+
+
+def test_stratified_split_of_nothing(spark):
+    df = spark.createDataFrame([], "k int, y int")
+    assert split.stratified_split(df, "y", "k").collect() == []
+
+
+def test_sample_of_a_repeated_key_does_not_depend_on_the_layout(spark):
+    df = spark.range(300).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    a, b = (sorted(r.v for r in split.sample_n(x, 5, "k").collect()) for x in (df, df.repartition(7)))
+    assert a == b and len(a) == 5
 
 
 def test_hash_bucket_null_key_parts_differ(spark):
