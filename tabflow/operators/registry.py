@@ -29,6 +29,8 @@ from tabflow.operators.cumulative import row_numbers
 STAGES = ["None", "Staging", "Production", "Archived"]
 CHECK_KEYS = ["predicts", "has_signature", "demo_test", "has_description", "has_artifacts"]
 FAIL_VALUES = ["0", "fail"]
+#: What the scheduled retraining notes on the versions it registers.
+RETRAIN_COMMENT = "Registered by the scheduled retraining."
 STATUS_KEY = "overall status"
 STATUS_RELEASE = "May proceed to cut a release"
 STATUS_PROD = "Clear for prod use"
@@ -155,6 +157,16 @@ def current_stage(events: DataFrame) -> DataFrame:
                       F.coalesce("stage_seq", "registered_seq").alias("stage_seq"))
 
 
+def latest_rows(stages: DataFrame, tags: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
+    """Newest version per (model, stage) with its run id and description, from
+    the tables of current stages and current tags: one row a version travels
+    on, so the event log is not read again for each of them."""
+    own = tags.where(F.col("key").isin("run_id", "description")).groupBy("name", "version").agg(
+        F.max(F.when(F.col("key") == "run_id", F.col("value"))).alias("run_id"),
+        F.max(F.when(F.col("key") == "description", F.col("value"))).alias("description"))
+    return latest_versions(stages, wanted).join(own, ["name", "version"], "left").select("name", "stage", "version", "run_id", "description")
+
+
 def latest_versions(stages: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
     """Newest version per (model, stage), optionally for some stages only."""
     s = stages if not wanted else stages.where(F.col("stage").isin([w.capitalize() for w in wanted]))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabflow.operators.registry import RETRAIN_COMMENT, STATUS_RECHECK, STATUS_RELEASE
 from tabflow.sources.files import read_parquet
 
 # Derivation constants of FIXTURES.md §3: run status per order status, stage
@@ -19,10 +20,10 @@ RUN_STATUS = {"F": "FINISHED", "O": "RUNNING", "P": "FAILED"}
 EVENT_STAGE = {"view": "None", "click": "Staging", "purchase": "Production", "error": "Archived"}
 TAG_KEYS = ["predicts", "has_signature", "demo_test", "has_description", "has_artifacts",
             "overall status", "description", "comment"]
-RELEASE_OK = "May proceed to cut a release"
-RELEASE_RECHECK = "Please check tags to reassess"
+RELEASE_OK = STATUS_RELEASE
+RELEASE_RECHECK = STATUS_RECHECK
 DESCRIPTION_TEXT = "This model predicts attrition from order features."
-COMMENT_TEXT = "This is a new model from the periodic retrain job."
+COMMENT_TEXT = RETRAIN_COMMENT
 METRIC_SCALE = 600000.0
 RUN_NAME = "1-URGENT"
 

@@ -6,12 +6,13 @@ The format is a parameter (default Parquet; Delta needs its jars)."""
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.operators.checks import check_key
+from tabflow.session import unique_name
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
@@ -22,10 +23,15 @@ def _ident(name: str) -> str:
     return name
 
 
+def _literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the database if missing; ``location`` puts its managed tables
     under a chosen (shared) folder instead of the warehouse."""
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {_literal(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}{where}")
 
 
@@ -57,7 +63,7 @@ def write_external_table(spark: SparkSession, df: DataFrame, name: str, path: st
     """Overwrite files at ``path``, then (re)register an external table over them."""
     df.write.mode("overwrite").format(fmt).save(path)
     spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
-    spark.sql(f"CREATE TABLE {_ident(name)} USING {fmt} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {_ident(name)} USING {fmt} LOCATION {_literal(path)}")
 
 
 def write_feature_table(spark: SparkSession, df: DataFrame, name: str, key: str | Sequence[str],
@@ -70,9 +76,9 @@ def write_feature_table(spark: SparkSession, df: DataFrame, name: str, key: str
         if bad:
             raise ValueError(f"primary key {keys} is not unique / has nulls, e.g. {bad[0].asDict()}")
     write_table(df, name, fmt=fmt, mode="overwrite")
-    spark.sql(f"ALTER TABLE {_ident(name)} SET TBLPROPERTIES ('primary_keys' = '{','.join(keys)}')")
+    spark.sql(f"ALTER TABLE {_ident(name)} SET TBLPROPERTIES ('primary_keys' = {_literal(','.join(keys))})")
     if description:
-        spark.sql(f"COMMENT ON TABLE {_ident(name)} IS '{description.replace(chr(39), chr(39) * 2)}'")
+        spark.sql(f"COMMENT ON TABLE {_ident(name)} IS {_literal(description)}")
 
 
 def table_description(spark: SparkSession, name: str) -> str | None:
@@ -83,11 +89,16 @@ def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_ident(name)}").collect()}
 
 
+def set_properties(spark: SparkSession, name: str, values: Mapping[str, str]) -> None:
+    pairs = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {_ident(name)} SET TBLPROPERTIES ({pairs})")
+
+
 def append_predictions(df: DataFrame, name: str, batch_id: str | None = None, fmt: str = "parquet") -> None:
     """Append a prediction batch. With ``batch_id`` the table is partitioned
-    by ``batch_id`` and written with dynamic partition overwrite, so re-running
-    a batch replaces it instead of duplicating it (partition pruning then
-    serves reads of one batch)."""
+    by ``batch_id`` and only that partition is overwritten, so re-running a batch
+    replaces it instead of duplicating it, also with an empty one (partition
+    pruning then serves reads of one batch)."""
     spark = df.sparkSession
     if batch_id is None:
         df.write.mode("append").format(fmt).saveAsTable(_ident(name))
@@ -96,10 +107,10 @@ def append_predictions(df: DataFrame, name: str, batch_id: str | None = None, fm
     if not spark.catalog.tableExists(name):
         out.write.mode("overwrite").format(fmt).partitionBy("batch_id").saveAsTable(_ident(name))
         return
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # a static partition: only this batch is overwritten, an empty one is cleared, and no session setting is touched
+    view = unique_name("batch")
+    df.select(*[c for c in spark.table(name).columns if c != "batch_id"]).createOrReplaceTempView(view)
     try:
-        cols = spark.table(name).columns
-        out.select(*cols).write.mode("overwrite").insertInto(_ident(name))
+        spark.sql(f"INSERT OVERWRITE TABLE {_ident(name)} PARTITION (batch_id = {_literal(batch_id)}) SELECT * FROM {view}")
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        spark.catalog.dropTempView(view)

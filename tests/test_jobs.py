@@ -2,6 +2,7 @@
 validate -> promote -> batch score -> retrain, twice without duplicates."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from tabflow.operators import model, registry
@@ -44,18 +45,55 @@ def test_flow(spark, ws):
     assert v == 1
     res = jobs.validate(ws, "churn_model", stage="Staging")
     assert res["predicts"] == "1" and res["has_signature"] == "1" and res["has_description"] == "1"
-    assert res["demo_test"] in ("pass", "fail")
+    assert res["demo_test"] == "pass" and not res["rejected"]
     stage = {r.version: r.stage for r in registry.current_stage(ws.events()).collect()}
-    if not res["rejected"]:
-        assert stage[1] == "Staging"
-        assert jobs.promote(ws, "churn_model") == 1
-        assert {r.version: r.stage for r in registry.current_stage(ws.events()).collect()}[1] == "Production"
-        out = jobs.score_batch(ws, "churn_model", "tabflow_e2e.preds", "2024-01")
-        again = jobs.score_batch(ws, "churn_model", "tabflow_e2e.preds", "2024-01")
-        assert out["rows"] == again["rows"] == feats.count()
-        assert spark.table("tabflow_e2e.preds").count() == feats.count()  # re-run replaced its batch
-    else:
-        assert stage[1] == "Archived"
+    assert stage[1] == "Staging"
+    row = registry.latest_rows(registry.current_stage(ws.events()), registry.current_tags(ws.events()), ["staging"]).collect()
+    assert [(r.version, r.run_id, r.description) for r in row] == [(1, run_id, "A model version description that is long enough.")]
+    assert jobs.promote(ws, "churn_model") == 1
+    assert {r.version: r.stage for r in registry.current_stage(ws.events()).collect()}[1] == "Production"
+    out = jobs.score_batch(ws, "churn_model", "tabflow_e2e.preds", "2024-01")
+    again = jobs.score_batch(ws, "churn_model", "tabflow_e2e.preds", "2024-01")
+    assert out["rows"] == again["rows"] == feats.count()
+    assert spark.table("tabflow_e2e.preds").count() == feats.count()  # re-run replaced its batch
+    # an empty re-run clears its batch, and the session's overwrite mode is left alone
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    preds = spark.table("tabflow_e2e.preds").drop("batch_id")
+    tables.append_predictions(spark.createDataFrame(preds.limit(3).collect(), preds.schema), "tabflow_e2e.preds", "it's 2")
+    tables.append_predictions(spark.createDataFrame([], preds.schema), "tabflow_e2e.preds", "2024-01")
+    assert {r.batch_id: r["count"] for r in spark.table("tabflow_e2e.preds").groupBy("batch_id").count().collect()} == {"it's 2": 3}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+
+
+def test_text_amounts_travel_to_the_retrained_model(spark, ws):
+    feats = spark.table("tabflow_e2e.features")
+    amounts = feats.withColumn("amount", F.when(F.col("o_orderkey") % 50 == 0, "").otherwise((F.col("o_totalprice") * 2).cast("string")))
+    tables.write_table(amounts.withColumn("note", F.lit("free text")), "tabflow_e2e.amounts")
+    with pytest.raises(ValueError, match="amount"):
+        jobs.train(ws, "tabflow_e2e.amounts", "churn", "o_orderkey", "r", params=SMALL)
+    run_id = jobs.train(ws, "tabflow_e2e.amounts", "churn", "o_orderkey", "r", params=SMALL, numeric_text=["amount"], ignore=["note"])
+    jobs.register(ws, run_id, "amount_model", "A model version description that is long enough.")
+    res = jobs.retrain(ws, "tabflow_e2e.amounts", "amount_model", "churn", "o_orderkey", "r",
+                       "Retrained model version with a long enough description.", params=SMALL)
+    assert res["predicts"] == "1"
+    tags = jobs.run_info(ws, res["run_id"])["tags"]
+    m = model.load_model(tags["model_path"])
+    assert "amount" in m.signature and "note" not in m.signature
+    # the newest run above the floor is registered when no run id is given
+    assert jobs.register_best(ws, "best_model", floor=2.0) is None
+    assert jobs.register_best(ws, "best_model", floor=0.0) == 1
+
+
+def test_a_rebuild_keeps_the_columns_of_absent_categories(spark, ws):
+    rows = [(i, "xyz"[i % 3], float(i), "F" if i % 2 else "O") for i in range(60)]
+    schema = "k long, c string, v double, y string"
+    build = lambda r, **kw: jobs.build_features(spark, spark.createDataFrame(r, schema), "tabflow_e2e.months", ["c"], "y", "k", {"F": 1, "O": 0}, **kw)
+    build(rows)
+    before = spark.table("tabflow_e2e.months").columns
+    build([r for r in rows if r[1] != "z"])
+    assert spark.table("tabflow_e2e.months").columns == before
+    build([r for r in rows if r[1] != "z"], refit=True)
+    assert len(spark.table("tabflow_e2e.months").columns) == len(before) - 1
 
 
 def test_retrain_twice(spark, ws):
