@@ -9,8 +9,8 @@ apart; regions are therefore made in three steps, each of which keeps every pair
   Within a region, counts of shingles by parts of the hash space bound the distance from below: members that may be
   within the radius by that bound get an edge (in large regions, along a walk over them). The edges' connected components are
   families, and every pair within the radius is in one family.
-* Documents as pivots, for families above FAMILY shingles. A document within the radius r of a pivot belongs to its cell and
-  is linked to it. A partner of a member of p's cell is within 2r of p: p's window. What is in no cell goes on, with new
+* Documents as pivots, for families above FAMILY shingles. A document within the radius r of a pivot is linked to it, and
+  belongs to the Voronoi cell of the nearest such pivot. A partner of a member of p's cell is within 2r of p: p's window. What is in no cell goes on, with new
   pivots, and recursively, until it is small. A cell is joined with the others of its window in blocks, and only members x with
   d(x, p) >= min d(y, p) - r over the others y of the window take part.
 * The same in memory, for small families, with each document that is in no cell yet as the next pivot; boundary documents
@@ -48,7 +48,7 @@ HELD = 200_000
 #: The list of frequent shingles is broadcast; beyond this many the bound above is doubled until the list is as short.
 MAX_FREQUENT = 4_000_000
 #: Shingles (summed over documents) of a family that is joined in one task's memory, 12 bytes each.
-FAMILY = 1_000_000
+FAMILY = 3_000_000
 #: Document pivots of a large family in the first round; each further round takes twice as many.
 PIVOTS = 32
 #: Members of a cell, and others of its window, that meet in one task.
@@ -418,7 +418,7 @@ def _join_large(spark: SparkSession, members: DataFrame, percent: int, pivots: i
     chosen = members.select("family", "_row").withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= pivots).select("_row")
     blocks = members.groupBy("family").agg(F.ceil(F.sum("n") / FAMILY).cast("int").alias("blocks"))
     dealt = members.join(F.broadcast(blocks), "family").select("family", F.pmod(F.xxhash64("_row"), F.col("blocks")).alias("block"), "_row", "set")
-    heads = materialise(spark, members.join(chosen, "_row", "left_semi"), "heads").join(F.broadcast(blocks), "family").select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"), "_row", "set")
+    heads = materialise(spark, members.join(F.broadcast(chosen), "_row", "left_semi"), "heads").join(F.broadcast(blocks), "family").select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"), "_row", "set")
 
     def measure(key, left, right):
         sets, rows = _sets(left.column("set")), left.column("_row").to_pylist()
@@ -434,17 +434,25 @@ def _join_large(spark: SparkSession, members: DataFrame, percent: int, pivots: i
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64(), pa.bool_()))] if out else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.bool_())], names=["_row", "pivot", "d", "linked"])
 
     found = materialise(spark, dealt.groupBy("family", "block").cogroup(heads.groupBy("family", "block")).applyInArrow(measure, "_row long, pivot long, d double, linked boolean"), "cells")
-    made.append(found.where("linked").select(F.col("_row").alias("a"), F.col("pivot").alias("b")))
-    # a cell and the others within 2r of its pivot, both in blocks; every block of one meets every block of the other
-    others = found.where(F.col("pivot").isNotNull() & ~F.col("linked")).select("pivot", "_row", "d")
+    stars = found.where("linked").select(F.col("_row").alias("a"), F.col("pivot").alias("b"))
+    made.append(stars)
+    # Voronoi cells: a member belongs to the nearest of the pivots it is linked to
+    cells = found.where("linked").groupBy("_row").agg(F.min(F.struct("d", "pivot")).alias("m")).select("_row", "m.pivot", "m.d")
+    # others within 2r of a pivot, unless the links to pivots tie them to it already
+    tied = components(spark, stars).select(F.col("node").alias("_row"), "component")
+    others = found.where(F.col("pivot").isNotNull() & ~F.col("linked")).select("pivot", "_row", "d").join(tied, "_row", "left")
+    others = others.join(tied.select(F.col("_row").alias("pivot"), F.col("component").alias("_c")), "pivot").where(~F.col("component").eqNullSafe(F.col("_c"))).select("pivot", "_row", "d")
+    others = materialise(spark, others, "others")
+    # a cell and the others of its window, both in blocks; every block of one meets every block of the other
     outer = others.groupBy("pivot").agg(F.min("d").alias("least"), F.ceil(F.count("*") / CELL).cast("int").alias("js"))
-    cell = found.where("linked").join(F.broadcast(outer), "pivot").where(F.col("d") >= F.col("least") - radius)
+    cell = cells.join(F.broadcast(outer), "pivot").where(F.col("d") >= F.col("least") - radius)
     tiles = cell.groupBy("pivot").agg(F.ceil(F.count("*") / CELL).cast("int").alias("is"), F.first("js").alias("js"))
     part = lambda n: F.pmod(F.xxhash64("_row"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     inside = cell.select("pivot", "_row").join(F.broadcast(tiles), "pivot").select("pivot", "_row", part("is").alias("i"), every("js").alias("j"), F.lit(True).alias("inside"))
     outside = others.select("pivot", "_row").join(F.broadcast(tiles), "pivot").select("pivot", "_row", every("is").alias("i"), part("js").alias("j"), F.lit(False).alias("inside"))
-    placed = inside.unionByName(outside).join(members.select("_row", "set"), "_row").select(F.xxhash64("pivot", "i", "j").alias("tile"), "_row", "set", "inside")
+    placed = _listed(spark, inside.unionByName(outside).select("_row", F.xxhash64("pivot", "i", "j").alias("tile"), "inside"), "tiles")
+    placed = members.join(placed, "_row").select("tile", "_row", "set", "inside")
 
     def compare(batches):
         for t in _by_group(batches, "tile"):
@@ -464,7 +472,13 @@ def _join_large(spark: SparkSession, members: DataFrame, percent: int, pivots: i
 
     n = shuffle_partitions(spark)
     made.append(materialise(spark, placed.repartition(n, "tile").sortWithinPartitions("tile", "_row").mapInArrow(compare, "a long, b long"), "boundary"))
-    return members.join(found.where("pivot is null").select("_row"), "_row", "left_semi")
+    return members.join(_listed(spark, found.where("pivot is null").select("_row"), "uncovered"), "_row", "left_semi")
+
+
+def _listed(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows without texts or sets, written, and broadcast if their number is within the bound."""
+    stored = materialise(spark, rows, name)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
 
 # --- the join -------------------------------------------------------------------------------------------------------
