@@ -16,13 +16,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import FeatureHasher, Imputer, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.operators.checks import schema_from_json, schema_to_json
-from tabflow.session import scratch_root
+from tabflow.session import scratch_root, shuffle_partitions
 
 
 # Production booster settings of the original model, and the
@@ -113,16 +114,15 @@ def assemble(numeric: Sequence[str], output: str = "features", impute: bool = Tr
 
 
 def used_hash_slots(df: DataFrame, hashed: Sequence[str], n_hash: int = HASH_FEATURES) -> list[int]:
-    """Hash slots that are non-zero in at least one row (one pass, map-side
-    distinct; at most ``n_hash`` integers reach the driver).
+    """Hash slots that are non-zero in at least one row (one aggregate of the
+    sparse vectors; at most ``n_hash`` integers reach the driver).
 
     Trees cannot split on a slot that is zero in every training row, so
     dropping those slots leaves the model unchanged while MLlib's binning and
     per-level histograms shrink from ``n_hash`` features to the used ones."""
     h = FeatureHasher(inputCols=list(hashed), outputCol="_h", numFeatures=n_hash).transform(df)
-    slots = (h.select(F.posexplode(vector_to_array(F.col("_h"))).alias("slot", "v"))
-              .where(F.col("v") != 0).select("slot").distinct())
-    return sorted(r.slot for r in slots.limit(n_hash + 1).collect())
+    counts = h.select(Summarizer.numNonZeros(F.col("_h")).alias("n")).first()
+    return [] if counts is None or counts.n is None else [i for i, v in enumerate(counts.n.toArray().tolist()) if v]
 
 
 def _prepare(df: DataFrame, numeric: Sequence[str], label: str, hashed: Sequence[str] = ()) -> DataFrame:
@@ -136,18 +136,14 @@ def _prepare(df: DataFrame, numeric: Sequence[str], label: str, hashed: Sequence
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Training runs one task per input partition per tree level; a small
-    input (one file) would train on one core. Spread it over the cluster's
-    default parallelism round-robin: immune to repeated rows (hashing whole
-    rows would send a block of identical rows to one task), and still
-    deterministic on recomputation because Spark sorts each input partition
-    before a round-robin repartition. Inputs that already have enough
-    partitions are left alone."""
+    """Training runs one task per input partition per tree level, and a fit
+    depends on how rows are laid out. Rows are always dealt round-robin over
+    ``spark.sql.shuffle.partitions``, whatever the input's files or the number
+    of cores: immune to repeated rows (hashing whole rows would send a block of
+    identical rows to one task), and deterministic on recomputation because
+    Spark sorts each input partition before a round-robin repartition."""
     scratch_root(df.sparkSession)  # the boosting checkpoints need spark.checkpoint.dir
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    return df.repartition(n)
+    return df.repartition(shuffle_partitions(df.sparkSession))
 
 
 @dataclass

@@ -19,27 +19,40 @@ from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tabflow.operators.checks import schema_from_json
 from tabflow.operators.model import TrainedModel
 from tabflow.operators.split import sample_n
+from tabflow.session import shuffle_partitions
 
 
-def mode_values(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    """Most frequent value per column (ties: smallest value), one job:
-    counts per (column, value) with map-side combine, then max_by."""
+def _is_text(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.StringType, T.CharType, T.VarcharType))
+
+
+def mode_values(df: DataFrame, cols: Sequence[str]) -> dict[str, float | str | None]:
+    """Most frequent value per column (ties: smallest value), one job: counts
+    per (column, value) with map-side combine, then max_by. Text columns keep
+    their text, all others are read as numbers."""
     cols = list(cols)
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols])).alias("p")
-    ).select("p.c", "p.v").where(F.col("v").isNotNull())
-    counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy("c").agg(F.max_by("v", F.struct(F.col("n"), -F.col("v"))).alias("v"))
-    got = {r["c"]: r["v"] for r in best.collect()}
+    text = {c for c in cols if _is_text(df.schema[c].dataType)}
+
+    def pair(c: str) -> Column:
+        v = F.col(f"`{c}`")
+        return F.struct(F.lit(c).alias("c"), (F.lit(None) if c in text else v).cast("double").alias("v"),
+                        (v if c in text else F.lit(None)).cast("string").alias("t"))
+
+    pairs = df.select(F.explode(F.array(*[pair(c) for c in cols])).alias("p")).select("p.*")
+    counts = pairs.where(F.col("v").isNotNull() | F.col("t").isNotNull()).groupBy("c", "v", "t").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("n"), "v", "t")).alias("m"))
+    got = {r["c"]: r["m"]["t"] if r["c"] in text else r["m"]["v"] for r in best.collect()}
     return {c: got.get(c) for c in cols}
 
 
-def _mode(values: list[float]) -> float | None:
+def _mode(values: list) -> float | str | None:
     """Most frequent value of a bounded list, ties to the smallest."""
     if not values:
         return None
@@ -72,8 +85,9 @@ def shapley(
     d = len(feats)
     bkey = background_key or key
     # one job: at most max_background rows reach the driver (a proven bound)
+    text = {f.name for f in schema_from_json(model.signature).fields if isinstance(f.dataType, T.StringType)}
     rows = sample_n(background, max_background, bkey, seed=seed).select(*feats).collect()
-    bg = [[None if r[c] is None else float(r[c]) for c in feats] for r in rows]
+    bg = [[None if r[c] is None else str(r[c]) if c in text else float(r[c]) for c in feats] for r in rows]
     n_bg = len(bg)
     if n_bg == 0:
         raise ValueError("empty background")
@@ -86,28 +100,33 @@ def shapley(
     orders = [rng.permutation(d).tolist() for _ in range(n_orders)]
     pos = [[order.index(f) for f in range(d)] for order in orders]
 
-    bg_lit = F.array(*[F.array(*[F.lit(v).cast("double") for v in row]) for row in bg])
+    kind = lambda c: "string" if c in text else "double"
+    bg_lit = [F.array(*[F.lit(row[f]).cast(kind(c)) for row in bg]) for f, c in enumerate(feats)]
     pos_lit = F.array(*[F.array(*[F.lit(p) for p in row]) for row in pos])
     ord_lit = F.array(*[F.array(*[F.lit(f) for f in row]) for row in orders])
 
     per_bk = n_orders * (d + 1)
-    ex = examples.select(F.col(f"`{key}`").alias("_key"), *[F.col(f"`{c}`").cast("double").alias(c) for c in feats])
+    # an example has an id of its own: two of them may share a key
+    ex = examples.select(F.col(f"`{key}`").alias("_key"), F.monotonically_increasing_id().alias("_id"),
+                         *[F.col(f"`{c}`").cast(kind(c)).alias(c) for c in feats])
     ex = ex.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n_bg * per_bk - 1))))
     ex = ex.select("*",
                    (F.col("_i") / per_bk).cast("int").alias("_b"),
                    ((F.col("_i") / (d + 1)).cast("int") % n_orders).alias("_k"),
                    (F.col("_i") % (d + 1)).cast("int").alias("_j"))
+    # one shuffle, of rows bounded by the parameters: it spreads the scoring and serves the window
+    ex = ex.repartition(shuffle_partitions(examples.sparkSession), "_id", "_b", "_k")
     hybrid = ex.select(
-        "_key", "_b", "_k", "_j",
+        "_key", "_id", "_b", "_k", "_j",
         *[F.when(F.element_at(F.element_at(pos_lit, F.col("_k") + 1), f + 1) < F.col("_j"), F.col(c))
-           .otherwise(F.element_at(F.element_at(bg_lit, F.col("_b") + 1), f + 1)).alias(c)
+           .otherwise(F.element_at(bg_lit[f], F.col("_b") + 1)).alias(c)
           for f, c in enumerate(feats)])
-    scored = model.transform(hybrid).select("_key", "_b", "_k", "_j", F.col("prediction").cast("double").alias("_f"))
-    w = Window.partitionBy("_key", "_b", "_k").orderBy("_j")
+    scored = model.transform(hybrid).select("_key", "_id", "_b", "_k", "_j", F.col("prediction").cast("double").alias("_f"))
+    w = Window.partitionBy("_id", "_b", "_k").orderBy("_j")
     gains = (scored.withColumn("_gain", F.lead("_f").over(w) - F.col("_f"))
                    .where(F.col("_j") < d)
                    .withColumn("_feat", F.element_at(F.element_at(ord_lit, F.col("_k") + 1), F.col("_j") + 1)))
     names = F.array(*[F.lit(c) for c in feats])
-    return (gains.groupBy("_key", "_feat").agg(F.avg("_gain").alias("shap_value"))
+    return (gains.groupBy("_id", "_key", "_feat").agg(F.avg("_gain").alias("shap_value"))
                  .select(F.col("_key").alias(key), F.element_at(names, F.col("_feat") + 1).alias("feature"),
                          "shap_value"))

@@ -352,6 +352,45 @@ def q_score_stream(spark, sf):
     return tables.read_table(spark, name).select(*LINE_KEY, "prediction", "probability", "batch_id")
 
 
+# What holds of the model queries whatever the trees are, so that SQL can check it.
+
+def q_train_production_facts(spark, sf):
+    """Rows and positives of each split, whether the confusion counts cover
+    them, and whether the areas are shares."""
+    t = q_train_production(spark, sf)
+    positives = F.col("tp") + F.col("fn")
+    return t.select("split", "n", positives.cast("bigint").alias("positives"),
+                    (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn") == F.col("n")).cast("int").alias("covered"),
+                    (F.col("roc_auc").between(0, 1) & F.col("pr_auc").between(0, 1)).cast("int").alias("areas"))
+
+
+def q_score_facts(spark, sf):
+    """Per label: rows, rows without a prediction, rows with a probability."""
+    inside = F.col("probability").between(0, 1)
+    return q_score(spark, sf).groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("prediction").isNull(), 1)).alias("n_null"),
+        F.count(F.when(inside, 1)).alias("n_probable"))
+
+
+def q_score_stream_facts(spark, sf):
+    """Every row of the stream is scored once."""
+    return q_score_stream(spark, sf).groupBy("l_linenumber").agg(
+        F.count(F.lit(1)).alias("n"), F.count("prediction").alias("n_scored"))
+
+
+def q_hash_text_facts(spark, sf):
+    """Per text: rows, and whether each has one slot, the same for all."""
+    return q_hash_text(spark, sf).groupBy("p_type").agg(
+        F.count(F.lit(1)).alias("n"), F.max("n_nonzero").cast("int").alias("most"), F.min("n_nonzero").cast("int").alias("least"),
+        (F.max("hash_index") - F.min("hash_index")).cast("int").alias("spread"))
+
+
+def q_shapley_facts(spark, sf):
+    """A finite value for each feature of the one example."""
+    finite = F.col("shap_value").isNotNull() & ~F.isnan("shap_value") & (F.abs("shap_value") <= 1)
+    return q_shapley(spark, sf).select("feature", finite.cast("int").alias("finite"))
+
+
 QUERIES: dict[str, Query] = {
     "one_hot": q_one_hot,
     "label_map": q_label_map,
@@ -397,6 +436,11 @@ QUERIES: dict[str, Query] = {
     "hash_text": q_hash_text,
     "shapley": q_shapley,
     "score_stream": q_score_stream,
+    "train_production_facts": q_train_production_facts,
+    "score_facts": q_score_facts,
+    "score_stream_facts": q_score_stream_facts,
+    "hash_text_facts": q_hash_text_facts,
+    "shapley_facts": q_shapley_facts,
     # 100 trees of depth 8 (the baseline's settings): the slowest query, last
     "train_baseline": q_train_baseline,
 }

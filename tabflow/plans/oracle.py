@@ -31,7 +31,7 @@ def _onehot_sql(col: str, values: list[str]) -> str:
 
 
 def bucket_sql(seed: int, key: str) -> str:
-    return f"CAST(('0x' || substr(md5('{seed}' || ':' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5('{seed}' || ':' || CAST(({key}) AS VARCHAR)), 1, 8)) AS BIGINT)"
 
 
 SCORED = """
@@ -137,6 +137,22 @@ SELECT o_orderkey, COALESCE(o_totalprice, (SELECT v FROM m)) AS o_totalprice FRO
 SELECT c_custkey,
   ROUND((c_acctbal - (SELECT AVG(c_acctbal) FROM customer)) / (SELECT STDDEV_POP(c_acctbal) FROM customer), 6) AS c_acctbal
 FROM customer"""
+    # the model queries: what holds whatever the trees are
+    line_bucket = bucket_sql(0, "l_orderkey || ':' || l_linenumber")
+    q["train_production_facts"] = f"""
+SELECT split, COUNT(*) AS n, CAST(SUM(label) AS BIGINT) AS positives, 1 AS covered, 1 AS areas
+FROM (SELECT CASE WHEN {line_bucket} < 858993459 THEN 'test' ELSE 'train' END AS split,
+             CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label FROM lineitem)
+GROUP BY split"""
+    q["score_facts"] = """
+SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, COUNT(*) AS n, CAST(0 AS BIGINT) AS n_null, COUNT(*) AS n_probable
+FROM lineitem GROUP BY 1"""
+    q["score_stream_facts"] = """
+SELECT l_linenumber, COUNT(*) AS n, COUNT(*) AS n_scored FROM lineitem GROUP BY 1"""
+    q["hash_text_facts"] = """
+SELECT p_type, COUNT(*) AS n, 1 AS most, 1 AS least, 0 AS spread FROM part GROUP BY 1"""
+    q["shapley_facts"] = """
+SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS feature, 1 AS finite"""
     q["hash_split"] = f"""
 SELECT c_custkey, bucket, CASE WHEN bucket < 858993459 THEN 'test' ELSE 'train' END AS split
 FROM (SELECT c_custkey, {bucket_sql(0, 'c_custkey')} AS bucket FROM customer)"""

@@ -103,4 +103,6 @@ def test_feature_columns_numeric_only(spark):
     from tabflow.plans.jobs import feature_columns
     df = spark.createDataFrame([(1, "a", 2.0, True, datetime(2024, 1, 1), 1, "x")],
                                "id int, name string, x double, flag boolean, ts timestamp_ntz, churn int, note string")
-    assert feature_columns(df, "churn", "id") == ["x", "flag"]
+    assert feature_columns(df, "churn", "id", ["name", "ts", "note"]) == ["x", "flag"]
+    with pytest.raises(ValueError, match="note"):  # no column is dropped without a word
+        feature_columns(df, "churn", "id", ["name", "ts"])
