@@ -44,7 +44,7 @@ FREQUENT = 16
 #: Regions up to this many members are compared pair by pair; larger ones hold documents of mostly frequent shingles.
 SMALL = 16
 #: Members of a region that a task holds at a time.
-HELD = 200_000
+HELD = 20_000
 #: The list of frequent shingles is broadcast; beyond this many the bound above is doubled until the list is as short.
 MAX_FREQUENT = 4_000_000
 #: Shingles (summed over documents) of a family that is joined in one task's memory, 12 bytes each.
@@ -105,27 +105,60 @@ def _linked(common: np.ndarray, a: int | np.ndarray, b: np.ndarray, percent: int
 
 _BUCKETS = 64
 _PASS_SCHEMA = "_row long, n long, key binary, node long, counts binary, bucket int, hashes binary"
-#: Parts that the space of hashes is cut into for counting a set's shingles in each.
-COUNTS = 64
+#: Parts that the space of hashes is cut into for counting a set's shingles in each: the first number that leaves some 8
+#: shingles in a part, the last one for larger sets. Each divides the next, so counts can be folded.
+PARTS = (64, 512, 4096)
 
 
 def _counts(sets: list[np.ndarray]) -> list[bytes]:
     """How many of each set's hashes lie in each part, at most 255: sets differ in at least as many shingles as the sum of
     these counts' differences says."""
-    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    n = np.bincount(owner * COUNTS + (flat % np.uint64(COUNTS)).astype(np.int64), minlength=COUNTS * len(sets))
-    return [x.tobytes() for x in np.minimum(n, 255).astype(np.uint8).reshape(-1, COUNTS)]
+    out = []
+    for s in sets:
+        k = next((k for k in PARTS if len(s) <= 8 * k), PARTS[-1])
+        out.append(np.minimum(np.bincount((s % np.uint64(k)).astype(np.int64), minlength=k), 255).astype(np.uint8).tobytes())
+    return out
+
+
+class _Counts:
+    """Counts of many sets, by their number of parts and folded to fewer."""
+
+    def __init__(self, column):
+        raw = column.to_pylist()
+        self.parts = np.array([len(x) for x in raw], np.int64)
+        self.at: dict[int, np.ndarray] = {}  # parts: row of each set in the folded matrix, -1 if it has fewer parts
+        self.folded: dict[int, np.ndarray] = {}
+        for k in PARTS:
+            own = np.flatnonzero(self.parts >= k)
+            self.at[k] = np.full(len(raw), -1)
+            self.at[k][own] = np.arange(len(own))
+            rows = np.zeros((len(own), k), np.uint16)
+            for size in np.unique(self.parts[own]).tolist():
+                these = np.flatnonzero(self.parts[own] == size)
+                m = np.frombuffer(b"".join(raw[i] for i in own[these]), np.uint8).reshape(len(these), -1, k)
+                rows[these] = m.sum(axis=1, dtype=np.uint16)
+            self.folded[k] = rows
+
+    def differ(self, mine: np.ndarray, other: "_Counts", theirs: np.ndarray) -> np.ndarray:
+        """For pairs of sets, at least how many shingles they differ in."""
+        out = np.zeros(len(mine), np.int64)
+        k_of = np.minimum(self.parts[mine], other.parts[theirs])
+        for k in PARTS:
+            own = np.flatnonzero(k_of == k)
+            for i in range(0, len(own), 4096 * 64 // k):
+                part = own[i : i + 4096 * 64 // k]
+                a, b = self.folded[k][self.at[k][mine[part]]].astype(np.int32), other.folded[k][other.at[k][theirs[part]]]
+                out[part] = np.abs(a - b).sum(axis=1)
+        return out
 
 
 def _node(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def _may_link(counts: np.ndarray, sizes: np.ndarray, own: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
-    """Whether the bound on the differing shingles leaves room for a link."""
-    differ = np.abs(counts.astype(np.int16) - own.astype(np.int16)).sum(axis=-1, dtype=np.int64)
-    return 100 * (sizes + size - differ) >= percent * (sizes + size + differ)
+def _may_link(differ: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of sizes a and b that differ in at least so many shingles may be linked."""
+    return 100 * (a + b - differ) >= percent * (a + b + differ)
 
 
 def _measure(rows: DataFrame, words: int) -> DataFrame:
@@ -270,23 +303,25 @@ def _candidates(spark: SparkSession, regions: DataFrame, classes: DataFrame, per
     """a, b: edges whose components hold every pair within the radius. Pairs and members of regions meet through the counts
     of their sets, which bound the distance from below: a metric of its own, whose cells need no exact distances."""
     facts = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("counts").alias(f"counts_{c}"))
-    matrix = lambda column: np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COUNTS)
 
     def near(batches):
-        for batch in batches:
-            if batch.num_rows:
-                ok = _may_link(matrix(batch.column("counts_a")), np.asarray(batch.column("n_a")), matrix(batch.column("counts_b")), np.asarray(batch.column("n_b")), percent)
+        for whole in batches:
+            for i in range(0, whole.num_rows, 2000):
+                batch = whole.slice(i, 2000)
+                every = np.arange(batch.num_rows)
+                differ = _Counts(batch.column("counts_a")).differ(every, _Counts(batch.column("counts_b")), every)
+                ok = _may_link(differ, np.asarray(batch.column("n_a")), np.asarray(batch.column("n_b")), percent)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
     def cells(batches):
         for t in _by_group(batches, "a"):
-            counts, sizes, nodes = matrix(t.column("counts_b")), np.asarray(t.column("n_b")), np.asarray(t.column("b"))
+            counts, sizes, nodes = _Counts(t.column("counts_b")), np.asarray(t.column("n_b")), np.asarray(t.column("b"))
             free, out = np.arange(len(nodes)), []
             while len(free) > 1:  # a walk over what may link, from one member to all that it reaches
                 queue, free = [free[0]], free[1:]
                 while queue and len(free):
                     p = queue.pop()
-                    ok = _may_link(counts[free], sizes[free], counts[p], sizes[p], percent)
+                    ok = _may_link(counts.differ(np.full(len(free), p), counts, free), sizes[p], sizes[free], percent)
                     out += [(nodes[p], x) for x in nodes[free[ok]]]
                     queue += free[ok].tolist()
                     free = free[~ok]
