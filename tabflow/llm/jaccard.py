@@ -7,7 +7,7 @@ apart; regions are therefore made in three steps, each of which keeps every pair
   these are its nearest pivots. If ties go to the shingle that is first in a global order, frequent ones last, a partner
   within the radius shares one of a document's first n - ceil(t n) + 1 shingles: the window of regions it is copied to.
   Within a region, counts of shingles by parts of the hash space bound the distance from below: members that may be
-  within the radius by that bound get an edge (in large regions, along a walk over them). The edges' connected components are
+  within the radius by that bound get an edge (large regions are cut along gaps in the distance from a pivot). The edges' connected components are
   families, and every pair within the radius is in one family.
 * Documents as pivots, for families above FAMILY shingles. A document within the radius r of a pivot is linked to it, and
   belongs to the Voronoi cell of the nearest such pivot. A partner of a member of p's cell is within 2r of p: p's window. What is in no cell goes on, with new
@@ -139,6 +139,16 @@ class _Counts:
                 rows[these] = m.sum(axis=1, dtype=np.uint16)
             self.folded[k] = rows
 
+    def from_pivot(self, sets: np.ndarray) -> np.ndarray:
+        """A metric's distances of sets from the first of them: their counts' differences in one number of parts."""
+        k = int(self.parts[sets].min())
+        rows, out = self.at[k][sets], np.zeros(len(sets), np.int64)
+        pivot = self.folded[k][rows[0]].astype(np.int32)
+        for i in range(0, len(sets), 4096 * 64 // k):
+            part = slice(i, i + 4096 * 64 // k)
+            out[part] = np.abs(self.folded[k][rows[part]] - pivot).sum(axis=1)
+        return out
+
     def differ(self, mine: np.ndarray, other: "_Counts", theirs: np.ndarray) -> np.ndarray:
         """For pairs of sets, at least how many shingles they differ in."""
         out = np.zeros(len(mine), np.int64)
@@ -317,14 +327,15 @@ def _candidates(spark: SparkSession, regions: DataFrame, classes: DataFrame, per
         for t in _by_group(batches, "a"):
             counts, sizes, nodes = _Counts(t.column("counts_b")), np.asarray(t.column("n_b")), np.asarray(t.column("b"))
             free, out = np.arange(len(nodes)), []
-            while len(free) > 1:  # a walk over what may link, from one member to all that it reaches
-                queue, free = [free[0]], free[1:]
-                while queue and len(free):
-                    p = queue.pop()
-                    ok = _may_link(counts.differ(np.full(len(free), p), counts, free), sizes[p], sizes[free], percent)
-                    out += [(nodes[p], x) for x in nodes[free[ok]]]
-                    queue += free[ok].tolist()
-                    free = free[~ok]
+            while len(free) > 1:
+                # by distance from a pivot, in as many parts as all have: across a gap wider than any link, nothing is linked
+                differ = counts.from_pivot(free)
+                order = np.argsort(differ, kind="stable")
+                room = 2 * int(sizes[free].max()) * (100 - percent) // (100 + percent)
+                gaps = np.flatnonzero(np.diff(differ[order]) > room)
+                cut = gaps[0] + 1 if len(gaps) else len(order)
+                out += [(nodes[free[0]], x) for x in nodes[free[order[:cut]]] if x != nodes[free[0]]]
+                free = free[np.sort(order[cut:])]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
