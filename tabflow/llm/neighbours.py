@@ -7,27 +7,35 @@ vectors that are close in orders by random hyperplanes. All pairs met at or abov
 A list whose neighbours all reach the threshold is saturated: it may have no room for the rest. The lists of linked vectors
 are therefore enlarged to their whole component of the edges, which is compared in tiles, so that the number of links is
 exact within it, and edges that the lists had no room for cannot be missed. An audit then holds the links of a sample of
-vectors against brute force over all vectors; below the wanted recall the descent goes on, from longer lists.
+vectors against brute force over all vectors. Every group of linked vectors counts as one there, whatever its size, and the
+sample grows until enough groups are seen. Below the wanted recall the descent goes on, with more orders and longer lists;
+after some audits, or where so few vectors are linked that the sample takes in all of them, brute force is the result.
 
 Equal vectors are one class, and cosines are computed in double precision from unit vectors.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import materialise
+from tabflow.llm.common import drop_table, materialise, materialise_at
 from tabflow.llm.components import components
 from tabflow.session import shuffle_partitions
 
 THRESHOLD = 0.95
-#: Neighbours a vector keeps, orders of the first graph, the next ones taken in each, rounds between audits.
+#: Neighbours a vector keeps, orders of the first graph for up to a thousand vectors (two more whenever they double) and at
+#: a time, the next ones taken in each, rounds between audits.
 LIST, ORDERS, NEXT, ROUNDS = 8, 8, 4, 2
-#: Audited vectors (by a hash of the id), the recall of their links that is wanted, audits before an error is raised.
+#: Vectors audited at first (by a hash of the id), the recall of their links that is wanted, audits before brute force.
 AUDIT, RECALL, AUDITS = 500, 0.99, 4
+#: Groups of linked vectors that an audit must see, and AUDITs of vectors that are compared with all others at a time.
+GROUPS, BLOCK = 100, 16
 #: Vectors of a component that are compared with as many others in one task.
 TILE = 2000
 SEED = 7
@@ -67,16 +75,15 @@ def _groups(batches, keys: list[str]):
         yield pa.Table.from_batches(held)
 
 
-def _first_graph(vectors: DataFrame, dims: str) -> DataFrame:
+def _first_graph(vectors: DataFrame, dims: str, orders: range) -> DataFrame:
     """id, near, sim: each vector with the next ones in several orders by signs of random projections."""
     def sign(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             m = _matrix(batch.column("v"))
-            rng = np.random.default_rng(SEED)
-            for r in range(ORDERS):
-                bits = m @ rng.standard_normal((m.shape[1], 30)) > 0
+            for r in orders:
+                bits = m @ np.random.default_rng([SEED, r]).standard_normal((m.shape[1], 30)) > 0
                 key = bits @ (1 << np.arange(29, -1, -1))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(m), r, np.int32)), pa.array(key.astype(np.int64)), batch.column("id"), batch.column("v")], names=["r", "key", "id", "v"])
 
@@ -162,25 +169,70 @@ def _links_within(spark: SparkSession, vectors: DataFrame, membership: DataFrame
     return counted.groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def _audit(vectors: DataFrame, links: DataFrame, threshold: float) -> tuple[int, int]:
-    """Links found and links there are, of the audited vectors."""
-    spark = vectors.sparkSession
-    chosen = vectors.orderBy(F.xxhash64("id", F.lit(SEED))).limit(AUDIT).select("id", "v").toArrow()
-    if not chosen.num_rows:
-        return 0, 0
-    ids, queries = np.asarray(chosen.column("id")), _matrix(chosen.column("v"))
+def _against(vectors: DataFrame, chosen: pa.Table, threshold: float) -> DataFrame:
+    """Brute force of the chosen ones over all vectors: rows (id, links, classes) with what a task has found for each, and
+    rows (a, b) of different components that a link joins, no more in a task than make them one."""
+    ids, own, queries = np.asarray(chosen.column("id")), np.asarray(chosen.column("component")), _matrix(chosen.column("v"))
 
     def brute(batches):
-        total = np.zeros(len(ids), np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                total += (queries @ _matrix(batch.column("v")).T >= threshold) @ np.asarray(batch.column("weight"), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "true_links"])
+        links, classes, root = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), {}
 
-    true = vectors.select("v", "weight").mapInArrow(brute, "id long, true_links long").groupBy("id").agg(F.sum("true_links").alias("true_links"))
-    weights = spark.createDataFrame([(int(i),) for i in ids], "id long").join(vectors.select("id", "weight"), "id")
-    both = true.join(weights, "id").join(links, "id", "left").agg(F.sum(F.coalesce("links", "weight") - 1), F.sum(F.col("true_links") - 1)).first()
-    return both[0] or 0, both[1] or 0
+        def find(x):
+            while root.get(x, x) != x:
+                root[x] = root.get(root[x], root[x])
+                x = root[x]
+            return x
+
+        a, b = [], []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            m, weight, component = _matrix(batch.column("v")), np.asarray(batch.column("weight"), np.int64), np.asarray(batch.column("component"))
+            for k in range(0, len(ids), 500):
+                x, y = np.nonzero(queries[k : k + 500] @ m.T >= threshold)
+                x += k
+                links += np.bincount(x, weight[y], len(ids)).astype(np.int64)
+                classes += np.bincount(x, minlength=len(ids))
+                across = own[x] != component[y]
+                if across.any():
+                    for i, j in np.unique(np.stack([own[x][across], component[y][across]], 1), axis=0).tolist():
+                        p, q = find(i), find(j)
+                        if p != q:
+                            root[max(p, q)] = min(p, q)
+                            a.append(i)
+                            b.append(j)
+        none, nothing = [None] * len(ids), [None] * len(a)
+        yield pa.RecordBatch.from_arrays([pa.array([*ids.tolist(), *nothing], pa.int64()), pa.array([*links.tolist(), *nothing], pa.int64()), pa.array([*classes.tolist(), *nothing], pa.int64()), pa.array([*none, *a], pa.int64()), pa.array([*none, *b], pa.int64())], names=["id", "links", "classes", "a", "b"])
+
+    return vectors.select("v", "weight", "component").mapInArrow(brute, "id long, links long, classes long, a long, b long")
+
+
+def _audit(vectors: DataFrame, links: DataFrame, n: int, threshold: float, whole: bool = False) -> tuple[float, DataFrame | None, DataFrame]:
+    """Of n vectors (id, v, weight, component): the recall of the audited vectors' links, a group of linked vectors counting
+    as one; the links of all vectors if all were audited, as they are where ``whole``; and the edges (id, near, sim) between
+    components that the audit has met."""
+    spark = vectors.sparkSession
+    buckets = max(1, n // AUDIT)
+    placed, path = materialise_at(spark, vectors.withColumn("bucket", F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(buckets))), "audited")
+    parts, done, groups, hits = [], 0, 0.0, 0.0
+    while done < buckets and (whole or groups < GROUPS):
+        step = BLOCK if whole else min(max(1, done), BLOCK)
+        chosen = placed.where((F.col("bucket") >= done) & (F.col("bucket") < done + step)).select("id", "v", "component").toArrow()
+        done += step
+        if not chosen.num_rows:
+            continue
+        parts.append(materialise(spark, _against(placed, chosen, threshold), "brute"))
+        if not whole:
+            true = parts[-1].where("id is not null").groupBy("id").agg(F.sum("links").alias("true"), F.sum("classes").alias("classes")).where("classes > 1")
+            both = true.join(vectors.select("id", "weight"), "id").join(links, "id", "left")
+            share = (F.coalesce("links", "weight") - F.col("weight")) / (F.col("true") - F.col("weight"))
+            seen = both.agg(F.sum(1 / F.col("classes")), F.sum(share / F.col("classes"))).first()
+            groups, hits = groups + (seen[0] or 0), hits + (seen[1] or 0)
+    drop_table(spark, path)
+    every = reduce(DataFrame.unionByName, parts)
+    counted = every.where("id is not null").groupBy("id").agg(F.sum("links").alias("links")) if done >= buckets else None
+    met = every.where("id is null").select(F.col("a").alias("id"), F.col("b").alias("near"), F.lit(1.0).alias("sim"))
+    return hits / groups if groups else 1.0, counted, met
 
 
 def near_duplicates(spark: SparkSession, table: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -213,28 +265,40 @@ def _descend(spark: SparkSession, classes: DataFrame, threshold: float, dims: st
     """id, links, component of the classes (id, v, weight) of one length."""
     vectors = classes.select("id", "v", "weight")
     plain = vectors.select("id", "v")
-    k = LIST
-    met = materialise(spark, _first_graph(plain, dims), "met")
-    graph = materialise(spark, _nearest(met, k), "graph")
-    edges = [met.where(F.col("sim") >= threshold)]
-    turn = 0
-    for audit in range(AUDITS):
-        for _ in range(ROUNDS):
-            turn += 1
-            met = materialise(spark, _round(plain, graph, k, threshold, dims, turn), "met")
-            edges.append(met.where(F.col("sim") >= threshold))
-            graph = materialise(spark, _nearest(graph.unionByName(met), k), "graph")
-        every = edges[0]
-        for e in edges[1:]:
-            every = every.unionByName(e)
-        stars = components(spark, every.select(F.col("id").alias("a"), F.col("near").alias("b")).where("a < b"))
+    n = vectors.count()
+    more = ORDERS + math.ceil(2 * math.log2(max(1, n / 1000)))
+
+    def linked() -> tuple[DataFrame, DataFrame]:
+        every = reduce(DataFrame.unionByName, edges)
+        stars = components(spark, every.select(F.col("id").alias("a"), F.col("near").alias("b")).where("a != b"))
         membership = materialise(spark, stars.select(F.col("node").alias("id"), "component"), "membership")
-        links = materialise(spark, _links_within(spark, vectors, membership, threshold), "links")
-        got, true = _audit(vectors, links, threshold)
-        if got >= RECALL * true:
+        return membership, vectors.join(membership, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    k, orders, turn, graph, edges = LIST, 0, 0, None, []
+    for audit in range(AUDITS + 1):
+        whole = audit == AUDITS
+        if not whole:
+            for first in range(orders, orders + more, ORDERS):
+                met = materialise(spark, _first_graph(plain, dims, range(first, min(first + ORDERS, orders + more))), "met")
+                edges.append(met.where(F.col("sim") >= threshold))
+                graph = materialise(spark, _nearest(met if graph is None else graph.unionByName(met), k), "graph")
+            orders += more
+            for _ in range(ROUNDS):
+                turn += 1
+                met = materialise(spark, _round(plain, graph, k, threshold, dims, turn), "met")
+                edges.append(met.where(F.col("sim") >= threshold))
+                graph = materialise(spark, _nearest(graph.unionByName(met), k), "graph")
+            membership, placed = linked()
+            links = materialise(spark, _links_within(spark, vectors, membership, threshold), "links")
+        recall, counted, missed = _audit(placed, links, n, threshold, whole)
+        edges.append(missed)
+        if counted is not None or recall >= RECALL:
+            if not missed.isEmpty():
+                membership, _ = linked()
+                if counted is None:
+                    links = materialise(spark, _links_within(spark, vectors, membership, threshold), "links")
+            links = links if counted is None else counted
             break
         k *= 2
-    else:
-        raise RuntimeError(f"the audit found {got} of {true} links")
     return vectors.select("id", "weight").join(membership, "id", "left").join(links, "id", "left").select(
         "id", F.coalesce("links", "weight").alias("links"), F.coalesce("component", "id").alias("component"))

@@ -199,6 +199,24 @@ def test_near_vectors(spark, monkeypatch):
     assert _run(spark, rows) == _brute(rows)
 
 
+def test_pairs_beside_a_hot_group_are_found(spark, monkeypatch):
+    for name in ("ORDERS", "NEXT", "ROUNDS"):  # a descent that misses most pairs
+        monkeypatch.setattr(neighbours, name, 1)
+    rng = np.random.default_rng(4)
+    near = lambda v, by: v / np.linalg.norm(v) + by * rng.standard_normal(48) / np.sqrt(48)
+    hot, pairs = rng.standard_normal(48), rng.standard_normal((150, 48))
+    vectors = [near(hot, 0.05) for _ in range(400)] + [near(v, 0.2) for v in pairs for _ in range(2)] + list(rng.standard_normal((300, 48)))
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(vectors)]
+    assert _run(spark, rows) == _brute(rows)
+    monkeypatch.setattr(neighbours, "AUDIT", 25)  # audits of a part, which go on until they show the recall
+    monkeypatch.setattr(neighbours, "GROUPS", 60)
+    got, expected = _run(spark, rows), _brute(rows)
+    assert sum((got & expected).values()) >= 0.97 * len(rows)
+    monkeypatch.setattr(neighbours, "RECALL", 2.0)  # none is good enough
+    monkeypatch.setattr(neighbours, "AUDITS", 1)
+    assert _run(spark, rows) == expected
+
+
 def test_odd_vectors(spark):
     x, y = [1.0, 2.0, 3.0], [2.0, 4.0, 6.0]
     rows = [(1, x), (2, y), (3, x), (3, x), (4, None), (5, []), (6, [0.0, 0.0, 0.0]), (7, [1.0, None, 2.0]), (8, [float("nan"), 1.0, 1.0]), (9, [float("inf"), 1.0, 1.0]), (10, [-1.0, -2.0, -3.0]), (11, [1e-30, 2e-30, 3e-30]), (12, [1.0, 2.0])]
