@@ -1,14 +1,16 @@
-"""Personal data: pattern spans, and information-theoretic sanitisation of the terms around them.
+"""Personal data: pattern spans, and information-theoretic sanitisation of the terms in their documents.
 
-Base spans are the leftmost non-overlapping matches of four patterns; their values are the protected entities. A term that
-stands near an entity tells of it as much as corpus co-occurrence says: with N documents, n(t) of them with the term t, n(e)
-distinct contexts of the entity e and n(t,e) of these with t nearby, the disclosed share of e's information content is
+Base spans are the leftmost non-overlapping matches of four patterns; their values are the protected entities. A term in an
+entity's documents tells of it as much as corpus co-occurrence says: with N documents, n(t) of them with the term t, n(e)
+distinct ones with the entity e and n(t,e) of these with t anywhere outside base spans, the disclosed share of e's
+information content is
 
     PMI(t; e) / IC(e) = log2(n(t,e) N / (n(t) n(e))) / log2(N / n(e)),
 
 which is 1 where t occurs with e alone. Terms at or above ``generalise`` become spans of kind ``term`` (in a redacted text
-a class stands for them), those at or above ``remove`` of kind ``drop`` (taken out). Contexts count as distinct by the two
-words on either side of the entity, so that copies of a text are no evidence, and n(t,e) below ``support`` counts as none.
+a class stands for them), those at or above ``remove`` of kind ``drop`` (taken out), wherever they stand in documents with
+the entity. An entity's documents count as distinct by the two words on either side of it (one place a document), so that
+copies of a text are no evidence, and n(t,e) below ``support`` counts as none.
 
 Only DataFrame functions are used. Offsets are in code points, the end exclusive.
 
@@ -36,7 +38,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _WORD = r"[\p{L}\p{M}\p{N}]++"
 KINDS = ("email", "ip", "card", "phone")
-#: Code points on either side of an entity that are searched for terms.
+#: Code points on either side of an entity that its two neighbouring words are taken from.
 REACH = 100
 GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 3
 #: Distinct terms whose list is broadcast; a longer list is joined by a shuffle, to the same result.
@@ -77,36 +79,70 @@ def _clean(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), OPEN + CLOSE, OTHER * 2)
 
 
+def _outside(text: Column, spans: Column) -> Column:
+    """The text with a line break for each base span."""
+    order = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
+
+    def put(a: Column, x: Column) -> Column:
+        piece = F.substring(text, a["p"] + 1, F.greatest(x["s"] - a["p"], F.lit(0)))
+        return F.struct(F.greatest(a["p"], x["e"]).alias("p"), F.concat(a["o"], F.array(piece)).alias("o"))
+
+    end = lambda a: F.array_join(F.concat(a["o"], F.array(F.substring(text, a["p"] + 1, F.length(text)))), "\n")
+    return F.aggregate(order, F.struct(F.lit(0).alias("p"), F.array().cast("array<string>").alias("o")), put, end)
+
+
+def _distinct_words(text: Column) -> Column:
+    return F.array_distinct(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"))
+
+
+def _places(text: Column, kinds: Column) -> Column:
+    """Places (s, e, kind) of the words of a text that a map from words to kinds holds."""
+    pieces = F.regexp_extract_all(text, F.lit(rf"({_WORD}|[^\p{{L}}\p{{M}}\p{{N}}]++)"), F.lit(1))
+    start = F.struct(F.lit(0).alias("p"), F.array().cast("array<struct<s:int,e:int,kind:string>>").alias("o"))
+
+    def add(a: Column, piece: Column) -> Column:
+        kind, e = F.element_at(kinds, F.lower(piece)), a["p"] + F.length(piece)
+        one = F.struct(a["p"].alias("s"), e.alias("e"), kind.alias("kind"))
+        return F.struct(e.alias("p"), F.when(kind.isNotNull(), F.concat(a["o"], F.array(one))).otherwise(a["o"]).alias("o"))
+
+    return F.aggregate(pieces, start, add, lambda a: a["o"])
+
+
 def _terms(docs: DataFrame, marked: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
-    """Term spans: _row, s, e, kind. docs: every text; marked: rows with spans (kind, s, e, v, left, right)."""
-    entity = marked.select("_row", F.explode("spans").alias("x")).select(
-        "_row", F.lower("x.v").alias("entity"), F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.lower("x.left").alias("left"), F.lower("x.right").alias("right"))
+    """Terms to take out: _row, kinds (a map from terms to kinds). docs: every text; marked: rows with spans (kind, s, e, v,
+    left, right) and their text."""
+    spark = docs.sparkSession
+    entity = marked.select("_row", F.explode("spans").alias("x")).select("_row", F.lower("x.v").alias("entity"), F.lower("x.left").alias("left"), F.lower("x.right").alias("right"))
     near = F.concat_ws(" ", F.array_join(F.slice(F.regexp_extract_all("left", F.lit(f"({_WORD})"), F.lit(1)), -2, 2), " "), F.lit("|"), F.array_join(F.slice(F.regexp_extract_all("right", F.lit(f"({_WORD})"), F.lit(1)), 1, 2), " "))
-    entity = entity.withColumn("context", F.xxhash64(near))
-    words = lambda c: _found(F.col(c), _WORD, F.lit(True))
-    # a word that the window's edge cuts is no word
-    left = F.transform(F.filter(words("left"), lambda w: (w["s"] > 0) | (F.length("left") < REACH)), lambda w: F.struct((F.col("s") - F.length("left") + w["s"]).alias("s"), (F.col("s") - F.length("left") + w["e"]).alias("e"), w["v"].alias("v")))
-    right = F.transform(F.filter(words("right"), lambda w: (w["e"] < F.length("right")) | (F.length("right") < REACH)), lambda w: F.struct((F.col("e") + w["s"]).alias("s"), (F.col("e") + w["e"]).alias("e"), w["v"].alias("v")))
-    seen = entity.select("_row", "entity", "context", F.explode(F.concat(left, right)).alias("t")).select("_row", "entity", "context", F.col("t.v").alias("term"), F.col("t.s").alias("s"), F.col("t.e").alias("e"))
-    n_te = seen.groupBy("entity", "term", "context").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
-    n_e = entity.groupBy("entity", "context").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    # documents with the term near any entity: what n(t) is at least, so that common terms need no look at the corpus
-    least = seen.select("term", "_row").distinct().groupBy("term").agg(F.count("*").alias("least"))
+    held = entity.groupBy("_row", "entity").agg(F.min(F.xxhash64(near)).alias("context"))
+    n_e = held.groupBy("entity", "context").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    # n(t,e) is at most n(e), so that rarer entities disclose nothing
+    held = materialise(spark, held.join(n_e.where(F.col("n_e") >= support), "entity"), "held")
     total = docs.agg(F.count("*").alias("n"))  # one row
 
-    def share(n_t: Column) -> Column:
-        return F.log2(F.col("n_te") * F.col("n") / (F.greatest(n_t, F.col("n_te")) * F.col("n_e"))) / F.log2(F.col("n") / F.col("n_e"))
-
-    joint = n_te.join(n_e, "entity").join(least, "term").crossJoin(F.broadcast(total)).where(F.col("n") > F.col("n_e"))
-    joint = materialise(docs.sparkSession, joint.where(share(F.col("least")) >= generalise), "joint")
+    def share(n_te: Column, n_t: Column) -> Column:
+        return F.try_divide(F.log2(n_te * F.col("n") / (F.greatest(n_t, n_te) * F.col("n_e"))), F.log2(F.col("n") / F.col("n_e")))
+
+    # of the terms in documents with an entity, how many of these documents have them: what n(t) is at least
+    with_terms = marked.join(held.select("_row").distinct(), "_row", "left_semi").select("_row", _outside(F.col("_text"), F.col("spans")).alias("_out"))
+    seen = materialise(spark, with_terms.select("_row", F.explode(_distinct_words(F.col("_out"))).alias("term")).where("term != ''"), "seen")
+    least = seen.groupBy("term").agg(F.count("*").alias("least")).where(F.col("least") >= support)
+    # no entity of that many documents is disclosed by a term of so many
+    top = held.agg(F.max("n_e").alias("n_e")).crossJoin(total)
+    least = least.crossJoin(F.broadcast(top)).where((F.col("n") <= F.col("n_e")) | (share(F.col("n_e"), F.col("least")) >= generalise)).select("term", "least")
+    pairs = seen.join(least, "term").join(held, "_row").crossJoin(F.broadcast(total)).where((F.col("n") > F.col("n_e")) & (share(F.col("n_e"), F.col("least")) >= generalise))
+    each = pairs.groupBy("entity", "term", "context").agg(F.max("n_e").alias("n_e"), F.max("least").alias("least"), F.max("n").alias("n"))
+    joint = each.groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.max("n_e").alias("n_e"), F.max("least").alias("least"), F.max("n").alias("n"))
+    joint = materialise(spark, joint.where((F.col("n_te") >= support) & (share(F.col("n_te"), F.col("least")) >= generalise)), "joint")
     candidates = joint.select("term").distinct()
     if candidates.count() <= BROADCAST_TERMS:
         candidates = F.broadcast(candidates)
-    own = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"))).alias("term"))
+    own = docs.select(F.explode(_distinct_words(F.col("text"))).alias("term"))
     of_term = own.join(candidates, "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    disclosing = joint.join(of_term, "term").select("entity", "term", share(F.col("n_t")).alias("share")).where(F.col("share") >= generalise)
+    disclosing = joint.join(of_term, "term").select("entity", "term", share(F.col("n_te"), F.col("n_t")).alias("share")).where(F.col("share") >= generalise)
     kind = F.when(F.max("share") >= remove, "drop").otherwise("term")
-    return seen.join(disclosing, ["entity", "term"]).groupBy("_row", "s", "e").agg(kind.alias("kind"))
+    found = held.select("_row", "entity").join(disclosing, "entity").groupBy("_row", "term").agg(kind.alias("kind"))
+    return found.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("kinds"))
 
 
 def _spans(text: Column) -> Column:
@@ -125,10 +161,12 @@ def detect(spark: SparkSession, docs: DataFrame, keep: list[str] = ["doc_id"], g
     """The kept columns of every row with ``base`` and ``terms``: arrays of (kind, s, e), base spans by kind as in KINDS and
     then by place, term spans by place without those that touch a base span."""
     own = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], _clean(F.col("text")).alias("_text"))
-    rows = own.select(*[c for c in own.columns if c != "_text"], F.monotonically_increasing_id().alias("_row"), _spans(F.col("_text")).alias("spans"))
+    rows = own.select(*own.columns, F.monotonically_increasing_id().alias("_row"), _spans(F.col("_text")).alias("spans"))
+    rows = rows.withColumn("_text", F.when(F.size("spans") > 0, F.col("_text")))
     stored = materialise(spark, rows, "spans")
-    terms = _terms(docs.select("text"), stored.where(F.size("spans") > 0), generalise, remove, support)
-    lists = terms.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("s", "e", "kind"))).alias("t"))
+    marked = stored.where(F.size("spans") > 0)
+    kinds = _terms(docs.select("text"), marked.select("_row", "_text", "spans"), generalise, remove, support)
+    lists = marked.select("_row", "_text").join(kinds, "_row").select("_row", _places(F.col("_text"), F.col("kinds")).alias("t"))
     both = stored.select("_row", *[c for c in stored.columns if c.startswith("_k")], F.transform("spans", lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"))).alias("base")).join(lists, "_row", "left")
     clear = F.filter(F.coalesce("t", F.array().cast("array<struct<s:int,e:int,kind:string>>")), lambda t: ~F.exists("base", lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"])))
     terms_out = F.transform(clear, lambda t: F.struct(t["kind"].alias("kind"), t["s"].alias("s"), t["e"].alias("e")))

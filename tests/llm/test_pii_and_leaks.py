@@ -88,6 +88,18 @@ def test_terms_that_disclose_an_entity(spark):
     assert "[term]" in milder[300]
 
 
+def test_disclosing_terms_far_from_the_entity(spark):
+    rng = random.Random(6)
+    say = lambda n: " ".join(f"w{rng.randrange(60)}" for _ in range(n))
+    rows = [(i, say(30)) for i in range(200)]
+    rows += [(300 + i, f"Zelda É😀 {say(80)} k{i} z@ex.org m{i} {say(80)} (zelda).") for i in range(6)]
+    # one document alone is no evidence, however often it names the address
+    rows += [(400, " ".join(f"Quine a{k} b{k} q@ex.org c{k} d{k}" for k in range(6)))]
+    got = {r.doc_id: [dict(rows)[r.doc_id][x.s : x.e] for x in r.terms] for r in pii.detect(spark, frame(spark, rows)).collect()}
+    assert all(got[300 + i] == ["Zelda", "É", "zelda"] for i in range(6))
+    assert not any(v for k, v in got.items() if not 300 <= k < 306)
+
+
 def test_redaction_keeps_columns_and_handles_overlaps(spark):
     rows = [(1, "call +1 602 555 5136 or 4111 1111 1111 1111 from 10.0.0.1, a@b.co", "s", 1), (2, None, None, None), (3, "clean", "t", 5)]
     got = pii.redact(spark, frame(spark, rows, "doc_id long, text string, source string, n_chars long")).orderBy("doc_id").collect()
