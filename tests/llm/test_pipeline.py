@@ -17,7 +17,7 @@ def test_every_query_is_registered():
     import __spark_entry__
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard_join", "benchmark_decontamination", "pii", "best_fit_packing"]
 
 
