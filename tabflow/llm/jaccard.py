@@ -13,8 +13,8 @@ apart; regions are therefore made in three steps, each of which keeps every pair
   belongs to the Voronoi cell of the nearest such pivot. A partner of a member of p's cell is within 2r of p: p's window. What is in no cell goes on, with new
   pivots, and recursively, until it is small. A cell is joined with the others of its window in blocks, and only members x with
   d(x, p) >= min d(y, p) - r over the others y of the window take part.
-* The same in memory, for small families, with each document that is in no cell yet as the next pivot; boundary documents
-  of two cells whose pivots are within 3r are compared unless the cells are known to be linked.
+* The same in memory, for small families, with each document that is in no cell yet as the next pivot. Members x of p's cell
+  are compared with the others if a pivot q that is not known to be linked to p has d(p, q) <= d(x, p) + 2r.
 
 Links within a component that is already connected are not searched for, as only components are returned. Distances are
 exact: they are computed from the whole sets of 64-bit shingle hashes.
@@ -47,8 +47,8 @@ SMALL = 16
 HELD = 20_000
 #: The list of frequent shingles is broadcast; beyond this many the bound above is doubled until the list is as short.
 MAX_FREQUENT = 4_000_000
-#: Shingles (summed over documents) of a family that is joined in one task's memory, 12 bytes each.
-FAMILY = 3_000_000
+#: Shingles (summed over documents) of a family that is joined in one task's memory, and these times its documents.
+FAMILY, WORK = 3_000_000, 20_000_000_000
 #: Document pivots of a large family in the first round; each further round takes twice as many.
 PIVOTS = 32
 #: Members of a cell, and others of its window, that meet in one task.
@@ -370,11 +370,71 @@ class _Index:
         return which, count[which]
 
 
+class _Family:
+    """Sets of a family, for counting what some of them share with all. Shingles that the same sets have count as one, with
+    a weight, and shingles of many sets are rows of a matrix."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes, g = np.array([len(s) for s in sets], np.int64), len(sets)
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(g), self.sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        start = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+        n = np.diff(np.r_[start, len(flat)])
+        # equal lists of sets have equal sums of 128 random bits
+        marks = np.random.default_rng(0).integers(0, 2**63, (2, g), np.uint64)
+        sums = [np.add.reduceat(m[owner], start) for m in marks]
+        by = np.lexsort(sums)
+        new = np.r_[True, (sums[0][by][1:] != sums[0][by][:-1]) | (sums[1][by][1:] != sums[1][by][:-1])]
+        first, weight = by[new], np.diff(np.r_[np.flatnonzero(new), len(by)])
+        many = n[first] > 1  # what one set alone has is shared with none
+        first, weight = first[many], weight[many]
+        start, n = start[first], n[first]
+        heavy = n > max(32, g // 8)
+        self.matrix = np.zeros((int(heavy.sum()), g), np.float32)
+        row = np.repeat(np.arange(len(self.matrix)), n[heavy])
+        self.matrix[row, owner[_ranges(start[heavy], n[heavy])]] = 1
+        self.heavy = weight[heavy].astype(np.float32)
+        # the others: sets by shingle, and shingles by set
+        start, self.n, self.weight = start[~heavy], n[~heavy], weight[~heavy].astype(np.float64)
+        self.sets = owner[_ranges(start, self.n)]
+        self.begin = np.cumsum(self.n) - self.n
+        shingle = np.repeat(np.arange(len(self.n)), self.n)
+        order = np.argsort(self.sets, kind="stable")
+        self.shingles, self.edge = shingle[order], np.searchsorted(self.sets[order], np.arange(g + 1))
+
+    def common(self, rows: np.ndarray) -> np.ndarray:
+        """How many shingles each of the sets named shares with every set."""
+        g = len(self.sizes)
+        out = ((self.matrix[:, rows].T * self.heavy) @ self.matrix).astype(np.float64)
+        own = self.edge[rows + 1] - self.edge[rows]
+        shingle, at = self.shingles[_ranges(self.edge[rows], own)], np.repeat(np.arange(len(rows)), own)
+        n = self.n[shingle]
+        turn = np.cumsum(n) // 4_000_000
+        for t in np.unique(turn):
+            these = turn == t
+            s, m = shingle[these], n[these]
+            hit = np.repeat(at[these] * g, m) + self.sets[_ranges(self.begin[s], m)]
+            out += np.bincount(hit, np.repeat(self.weight[s], m), minlength=out.size).reshape(out.shape)
+        out[np.arange(len(rows)), rows] = self.sizes[rows]
+        return out
+
+    def near(self, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each of the sets named is linked to every set, and its distance."""
+        common = self.common(rows)
+        union = self.sizes[rows][:, None] + self.sizes - common
+        return 100 * common >= percent * union, 1 - common / union
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
 def join_family(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
-    """For each set the number of the first one of its component; sets are distinct and not empty."""
-    index, g = _Index(sets), len(sets)
-    sizes, root = index.sizes, list(range(len(sets)))
-    radius = 1 - percent / 100 + 1e-9
+    """For each set the number of the first one of its component; sets are distinct and not empty. Each set is held against
+    the others once at most, and a pivot with a cell once more."""
+    family, g = _Family(sets), len(sets)
+    root, radius = list(range(g)), 1 - percent / 100 + 1e-9
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -387,37 +447,43 @@ def join_family(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
         if x != y:
             root[max(x, y)] = min(x, y)
 
-    free = np.ones(g, bool)
-    pivots: list[int] = []
-    near: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # pivot: sets within 3r, their distances, whether in its cell
-    for p in range(g):
-        if not free[p]:
-            continue
-        which, common = index.common(sets[p])
-        linked = _linked(common, sizes[p], sizes[which], percent)
-        distance = 1 - common / (sizes[p] + sizes[which] - common)
-        close = distance <= 3 * radius
-        near[p] = which[close], distance[close], linked[close]
-        pivots.append(p)
-        free[which[linked]] = False
-        for x in which[linked].tolist():
-            unite(p, x)
-    is_pivot = np.zeros(g, bool)
-    is_pivot[pivots] = True
-    for p in pivots:
-        which, distance, linked = near[p]
-        for q in which[is_pivot[which] & (which > p)].tolist():
-            if find(p) == find(q):
+    # pivots and their cells; as many documents are tried at a time as became pivots lately
+    free, step, most = np.ones(g, bool), 1, max(1, 4_000_000 // g)
+    cell, away, is_pivot = np.full(g, -1), np.full(g, np.inf), np.zeros(g, bool)
+    while free.any():
+        tried = np.flatnonzero(free)[:step]
+        linked, distance = family.near(tried, percent)
+        used = 0
+        for p, links, d in zip(tried.tolist(), linked, distance):
+            if not free[p]:
                 continue
-            # members of p's cell within 2r of q, and the other way round
-            theirs, their_distance, their_linked = near[q]
-            x = np.intersect1d(which[linked], theirs[their_distance <= 2 * radius])
-            y = np.intersect1d(theirs[their_linked], which[distance <= 2 * radius])
-            for a in x.tolist() if len(x) and len(y) else []:
-                got, common = index.common(sets[a])
-                if np.isin(got[_linked(common, sizes[a], sizes[got], percent)], y).any():
-                    unite(p, q)
-                    break
+            used, is_pivot[p] = used + 1, True
+            members = np.flatnonzero(links)
+            free[members] = False
+            closer = members[d[members] < away[members]]
+            cell[closer], away[closer] = p, d[closer]
+            for x in members.tolist():
+                unite(p, x)
+        step = min(most, step * 2) if 2 * used > step else 1
+    cell[is_pivot] = np.flatnonzero(is_pivot)
+    # cells that may hold a link to another one: a member x of p's cell with a partner in q's has d(x, p) >= d(p, q) - 2r
+    pivots, order = np.flatnonzero(is_pivot), np.argsort(cell, kind="stable")
+    size = np.bincount(cell, minlength=g)
+    begin = np.cumsum(size) - size
+    several = pivots[size[pivots] > 1]
+    for i in range(0, len(several), most):
+        part = several[i : i + most]
+        _, distance = family.near(part, percent)
+        for p, d in zip(part.tolist(), distance):
+            others = pivots[d[pivots] <= 3 * radius]
+            gap = min((float(d[q]) for q in others.tolist() if find(q) != find(p)), default=np.inf)
+            x = order[begin[p] : begin[p] + size[p]]
+            x = x[(x != p) & (away[x] >= gap - 2 * radius)]
+            for j in range(0, len(x), most):
+                linked, _ = family.near(x[j : j + most], percent)
+                for a, links in zip(x[j : j + most].tolist(), linked):
+                    for y in np.flatnonzero(links).tolist():
+                        unite(a, y)
     return np.array([find(x) for x in range(g)])
 
 
@@ -578,8 +644,9 @@ def similar_documents(spark: SparkSession, docs: DataFrame, words: int = WORDS,
     made: list[DataFrame] = []
     rest, pivots = members, PIVOTS
     while True:
-        large = rest.groupBy("family").agg(F.sum("n").alias("total")).where(F.col("total") > FAMILY).select("family")
-        large = F.broadcast(materialise(spark, large, "large"))  # fewer than a millionth of all shingles
+        large = rest.groupBy("family").agg(F.sum("n").alias("total"), F.count("*").alias("sets"))
+        large = large.where((F.col("total") > FAMILY) | (F.col("total") * F.col("sets") > WORK)).select("family")
+        large = F.broadcast(materialise(spark, large, "large"))  # fewer than one for each 80,000 shingles
         made.append(_join_small(rest.join(large, "family", "left_anti"), percent))
         if large.isEmpty():
             break

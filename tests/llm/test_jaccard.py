@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -114,6 +115,46 @@ def test_join_in_memory(seed):
     assert got.tolist() == [find(i) for i in range(len(distinct))]
 
 
+def test_many_sets_that_share_most(spark):
+    """Thousands of sets of one family, four fifths shared and not linked, and some linked ones among them, in seconds."""
+    rng = np.random.default_rng(5)
+    shared = np.arange(400, dtype=np.uint64)
+    sets = [np.sort(np.concatenate([shared, 1000 + k * 100 + np.arange(100, dtype=np.uint64)])) for k in range(2000)]
+    for k in range(0, 600, 3):  # a chain of three: the first is not linked to the third
+        own = sets[k][400:]
+        sets[k + 1] = np.sort(np.concatenate([shared, own[:40], 10**6 + k * 100 + np.arange(60, dtype=np.uint64)]))
+        sets[k + 2] = np.sort(np.concatenate([shared, sets[k + 1][440:], 2 * 10**6 + k * 100 + np.arange(40, dtype=np.uint64)]))
+    sets = [sets[i] for i in rng.permutation(2000)]
+    start = time.time()
+    got = jaccard.join_family(sets)
+    assert time.time() - start < 30
+    names = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    at = np.repeat(np.arange(2000), [len(s) for s in sets])
+    keep = np.isin(names, np.flatnonzero(np.bincount(names) > 1))  # the others are in one set
+    few = np.unique(names[keep], return_inverse=True)[1]
+    bits = np.zeros((2000, few.max() + 1), np.float32)
+    bits[at[keep], few] = 1
+    common = bits @ bits.T
+    n = np.array([len(s) for s in sets])
+    link = 100 * common >= 75 * (n[:, None] + n - common)
+    np.fill_diagonal(link, True)
+    root = np.arange(2000)
+    while True:
+        new = np.array([root[l].min() for l in link])
+        if (new == root).all():
+            break
+        root = new
+    assert got.tolist() == root.tolist() and len(set(root.tolist())) < 2000
+
+
+def test_large_regions_and_work(spark, monkeypatch):
+    """Regions handed on in parts, and families that are large by work."""
+    for name, value in (("HELD", 5), ("SMALL", 2), ("WORK", 3000), ("FREQUENT", 2), ("PIVOTS", 3), ("CELL", 4)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = corpus(7)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(k, k + 1) for k in range(400, 460)]
