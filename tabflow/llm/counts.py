@@ -9,7 +9,8 @@ pre-tokens, of their frequency times the pre-token's number of pieces:
   BROADCAST, are summed there from a broadcast list. All others go with their document's number to a join by pre-token.
 
 The pre-tokens are those of the library's own normalizer and pre-tokenizer. Where these drop white space and never look
-across it, they are made once for each distinct word of a worker, as a word between blanks has the same ones everywhere.
+across it, they are made once for each distinct word, as a word between blanks has the same ones everywhere, and words of
+ASCII letters with at most a mark at the end need no call of the library.
 Special strings in a text are taken as the library does by default: each is one token and ends the text before it.
 """
 
@@ -30,10 +31,15 @@ from tabflow.llm.common import materialise_at, ship, slices
 #: Frequent pre-tokens that are broadcast, 64 bytes each at most; the rest is joined by a shuffle, to the same result.
 BROADCAST = 200_000
 #: Words and bytes of words a worker keeps; when it has more, it starts anew. It changes no result.
-CACHE_WORDS, CACHE_BYTES = 400_000, 32 << 20
+CACHE_WORDS, CACHE_BYTES = 500_000, 32 << 20
+#: Bytes of texts that are worked on at a time.
+SLICE_BYTES = 8 << 20
 #: Longer pre-tokens are known by a 128-bit digest.
 KEY_BYTES = 48
 LIMIT = 2048
+#: Fixed value: the pattern of pre-tokens that vocabularies with word ends use.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = r"^(?P<core>[A-Za-z]+)(?P<tail>[,.;:!?]*)$"  # words of one or two pre-tokens that need no library
 _SPECIAL, _DIGEST = "\x01", "\x00"
 
 _held: dict[str, "PreTokens"] = {}
@@ -47,16 +53,16 @@ def pre_tokens(path: str) -> "PreTokens":
 
 
 def _keeps_to_words(spec: dict) -> bool:
-    """Whether no normalizer or pre-tokenizer of the vocabulary looks across white space, and the latter drops it."""
+    """Whether the vocabulary's normalizer and pre-tokenizer are those that WORD_PATTERN is known for: none of them looks
+    across white space, which is dropped; a run of letters is one pre-token, and so is a run of other characters that are
+    neither letters nor digits, where no apostrophe is near."""
     norm, split = spec.get("normalizer"), spec.get("pre_tokenizer")
     steps = norm["normalizers"] if norm and norm["type"] == "Sequence" else [norm] if norm else []
-    plain = all(s["type"] in ("NFC", "NFD", "Lowercase") or s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} and s["content"] == " " for s in steps)
+    spaces = lambda s: s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} and s["content"] == " "
+    plain = all(s["type"] in ("NFC", "Lowercase") or spaces(s) for s in steps) and any(s["type"] == "Lowercase" for s in steps)
     first, *others = split["pretokenizers"] if split["type"] == "Sequence" else [split]
-    if not plain or first["type"] != "Split" or first["behavior"] != "Removed" or not first["invert"] or "Regex" not in first["pattern"]:
-        return False
-    rest = re.sub(r"\[\^\\s[^\]]*\]", "", first["pattern"]["Regex"])  # classes without white space
-    bytes_only = all(s["type"] == "ByteLevel" and not s["use_regex"] and not s["add_prefix_space"] for s in others)
-    return bytes_only and not re.search(r"[ .]|\\[sSWD]|\[\^", rest)
+    words = first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"] and first["pattern"] == {"Regex": WORD_PATTERN}
+    return plain and words and all(s["type"] == "ByteLevel" and not s["use_regex"] and not s["add_prefix_space"] for s in others)
 
 
 class PreTokens:
@@ -76,10 +82,10 @@ class PreTokens:
         self.reset()
 
     def reset(self) -> None:
-        self.slots: dict[str, int] = {}  # word: its place in edge
+        self.slots: dict[str, int] = {}  # word that is not plain: its place in edge
         self.edge, self.pool, self.bytes = [0], [], 0
         self.keys: list[str] = []  # pre-token number: key
-        self.texts: list[str | None] = []  # the pre-token, if the key is its digest
+        self.texts: dict[int, str] = {}  # the pre-token of a number whose key is a digest
         self.numbers: dict[str, int] = {}
 
     def full(self) -> bool:
@@ -100,16 +106,28 @@ class PreTokens:
         return 1 if token.startswith(_SPECIAL) else len(self.lib.model.tokenize(token))
 
     def _number(self, token: str) -> int:
+        n = self.numbers.get(token)
+        if n is not None:
+            return n
         raw = token.encode()
         key = token if len(raw) <= KEY_BYTES else _DIGEST + xxhash.xxh128_hexdigest(raw)
         n = self.numbers.get(key)
         if n is None:
             n = self.numbers[key] = len(self.keys)
             self.keys.append(key)
-            self.texts.append(None if key is token else token)
             self.bytes += len(raw)
+            if key is not token:
+                self.texts[n] = token
         return n
 
+    def _numbers(self, tokens: pa.Array) -> np.ndarray:
+        coded = pc.dictionary_encode(tokens)
+        distinct = coded.dictionary.to_pylist()
+        found = list(map(self.numbers.get, distinct))
+        if None in found:
+            found = [self._number(t) if n is None else n for t, n in zip(distinct, found)]
+        return np.array(found, np.int64)[np.asarray(coded.indices)] if len(distinct) else np.empty(0, np.int64)
+
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """For every pre-token of the texts: the text's place, and the pre-token's number in keys."""
         texts = pc.fill_null(texts, "")
@@ -117,39 +135,48 @@ class PreTokens:
             found = [[self._number(t) for t in self.split(x)] for x in texts.to_pylist()]
             return np.repeat(np.arange(len(found)), [len(f) for f in found]), np.array([n for f in found for n in f], np.int64)
         lists = pc.ascii_split_whitespace(texts)
-        words, parents = lists.flatten(), np.asarray(pc.list_parent_indices(lists))
-        coded = pc.dictionary_encode(words)
-        distinct = coded.dictionary.to_pylist()
-        for w in distinct:
+        coded, parents = pc.dictionary_encode(lists.flatten()), np.asarray(pc.list_parent_indices(lists))
+        words = coded.dictionary
+        if not len(words):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        shape = pc.extract_regex(words, _PLAIN)
+        plain = pc.is_valid(shape)
+        easy = shape.filter(plain)
+        core = self._numbers(pc.ascii_lower(pc.struct_field(easy, "core")))
+        tails = pc.struct_field(easy, "tail")
+        marked = np.asarray(pc.not_equal(tails, "").to_numpy(zero_copy_only=False), bool)
+        tail = np.zeros(len(core), np.int64)
+        tail[marked] = self._numbers(tails.filter(pa.array(marked)))
+        hard = words.filter(pc.invert(plain)).to_pylist()
+        for w in hard:
             if w not in self.slots:
                 self.pool += [self._number(t) for t in self.split(w)]
                 self.slots[w] = len(self.edge) - 1
                 self.edge.append(len(self.pool))
                 self.bytes += len(w)
-        slot = np.array([self.slots[w] for w in distinct], np.int64)
-        edge, pool = np.array(self.edge, np.int64), np.array(self.pool, np.int64)
-        own = np.concatenate([pool[edge[s] : edge[s + 1]] for s in slot.tolist()]) if len(slot) else np.empty(0, np.int64)
-        length = edge[slot + 1] - edge[slot]
-        begin = np.cumsum(length) - length  # of each distinct word's pre-tokens in own
-        at = np.asarray(coded.indices)
-        n = length[at] if len(at) else np.empty(0, np.int64)
-        return np.repeat(parents, n), own[np.repeat(begin[at] - np.cumsum(n) + n, n) + np.arange(n.sum())] if len(at) else np.empty(0, np.int64)
+        # where each distinct word's pre-tokens begin, and how many they are: plain words first, two places each
+        where, is_plain = np.empty((2, len(words)), np.int64), np.asarray(plain.to_numpy(zero_copy_only=False), bool)
+        where[:, is_plain] = 2 * np.arange(len(core)), 1 + marked
+        edge, slot = np.array(self.edge, np.int64), np.array([self.slots[w] for w in hard], np.int64)
+        where[:, ~is_plain] = 2 * len(core) + edge[slot], edge[slot + 1] - edge[slot]
+        pool = np.concatenate([np.stack([core, tail], 1).ravel(), np.array(self.pool, np.int64)])
+        begin, n = where[:, np.asarray(coded.indices)]
+        return np.repeat(parents, n), pool[np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
 def _distinct(rows: DataFrame, path: str) -> DataFrame:
     """key, token (null if it is the key), n: the distinct pre-tokens of each task with their frequencies."""
     def gather(batches):
         held = pre_tokens(path)
-        held.reset()
         total = np.zeros(0, np.int64)
 
         def flush():
             some = np.flatnonzero(total)
             for i in range(0, len(some), 50_000):
                 part = some[i : i + 50_000].tolist()
-                yield pa.RecordBatch.from_arrays([pa.array([held.keys[k] for k in part], pa.string()), pa.array([held.texts[k] for k in part], pa.string()), pa.array(total[part], pa.int64())], names=["key", "token", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([held.keys[k] for k in part], pa.string()), pa.array([held.texts.get(k) for k in part], pa.string()), pa.array(total[part], pa.int64())], names=["key", "token", "n"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             _, number = held.of(batch.column("text"))
             n = np.bincount(number, minlength=len(held.keys))
             n[: len(total)] += total
@@ -165,7 +192,7 @@ def _distinct(rows: DataFrame, path: str) -> DataFrame:
 
 def pre_token_pieces(rows: DataFrame, path: str) -> DataFrame:
     """key, n, pieces: every distinct pre-token of the texts with its frequency, its pieces counted once."""
-    seen = _distinct(rows, path).groupBy("key").agg(F.sum("n").alias("n"), F.max("token").alias("token"))
+    seen = _distinct(rows, path).groupBy("key", "token").agg(F.sum("n").alias("n"))
 
     def count(batches):
         pieces = pre_tokens(path).pieces
@@ -205,8 +232,7 @@ def token_counts(spark: SparkSession, docs: DataFrame, vocabulary: str, limit: i
 
     def measure(batches):
         held, known, get = pre_tokens(vocabulary), np.zeros(0, np.int64), handed.value.get
-        held.reset()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             texts = batch.column("text")
             parent, number = held.of(texts)
             new = [get(k, -1) for k in held.keys[len(known) :]]
