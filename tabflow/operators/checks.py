@@ -93,3 +93,23 @@ def check_predicts(scored: DataFrame, prediction: str = "prediction") -> DataFra
         F.count(F.col(prediction)).alias("n_predicted"),
     ).select("n", "n_predicted",
              F.when((F.col("n") == F.col("n_predicted")), 1).otherwise(0).alias("predicts"))
+
+
+def signature_faults(df: DataFrame, contract: T.StructType | str) -> list[tuple[str, str]]:
+    """(column, fault) for every column of a model's signature that the table
+    lacks ('missing') or holds in a type that can't stand for the signature's
+    ('wrong_type'): numbers and booleans are good for numbers of any width,
+    all other types only for themselves. Read from the schema; no job."""
+    spec = schema_from_json(contract) if isinstance(contract, str) else contract
+    actual = {f.name: f.dataType for f in df.schema.fields}
+    number = (T.NumericType, T.BooleanType)
+    out = []
+    for f in spec.fields:
+        if f.name not in actual:
+            out.append((f.name, "missing"))
+        elif isinstance(f.dataType, number):
+            if not isinstance(actual[f.name], number):
+                out.append((f.name, "wrong_type"))
+        elif actual[f.name] != f.dataType:
+            out.append((f.name, "wrong_type"))
+    return out

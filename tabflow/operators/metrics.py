@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tabflow.functions.columns import correct_flag
 from tabflow.operators.cumulative import running_sums
+from tabflow.session import scratch_root
 
 # Fixed value: the per-slice accuracy floor of the demographic check.
 SLICE_FLOOR = 0.55
@@ -139,3 +140,46 @@ def roc_auc(df, label, score, pos_label=1) -> DataFrame:
 
 def pr_auc(df, label, score, pos_label=1) -> DataFrame:
     return roc_pr_auc(df, label, score, pos_label).select("pr_auc")
+
+
+def evaluate(df: DataFrame, label: str, prediction: str = "prediction", probability: str = "probability",
+             by: str = "split", pos_label=1) -> DataFrame:
+    """All classifier metrics of every value of ``by``, one row each, from one
+    evaluation of ``df``.
+
+    Rows are counted by (by, probability, prediction) first; that table is
+    checkpointed, as everything else is read from it: the confusion counts and
+    the log loss are sums over it, and the areas come from prefix sums over
+    score ranges, with the totals of the ranges before. Definitions are those
+    of ``binary_metrics`` and ``roc_pr_auc``; rows with a null probability
+    count for neither log loss nor areas. A null in ``by`` is a value."""
+    scratch_root(df.sparkSession)
+    pos = F.when(F.col(label) == F.lit(pos_label), 1).otherwise(0)
+    counts = (df.select(F.col(by).alias("_by"), F.col(probability).cast("double").alias("_p"), (F.col(prediction) == F.lit(pos_label)).alias("_hit"), pos.cast("bigint").alias("_pos"))
+              .groupBy("_by", "_p", "_hit").agg(F.sum("_pos").alias("_pos"), F.sum(1 - F.col("_pos")).alias("_neg")).checkpoint())
+    clipped = F.least(F.greatest(F.col("_p"), F.lit(1e-15)), F.lit(1 - 1e-15))
+    both = F.col("_pos") + F.col("_neg")
+    hit, miss = F.col("_hit"), ~F.col("_hit")
+    some = lambda c, v: F.coalesce(F.sum(F.when(c, v)), F.lit(0)).cast("bigint")
+    sums = counts.groupBy("_by").agg(
+        F.sum(both).alias("n"), some(hit, F.col("_pos")).alias("tp"), some(hit, F.col("_neg")).alias("fp"),
+        some(miss, F.col("_neg")).alias("tn"), some(miss, F.col("_pos")).alias("fn"),
+        (-F.sum(F.col("_pos") * F.log(clipped) + F.col("_neg") * F.log(1 - clipped)) / F.sum(F.when(F.col("_p").isNotNull(), both))).alias("log_loss"))
+    scores = counts.where("_p is not null").groupBy("_by", "_p").agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    c = running_sums(scores.withColumn("_group", F.coalesce(F.col("_by").cast("string"), F.lit(""))).withColumn("_none", F.col("_by").isNull()),
+                     ["_p"], ["_pos", "_neg"], partition=["_group", "_none"], descending=True)
+    tp, fp = F.col("cum__pos").cast("double"), F.col("cum__neg").cast("double")
+    tp0, fp0 = tp - F.col("_pos"), fp - F.col("_neg")
+    prec = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(1.0))
+    prec0 = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(prec)
+    P, N = F.sum("_pos").cast("double"), F.sum("_neg").cast("double")
+    areas = c.groupBy(F.col("_by").alias("_area")).agg(
+        F.when(P * N > 0, F.sum(F.col("_neg") * (tp - F.col("_pos") / 2.0)) / (P * N)).alias("roc_auc"),
+        F.when(P > 0, F.sum(F.col("_pos") * (prec + prec0) / 2.0) / P).alias("pr_auc"))
+    out = sums.join(areas, sums["_by"].eqNullSafe(areas["_area"]), "left")
+    a, b, x, y = (F.col(k).cast("double") for k in ("tp", "fp", "tn", "fn"))
+    ratio = lambda u, v: F.when(v > 0, u / v).otherwise(F.lit(0.0))
+    return out.select(
+        F.col("_by").alias(by), "n", "tp", "fp", "tn", "fn", ((a + x) / F.col("n")).alias("accuracy_score"),
+        ratio(a, a + b).alias("precision_score"), ratio(a, a + y).alias("recall_score"), ratio(2 * a, 2 * a + b + y).alias("f1_score"),
+        "log_loss", "roc_auc", "pr_auc")

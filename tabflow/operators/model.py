@@ -1,10 +1,10 @@
-"""Distributed training and batch scoring with Spark ML.
+"""Distributed training and batch scoring.
 
-The single-machine boosters of the original notebooks become
-``GBTClassifier`` pipelines: training runs as tree-level aggregation jobs on
-the executors (histograms per node are merged, rows never leave their
-partition), and scoring is ``PipelineModel.transform`` — a narrow projection
-that keeps every row, so predictions need no join back and no collect.
+The production booster is ``boosting.train_booster`` with all its settings;
+the baseline is a Spark ML pipeline around ``GBTClassifier``. Both train as
+tree-level aggregation jobs on the executors (histograms per node are merged,
+rows never leave their partition), and scoring is a narrow projection that
+keeps every row, so predictions need no join back and no collect.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabflow.operators.boosting import BoostedTrees, register_function, train_booster, transform_native
 from tabflow.operators.checks import schema_from_json, schema_to_json
 from tabflow.session import scratch_root, shuffle_partitions
 
@@ -53,25 +54,6 @@ BASELINE_PARAMS = {
 HASH_FEATURES = 4096
 
 
-def gbt_from_production(params: dict = PRODUCTION_PARAMS, features: str = "features", label: str = "label") -> GBTClassifier:
-    """Map the production settings onto GBTClassifier.
-
-    n_estimators -> maxIter, max_depth -> maxDepth, max_bin -> maxBins,
-    min_child_samples -> minInstancesPerNode, random_state -> seed,
-    colsample_bytree -> featureSubsetStrategy (per node here, per tree there);
-    learning_rate is clipped to 1.0 (Spark's upper bound); subsample is inactive
-    in the original library without a bagging frequency, so 1.0 here.
-    lambda_l1, lambda_l2, num_leaves, path_smooth have no Spark twin."""
-    return GBTClassifier(
-        featuresCol=features, labelCol=label,
-        maxIter=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
-        maxBins=int(params["max_bin"]), minInstancesPerNode=int(params["min_child_samples"]),
-        featureSubsetStrategy=str(round(float(params["colsample_bytree"]), 4)),
-        subsamplingRate=1.0, stepSize=min(1.0, float(params["learning_rate"])),
-        seed=int(params["random_state"]), cacheNodeIds=False, checkpointInterval=10,
-    )
-
-
 def gbt_from_baseline(params: dict = BASELINE_PARAMS, features: str = "features", label: str = "label") -> GBTClassifier:
     """learning_rate -> stepSize, max_depth -> maxDepth, subsample ->
     subsamplingRate, random_state -> seed, n_estimators -> maxIter;
@@ -148,27 +130,23 @@ def _spread(df: DataFrame) -> DataFrame:
 
 @dataclass
 class TrainedModel:
-    model: PipelineModel
+    model: PipelineModel | BoostedTrees
     features: list[str]
     label: str
     signature: str  # input schema JSON
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(df)
+        """df with ``prediction`` and ``probability`` (of the label 1, or a
+        vector of both labels' from a pipeline)."""
+        return transform_native(self.model, df) if isinstance(self.model, BoostedTrees) else self.model.transform(df)
 
 
 def train_production(train: DataFrame, features: Sequence[str], label: str,
                      params: dict = PRODUCTION_PARAMS) -> TrainedModel:
-    """Impute -> assemble -> boosted trees with the production settings."""
-    features = list(features)
-    stages = assemble(features) + [gbt_from_production(params)]
-    data = _prepare(train, features, label).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = Pipeline(stages=stages).fit(data)
-    finally:
-        data.unpersist()
-    sig = T.StructType([T.StructField(c, T.DoubleType()) for c in features])
-    return TrainedModel(model, features, label, schema_to_json(sig))
+    """Second-order boosted trees with the production settings, missing values
+    routed by the trees (``subsample`` has no frequency and is inactive)."""
+    booster = train_booster(train, features, label, params)
+    return TrainedModel(booster, booster.features, label, booster.signature)
 
 
 def train_baseline(train: DataFrame, numeric: Sequence[str], label: str, hashed: Sequence[str] = (),
@@ -208,27 +186,61 @@ def score(model: TrainedModel, df: DataFrame, keep: Sequence[str] | None = None,
 
     src = df.select(*[typed(c) if c in types else F.col(f"`{c}`") for c in df.columns])
     out = model.transform(src)
+    share = F.col("probability") if isinstance(model.model, BoostedTrees) else vector_to_array(F.col("probability"))[1]
     return out.select(
         *[F.col(f"`{c}`") for c in keep],
         F.col("prediction").cast("int").alias(prediction),
-        vector_to_array(F.col("probability"))[1].alias(probability),
+        share.alias(probability),
     )
 
 
 def save_model(model: TrainedModel, path: str) -> None:
-    """Pipeline to ``path/model``; the input signature to ``path/signature``
-    (written through Spark, so any shared file system works)."""
+    """A pipeline to ``path/model``; the input signature and boosted trees to
+    ``path/signature`` (written through Spark, so any shared file system works)."""
     spark = SparkSession.getActiveSession()
-    model.model.write().overwrite().save(f"{path}/model")
-    meta = spark.createDataFrame([(model.signature, model.label, ",".join(model.features))],
-                                 "signature string, label string, features string")
+    trees = model.model.to_json() if isinstance(model.model, BoostedTrees) else None
+    if trees is None:
+        model.model.write().overwrite().save(f"{path}/model")
+    meta = spark.createDataFrame([(model.signature, model.label, ",".join(model.features), trees)],
+                                 "signature string, label string, features string, trees string")
     meta.coalesce(1).write.mode("overwrite").json(f"{path}/signature")
 
 
 def load_model(path: str) -> TrainedModel:
     spark = SparkSession.getActiveSession()
-    meta = spark.read.json(f"{path}/signature").first()
-    return TrainedModel(PipelineModel.load(f"{path}/model"), meta["features"].split(","), meta["label"], meta["signature"])
+    meta = spark.read.schema("signature string, label string, features string, trees string").json(f"{path}/signature").first()
+    model = BoostedTrees.from_json(meta["trees"]) if meta["trees"] else PipelineModel.load(f"{path}/model")
+    return TrainedModel(model, meta["features"].split(","), meta["label"], meta["signature"])
+
+
+def register_scoring(spark: SparkSession, model: TrainedModel, name: str, stage: str) -> str:
+    """The SQL function ``<name>_<stage>`` of a model of boosted trees."""
+    if not isinstance(model.model, BoostedTrees):
+        raise ValueError("only boosted trees are compiled to a SQL function")
+    return register_function(spark, model.model, name, stage)
+
+
+def hash_signed(df: DataFrame, cols: Sequence[str] | str, n_features: int = HASH_FEATURES, output: str = "hashed") -> DataFrame:
+    """Hash text columns into ``n_features`` slots with signs: a sparse row as
+    an array of (slot, value), ascending.
+
+    The first 32 bits of a value's md5 choose its slot (modulo ``n_features``,
+    after the top bit) and, by the top bit, its sign, so that values that meet
+    in a slot cancel out on average instead of adding up. Null counts as ''.
+    Slots whose signs add up to 0 are left out."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+
+    def one(c: str):
+        bits = F.conv(F.substring(F.md5(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long")
+        return F.struct(((bits % 2**31) % n_features).cast("int").alias("slot"), F.when(bits >= 2**31, -1.0).otherwise(1.0).alias("value"))
+
+    pairs = F.array(*[one(c) for c in cols])
+    if len(cols) > 1:
+        slots = F.array_sort(F.array_distinct(F.transform(pairs, lambda x: x["slot"])))
+        summed = F.transform(slots, lambda k: F.struct(k.alias("slot"), F.aggregate(
+            F.filter(pairs, lambda x: x["slot"] == k), F.lit(0.0), lambda total, x: total + x["value"]).alias("value")))
+        pairs = F.filter(summed, lambda x: x["value"] != 0)
+    return df.withColumn(output, pairs)
 
 
 def hash_text(df: DataFrame, cols: Sequence[str] | str, n_features: int = HASH_FEATURES,

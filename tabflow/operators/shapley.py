@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from itertools import combinations
+from math import comb
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -130,3 +132,104 @@ def shapley(
     return (gains.groupBy("_id", "_key", "_feat").agg(F.avg("_gain").alias("shap_value"))
                  .select(F.col("_key").alias(key), F.element_at(names, F.col("_feat") + 1).alias("feature"),
                          "shap_value"))
+
+
+def coalitions(d: int, most: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Coalitions of d features (0/1 rows, neither empty nor full) and their
+    kernel weights, which sum to 1.
+
+    All of them if there are at most ``most``. Otherwise whole sizes from the
+    outside in (1 and d - 1, 2 and d - 2, ...), which weigh most, as long as
+    they fit, and for the rest seeded draws with their complements, which
+    share the weight that the sizes left have."""
+    kernel = {k: (d - 1) / (k * (d - k)) for k in range(1, d)}  # of all coalitions of a size together
+    rows, weights, left = [], [], []
+    for k in range(1, d // 2 + 1):
+        sizes = sorted({k, d - k})
+        if not left and len(rows) + sum(comb(d, s) for s in sizes) <= most:
+            for s in sizes:
+                for chosen in combinations(range(d), s):
+                    rows.append([int(i in chosen) for i in range(d)])
+                    weights.append(kernel[s] / comb(d, s))
+        else:
+            left.append(k)
+    if left:
+        rng = np.random.RandomState(seed)
+        share = np.array([sum(kernel[s] for s in {k, d - k}) for k in left])
+        drawn: Counter = Counter()
+        for _ in range(max(1, (most - len(rows)) // 2)):
+            k = left[rng.choice(len(left), p=share / share.sum())]
+            z = np.zeros(d, int)
+            z[rng.choice(d, k, replace=False)] = 1
+            drawn[tuple(z)] += 1
+            drawn[tuple(1 - z)] += 1
+        total = sum(drawn.values())
+        rows += [list(z) for z in drawn]
+        weights += [share.sum() * n / total for n in drawn.values()]
+    w = np.array(weights, float)
+    return np.array(rows, int).reshape(-1, d), w / w.sum() if len(w) else w
+
+
+def kernel_shapley(
+    model: TrainedModel,
+    examples: DataFrame,
+    background: DataFrame,
+    key: str,
+    max_coalitions: int | None = None,
+    max_background: int = 100,
+    seed: int = 0,
+    background_key: str | Sequence[str] | None = None,
+    impute: bool = True,
+    output: str = "prediction",
+) -> DataFrame:
+    """Rows ``(key, feature, shap_value)`` by weighted least squares.
+
+    For each example and coalition of features, the model's ``output`` is
+    averaged over the background rows with the coalition's features set to the
+    example's. The values are the linear model of coalitions that fits these
+    averages best under the Shapley kernel's weights and sums exactly to
+    f(x) - mean f(background). With all coalitions (at most ``max_coalitions``,
+    2 x features + 2048 if None, as common explainers take) these are the
+    exact Shapley values. Coalitions and background rows are literals, bounded
+    by the parameters; the normal equations' right sides are summed per
+    example, and their matrix is the same for all. Nulls are imputed as in
+    ``shapley``; an empty background is an error."""
+    feats = list(model.features)
+    d = len(feats)
+    text = {f.name for f in schema_from_json(model.signature).fields if isinstance(f.dataType, T.StringType)}
+    rows = sample_n(background, max_background, background_key or key, seed=seed).select(*feats).collect()
+    if not rows:
+        raise ValueError("empty background")
+    bg = [[None if r[c] is None else str(r[c]) if c in text else float(r[c]) for c in feats] for r in rows]
+    if impute:
+        modes = {c: _mode([row[i] for row in bg if row[i] is not None]) for i, c in enumerate(feats)}
+        bg = [[modes[c] if v is None else v for v, c in zip(row, feats)] for row in bg]
+        examples = examples.fillna({c: v for c, v in modes.items() if v is not None})
+    z, w = coalitions(d, 2 * d + 2048 if max_coalitions is None else max_coalitions, seed)
+    every = np.vstack([np.zeros((1, d), int), np.ones((1, d), int), z])  # none, all, the others
+    n_bg = len(bg)
+    kind = lambda c: "string" if c in text else "double"
+    known = [F.array(*[F.lit(row[f]).cast(kind(c)) for row in bg]) for f, c in enumerate(feats)]
+    member = [F.array(*[F.lit(bool(v)) for v in every[:, f]]) for f in range(d)]
+    ex = examples.select(F.col(f"`{key}`").alias("_key"), F.monotonically_increasing_id().alias("_id"), *[F.col(f"`{c}`").cast(kind(c)).alias(c) for c in feats])
+    ex = ex.withColumn("_z", F.explode(F.sequence(F.lit(0), F.lit(len(every) - 1)))).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(n_bg - 1))))
+    ex = ex.repartition(shuffle_partitions(examples.sparkSession), "_id", "_z")
+    hybrid = ex.select("_key", "_id", "_z", *[F.when(F.element_at(member[f], F.col("_z") + 1), F.col(c)).otherwise(F.element_at(known[f], F.col("_b") + 1)).alias(c) for f, c in enumerate(feats)])
+    mean = model.transform(hybrid).groupBy("_id", "_key", "_z").agg(F.avg(F.col(output).cast("double")).alias("_v"))
+    weight = F.element_at(F.array(*[F.lit(float(x)) for x in [0.0, 0.0, *w]]), F.col("_z") + 1)
+    sums = mean.groupBy("_id", "_key").agg(
+        F.max(F.when(F.col("_z") == 0, F.col("_v"))).alias("_none"), F.max(F.when(F.col("_z") == 1, F.col("_v"))).alias("_all"),
+        *[F.sum(F.when(F.element_at(member[f], F.col("_z") + 1), weight * F.col("_v")).otherwise(0.0)).alias(f"_b{f}") for f in range(d)])
+    gap = F.col("_all") - F.col("_none")
+    if d == 1:
+        values = [gap]
+    else:
+        # minimise sum w (v - none - z.phi)^2 with sum(phi) = gap: phi = inv(A) b + inv(A) 1 (gap - 1.inv(A) b) / 1.inv(A) 1
+        inverse = np.linalg.pinv((z * w[:, None]).T @ z)
+        lean, load = inverse.sum(axis=1), (z * w[:, None]).sum(axis=0)
+        b = [F.col(f"_b{f}") - float(load[f]) * F.col("_none") for f in range(d)]
+        free = [sum((float(inverse[f, k]) * b[k] for k in range(d)), F.lit(0.0)) for f in range(d)]
+        miss = gap - sum(free, F.lit(0.0))
+        values = [free[f] + float(lean[f] / lean.sum()) * miss for f in range(d)]
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), v.alias("shap_value")) for c, v in zip(feats, values)])
+    return sums.select(F.col("_key").alias(key), F.explode(pairs).alias("p")).select(key, "p.feature", "p.shap_value")

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.functions import columns as fc
-from tabflow.operators import checks, metrics, model, registry, split
+from tabflow.operators import boosting, checks, metrics, model, registry, split
 from tabflow.operators.encode import OneHot
 from tabflow.operators.scale import impute_mean, standardize
-from tabflow.operators.shapley import impute_mode, shapley
+from tabflow.operators.shapley import impute_mode, kernel_shapley, shapley
 from tabflow.plans import fixtures as fx
 from tabflow.plans import jobs
 from tabflow.session import scratch_path, scratch_root, unique_name
@@ -158,6 +158,29 @@ def q_pr_auc(spark, sf):
 
 # ------------------------------------------------------------ runs / versions
 
+def _with_probability(spark, sf):
+    """scored rows with the share n_chars / (n_chars + 1000) as probability."""
+    s = fx.scored_rows(spark, sf)
+    return s.withColumn("probability", F.col("score") / (F.col("score") + 1000.0))
+
+
+def q_log_loss(spark, sf):
+    return metrics.binary_metrics(_with_probability(spark, sf), "label", "prediction", "probability").select("n", _r("log_loss"))
+
+
+def q_evaluate(spark, sf):
+    """All classifier metrics per language in one pass over the scored rows."""
+    e = metrics.evaluate(_with_probability(spark, sf), "label", by="lang")
+    return e.select("lang", "n", "tp", "fp", "tn", "fn", *[_r(c) for c in (
+        "accuracy_score", "precision_score", "recall_score", "f1_score", "log_loss", "roc_auc", "pr_auc")])
+
+
+def q_hash_signed(spark, sf):
+    """p_type hashed into 4096 signed slots, one per value."""
+    p = model.hash_signed(fx.table(spark, sf, "part").select("p_partkey", "p_type"), "p_type")
+    return p.select("p_partkey", "p_type", F.size("hashed").alias("n_slots"), F.col("hashed")[0]["slot"].alias("slot"), F.col("hashed")[0]["value"].alias("value"))
+
+
 def q_log_runs(spark, sf):
     """Runs appended to a run table (twice: a table only grows), read back."""
     name = _table(spark, "runs")
@@ -291,12 +314,38 @@ def q_train_production(spark, sf):
     (counts, accuracy, and ROC / PR areas of the positive-class probability)."""
     m = _production_model(spark, sf)
     scored = model.score(m, _split_lineitem(spark, sf), keep=["split", "label"])
-    counts = scored.groupBy("split").agg(
-        F.count(F.lit(1)).alias("n"), *metrics.confusion_columns(F.col("label"), F.col("prediction")),
-        F.avg(F.when(F.col("label") == F.col("prediction"), 1).otherwise(0)).alias("accuracy_score"))
-    areas = [metrics.roc_pr_auc(scored.where(F.col("split") == part), "label", "probability")
-             .withColumn("split", F.lit(part)) for part in ("train", "test")]
-    return counts.join(areas[0].unionByName(areas[1]), "split")
+    return metrics.evaluate(scored, "label", by="split")
+
+
+def q_booster_split(spark, sf):
+    """The first split of a second-order tree on lineitem's quantity, discount
+    and tax under the production settings (one tree of one split, all features)."""
+    settings = {**model.PRODUCTION_PARAMS, "n_estimators": 1, "max_depth": 1, "num_leaves": 2, "colsample_bytree": 1.0}
+    booster = boosting.train_booster(fx.training_rows(spark, sf), ["l_quantity", "l_discount", "l_tax"], "label", settings)
+    nodes = booster.nodes(spark)
+    root, left, right = (nodes.where(F.col("node") == i) for i in range(3))
+    side = lambda d, name: d.select(F.col("rows").alias(f"n_{name}"), F.round("value", 6).alias(f"{name}_value"))
+    return root.select("feature", _r("threshold"), _r("gain", 3)).join(side(left, "left")).join(side(right, "right"))
+
+
+def q_booster_leaves(spark, sf):
+    """Per tree of the production model: the rows of its leaves, and whether
+    the number of leaves and the rows of each obey the settings."""
+    nodes = _production_model(spark, sf).model.nodes(spark)
+    p = model.PRODUCTION_PARAMS
+    return nodes.where("feature is null").groupBy("tree").agg(
+        F.sum("rows").alias("n"), (F.count("*") <= p["num_leaves"]).cast("int").alias("few"),
+        (F.min("rows") >= p["min_child_samples"]).cast("int").alias("filled"))
+
+
+def q_score_function(spark, sf):
+    """lineitem scored in SQL by the function of the production model: per
+    label rows, and rows where it differs from the batch score."""
+    m = _production_model(spark, sf)
+    name = model.register_scoring(spark, m, "returns", "production")
+    rows = m.transform(fx.training_rows(spark, sf))
+    in_sql = F.expr(f"{name}({', '.join(fx.TRAIN_FEATURES)})")
+    return rows.groupBy("label").agg(F.count("*").alias("n"), F.count(F.when(~in_sql.eqNullSafe(F.col("probability")), 1)).alias("n_different"))
 
 
 def q_score(spark, sf):
@@ -333,12 +382,16 @@ def q_hash_text(spark, sf):
 def q_shapley(spark, sf):
     """Importance of the four features for one held-out row, against 100
     background rows of the training part, 20 feature orders."""
-    m = _production_model(spark, sf)
+    m, example, train = _shapley_inputs(spark, sf, 1)
+    return shapley(m, example, train, key="row_key", n_orders=20, max_background=100, seed=0)
+
+
+def _shapley_inputs(spark, sf, n: int):
+    """The production model, n held-out rows with a key that occurs once, and the training part."""
     marked = _split_lineitem(spark, sf).withColumn("row_key", F.concat_ws(":", *LINE_KEY))
     test = marked.where(F.col("split") == "test")
-    train = marked.where(F.col("split") == "train")
-    example = split.sample_n(test, 1, "row_key", seed=1)
-    return shapley(m, example, train, key="row_key", n_orders=20, max_background=100, seed=0)
+    once = test.groupBy("row_key").agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in fx.TRAIN_FEATURES]).where("_n = 1").drop("_n")
+    return _production_model(spark, sf), split.sample_n(once, n, "row_key", seed=1), marked.where(F.col("split") == "train")
 
 
 def q_score_stream(spark, sf):
@@ -385,10 +438,31 @@ def q_hash_text_facts(spark, sf):
         (F.max("hash_index") - F.min("hash_index")).cast("int").alias("spread"))
 
 
+def q_kernel_shapley(spark, sf):
+    """Importance of the four features for five held-out rows by the Shapley
+    kernel (all 14 coalitions, so the values are exact), against 100 background
+    rows of the training part."""
+    m, example, train = _shapley_inputs(spark, sf, 5)
+    return kernel_shapley(m, example, train, key="row_key", max_background=100, seed=0, output="probability")
+
+
+def _adds_up(spark, sf, values, n: int, output: str):
+    """Per example: features with a value, and whether the values add up to
+    the model's output less its mean over the background."""
+    m, example, train = _shapley_inputs(spark, sf, n)
+    mean = m.transform(split.sample_n(train, 100, "row_key", seed=0)).agg(F.avg(F.col(output)).alias("mean"))
+    at = m.transform(example).select("row_key", F.col(output).cast("double").alias("at"))
+    total = values.groupBy("row_key").agg(F.count("shap_value").alias("n_features"), F.sum("shap_value").alias("total"))
+    out = total.join(at, "row_key").crossJoin(F.broadcast(mean))  # one row
+    return out.select("row_key", "n_features", (F.abs(F.col("total") - (F.col("at") - F.col("mean"))) < 1e-6).cast("int").alias("adds_up"))
+
+
 def q_shapley_facts(spark, sf):
-    """A finite value for each feature of the one example."""
-    finite = F.col("shap_value").isNotNull() & ~F.isnan("shap_value") & (F.abs("shap_value") <= 1)
-    return q_shapley(spark, sf).select("feature", finite.cast("int").alias("finite"))
+    return _adds_up(spark, sf, q_shapley(spark, sf), 1, "prediction")
+
+
+def q_kernel_shapley_facts(spark, sf):
+    return _adds_up(spark, sf, q_kernel_shapley(spark, sf), 5, "probability")
 
 
 QUERIES: dict[str, Query] = {
@@ -412,6 +486,9 @@ QUERIES: dict[str, Query] = {
     "binary_metrics": q_binary_metrics,
     "roc_auc": q_roc_auc,
     "pr_auc": q_pr_auc,
+    "log_loss": q_log_loss,
+    "evaluate": q_evaluate,
+    "hash_signed": q_hash_signed,
     "log_runs": q_log_runs,
     "select_run": q_select_run,
     "leaderboard": q_leaderboard,
@@ -431,16 +508,21 @@ QUERIES: dict[str, Query] = {
     "external_table": q_external_table,
     "feature_table": q_feature_table,
     "train_production": q_train_production,
+    "booster_split": q_booster_split,
+    "booster_leaves": q_booster_leaves,
+    "score_function": q_score_function,
     "score": q_score,
     "check_predicts": q_check_predicts,
     "hash_text": q_hash_text,
     "shapley": q_shapley,
+    "kernel_shapley": q_kernel_shapley,
     "score_stream": q_score_stream,
     "train_production_facts": q_train_production_facts,
     "score_facts": q_score_facts,
     "score_stream_facts": q_score_stream_facts,
     "hash_text_facts": q_hash_text_facts,
     "shapley_facts": q_shapley_facts,
+    "kernel_shapley_facts": q_kernel_shapley_facts,
     # 100 trees of depth 8 (the baseline's settings): the slowest query, last
     "train_baseline": q_train_baseline,
 }

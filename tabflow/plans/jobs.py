@@ -148,12 +148,15 @@ LOGGED_NAMES = {"n": "example_count", "tp": "true_positives", "fp": "false_posit
                 "tn": "true_negatives", "fn": "false_negatives", "pr_auc": "precision_recall_auc"}
 
 
-def _metric_row(scored: DataFrame, label: str, prefix: str) -> dict[str, float]:
-    """One aggregate row of classifier metrics, named as a run logs them."""
-    m = metrics.binary_metrics(scored, label, "prediction", "probability").first().asDict()
-    area = metrics.roc_pr_auc(scored, label, "probability").first()
-    m["roc_auc"], m["pr_auc"] = area.roc_auc, area.pr_auc
-    return {f"{prefix}{LOGGED_NAMES.get(k, k)}": float(v) for k, v in m.items() if v is not None}
+def _metric_rows(scored: DataFrame, label: str, prefixes: Mapping[str, str]) -> dict[str, float]:
+    """The classifier metrics of each split, named as a run logs them, from
+    one scoring pass; ``prefixes`` by split."""
+    out: dict[str, float] = {}
+    for row in metrics.evaluate(scored, label, by="_split").collect():  # a row per split
+        m = row.asDict()
+        prefix = prefixes[m.pop("_split")]
+        out.update({f"{prefix}{LOGGED_NAMES.get(k, k)}": float(v) for k, v in m.items() if v is not None})
+    return out
 
 
 def train(ws: Workspace, feature_table: str, label: str, key: Sequence[str] | str, run_name: str,
@@ -165,11 +168,9 @@ def train(ws: Workspace, feature_table: str, label: str, key: Sequence[str] | st
     cols = feature_columns(feats, label, key, ignore)
     marked = split.hash_split(feats, key, test_share, seed, out="_split")
     tr = marked.where(F.col("_split") == "train").drop("_split")
-    te = marked.where(F.col("_split") == "test").drop("_split")
     m = model.train_production(tr, cols, label, params or model.PRODUCTION_PARAMS)
     run_id = uuid.uuid4().hex
-    mets = {**_metric_row(model.score(m, tr, keep=[label]), label, "training_"),
-            **_metric_row(model.score(m, te, keep=[label]), label, "test_")}
+    mets = _metric_rows(model.score(m, marked, keep=[label, "_split"]), label, {"train": "training_", "test": "test_"})
     model.save_model(m, f"{ws.model_root}/{run_id}")
     tags = {"db_table": feature_table, "demographic_vars": demographic_vars,
             "model_path": f"{ws.model_root}/{run_id}", "label": label,
@@ -246,9 +247,9 @@ def validate(ws: Workspace, name: str, version: int | None = None, stage: str =
     if holdout:
         feats = split.hash_split(feats, key, float(rtags.get("test_share") or 0.2), int(rtags.get("seed") or 0), out="_split").where(F.col("_split") == "test").drop("_split")
     demo = [c.strip() for c in (rtags.get("demographic_vars") or "").split(",") if c.strip()]
-    # the model carries a signature and the input has every signature column
-    sig_cols = [f.name for f in checks.schema_from_json(m.signature).fields] if m.signature else []
-    results = {"has_signature": "1" if sig_cols and set(sig_cols) <= set(feats.columns) else "0"}
+    # the model carries a signature and the input has every signature column in a type that fits
+    signed = bool(m.signature) and bool(checks.schema_from_json(m.signature).fields)
+    results = {"has_signature": "1" if signed and not checks.signature_faults(feats, m.signature) else "0"}
     try:
         scored = model.score(m, feats, keep=[label, *demo])
         # one pass over the scored table: per slice (null slice keys included)

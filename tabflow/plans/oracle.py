@@ -12,6 +12,7 @@ cast to BIGINT.
 
 from __future__ import annotations
 
+from tabflow.operators.model import PRODUCTION_PARAMS
 from tabflow.plans import fixtures as fx
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -151,8 +152,38 @@ FROM lineitem GROUP BY 1"""
 SELECT l_linenumber, COUNT(*) AS n, COUNT(*) AS n_scored FROM lineitem GROUP BY 1"""
     q["hash_text_facts"] = """
 SELECT p_type, COUNT(*) AS n, 1 AS most, 1 AS least, 0 AS spread FROM part GROUP BY 1"""
-    q["shapley_facts"] = """
-SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS feature, 1 AS finite"""
+    sampled = f"""
+SELECT row_key, CAST(4 AS BIGINT) AS n_features, 1 AS adds_up FROM (
+  SELECT row_key FROM (SELECT l_orderkey || ':' || l_linenumber AS row_key FROM lineitem WHERE {line_bucket} < 858993459)
+  GROUP BY row_key HAVING COUNT(*) = 1 ORDER BY {bucket_sql(1, 'row_key')}, row_key LIMIT %d)"""
+    q["shapley_facts"] = sampled % 1
+    q["kernel_shapley_facts"] = sampled % 5
+    q["booster_leaves"] = f"""
+SELECT CAST(tree AS INTEGER) AS tree, n, 1 AS few, 1 AS filled
+FROM range({PRODUCTION_PARAMS['n_estimators']}) t(tree), (SELECT COUNT(*) AS n FROM lineitem WHERE {line_bucket} >= 858993459)"""
+    q["score_function"] = """
+SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, COUNT(*) AS n, CAST(0 AS BIGINT) AS n_different FROM lineitem GROUP BY 1"""
+    l1, l2, smooth = (PRODUCTION_PARAMS[k] for k in ("lambda_l1", "lambda_l2", "path_smooth"))
+    least, rate = PRODUCTION_PARAMS["min_child_samples"], PRODUCTION_PARAMS["learning_rate"]
+    output = lambda g, h, n: f"(-SIGN({g}) * GREATEST(ABS({g}) - {l1}, 0) / ({h} + {l2}) * ({n} / {smooth}) / ({n} / {smooth} + 1))"
+    gain = lambda g, h, w: f"(-(2 * SIGN({g}) * GREATEST(ABS({g}) - {l1}, 0) * {w} + ({h} + {l2}) * {w} * {w}))"
+    # every cut of every feature; the root's gradients add up to 0, and so do its output and gain
+    q["booster_split"] = f"""
+WITH r AS (SELECT CAST(l_quantity AS DOUBLE) AS l_quantity, l_discount, l_tax, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS y FROM lineitem),
+u AS (SELECT 'l_quantity' AS f, 0 AS k, l_quantity AS v, y FROM r UNION ALL SELECT 'l_discount', 1, l_discount, y FROM r UNION ALL SELECT 'l_tax', 2, l_tax, y FROM r),
+a AS (SELECT f, k, v, COUNT(*) AS n, SUM(y) AS s FROM u GROUP BY f, k, v),
+c AS (SELECT f, k, v, LEAD(v) OVER o AS above, CAST(SUM(n) OVER o AS DOUBLE) AS nl, SUM(s) OVER o AS sl,
+        CAST(SUM(n) OVER (PARTITION BY f) AS DOUBLE) AS nt, SUM(s) OVER (PARTITION BY f) AS st FROM a WINDOW o AS (PARTITION BY f ORDER BY v)),
+d AS (SELECT *, nt - nl AS nr, st / nt AS p, nl * st / nt - sl AS gl, (nt - nl) * st / nt - (st - sl) AS gr FROM c WHERE above IS NOT NULL),
+e AS (SELECT *, nl * p * (1 - p) AS hl, nr * p * (1 - p) AS hr FROM d WHERE nl >= {least} AND nr >= {least}),
+w AS (SELECT *, {output("gl", "hl", "nl")} AS wl, {output("gr", "hr", "nr")} AS wr FROM e),
+x AS (SELECT *, {gain("gl", "hl", "wl")} + {gain("gr", "hr", "wr")} AS gain FROM w)
+SELECT f AS feature, ROUND((v + above) / 2, 6) AS threshold, ROUND(gain, 3) AS gain, CAST(nl AS BIGINT) AS n_left, ROUND(wl * {rate}, 6) AS left_value,
+       CAST(nr AS BIGINT) AS n_right, ROUND(wr * {rate}, 6) AS right_value
+FROM x ORDER BY gain DESC, k, v LIMIT 1"""
+    q["hash_signed"] = """
+SELECT p_partkey, p_type, 1 AS n_slots, CAST((b % 2147483648) % 4096 AS INTEGER) AS slot, CASE WHEN b >= 2147483648 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END AS value
+FROM (SELECT p_partkey, p_type, CAST('0x' || substr(md5(COALESCE(p_type, '')), 1, 8) AS BIGINT) AS b FROM part)"""
     q["hash_split"] = f"""
 SELECT c_custkey, bucket, CASE WHEN bucket < 858993459 THEN 'test' ELSE 'train' END AS split
 FROM (SELECT c_custkey, {bucket_sql(0, 'c_custkey')} AS bucket FROM customer)"""
@@ -204,6 +235,26 @@ p AS (SELECT *, tp / (tp + fp) AS prec,
 SELECT ROUND(SUM(neg * (tp - pos / 2.0)) / (SUM(pos) * SUM(neg)), 6) AS roc_auc FROM p"""
     q["pr_auc"] = curve + """
 SELECT ROUND(SUM(pos * (prec + COALESCE(prev_prec, prec)) / 2.0) / SUM(pos), 6) AS pr_auc FROM p"""
+    shares = f"SELECT *, score / (score + 1000.0) AS p FROM ({SCORED})"
+    loss = "-AVG(CASE WHEN label = 1 THEN LN(LEAST(GREATEST(p, 1e-15), 1 - 1e-15)) ELSE LN(1 - LEAST(GREATEST(p, 1e-15), 1 - 1e-15)) END)"
+    q["log_loss"] = f"""
+SELECT COUNT(*) AS n, ROUND({loss}, 6) AS log_loss FROM ({shares})"""
+    q["evaluate"] = f"""
+WITH r AS ({shares}),
+s AS (SELECT lang, p, CAST(SUM(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pos, CAST(SUM(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS DOUBLE) AS neg
+      FROM r WHERE p IS NOT NULL GROUP BY lang, p),
+c AS (SELECT *, SUM(pos) OVER o AS tp, SUM(neg) OVER o AS fp FROM s WINDOW o AS (PARTITION BY lang ORDER BY p DESC)),
+k AS (SELECT *, tp / (tp + fp) AS prec, LAG(tp / (tp + fp)) OVER (PARTITION BY lang ORDER BY p DESC) AS prev FROM c),
+a AS (SELECT lang, ROUND(CASE WHEN SUM(pos) * SUM(neg) > 0 THEN SUM(neg * (tp - pos / 2.0)) / (SUM(pos) * SUM(neg)) END, 6) AS roc_auc,
+             ROUND(CASE WHEN SUM(pos) > 0 THEN SUM(pos * (prec + COALESCE(prev, prec)) / 2.0) / SUM(pos) END, 6) AS pr_auc FROM k GROUP BY lang),
+m AS (SELECT lang, COUNT(*) AS n, {loss} AS loss,
+        CAST(COUNT(*) FILTER (label = 1 AND prediction = 1) AS BIGINT) AS tp, CAST(COUNT(*) FILTER (label <> 1 AND prediction = 1) AS BIGINT) AS fp,
+        CAST(COUNT(*) FILTER (label <> 1 AND prediction <> 1) AS BIGINT) AS tn, CAST(COUNT(*) FILTER (label = 1 AND prediction <> 1) AS BIGINT) AS fn
+      FROM r GROUP BY lang)
+SELECT m.lang, n, tp, fp, tn, fn, ROUND((tp + tn) / n, 6) AS accuracy_score,
+  ROUND(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision_score, ROUND(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall_score,
+  ROUND(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1_score, ROUND(loss, 6) AS log_loss, roc_auc, pr_auc
+FROM m JOIN a ON m.lang IS NOT DISTINCT FROM a.lang"""
     q["log_runs"] = f"""
 SELECT run_id, status, end_time, deleted, test_accuracy_score, run_name FROM ({RUNS})"""
     q["select_run"] = f"""

@@ -70,3 +70,31 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     except (TypeError, ValueError):
         return int(os.cpu_count() or 8)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, by way of the shared folder, for
+    clusters (and working directories) where it isn't installed."""
+    import io
+    import zipfile
+    from pathlib import Path
+
+    from pyarrow import fs as pafs
+
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    top, data = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f"{top.name}/{f.relative_to(top)}")
+    folder = scratch_path(spark, "package")
+    fs, root = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(root, recursive=True)
+    with fs.open_output_stream(f"{root}/{top.name}.zip") as out:
+        out.write(data.getvalue())
+    spark.sparkContext.addPyFile(f"{folder}/{top.name}.zip")

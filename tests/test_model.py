@@ -1,9 +1,15 @@
+import hashlib
+import itertools
+import math
+from collections import Counter
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from tabflow.operators import checks, model, split
-from tabflow.operators.shapley import mode_values, shapley
+from tabflow.operators.shapley import coalitions, kernel_shapley, mode_values, shapley
 from tabflow.plans import fixtures as fx
 from tabflow.session import scratch_path
 
@@ -65,6 +71,57 @@ def test_shapley_sums_to_prediction_gap(spark, trained):
     assert vals.count() == 2 * len(fx.TRAIN_FEATURES)
 
 
+@pytest.mark.parametrize("output", ["prediction", "probability"])
+def test_kernel_shapley_is_exact_with_all_coalitions(spark, trained, output):
+    rows = fx.training_rows(spark, SF001).withColumn("row_key", F.concat_ws(":", *KEY)).dropDuplicates(["row_key"])
+    ex, bg = split.sample_n(rows, 2, "row_key", seed=3), split.sample_n(rows, 12, "row_key", seed=4)
+    got = {(r.row_key, r.feature): r.shap_value for r in kernel_shapley(trained, ex, rows, "row_key", max_background=12, seed=4, output=output).collect()}
+    feats = fx.TRAIN_FEATURES
+    x = [[float(r[c]) for c in feats] for r in ex.orderBy("row_key").collect()]
+    b = np.array([[float(r[c]) for c in feats] for r in bg.collect()])
+
+    def value(row, chosen):
+        m = b.copy()
+        m[:, list(chosen)] = np.array(row)[list(chosen)]
+        margin = trained.model.margins(m)
+        return np.mean(margin > 0) if output == "prediction" else np.mean(1 / (1 + np.exp(-margin)))
+
+    for k, row in zip(sorted({k for k, _ in got}), x):
+        for f, name in enumerate(feats):
+            others = [i for i in range(4) if i != f]
+            exact = sum(math.factorial(n) * math.factorial(3 - n) / 24 * (value(row, [*s, f]) - value(row, s)) for n in range(4) for s in itertools.combinations(others, n))
+            assert got[k, name] == pytest.approx(exact, abs=1e-9)
+
+
+def test_coalitions():
+    z, w = coalitions(4, 100)
+    assert len(z) == 14 and w.sum() == pytest.approx(1) and len({tuple(r) for r in z}) == 14
+    assert w[0] == pytest.approx(3 / (1 * 3) / 4 / (1 + 3 / 4 + 1))  # a size's weight, shared by its coalitions
+    z, w = coalitions(14, 300, seed=1)
+    assert 0 < len(z) <= 302 and w.sum() == pytest.approx(1) and set(z.sum(1)) <= set(range(1, 14))
+    assert {tuple(r) for r in z} == {tuple(1 - r) for r in z}
+    assert len(coalitions(1, 10)[0]) == 0
+
+
+def test_hash_signed_by_brute_force(spark):
+    rows = [(1, "a", "b"), (2, None, "é"), (3, "x", "x"), (4, "", "a")]
+    got = {r.i: [(p.slot, p.value) for p in r.hashed] for r in model.hash_signed(spark.createDataFrame(rows, "i int, p string, q string"), ["p", "q"], 8).collect()}
+    for i, *texts in rows:
+        slots = Counter()
+        for t in texts:
+            bits = int(hashlib.md5((t or "").encode()).hexdigest()[:8], 16)
+            slots[bits % 2**31 % 8] += -1 if bits >= 2**31 else 1
+        assert got[i] == sorted((k, float(v)) for k, v in slots.items() if v)
+
+
+def test_scoring_function_by_stage(spark, trained):
+    name = model.register_scoring(spark, trained, "churn", "Production")
+    rows = fx.training_rows(spark, SF001)
+    model.score(trained, rows, keep=fx.TRAIN_FEATURES).createOrReplaceTempView("lines_to_score")
+    got = spark.sql(f"SELECT count(*) AS n, count_if({name}({', '.join(fx.TRAIN_FEATURES)}) = probability) AS same FROM lines_to_score").first()
+    assert name == "churn_production" and got.n == got.same == rows.count()
+
+
 def test_mode_values_ties_smallest(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (2.0, 6.0), (1.0, None)], "a double, b double")
     assert mode_values(df, ["a", "b"]) == {"a": 1.0, "b": 5.0}
