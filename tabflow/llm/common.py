@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
-from tabflow.session import scratch_path
+from tabflow.session import scratch_path, ship  # noqa: F401
 
 #: Bytes of text that one Python call works on at a time; bounds a worker's memory whatever the batch it is handed.
 SLICE_BYTES = 4 << 20
@@ -49,31 +49,6 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(a, b - a)
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, by way of the shared folder, for clusters where it isn't installed."""
-    import io
-    import zipfile
-    from pathlib import Path
-
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    _shipped.add(app)
-    top, data = Path(__file__).resolve().parents[1], io.BytesIO()
-    with zipfile.ZipFile(data, "w") as z:
-        for f in sorted(top.rglob("*.py")):
-            z.write(f, f"{top.name}/{f.relative_to(top)}")
-    folder = scratch_path(spark, "package")
-    fs, root = file_system(folder)
-    fs.create_dir(root, recursive=True)
-    with fs.open_output_stream(f"{root}/{top.name}.zip") as out:
-        out.write(data.getvalue())
-    spark.sparkContext.addPyFile(f"{folder}/{top.name}.zip")
-
-
 def materialise_at(spark: SparkSession, df: DataFrame, name: str, compression: str = "zstd") -> tuple[DataFrame, str]:
     """Like materialise, with the folder's path for drop_table."""
     path = scratch_path(spark, name)
