@@ -157,7 +157,7 @@ def evaluate(df: DataFrame, label: str, prediction: str = "prediction", probabil
     pos = F.when(F.col(label) == F.lit(pos_label), 1).otherwise(0)
     counts = (df.select(F.col(by).alias("_by"), F.col(probability).cast("double").alias("_p"), (F.col(prediction) == F.lit(pos_label)).alias("_hit"), pos.cast("bigint").alias("_pos"))
               .groupBy("_by", "_p", "_hit").agg(F.sum("_pos").alias("_pos"), F.sum(1 - F.col("_pos")).alias("_neg")).checkpoint())
-    clipped = F.least(F.greatest(F.col("_p"), F.lit(1e-15)), F.lit(1 - 1e-15))
+    clipped = F.when(F.col("_p").isNotNull(), F.least(F.greatest(F.col("_p"), F.lit(1e-15)), F.lit(1 - 1e-15)))
     both = F.col("_pos") + F.col("_neg")
     hit, miss = F.col("_hit"), ~F.col("_hit")
     some = lambda c, v: F.coalesce(F.sum(F.when(c, v)), F.lit(0)).cast("bigint")

@@ -66,3 +66,39 @@ def standardize(df: DataFrame, cols: Iterable[str], stats: Mapping[str, tuple] |
         else:
             out.append(F.col(f"`{c}`"))
     return df.select(*out)
+
+
+# ---------------------------------------------------------------- mergeable state
+
+def moment_state(df: DataFrame, cols: Iterable[str], by: str) -> DataFrame:
+    """(``by``, column, n, mean, m2) of the non-missing values: what a month's
+    rows add to the fits of ``impute_mean`` and ``standardize``. Stored, it
+    spares later fits a scan of that month."""
+    values = df.select(F.col(f"`{by}`").alias(by), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.when(~_missing(c), F.col(f"`{c}`").cast("double")).alias("x")) for c in cols])).alias("p"))
+    x = F.col("p.x")
+    return values.groupBy(by, F.col("p.column").alias("column")).agg(
+        F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2"))
+
+
+def merge_moments(state: DataFrame) -> dict[str, tuple[float | None, float | None]]:
+    """column: (mean, population deviation) over all rows of the states (a row
+    per column reaches the driver); for ``standardize``, and the means for
+    ``impute_mean``."""
+    whole = state.groupBy("column").agg(F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean"))
+    spread = state.join(whole, "column").groupBy("column").agg(
+        F.first("_mean").alias("mean"), F.sqrt(F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mean")) ** 2) / F.first("_n")).alias("sd"))
+    return {r["column"]: (r["mean"], r["sd"]) for r in spread.collect()}
+
+
+def mode_state(df: DataFrame, cols: Iterable[str], by: str) -> DataFrame:
+    """(``by``, column, value, n): how often each non-null number occurs."""
+    values = df.select(F.col(f"`{by}`").alias(by), F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols])).alias("p")).select(by, "p.*")
+    return values.where(F.col("value").isNotNull()).groupBy(by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_modes(state: DataFrame) -> dict[str, float]:
+    """The most frequent value of each column over all states, ties to the smallest; for ``impute_mode``."""
+    counts = state.groupBy("column", "value").agg(F.sum("n").alias("n"))
+    best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("m"))
+    return {r["column"]: r["m"]["value"] for r in best.collect()}

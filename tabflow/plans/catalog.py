@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.functions import columns as fc
-from tabflow.operators import boosting, checks, metrics, model, registry, split
+from tabflow.operators import boosting, checks, encode, metrics, model, registry, scale, split, state
 from tabflow.operators.encode import OneHot
 from tabflow.operators.scale import impute_mean, standardize
 from tabflow.operators.shapley import impute_mode, kernel_shapley, shapley
@@ -98,6 +98,44 @@ def q_standardize(spark, sf):
     return standardize(c, ["c_acctbal"]).select("c_custkey", _r("c_acctbal"))
 
 
+def q_drop_label_key(spark, sf):
+    """The feature columns of the attrition table: neither label nor key."""
+    feats = q_build_features(spark, sf)
+    return feats.select(*[F.col(f"`{c}`") for c in jobs.feature_columns(feats, "churn", "o_orderkey", ignore=["o_orderdate"])])
+
+
+def q_encode_categories(spark, sf):
+    """orders with customer and priority as places in a one-hot vector that is
+    as long as there are customers and priorities."""
+    o = fx.attrition_rows(spark, sf).select("o_orderkey", "o_custkey", "o_orderpriority")
+    names = ["o_custkey", "o_orderpriority"]
+    coded = encode.encode_sparse(o, encode.category_table(o, names), names)
+    return coded.select("o_orderkey", F.get("indices", F.lit(0)).alias("customer_place"), F.get("indices", F.lit(1)).alias("priority_place"), "n_features")
+
+
+def q_impute_mean_merged(spark, sf):
+    """impute_mean from the stored moments of each order month."""
+    o = fx.orders_with_nulls(spark, sf).withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    name = _table(spark, "moments")
+    tables.write_table(scale.moment_state(o, ["o_totalprice"], "month"), name)
+    means = {c: m for c, (m, _) in scale.merge_moments(tables.read_table(spark, name)).items()}
+    return impute_mean(o, ["o_totalprice"], means).select("o_orderkey", _r("o_totalprice"))
+
+
+def q_standardize_merged(spark, sf):
+    """standardize from the moments of each nation's customers."""
+    c = fx.table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    stats = scale.merge_moments(scale.moment_state(c, ["c_acctbal"], "c_nationkey"))
+    return standardize(c, ["c_acctbal"], stats).select("c_custkey", _r("c_acctbal"))
+
+
+def q_impute_mode_merged(spark, sf):
+    """impute_mode from the value counts of each order month."""
+    o = fx.orders_with_nulls(spark, sf).withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    modes = scale.merge_modes(scale.mode_state(o, ["o_totalprice"], "month"))
+    return impute_mode(o.select("o_orderkey", "o_totalprice"), ["o_totalprice"], modes)
+
+
 # ------------------------------------------------------------ splits
 
 def q_hash_split(spark, sf):
@@ -218,6 +256,23 @@ def q_current_tags(spark, sf):
     return registry.current_tags(fx.version_events(spark, sf))
 
 
+def _advanced(spark, sf):
+    """The state table after the event log has grown to a quarter, to three quarters, and whole."""
+    name, ev = _table(spark, "state"), fx.version_events(spark, sf)
+    top = ev.agg(F.max("seq")).first()[0] or 0
+    for share in (0.25, 0.75, 1.0):
+        state.advance(spark, ev.where(F.col("seq") <= int(top * share)), name)
+    return tables.read_table(spark, name)
+
+
+def q_current_stage_increment(spark, sf):
+    return state.stage_view(_advanced(spark, sf))
+
+
+def q_current_tags_increment(spark, sf):
+    return state.tag_view(_advanced(spark, sf))
+
+
 def q_find_release(spark, sf):
     ev = fx.version_events(spark, sf)
     return registry.find_release(registry.current_stage(ev), registry.current_tags(ev))
@@ -475,6 +530,11 @@ QUERIES: dict[str, Query] = {
     "fill_constant": q_fill_constant,
     "impute_mode": q_impute_mode,
     "standardize": q_standardize,
+    "drop_label_key": q_drop_label_key,
+    "encode_categories": q_encode_categories,
+    "impute_mean_merged": q_impute_mean_merged,
+    "standardize_merged": q_standardize_merged,
+    "impute_mode_merged": q_impute_mode_merged,
     "hash_split": q_hash_split,
     "stratified_split": q_stratified_split,
     "sample_n": q_sample_n,
@@ -496,6 +556,8 @@ QUERIES: dict[str, Query] = {
     "current_stage": q_current_stage,
     "latest_versions": q_latest_versions,
     "current_tags": q_current_tags,
+    "current_stage_increment": q_current_stage_increment,
+    "current_tags_increment": q_current_tags_increment,
     "find_release": q_find_release,
     "gate": q_gate,
     "check_key": q_check_key,

@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 from tabflow.functions import columns as fc
 from tabflow.operators import checks, metrics, model, registry, split
 from tabflow.operators.encode import OneHot, OneHotModel
-from tabflow.session import scratch_path
 from tabflow.sources import files, tables
 
 
@@ -60,7 +59,8 @@ def compute_features(
 @dataclass
 class Workspace:
     """Where a model's tables live: a database holding ``runs`` and
-    ``version_events``, and a shared folder for saved pipelines."""
+    ``version_events``, and a shared folder for saved models, by default
+    one in the database's own folder."""
     spark: SparkSession
     db: str = "tabflow"
     model_root: str = field(default="")
@@ -68,7 +68,7 @@ class Workspace:
     def __post_init__(self):
         tables.ensure_database(self.spark, self.db)
         if not self.model_root:
-            self.model_root = scratch_path(self.spark, "models")
+            self.model_root = self.spark.catalog.getDatabase(self.db).locationUri.rstrip("/") + "/_models"
 
     @property
     def runs_table(self) -> str:

@@ -138,6 +138,14 @@ SELECT o_orderkey, COALESCE(o_totalprice, (SELECT v FROM m)) AS o_totalprice FRO
 SELECT c_custkey,
   ROUND((c_acctbal - (SELECT AVG(c_acctbal) FROM customer)) / (SELECT STDDEV_POP(c_acctbal) FROM customer), 6) AS c_acctbal
 FROM customer"""
+    q["impute_mean_merged"], q["impute_mode_merged"], q["standardize_merged"] = q["impute_mean"], q["impute_mode"], q["standardize"]
+    q["drop_label_key"] = f"""
+SELECT * EXCLUDE (o_orderkey, churn, o_orderdate) FROM ({q["build_features"]})"""
+    numbered = lambda c: f"SELECT v, ROW_NUMBER() OVER (ORDER BY substr(md5(v), 1, 8), v) - 1 AS i FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM orders WHERE {c} IS NOT NULL)"
+    q["encode_categories"] = f"""
+WITH a AS ({numbered("o_custkey")}), b AS ({numbered("o_orderpriority")}), n AS (SELECT COUNT(*) AS n FROM a)
+SELECT o_orderkey, a.i AS customer_place, b.i + n.n AS priority_place, n.n + (SELECT COUNT(*) FROM b) AS n_features
+FROM orders LEFT JOIN a ON a.v = CAST(o_custkey AS VARCHAR) LEFT JOIN b ON b.v = o_orderpriority, n"""
     # the model queries: what holds whatever the trees are
     line_bucket = bucket_sql(0, "l_orderkey || ':' || l_linenumber")
     q["train_production_facts"] = f"""
@@ -278,6 +286,7 @@ SELECT name, stage, MAX(version) AS version FROM stages GROUP BY name, stage"""
     q["current_tags"] = f"""
 WITH {STAGES}
 SELECT name, version, key, value FROM tags"""
+    q["current_stage_increment"], q["current_tags_increment"] = q["current_stage"], q["current_tags"]
     q["find_release"] = f"""
 WITH {STAGES}
 SELECT t.name, MAX(t.version) AS version FROM tags t JOIN stages s ON s.name = t.name AND s.version = t.version

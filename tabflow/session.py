@@ -41,11 +41,14 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); only if
-    neither is set does it create a fresh local folder and register it.
+    neither is set does it create a fresh local folder and register it, which
+    other machines could not see: on a cluster it must be set.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tabflow-")
         sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

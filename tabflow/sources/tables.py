@@ -66,19 +66,50 @@ def write_external_table(spark: SparkSession, df: DataFrame, name: str, path: st
     spark.sql(f"CREATE TABLE {_ident(name)} USING {fmt} LOCATION {_literal(path)}")
 
 
+def publish(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet", audit=None) -> None:
+    """Write, audit, publish: df is evaluated once, into a staged table beside
+    ``name``; ``audit(staged name)`` may raise, which leaves the old table as
+    it was; else the staged table takes the name by renames in the catalog.
+    df may read the table it replaces."""
+    db, _, short = _ident(name).rpartition(".")
+    at = f"{db}." if db else ""
+    staged, old = f"{at}{unique_name(short + '_staged')}", f"{at}{unique_name(short + '_old')}"
+    df.write.mode("errorifexists").format(fmt).saveAsTable(staged)
+    try:
+        if audit:
+            audit(staged)
+        there = spark.catalog.tableExists(name)
+        if there:
+            spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        except Exception:
+            if there:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    if there:
+        spark.sql(f"DROP TABLE {old}")
+
+
 def write_feature_table(spark: SparkSession, df: DataFrame, name: str, key: str | Sequence[str],
                         description: str = "", fmt: str = "parquet", check: bool = True) -> None:
-    """Feature table: check the primary key (unique, not null), overwrite,
-    and store the description and key as table metadata."""
+    """Feature table: written to a staged table, whose primary key (unique,
+    not null) is checked and which gets the description and key as metadata,
+    then published under its name. A failed check leaves the old table."""
     keys = [key] if isinstance(key, str) else list(key)
-    if check:
-        bad = check_key(df, keys).limit(1).collect()
+
+    def audit(staged: str) -> None:
+        bad = check_key(spark.table(staged), keys).limit(1).collect() if check else []
         if bad:
             raise ValueError(f"primary key {keys} is not unique / has nulls, e.g. {bad[0].asDict()}")
-    write_table(df, name, fmt=fmt, mode="overwrite")
-    spark.sql(f"ALTER TABLE {_ident(name)} SET TBLPROPERTIES ('primary_keys' = {_literal(','.join(keys))})")
-    if description:
-        spark.sql(f"COMMENT ON TABLE {_ident(name)} IS {_literal(description)}")
+        spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ('primary_keys' = {_literal(','.join(keys))})")
+        if description:
+            spark.sql(f"COMMENT ON TABLE {staged} IS {_literal(description)}")
+
+    publish(spark, df, name, fmt, audit)
 
 
 def table_description(spark: SparkSession, name: str) -> str | None:
