@@ -125,9 +125,12 @@ def _leaks(docs, items):
         for j, b in items:
             b = _tokens(b)
             n = min(13, len(b))
-            if len(b) < 8:
-                continue
-            if any(sum(x == y for x, y in zip(d[p : p + n], b[q : q + n])) >= n - 2 * (n == 13) for p in range(len(d) - n + 1) for q in range(len(b) - n + 1)):
+            allowed = 2 if n == 13 else 1 if n >= 8 else 0
+            if 0 < n < 4:
+                hit = d == b
+            else:
+                hit = n and any(sum(x == y for x, y in zip(d[p : p + n], b[q : q + n])) >= n - allowed for p in range(len(d) - n + 1) for q in range(len(b) - n + 1))
+            if hit:
                 out.add((i, j))
     return out
 
@@ -135,7 +138,7 @@ def _leaks(docs, items):
 def test_leaks_against_brute_force(spark, monkeypatch):
     rng = random.Random(7)
     words = [f"v{k}" for k in range(50)]
-    items = [(j, " ".join(rng.choices(words, k=n))) for j, n in enumerate([0, 3, 7, 8, 9, 13, 20, 40, 40])] + [(50, None), (None, " ".join(rng.choices(words, k=20)))]
+    items = [(j, " ".join(rng.choices(words, k=n))) for j, n in enumerate([0, 3, 7, 8, 9, 13, 20, 40, 40, 1, 2, 4, 5, 6, 10, 11, 12])] + [(50, None), (None, " ".join(rng.choices(words, k=20)))]
     docs = []
     for i in range(120):
         d = rng.choices(words, k=rng.choice([0, 5, 30, 100]))
@@ -147,9 +150,9 @@ def test_leaks_against_brute_force(spark, monkeypatch):
             at = rng.randrange(len(d) + 1)
             d[at:at] = b
         docs.append((i, ", ".join(d).title()))
-    docs += [(1000, None), (None, items[7][1])]
+    docs += [(1000, None), (None, items[7][1]), *((2000 + j, t) for j, t in items[:-2])]
     expected = _leaks(docs, items)
-    assert len(expected) > 20
+    assert len(expected) > 40 and {n for n in range(1, 17)} - {j for _, j in expected} == set()
     got = decontaminate.overlaps(spark, frame(spark, docs), frame(spark, items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in got} == expected and len(got) == len(expected)
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)  # several blocks of items
