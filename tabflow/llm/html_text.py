@@ -2,9 +2,13 @@
 
 A page is a sequence of tags and words. Words score positive and tags negative, by weights that are learned from labelled
 pages: pages whose markup names the content (an article or main element, or a body marked as such). The weight of a kind of
-token is the log-odds of its lying inside the content; the kind of a word is the block it stands in. One scan finds the
-contiguous region of the highest score, and the text is that of the region's blocks, without those whose words score below
-zero and without what is never text (scripts, styles, forms, navigation and the like).
+token is the log-odds of its lying inside the content; the kind of a word is the block it stands in and whether it is part
+of a link, so that menus of plain lists do not tell on lists of text. One scan finds the contiguous region of the highest
+score, and the text is that of all the region's blocks but asides: elements that never hold content (forms, navigation and
+the like), elements that a class, id or role names so, and what is in them. An aside counts against a region once for each
+of its blocks, however long, so that a long one does not cut an article in two. A name counts by whole words of a class
+that does not say that something is absent or switched on (no-sidebar, has-header, comments-open), and never on html, body,
+main or article.
 
 Edge cases: null html counts as empty; a page without words, or whose best region holds none, has an empty text; unclosed
 and unknown tags, cut-off markup and a lone < are read as far as they go; without labelled pages the prior weights below
@@ -43,6 +47,9 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _NEVER = frozenset("nav aside form button select option menu dialog head header footer fieldset legend".split())
 #: Words in a class, id or role that name what is not content.
 _ASIDE = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header hidden login menu modal nav navbar navigation newsletter notice popup promo promoted related reply replies share sharing sidebar signup social sponsor sponsored subscribe teaser toolbar widget".split())
+#: Parts of a class name that make it speak of the layout around the element.
+_MODIFIERS = frozenset("no not has have with without is hide hides hidden show shows open closed enabled disabled active inactive on off".split())
+_LAYOUT = frozenset("html body main article".split())
 _CONTENT = frozenset("articlebody main".split())
 
 
@@ -50,12 +57,25 @@ def _names(attributes: str) -> set[str]:
     return {w for _, v in _ATTRIBUTE.findall(attributes) for w in re.findall(r"[a-z]+", v.lower())} if "=" in attributes else set()
 
 
+def _names_aside(attributes: str) -> bool:
+    """Whether a class, id or role names what is not content."""
+    if "=" not in attributes:
+        return False
+    for _, value in _ATTRIBUTE.findall(attributes):
+        for name in value.lower().strip("\"'").split():
+            parts = re.findall(r"[a-z]+", name)
+            if _ASIDE.intersection(parts) and (len(parts) == 1 or not _MODIFIERS.intersection(parts[:1] + parts[-1:])):
+                return True
+    return False
+
+
 def tokens(page: str) -> list[tuple[str, int, str, bool, bool]]:
     """The tokens of a page: (kind, words, text, begins a block, lies in the named content). Tags have no words."""
     out = []
     stack: list[tuple[str, str, bool]] = []  # element, the kind of words in it, whether it is in the named content
     at = 0
     fresh = True  # a block has begun since the last text
+    links = 0  # open links of the block
 
     def say(text: str) -> None:
         nonlocal fresh
@@ -63,6 +83,7 @@ def tokens(page: str) -> list[tuple[str, int, str, bool, bool]]:
         words = len(text.split())
         if words or text:
             kind, inside = (stack[-1][1], stack[-1][2]) if stack else ("word:", False)
+            kind += ":link" if links else ""
             out.append((kind, words, text, fresh, inside))
             fresh = fresh and not words
 
@@ -77,6 +98,8 @@ def tokens(page: str) -> list[tuple[str, int, str, bool, bool]]:
                 out.append((f"tag:{m[1].lower()}", 0, "", True, bool(stack and stack[-1][2])))
             continue
         name, closes = name.lower(), bool(m[2] or m[5])
+        if name == "a":
+            links = 0 if closes else 1
         if name in _BLOCKS:
             fresh = True
             inside = bool(stack and stack[-1][2])
@@ -94,7 +117,8 @@ def tokens(page: str) -> list[tuple[str, int, str, bool, bool]]:
             if name in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == name:
                 stack.pop()  # its end tag may be left out
             names = _names(m[4] or m[7] or "")
-            aside = name in _NEVER or bool(names & _ASIDE) or bool(stack) and stack[-1][1].startswith("aside:")
+            named = name not in _LAYOUT and _names_aside(m[4] or m[7] or "")
+            aside = name in _NEVER or named or name != "main" and bool(stack) and stack[-1][1].startswith("aside:")
             content = name in ("article", "main") or bool(names & _CONTENT)
             stack.append((name, f"{'aside' if aside else 'word'}:{name}", inside or content))
     if at < len(page):
@@ -130,7 +154,7 @@ def extract(page: str, weights: Weights) -> str:
     seen = tokens(page)
     best, run, start, region = 0.0, 0.0, 0, (0, 0)
     for i, (kind, words, _, _, _) in enumerate(seen):
-        run += weights[kind] * (words or not kind.startswith(("word:", "aside:")))
+        run += weights[kind] * (words if kind.startswith("word:") else min(words, 1) if kind.startswith("aside:") else 1)
         if run <= 0:
             run, start = 0.0, i + 1
         elif run > best:
@@ -139,7 +163,7 @@ def extract(page: str, weights: Weights) -> str:
     for kind, _, text, fresh, _ in seen[region[0] : region[1]]:
         if kind.startswith("tag:"):
             parts.append(" ")
-        elif kind.startswith("word:") and weights[kind] > 0:
+        elif kind.startswith("word:"):
             parts.append(" " + text if fresh else text)
     return " ".join("".join(parts).split())
 

@@ -85,3 +85,44 @@ def test_pages_keep_their_rows(spark):
     rows = [(1, "u", _page(f"<p>{TEXT}")), (1, "u", _page(f"<p>{TEXT}")), (None, None, None), (3, "v", long)]
     got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in html_text.main_text(spark, _pages(spark, rows)).collect()), key=str)
     assert got == sorted([(1, "u", TEXT.strip(), len(TEXT) - 1)] * 2 + [(None, None, "", 0), (3, "v", ("word " * 60_000).strip(), 299_999)], key=str)
+
+
+WORDS = " ".join(f"word{i}" for i in range(40))
+
+
+@pytest.mark.parametrize("page", [
+    f'<body class="no-sidebar page"><p>{WORDS}</p></body>', f'<article class="post comments-open"><p>{WORDS}</p></article>', f'<div class="site has-header"><p>{WORDS}</p></div>',
+    f'<main id="comments"><p>{WORDS}</p></main>', f'<html class="modal-open"><body class="login"><div class="with-banner"><p>{WORDS}</p></div></body></html>'])
+def test_layout_names_drop_no_article(page):
+    assert html_text.extract(page, html_text.Weights({})) == WORDS
+
+
+@pytest.mark.parametrize("name", ["sidebar-left", "ad", "cookie-notice", "site-footer", "box related-posts", "post-comments"])
+def test_named_asides_are_left_out(name):
+    page = f'<p>{WORDS}</p><div class="{name}"><p>{"buy now " * 100}</p></div><p>{WORDS}</p>'
+    assert html_text.extract(page, html_text.Weights({})) == f"{WORDS} {WORDS}"
+
+
+def test_menus_of_plain_lists_do_not_tell_on_lists_of_text(spark):
+    menu = "<ul>" + "".join(f'<li><a href="/{k}">go there {k}</a></li>' for k in range(40)) + "</ul>"
+    rows = [(i, "u", f"<html><body>{menu}<article><h1>Title {i}</h1><p>{WORDS}</p></article></body></html>") for i in range(30)]
+    text = f"Head {WORDS} one two three four and more of it {WORDS}"
+    rows.append((99, "u", f"<body>{menu}<article><h1>Head</h1><p>{WORDS}</p><ul><li>one two three</li><li>four and more of it</li></ul><p>{WORDS}</p></article></body>"))
+    got = {r.page_id: r.text for r in html_text.main_text(spark, _pages(spark, rows)).collect()}
+    assert got[99] == text and got[3] == f"Title 3 {WORDS}"
+
+
+def test_the_region_is_the_best_of_all():
+    """The scan against all contiguous regions of random tokens."""
+    import random
+
+    rng = random.Random(3)
+    weights = html_text.Weights({})
+    weights.of = {"word:p": 1.0, "word:div": 0.4, "word:li:link": -1.5, "aside:div": -2.0, "tag:p": -0.7, "tag:/p": -0.2, "tag:div": -1.1}
+    for _ in range(60):
+        page = "".join(rng.choice([f"<p>{'a ' * rng.randrange(4)}</p>", f"<div>{'b ' * rng.randrange(5)}</div>", "<li><a href=x>c c</a></li>", '<div class="ad">d d d</div>']) for _ in range(rng.randrange(1, 12)))
+        seen = html_text.tokens(page)
+        score = [weights[k] * (w if k.startswith("word:") else min(w, 1) if k.startswith("aside:") else 1) for k, w, *_ in seen]
+        best = max((sum(score[i:j]) for i in range(len(seen)) for j in range(i, len(seen) + 1)), default=0)
+        options = {" ".join(t for k, _, t, _, _ in seen[i:j] if k.startswith("word:")).split().__str__() for i in range(len(seen)) for j in range(i, len(seen) + 1) if abs(sum(score[i:j]) - best) < 1e-9}
+        assert str(html_text.extract(page, weights).split()) in options
