@@ -55,3 +55,14 @@ def test_pipeline_on_a_fixture(spark, tmp_path):
     for r in got:
         sequences[r.sequence_id] = sequences.get(r.sequence_id, 0) + r.length
     assert max(sequences.values()) <= 2048 and len(sequences) <= -(-sum(sequences.values()) // 2048) + 1
+
+
+def test_rows_are_told_apart_by_their_texts(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(30)) for x in "pq")
+    rows = [(1, a), (1, b), (2, b), (None, a), (None, a), (3, None), (3, None), (4, ""), (5, b + " end"), (None, "alone")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == list(corpus_pipeline.COLUMNS)
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (3, None), (3, None), (4, ""), (None, "alone")], key=str)
+    assert corpus_pipeline.near_duplicates(spark, docs.where("false"), "").collect() == []
