@@ -23,12 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import materialise, slices
+from tabflow.llm.common import materialise, ship, slices
 
 ORDER = 4
 FOLDS = 5
-#: If there are more distinct n-grams than the driver and workers should hold, the rarest counts are left out, the least
-#: count first, until they fit. The n-grams of alphabetic languages number some hundred thousand each.
+#: Distinct n-grams, added up over languages, that the driver and workers hold at a time. Beyond, the languages are scored in
+#: groups, one after the other, to the same result; a language is never cut (alphabetic ones have some hundred thousand).
 MAX_GRAMS = 4_000_000
 #: Classes of length for the rejection's calibration: characters below.
 LENGTHS = (100, 1000)
@@ -100,18 +100,21 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return rows.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _groups(counts: DataFrame) -> list[list[str]]:
+    """Languages in alphabetical order, in groups of at most MAX_GRAMS n-grams (or one language)."""
+    groups, room = [], 0
+    for r in sorted(counts.groupBy("lang").count().collect()):  # a row per language
+        if not groups or r["count"] > room:
+            groups.append([])
+            room = MAX_GRAMS
+        groups[-1].append(r["lang"])
+        room -= r["count"]
+    return groups
+
+
 def fit(spark: SparkSession, docs: DataFrame, order: int = ORDER) -> "Model":
-    """The models of docs' languages (text, lang). The driver receives the summed counts: they grow with the languages'
-    distinct n-grams, not with documents, and are held to MAX_GRAMS."""
-    counts = materialise(spark, count_grams(docs, order), "grams")
-    least = 1
-    sizes = sorted(counts.groupBy(F.least("n", F.lit(1000)).alias("n")).count().collect())
-    total = sum(c for _, c in sizes)
-    for n, c in sizes:
-        if total <= MAX_GRAMS:
-            break
-        total, least = total - c, n + 1
-    return Model(counts.where(F.col("n") >= least).toPandas(), order)
+    """One model of all of docs' languages (text, lang), held by the driver; ``identify`` makes them in groups."""
+    return Model(materialise(spark, count_grams(docs, order), "grams").toPandas(), order)
 
 
 class Model:
@@ -121,7 +124,7 @@ class Model:
     given those before it, a column per language. backs[k]: sorted hashes of contexts of k characters and log2 of the
     weight that the next lower order gets there (0 where a language has not seen the context)."""
 
-    def __init__(self, counts: pd.DataFrame, order: int):
+    def __init__(self, counts: pd.DataFrame, order: int, alphabet: int | None = None):
         self.order, self.langs = order, sorted(counts["lang"].unique())
         self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.backs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -133,7 +136,7 @@ class Model:
         levels = {order: [(grams[lang == j], n[lang == j]) for j in range(len(self.langs))]}
         for k in range(order - 1, 0, -1):  # continuation counts: of each k-gram, the distinct characters before it
             levels[k] = [self._suffixes(g) for g, _ in levels[k + 1]]
-        alphabet = len(np.unique(grams)) + 1
+        alphabet = alphabet or len(np.unique(grams)) + 1
         self.unseen[:] = -np.log2(alphabet)
         for k in range(1, order + 1):
             hashes = np.unique(np.concatenate([_hashes(g) for g, _ in levels[k]]))
@@ -198,11 +201,16 @@ class Model:
         return -total / np.maximum(chars, 1)[:, None], chars
 
 
+def _lettered(texts: pa.Array) -> np.ndarray:
+    """Which texts have a letter; marks alone are no language."""
+    return np.asarray(pc.match_substring_regex(pc.fill_null(texts, ""), r"\p{L}").to_numpy(zero_copy_only=False), bool)
+
+
 def score(docs: DataFrame, model: "Model", keep: list[str]) -> DataFrame:
     """The kept columns with lang_pred, score, bits (per character under the predicted language) and chars.
 
     The score is the predicted language's share of the likelihoods of 20 characters at the text's cross-entropies."""
-    handed = docs.sparkSession.sparkContext.broadcast(model)  # held to MAX_GRAMS
+    handed = docs.sparkSession.sparkContext.broadcast(model)  # a group of at most MAX_GRAMS n-grams
     rows = docs.select(*keep, F.col("text").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema) + ", lang_pred string, score double, bits double, chars long"
 
@@ -217,20 +225,48 @@ def score(docs: DataFrame, model: "Model", keep: list[str]) -> DataFrame:
                 share = 1 / np.exp2(-20 * (bits - low[:, None])).sum(axis=1)
             else:
                 best, low, share, chars = np.zeros(len(chars), int), np.zeros(len(chars)), np.zeros(len(chars)), chars * 0
-            none = chars == 0
+            none = (chars == 0) | ~_lettered(batch.column("_text"))
             pred = np.where(none, "und", langs[best])
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(pred, pa.string()), pa.array(np.where(none, 0.0, share)), pa.array(np.where(none, 0.0, low)), pa.array(chars)], names=[*keep, "lang_pred", "score", "bits", "chars"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(pred, pa.string()), pa.array(np.where(none, 0.0, share)), pa.array(np.where(none, 0.0, low)), pa.array(np.where(none, 0, chars))], names=[*keep, "lang_pred", "score", "bits", "chars"])
 
     return rows.mapInArrow(predict, schema)
 
 
+def _score_in_groups(spark: SparkSession, docs: DataFrame, counts: DataFrame, groups: list[list[str]], order: int, keep: list[str]) -> DataFrame:
+    """As score, with the models of one group of languages at a time: a scan for each, joined by the rows' numbers."""
+    characters = F.explode(F.array(*[F.substring("gram", k + 1, 1) for k in range(order)]))
+    alphabet = counts.select(characters.alias("c")).distinct().count() + 1
+    numbered, every = docs.withColumn("_row", F.monotonically_increasing_id()), None
+    for group in groups:
+        handed = spark.sparkContext.broadcast(Model(counts.where(F.col("lang").isin(group)).toPandas(), order, alphabet))
+
+        def measure(batches, handed=handed):
+            for batch in slices(batches, "text"):
+                bits, chars = handed.value.cross_entropies(batch.column("text"))
+                chars = np.where(_lettered(batch.column("text")), chars, 0)
+                yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(list(bits), pa.list_(pa.float64())), pa.array(chars)], names=["_row", "_bits", "chars"])
+
+        part = materialise(spark, numbered.select("_row", "text").mapInArrow(measure, "_row long, _bits array<double>, chars long"), "bits")
+        handed.unpersist()
+        every = part if every is None else every.join(part.select("_row", F.col("_bits").alias("_more")), "_row").select("_row", F.concat("_bits", "_more").alias("_bits"), "chars")
+    low, langs, some = F.array_min("_bits"), F.array(*[F.lit(x) for g in groups for x in g]), F.col("chars") > 0
+    share = 1 / F.aggregate("_bits", F.lit(0.0), lambda t, b: t + F.pow(F.lit(2.0), -20 * (b - low)))
+    best = F.element_at(langs, F.array_position("_bits", low).cast("int"))
+    return numbered.select("_row", *keep).join(every, "_row").select(
+        *keep, F.when(some, best).otherwise("und").alias("lang_pred"), F.when(some, share).otherwise(0.0).alias("score"), F.when(some, low).otherwise(0.0).alias("bits"), "chars")
+
+
 def identify(spark: SparkSession, docs: DataFrame, keep: list[str] = ["doc_id"], order: int = ORDER) -> DataFrame:  # noqa: B006
     """Learn from the rows of docs (doc_id, text, lang) that are not held out and predict all: the kept columns, held_out,
     lang_pred, score, bits, chars and rejected."""
-    model = fit(spark, docs.where(~held_out(F.col("doc_id"))), order)
+    ship(spark)
+    counts = materialise(spark, count_grams(docs.where(~held_out(F.col("doc_id"))), order), "grams")
+    groups = _groups(counts)
     names = [f"_k{i}" for i in range(len(keep))]
     own = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], held_out(F.col("doc_id")).alias("_held"), F.col("lang").isNotNull().alias("_labelled"), "text")
-    scored = materialise(spark, score(own, model, [*names, "_held", "_labelled"]), "languages")
+    kept = [*names, "_held", "_labelled"]
+    found = score(own, Model(counts.toPandas(), order), kept) if len(groups) < 2 else _score_in_groups(spark, own, counts, groups, order, kept)
+    scored = materialise(spark, found, "languages")
     length = sum((F.col("chars") >= n).cast("int") for n in LENGTHS)
     scored = scored.withColumn("_length", length)
     q = F.percentile_approx("bits", [0.5, 0.999], 10_000)

@@ -10,6 +10,8 @@ import pytest
 
 from tabflow.llm import langid, neighbours, toxicity
 
+from tests.conftest import SF001
+
 from .conftest import ODD_TEXTS, frame
 
 
@@ -75,6 +77,21 @@ def test_identify_odd_rows(spark, odd, empty):
     assert {(r.lang_pred, r.score) for r in langid.identify(spark, unlabelled).collect()} == {("und", 0.0)}
 
 
+def test_marks_without_a_letter_are_no_language(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "\u0301\u0308 \u20dd", None), (3, "12 \u0301", None)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[2] == got[3] == ("und", 0.0) and got[1][0] == "en"
+
+
+@pytest.mark.parametrize("bound", [1, 900])
+def test_a_lower_bound_of_memory_changes_no_prediction(spark, monkeypatch, bound):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").unionByName(spark.createDataFrame([(None, None, None, None, None), (10**6, "\u0301", "en", "s", 1), (10**6, "x", None, "s", 1)], "doc_id long, text string, lang string, source string, n_chars long"))
+    rows = lambda: sorted(((r.doc_id, r.held_out, r.lang_pred, round(r.score, 4), round(r.bits, 4), r.chars, r.rejected) for r in langid.identify(spark, docs).collect()), key=str)
+    whole = rows()
+    monkeypatch.setattr(langid, "MAX_GRAMS", bound)
+    assert rows() == whole and len({r[2] for r in whole}) > 3
+
+
 def test_foreign_text_is_rejected_and_the_languages_are_told_apart(spark):
     rng = random.Random(2)
     words = {"en": "the of and that with from this have some more".split(), "de": "der die und nicht eine auch sich werden nach aus".split()}
