@@ -31,9 +31,9 @@ from tabflow.llm.common import materialise_at, ship, slices
 #: Frequent pre-tokens that are broadcast, 64 bytes each at most; the rest is joined by a shuffle, to the same result.
 BROADCAST = 200_000
 #: Words and bytes of words a worker keeps; when it has more, it starts anew. It changes no result.
-CACHE_WORDS, CACHE_BYTES = 500_000, 32 << 20
+CACHE_WORDS, CACHE_BYTES = 400_000, 32 << 20
 #: Bytes of texts that are worked on at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 #: Longer pre-tokens are known by a 128-bit digest.
 KEY_BYTES = 48
 LIMIT = 2048
