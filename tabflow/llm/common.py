@@ -14,15 +14,17 @@ from tabflow.session import scratch_path, ship  # noqa: F401
 SLICE_BYTES = 4 << 20
 
 
+#: Scratch tables that were written and not dropped.
+made: list[str] = []
+
+
 def materialise(spark: SparkSession, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write df as Parquet into the shared scratch folder and read it back.
 
     This cuts the lineage: later stages and retries after a lost executor read committed files, so values that depend on
     a task (its number, its order of rows) are computed once.
     """
-    path = scratch_path(spark, name)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialise_at(spark, df, name, compression)[0]
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -53,6 +55,7 @@ def materialise_at(spark: SparkSession, df: DataFrame, name: str, compression: s
     """Like materialise, with the folder's path for drop_table."""
     path = scratch_path(spark, name)
     df.write.option("compression", compression).parquet(path)
+    made.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -60,3 +63,10 @@ def drop_table(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that nothing reads any more."""
     fs, root = file_system(path)
     fs.delete_dir(root)
+    if path in made:
+        made.remove(path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: Spark deletes the shuffle files of finished jobs only then."""
+    spark.sparkContext._jvm.System.gc()

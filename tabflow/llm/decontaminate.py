@@ -37,6 +37,8 @@ WINDOW, SUBSTITUTIONS = 13, 2
 WHOLE, EXACT, ONE = 4, 8, WINDOW
 #: Words of benchmark items whose seeds are broadcast at a time: at most len(MASKS) times as many seeds of some 40 bytes.
 BLOCK_WORDS = 200_000
+#: Ids of leaked documents that are broadcast; more are joined by a shuffle, to the same result.
+BROADCAST_ROWS = 1_000_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -147,5 +149,7 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Data
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that overlap with an item."""
-    hit = overlaps(spark, docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
+    hit = materialise(spark, overlaps(spark, docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
+    if hit.count() <= BROADCAST_ROWS:
+        hit = F.broadcast(hit)
     return docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("_leaked")), "left_anti")

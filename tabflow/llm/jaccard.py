@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import drop_table, materialise, materialise_at, slices
+from tabflow.llm.common import drop_table, materialise, materialise_at, release_shuffles, slices
 from tabflow.llm.components import components
 from tabflow.session import shuffle_partitions
 
@@ -606,9 +606,11 @@ def similar_documents(spark: SparkSession, docs: DataFrame, words: int = WORDS,
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("_row"), "text")
     measured, measured_path = materialise_at(spark, _measure(rows, words), "sets")
-    own = measured.where(F.col("bucket").isNull()).select("_row", "n", "key", "node", "counts")
-    known = own.where((F.col("n") > 0) & F.col("_row").isNotNull())
+    whole = measured.where(F.col("bucket").isNull())
+    known = whole.where((F.col("n") > 0) & F.col("_row").isNotNull())
     classes, _ = materialise_at(spark, known.groupBy("node", "key").agg(F.min("_row").alias("rep"), F.first("n").alias("n"), F.first("counts").alias("counts")), "classes")
+    own = materialise(spark, whole.select("_row", "n", "node"), "rows")
+    known = own.where((F.col("n") > 0) & F.col("_row").isNotNull())
 
     above = FREQUENT
     while True:
@@ -620,13 +622,16 @@ def similar_documents(spark: SparkSession, docs: DataFrame, words: int = WORDS,
     listed = frequent.toPandas().sort_values("head")  # at most MAX_FREQUENT rows
     handed = spark.sparkContext.broadcast((listed["head"].to_numpy(np.uint32), np.log2(listed["n"].to_numpy(float)).astype(np.uint8)))
     drop_table(spark, frequent_path)
+    drop_table(spark, measured_path)
     regions, regions_path = materialise_at(spark, _regions(_first_shingles(rows.where("_row is not null").select("text"), handed, words, percent)), "regions")
     # rows that repeat a doc_id tie their classes together
     several = known.groupBy("_row").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("_row", "a")
     repeated = materialise(spark, several.join(known.select("_row", F.col("node").alias("b")), "_row").select("a", "b").where("a <> b").distinct(), "repeated")
     edges, edges_path = materialise_at(spark, _candidates(spark, regions, classes, percent), "candidates")
     drop_table(spark, regions_path)
+    release_shuffles(spark)
     families = components(spark, edges)
+    drop_table(spark, edges_path)
 
     # the classes' sets, with the family they are joined in
     chosen = classes.select("node", "key", "rep").join(families.select("node", F.col("component").alias("family")), "node")
@@ -640,18 +645,21 @@ def similar_documents(spark: SparkSession, docs: DataFrame, words: int = WORDS,
             ok = [xxhash.xxh128_digest(s.tobytes()) == k for s, k in zip(sets, batch.column("_key").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["family", "_row", "n", "set"]).filter(pa.array(ok, pa.bool_()))
 
-    members, _ = materialise_at(spark, found.select("family", "node", "_key", "text").mapInArrow(fetch, "family long, _row long, n long, set binary"), "members", "uncompressed")
+    members, members_path = materialise_at(spark, found.select("family", "node", "_key", "text").mapInArrow(fetch, "family long, _row long, n long, set binary"), "members", "uncompressed")
+    release_shuffles(spark)
     made: list[DataFrame] = []
     rest, pivots = members, PIVOTS
     while True:
         large = rest.groupBy("family").agg(F.sum("n").alias("total"), F.count("*").alias("sets"))
         large = large.where((F.col("total") > FAMILY) | (F.col("total") * F.col("sets") > WORK)).select("family")
         large = F.broadcast(materialise(spark, large, "large"))  # fewer than one for each 80,000 shingles
-        made.append(_join_small(rest.join(large, "family", "left_anti"), percent))
+        made.append(materialise(spark, _join_small(rest.join(large, "family", "left_anti"), percent), "small"))
         if large.isEmpty():
             break
         rest = materialise(spark, _join_large(spark, rest.join(large, "family", "left_semi"), percent, pivots, made), "rest", "uncompressed")
         pivots *= 2
+    drop_table(spark, members_path)
+    release_shuffles(spark)
     links = repeated
     for x in made:
         links = links.unionByName(x.select("a", "b"))
