@@ -40,24 +40,60 @@ _WORD = r"[\p{L}\p{M}\p{N}]++"
 KINDS = ("email", "ip", "card", "phone")
 #: Code points on either side of an entity that its two neighbouring words are taken from.
 REACH = 100
+#: Code points of a piece of a text (see _cut).
+CHUNK = 512
 GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 3
 #: Distinct terms whose list is broadcast; a longer list is joined by a shuffle, to the same result.
 BROADCAST_TERMS = 500_000
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value) with the value computed once, which an expression inside a lambda is not."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _fold(items: Column, start: Column, step, kind: str) -> Column:
+    """step(place, item) gives (p, v): the next place and a value of type ``kind``. Returns the last place and all values in
+    order, as (p, o). Values are appended in blocks of about the square root of their number, so that many take no long copies."""
+    empty = F.array().cast(f"array<{kind}>")
+
+    def add(a: Column, x: Column) -> Column:
+        return _bound(step(a["p"], x), lambda r: F.struct(r["p"].alias("p"), F.concat(a["o"], F.array(r["v"])).alias("o")))
+
+    def add_block(a: Column, block: Column) -> Column:
+        inner = F.aggregate(block, F.struct(a["p"].alias("p"), empty.alias("o")), add)
+        return _bound(inner, lambda r: F.struct(r["p"].alias("p"), F.concat(a["o"], F.array(r["o"])).alias("o")))
+
+    def blocks(every: Column) -> Column:
+        k = F.greatest(F.ceil(F.sqrt(F.size(every))), F.lit(1)).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(every) / k), F.lit(1)).cast("int") - 1), lambda i: F.slice(every, i * k + 1, k))
+        return F.aggregate(parts, F.struct(start.alias("p"), F.array().cast(f"array<array<{kind}>>").alias("o")), add_block, lambda a: F.struct(a["p"].alias("p"), F.flatten(a["o"]).alias("o")))
+
+    return _bound(items, blocks)
+
+
+def _chunks(text: Column) -> Column:
+    """A text in pieces of CHUNK code points, from which _cut takes a part without walking through all before it."""
+    return F.regexp_extract_all(text, F.lit(rf"((?s:.{{1,{CHUNK}}}))"), F.lit(1))
+
+
+def _cut(chunks: Column, start: Column, length: Column) -> Column:
+    first = F.floor(start / CHUNK).cast("int")
+    held = F.slice(chunks, first + 1, F.floor((start + length) / CHUNK).cast("int") - first + 1)
+    return F.when(length > 0, F.substring(F.array_join(held, ""), start - first * CHUNK + 1, length)).otherwise("")
+
+
 def _found(text: Column, pattern: str, maybe: Column) -> Column:
     """Matches as (s, e, v). The text gets marks around matches and is cut at them; each piece then tells its place."""
     marked = F.regexp_replace(text, f"({pattern})", f"{OPEN}$1{CLOSE}")
-    pieces = F.split(marked, OPEN)
     none = F.array().cast("array<struct<s:int,e:int,v:string>>")
 
-    def add(a: Column, piece: Column) -> Column:
+    def step(p: Column, piece: Column) -> Column:
         value = F.substring_index(piece, CLOSE, 1)
-        one = F.struct(a["p"].alias("s"), (a["p"] + F.length(value)).alias("e"), value.alias("v"))
-        return F.struct((a["p"] + F.length(piece) - 1).alias("p"), F.concat(a["o"], F.array(one)).alias("o"))
+        one = F.struct(p.alias("s"), (p + F.length(value)).alias("e"), value.alias("v"))
+        return F.struct((p + F.length(piece) - 1).alias("p"), one.alias("v"))
 
-    start = lambda x: F.struct(F.length(x[0]).alias("p"), none.alias("o"))
-    placed = F.transform(F.array(pieces), lambda x: F.aggregate(F.slice(x, 2, F.size(x) - 1), start(x), add)["o"])[0]
+    placed = _bound(F.split(marked, OPEN), lambda x: _fold(F.slice(x, 2, F.size(x) - 1), F.length(x[0]), step, "struct<s:int,e:int,v:string>")["o"])
     return F.when(maybe, placed).otherwise(none)
 
 
@@ -83,12 +119,11 @@ def _outside(text: Column, spans: Column) -> Column:
     """The text with a line break for each base span."""
     order = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
 
-    def put(a: Column, x: Column) -> Column:
-        piece = F.substring(text, a["p"] + 1, F.greatest(x["s"] - a["p"], F.lit(0)))
-        return F.struct(F.greatest(a["p"], x["e"]).alias("p"), F.concat(a["o"], F.array(piece)).alias("o"))
+    def rest(chunks: Column) -> Column:
+        step = lambda p, x: F.struct(F.greatest(p, x["e"]).alias("p"), _cut(chunks, p, x["s"] - p).alias("v"))
+        return _bound(_fold(order, F.lit(0), step, "string"), lambda a: F.array_join(F.concat(a["o"], F.array(F.substring(text, a["p"] + 1, F.length(text)))), "\n"))
 
-    end = lambda a: F.array_join(F.concat(a["o"], F.array(F.substring(text, a["p"] + 1, F.length(text)))), "\n")
-    return F.aggregate(order, F.struct(F.lit(0).alias("p"), F.array().cast("array<string>").alias("o")), put, end)
+    return _bound(_chunks(text), rest)
 
 
 def _distinct_words(text: Column) -> Column:
@@ -98,14 +133,12 @@ def _distinct_words(text: Column) -> Column:
 def _places(text: Column, kinds: Column) -> Column:
     """Places (s, e, kind) of the words of a text that a map from words to kinds holds."""
     pieces = F.regexp_extract_all(text, F.lit(rf"({_WORD}|[^\p{{L}}\p{{M}}\p{{N}}]++)"), F.lit(1))
-    start = F.struct(F.lit(0).alias("p"), F.array().cast("array<struct<s:int,e:int,kind:string>>").alias("o"))
 
-    def add(a: Column, piece: Column) -> Column:
-        kind, e = F.element_at(kinds, F.lower(piece)), a["p"] + F.length(piece)
-        one = F.struct(a["p"].alias("s"), e.alias("e"), kind.alias("kind"))
-        return F.struct(e.alias("p"), F.when(kind.isNotNull(), F.concat(a["o"], F.array(one))).otherwise(a["o"]).alias("o"))
+    def step(p: Column, piece: Column) -> Column:
+        e = p + F.length(piece)
+        return F.struct(e.alias("p"), F.struct(p.alias("s"), e.alias("e"), F.element_at(kinds, F.lower(piece)).alias("kind")).alias("v"))
 
-    return F.aggregate(pieces, start, add, lambda a: a["o"])
+    return F.filter(_fold(pieces, F.lit(0), step, "struct<s:int,e:int,kind:string>")["o"], lambda x: x["kind"].isNotNull())
 
 
 def _terms(docs: DataFrame, marked: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
@@ -147,14 +180,16 @@ def _terms(docs: DataFrame, marked: DataFrame, generalise: float, remove: float,
 
 def _spans(text: Column) -> Column:
     """All base spans in order with their surroundings: kind, s, e, v, left, right."""
-    def around(kind: str):
+    def around(kind: str, chunks: Column):
         return lambda x: F.struct(
             F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"),
-            F.substring(text, F.greatest(x["s"] - REACH, F.lit(0)) + 1, F.least(x["s"], F.lit(REACH))).alias("left"),
-            F.substring(text, x["e"] + 1, F.lit(REACH)).alias("right"))
+            _cut(chunks, F.greatest(x["s"] - REACH, F.lit(0)), F.least(x["s"], F.lit(REACH))).alias("left"),
+            _cut(chunks, x["e"], F.lit(REACH)).alias("right"))
 
-    parts = [F.transform(found, around(kind)) for kind, found in base_spans(text).items()]
-    return F.concat(*parts)
+    found = base_spans(text)
+    # most texts have no span and are not cut
+    some = F.coalesce(*[F.when(F.size(v) > 0, True) for v in found.values()], F.lit(False))
+    return _bound(F.when(some, _chunks(text)).otherwise(F.array().cast("array<string>")), lambda chunks: F.concat(*[F.transform(v, around(kind, chunks)) for kind, v in found.items()]))
 
 
 def detect(spark: SparkSession, docs: DataFrame, keep: list[str] = ["doc_id"], generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:  # noqa: B006
@@ -191,12 +226,15 @@ def redact(spark: SparkSession, docs: DataFrame, **settings: float) -> DataFrame
     text = F.col("text")
     stands = F.create_map(*[F.lit(x) for pair in STANDS_FOR.items() for x in pair])
 
-    def put(a: Column, x: Column) -> Column:
-        free = x["s"] >= a["p"]
-        out = F.concat(a["o"], F.substring(text, a["p"] + 1, x["s"] - a["p"]), F.element_at(stands, x["kind"]))
-        return F.struct(F.when(free, -x["m"]).otherwise(a["p"]).alias("p"), F.when(free, out).otherwise(a["o"]).alias("o"))
+    def replaced(chunks: Column) -> Column:
+        def step(p: Column, x: Column) -> Column:
+            free = x["s"] >= p
+            out = F.concat(_cut(chunks, p, x["s"] - p), F.element_at(stands, x["kind"]))
+            return F.struct(F.when(free, -x["m"]).otherwise(p).alias("p"), F.when(free, out).otherwise("").alias("v"))
+
+        return _bound(_fold(order, F.lit(0), step, "string"), lambda a: F.concat(F.array_join(a["o"], ""), F.substring(text, a["p"] + 1, F.length(text))))
 
-    whole = F.aggregate(order, F.struct(F.lit(0).alias("p"), F.lit("").alias("o")), put, lambda a: F.concat(a["o"], F.substring(text, a["p"] + 1, F.length(text))))
+    whole = _bound(_chunks(text), replaced)
     clean = F.when(F.size("base") + F.size("terms") > 0, whole).otherwise(text)
     out = found.withColumn("_clean", clean)
     if "n_chars" in columns:

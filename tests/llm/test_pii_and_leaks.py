@@ -1,8 +1,10 @@
 """Personal data and benchmark leaks against brute force."""
 
 import itertools
+import math
 import random
 import re
+import time
 from collections import Counter
 
 from tabflow.llm import decontaminate, pii
@@ -58,6 +60,65 @@ def test_long_runs_take_no_quadratic_time(spark):
     assert _found(spark, rows) == Counter({(1, ()): 1, (2, ()): 1, (3, ()): 1, (4, ()): 1, (5, ips): 1})
 
 
+def test_very_many_matches_of_a_text(spark):
+    text = "é 😀 " + " ".join(f"né{k} u{k}@ex.org" for k in range(100_000))
+    start = time.monotonic()
+    assert _found(spark, [(1, text)]) == Counter({(1, tuple(brute(text))): 1})
+    assert pii.redact(spark, frame(spark, [(1, text)])).first().text == re.sub(PATTERNS["email"], "[email]", text)
+    assert time.monotonic() - start < 90
+
+
+def _brute_terms(rows, generalise, remove, support):
+    """Places of disclosing terms by doc_id, with contexts, counts and shares recounted from the definition."""
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    entities, contexts, n_t = {}, {}, Counter()
+    for i, t in rows:
+        n_t.update(set(words(t)))
+        for _, s, e in brute(t):
+            entities.setdefault(i, set()).add(t[s:e].lower())
+            near = (tuple(words(t[max(s - pii.REACH, 0) : s])[-2:]), tuple(words(t[e : e + pii.REACH])[:2]))
+            contexts.setdefault((i, t[s:e].lower()), set()).add(near)
+    n, by_entity, joint = len(rows), {}, {}
+    for (i, entity), near in contexts.items():
+        assert len(near) == 1  # these rows have one place an entity
+        by_entity.setdefault(entity, set()).update(near)
+        text = dict(rows)[i]
+        for _, s, e in sorted(brute(text), reverse=True, key=lambda x: x[1]):
+            text = text[:s] + "\n" + text[e:]
+        for w in set(words(text)):
+            joint.setdefault((entity, w), set()).update(near)
+    share = lambda e, w: math.log2(len(joint[e, w]) * n / (max(n_t[w], len(joint[e, w])) * len(by_entity[e]))) / math.log2(n / len(by_entity[e]))
+    out = {}
+    for i, t in rows:
+        best = {}
+        for e in entities.get(i, ()):
+            for (f, w), near in joint.items():
+                if f == e and len(near) >= support and len(by_entity[e]) >= support and share(e, w) >= generalise:
+                    best[w] = max(best.get(w, 0), share(e, w))
+        places = [(m.start(), m.end(), best[m[0].lower()]) for m in re.finditer(r"[^\W_]+", t) if m[0].lower() in best]
+        clear = [(("drop" if x >= remove else "term"), s, e) for s, e, x in places if not any(b < e and s < c for _, b, c in brute(t))]
+        out[i] = clear
+    return out
+
+
+def test_terms_against_brute_force(spark):
+    rng, rows = random.Random(11), []
+    for i in range(400):
+        words = [f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(25)]
+        holder = rng.randrange(12)
+        if i % 3 == 0:
+            words[12:12] = [f"user{holder}@ex.org"]
+            words += [f"Name{holder}"] * (rng.random() < 0.9) + [f"Town{holder // 2}"] * (rng.random() < 0.8)
+        elif i % 7 == 0:
+            words += [f"town{holder // 2}"]
+        rows.append((i, " ".join(words)))
+    for settings in ((0.8, 0.95, 3), (0.4, 0.7, 2)):
+        expected = _brute_terms(rows, *settings)
+        assert {k for spans in expected.values() for k, _, _ in spans} == {"term", "drop"}
+        got = pii.detect(spark, frame(spark, rows), generalise=settings[0], remove=settings[1], support=settings[2]).collect()
+        assert {r.doc_id: [(x.kind, x.s, x.e) for x in r.terms] for r in got} == expected
+
+
 def test_odd_rows_and_nothing(spark, odd, empty):
     got = Counter((r.doc_id, len(r.base)) for r in pii.detect(spark, odd).collect())
     assert got == Counter((i, len(brute(t))) for i, t in ODD_TEXTS)
