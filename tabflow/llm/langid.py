@@ -6,8 +6,9 @@ lower orders are continuation counts of these. The models are kept together as s
 order, with a row of log-probabilities or back-off weights per hash, and found by binary search.
 
 A document's cross-entropy under a model is the mean of -log2 p over its characters; the lowest one decides. The prediction
-is rejected where that cross-entropy is above what the training documents of the language and length class show: their
-99.9 % quantile plus four times its distance from the median, one bit at least.
+is rejected where that cross-entropy is far above the median of the language's training documents: by ``SPREADS`` times the
+distance to their 90 % quantile, ``LEAST_MARGIN`` bits at least, and ``SHORT`` bits over the root of the text's characters,
+as a mean over few characters varies more. A tenth of the labels may be noise without moving the limit much.
 
 Edge cases: null texts and texts without a letter get ``und``, score 0 and are rejected; null languages are not learned;
 without a labelled document every prediction is ``und``; equal cross-entropies go to the first language in alphabetical
@@ -30,8 +31,8 @@ FOLDS = 5
 #: Distinct n-grams, added up over languages, that the driver and workers hold at a time. Beyond, the languages are scored in
 #: groups, one after the other, to the same result; a language is never cut (alphabetic ones have some hundred thousand).
 MAX_GRAMS = 4_000_000
-#: Classes of length for the rejection's calibration: characters below.
-LENGTHS = (100, 1000)
+#: The rejection's limit in bits above the median (see above).
+SPREADS, LEAST_MARGIN, SHORT = 6.0, 2.5, 5.0
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier
 
 
@@ -267,11 +268,9 @@ def identify(spark: SparkSession, docs: DataFrame, keep: list[str] = ["doc_id"],
     kept = [*names, "_held", "_labelled"]
     found = score(own, Model(counts.toPandas(), order), kept) if len(groups) < 2 else _score_in_groups(spark, own, counts, groups, order, kept)
     scored = materialise(spark, found, "languages")
-    length = sum((F.col("chars") >= n).cast("int") for n in LENGTHS)
-    scored = scored.withColumn("_length", length)
-    q = F.percentile_approx("bits", [0.5, 0.999], 10_000)
-    limits = scored.where(~F.col("_held") & F.col("_labelled") & (F.col("lang_pred") != "und")).groupBy("lang_pred", "_length").agg(q.alias("_q"))
-    limits = limits.select("lang_pred", "_length", (F.col("_q")[1] + F.greatest(4 * (F.col("_q")[1] - F.col("_q")[0]), F.lit(1.0))).alias("_limit"))
-    out = scored.join(F.broadcast(limits), ["lang_pred", "_length"], "left")  # a row per language and class
-    rejected = (F.col("lang_pred") == "und") | F.coalesce(F.col("bits") > F.col("_limit"), F.lit(False))
+    q = F.percentile_approx("bits", [0.5, 0.9], 10_000)
+    limits = scored.where(~F.col("_held") & F.col("_labelled") & (F.col("lang_pred") != "und")).groupBy("lang_pred").agg(q.alias("_q"))
+    limits = limits.select("lang_pred", (F.col("_q")[0] + F.greatest(SPREADS * (F.col("_q")[1] - F.col("_q")[0]), F.lit(LEAST_MARGIN))).alias("_limit"))
+    out = scored.join(F.broadcast(limits), "lang_pred", "left")  # a row per language
+    rejected = (F.col("lang_pred") == "und") | F.coalesce(F.col("bits") > F.col("_limit") + SHORT / F.sqrt("chars"), F.lit(False))
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("_held").alias("held_out"), "lang_pred", "score", "bits", "chars", rejected.alias("rejected"))

@@ -124,12 +124,14 @@ def read_frames(stream) -> Iterator[list[bytes]]:
 def write_records(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int = 0, out: str | None = None) -> DataFrame:
     """Encode docs (doc_id, text), append end_id and write record files in ascending doc_id order; returns the index.
 
-    Rows are dealt by ranges of doc_id and sorted within them; file k holds range k. A task writes to a file of a name of
+    Rows are dealt by ranges of (doc_id, first 64 characters of the text) and sorted by (doc_id, text) within them; file k
+    holds range k, and the texts of one doc_id may fill several files. A task writes to a file of a name of
     its own and hands on index rows; Spark commits those, so a file of an attempt that was lost is in no index.
     """
     folder = out or scratch_path(spark, "records")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    first = F.col("doc_id").asc_nulls_first()
+    rows = rows.repartitionByRange(shuffle_partitions(spark), first, F.substring("text", 1, 64)).sortWithinPartitions(first, "text")
 
     def write(batches):
         enc = encoder(tokenizer)

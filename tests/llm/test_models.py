@@ -10,7 +10,7 @@ import pytest
 
 from tabflow.llm import langid, neighbours, toxicity
 
-from tests.conftest import SF001
+from tests.conftest import SF001, SF01
 
 from .conftest import ODD_TEXTS, frame
 
@@ -103,6 +103,20 @@ def test_foreign_text_is_rejected_and_the_languages_are_told_apart(spark):
     assert all(r.lang_pred == langs[r.doc_id] for r in got if r.doc_id != 1000)
 
 
+def test_noisy_labels_do_not_let_random_strings_pass(spark):
+    rng = random.Random(4)
+    junk = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(n))
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang")
+    # one labelled row in fifty is noise, in every class of length; random strings without a label are to go
+    noise = [(10**6 + i, junk(rng.choice([4, 12, 60])), "en") for i in range(20)]
+    odd = [(2 * 10**6 + i, junk(n), None) for i, n in enumerate([4] * 30 + [12] * 30 + [60] * 30)]
+    both = docs.unionByName(spark.createDataFrame(noise + odd, "doc_id long, text string, lang string"))
+    got = langid.identify(spark, both).collect()
+    gone = {r.doc_id for r in got if r.rejected}
+    assert len(gone & {i for i, _, _ in odd}) >= 85
+    assert not [r for r in got if r.doc_id < 10**6 and r.rejected and r.lang_pred != "und"]
+
+
 def test_gradients_are_those_of_the_loss():
     net = toxicity.Network(1)
     inputs = toxicity.Inputs(["ab", "cde", "f", "gh", "xyzzy"])

@@ -88,6 +88,17 @@ def test_records_round_trip(spark, odd, plain):
         assert ids.tolist() == [*plain(texts[key]), 0]
 
 
+def test_one_id_fills_several_files(spark):
+    rows = [(None if k % 3 else 7, f"{k * 7919 % 1000:03d} words") for k in range(600)]
+    docs = frame(spark, rows)
+    index = records.write_records(spark, docs, VOCABULARY)
+    assert index.where("doc_id is null").select("file").distinct().count() > 1
+    got = records.with_starts(spark, records.read_records(spark, index), index).orderBy("start").collect()
+    order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    crc = lambda t: zlib.crc32(np.array([*Tokenizer.from_file(VOCABULARY).encode(t, add_special_tokens=False).ids, 0], "<u4"))
+    assert [(r.doc_id, r.ids_crc32) for r in got] == [(k, crc(t)) for k, t in order]
+
+
 def test_records_of_nothing(spark, empty):
     assert records.token_records(spark, empty, VOCABULARY).collect() == []
 
