@@ -43,6 +43,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,6 +135,7 @@ class Tree:
     gain: list[float] = field(default_factory=list)
     rows: list[int] = field(default_factory=list)
     depth: int = 0
+    weight: list[float] = field(default_factory=list)  # hessian sums
 
     def place(self, x: np.ndarray, by_bin: bool) -> np.ndarray:
         """The leaf of every row of x, bins or values."""
@@ -196,6 +198,7 @@ class _Growing:
             t.value.append(self.output[i] * rate)
             t.gain.append(s.gain if s else 0.0)
             t.rows.append(self.sums[i][2])
+            t.weight.append(self.sums[i][1] / self.scale)
         return t
 
 
@@ -224,12 +227,20 @@ def _margins(row: dict, trees: Sequence[Tree], bins: np.ndarray) -> np.ndarray:
     return m
 
 
-def _grow(blocks: DataFrame, growing: _Growing, partial: Tree, slots: np.ndarray, done: Sequence[Tree], features: np.ndarray, size: int, n_features: int, sampled: tuple[int, int] | None) -> np.ndarray:
-    """Histograms of the nodes whose slot is not negative."""
+def by_width(features: np.ndarray, bins: Sequence[int]) -> list[tuple[np.ndarray, int]]:
+    """The features in groups, each with the most bins that a feature of it has, so that the histograms of many features
+    of two values (slots of hashed text) are not as wide as those of one with hundreds."""
+    n = np.array(bins)[features]
+    return [(features[g], int(n[g].max())) for least, most in ((0, 4), (4, 32), (32, 1 << 17)) if (g := (n > least) & (n <= most)).any()]
+
+
+def _grow(blocks: DataFrame, growing: _Growing, partial: Tree, slots: np.ndarray, done: Sequence[Tree], groups: list[tuple[np.ndarray, int]], n_features: int, sampled: tuple[int, int] | None) -> list[np.ndarray]:
+    """Histograms of the nodes whose slot is not negative, an array per group of features."""
     scale, width = growing.scale, int(slots.max()) + 1
+    place = [(i, k, int(f), size) for i, (features, size) in enumerate(groups) for k, f in enumerate(features)]
 
     def add(batches):
-        total = np.zeros((3, len(features), width * size), np.int64)
+        totals = [np.zeros((3, len(features), width * size), np.int64) for features, size in groups]
         for batch in batches:
             for row in batch.to_pylist():
                 bins = np.frombuffer(row["bins"], np.uint16).reshape(-1, n_features)
@@ -240,28 +251,33 @@ def _grow(blocks: DataFrame, growing: _Growing, partial: Tree, slots: np.ndarray
                 if sampled:
                     use &= _sampled(np.frombuffer(row["hash"], np.int64), *sampled)
                 g, h = np.rint((prob - y)[use] * scale), np.rint((prob * (1 - prob))[use] * scale)
-                base = slot[use] * size
-                for k, f in enumerate(features):
-                    at = base + bins[use, f]
+                slot, bins = slot[use], bins[use]
+                for i, k, f, size in place:
+                    at = slot * size + bins[:, f]
                     for j, w in enumerate((g, h, None)):
-                        total[j, k] += np.bincount(at, w, minlength=width * size).astype(np.int64)
-        for k in range(len(features)):
-            some = np.flatnonzero(total[2, k])
+                        totals[i][j, k] += np.bincount(at, w, minlength=width * size).astype(np.int64)
+        for i, k, f, size in place:
+            total = totals[i][:, k]
+            some = np.flatnonzero(total[2])
             if len(some):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), k, np.int32)), pa.array(some), *[pa.array(t[k][some]) for t in total]], names=["f", "at", "g", "h", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), f, np.int32)), pa.array(some), *[pa.array(t[some]) for t in total]], names=["f", "at", "g", "h", "n"])
 
     sums = blocks.mapInArrow(add, "f int, at long, g long, h long, n long").groupBy("f", "at").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
     got = sums.toArrow()  # at most nodes x features x bins rows
-    hist = np.zeros((len(features), width * size, 3), np.int64)
-    f, at = got.column("f").to_numpy(), got.column("at").to_numpy()
-    for j, c in enumerate(("g", "h", "n")):
-        hist[f, at, j] = got.column(c).to_numpy()
-    return hist.reshape(len(features), width, size, 3).transpose(1, 0, 2, 3)
+    f, at, columns = got.column("f").to_numpy(), got.column("at").to_numpy(), [got.column(c).to_numpy() for c in ("g", "h", "n")]
+    out = []
+    for features, size in groups:
+        hist = np.zeros((len(features), width * size, 3), np.int64)
+        own = np.isin(f, features)
+        for j, c in enumerate(columns):
+            hist[np.searchsorted(features, f[own]), at[own], j] = c[own]
+        out.append(hist.reshape(len(features), width, size, 3).transpose(1, 0, 2, 3))
+    return out
 
 
 def _sampled(hashes: np.ndarray, seed: int, share: int) -> np.ndarray:
     """Whether a row's hash, mixed with the seed, is in the share (of 2^32)."""
-    x = hashes.view(np.uint64) ^ (np.uint64(seed & 0xFFFFFFFF) * np.uint64(0x9E3779B97F4A7C15))
+    x = hashes.view(np.uint64) ^ (np.uint64((seed & 0xFFFFFFFF) * 0x9E3779B97F4A7C15 % 2**64))
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     return ((x ^ (x >> np.uint64(33))) >> np.uint64(32)) < share
 
@@ -293,7 +309,7 @@ def train_booster(train: DataFrame, features: Sequence[str], label: str, params:
     some = typed.where(F.shiftrightunsigned("hash", 32) < share) if share < 2**32 else typed
     sample = some.select(*[f"x{i}" for i in range(len(names))]).toArrow()
     edges = [bin_edges(sample.column(i).to_numpy().astype(np.float64), int(p["max_bin"])) for i in range(len(names))]
-    bins, size = [len(e) + 2 for e in edges], max(len(e) + 2 for e in edges)
+    bins = [len(e) + 2 for e in edges]
 
     def pack(batches):
         for b in batches:
@@ -317,7 +333,7 @@ def train_booster(train: DataFrame, features: Sequence[str], label: str, params:
             used = np.sort(rng.choice(len(names), max(1, round(len(names) * p["colsample_bytree"])), replace=False))
             freq = int(p["subsample_freq"])
             sampled = (int(p["random_state"]) + t // freq + 1, int(p["subsample"] * 2**32)) if freq and p["subsample"] < 1 else None
-            tree = _one_tree(blocks, since, used, edges, bins, size, len(names), sampled, scale, p)
+            tree = _one_tree(blocks, since, used, edges, bins, len(names), sampled, scale, p)
             if tree is None:
                 if sampled or p["colsample_bytree"] < 1:
                     continue  # another sample or other features may split
@@ -343,21 +359,22 @@ def _refresh(trees: list[Tree], n_features: int):
     return refresh
 
 
-def _one_tree(blocks, done, used, edges, bins, size, n_features, sampled, scale, p) -> Tree | None:
+def _one_tree(blocks, done, used, edges, bins, n_features, sampled, scale, p) -> Tree | None:
     """Evaluate a tree level by level; None if the root has no split."""
-    growing, frontier = None, [0]
+    growing, frontier, groups = None, [0], by_width(used, bins)
     partial = Tree([-1], [0], [0.0], [False], [0], [0], [0.0], [0.0], [0])
     for level in range(int(p["max_depth"])):
         slots = np.full(len(partial.feature), -1)
         slots[frontier] = np.arange(len(frontier))
         stand_in = growing or _Growing((0, 1, 0), scale, p)
-        hist = _grow(blocks, stand_in, partial, slots, done, used, size, n_features, sampled)
+        hists = _grow(blocks, stand_in, partial, slots, done, groups, n_features, sampled)
         if growing is None:
-            growing = _Growing(tuple(int(x) for x in hist[0, 0].sum(axis=0)), scale, p)
+            growing = _Growing(tuple(int(x) for x in hists[0][0, 0].sum(axis=0)), scale, p)
         outputs = np.array([growing.output[i] for i in frontier])
         above = [None if growing.parent[i] is None else growing.output[growing.parent[i]] for i in frontier]
-        found, after = best_splits(hist, used, bins, outputs, above, scale, p), []
-        for node, split in zip(frontier, found):
+        each, after = [best_splits(hist, features, bins, outputs, above, scale, p) for hist, (features, _) in zip(hists, groups)], []
+        for node, *found in zip(frontier, *each):
+            split = min((s for s in found if s), key=lambda s: (-s.gain, s.feature), default=None)
             if split:
                 after += growing.add(node, split)
         if not after:
@@ -402,6 +419,17 @@ class BoostedTrees:
         margin = F.pandas_udf(score, "double")(*[F.col(f"`{c}`").try_cast("double") for c in self.features])
         return _outcome(df.withColumn("margin", margin))
 
+    def transform_vectors(self, df: DataFrame, vectors: str) -> DataFrame:
+        """As ``transform``, the features in a column of vectors."""
+        model = self
+        ship(df.sparkSession)
+
+        def score(column: pd.Series) -> pd.Series:
+            return pd.Series(model.margins(np.stack(column.to_list())) if len(column) else np.empty(0))
+
+        score.__annotations__ = {"column": pd.Series, "return": pd.Series}
+        return _outcome(df.withColumn("margin", F.pandas_udf(score, "double")(vector_to_array(F.col(vectors)))))
+
     def expression(self, names: Sequence[str]) -> str:
         """The margin as a SQL expression over columns of doubles. Each tree is a nest of conditions; an ensemble of more
         than ``WALK`` nodes is walked as flat arrays instead, to the same result, as so long an expression is slow to plan."""
@@ -426,9 +454,9 @@ class BoostedTrees:
 
     def nodes(self, spark: SparkSession) -> DataFrame:
         """The trees as a table, a row per node."""
-        rows = [(k, i, self.features[t.feature[i]] if t.feature[i] >= 0 else None, t.threshold[i] if t.feature[i] >= 0 else None, t.missing_left[i], t.left[i], t.right[i], t.value[i], t.gain[i], t.rows[i])
+        rows = [(k, i, self.features[t.feature[i]] if t.feature[i] >= 0 else None, t.threshold[i] if t.feature[i] >= 0 else None, t.missing_left[i], t.left[i], t.right[i], t.value[i], t.gain[i], t.rows[i], t.weight[i] if t.weight else None)
                 for k, t in enumerate(self.trees) for i in range(len(t.feature))]
-        return spark.createDataFrame(rows, "tree int, node int, feature string, threshold double, missing_left boolean, left int, right int, value double, gain double, rows long")
+        return spark.createDataFrame(rows, "tree int, node int, feature string, threshold double, missing_left boolean, left int, right int, value double, gain double, rows long, weight double")
 
     def to_json(self) -> str:
         return json.dumps({"features": self.features, "label": self.label, "base": self.base, "trees": [vars(t) for t in self.trees]})

@@ -1,8 +1,8 @@
 """Distributed training and batch scoring.
 
 The production booster is ``boosting.train_booster`` with all its settings;
-the baseline is a Spark ML pipeline around ``GBTClassifier``. Both train as
-tree-level aggregation jobs on the executors (histograms per node are merged,
+the baseline puts it behind a Spark ML pipeline that prepares the features.
+Both train as tree-level aggregation jobs on the executors (histograms per node are merged,
 rows never leave their partition), and scoring is a narrow projection that
 keeps every row, so predictions need no join back and no collect.
 """
@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import FeatureHasher, Imputer, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -54,16 +53,12 @@ BASELINE_PARAMS = {
 HASH_FEATURES = 4096
 
 
-def gbt_from_baseline(params: dict = BASELINE_PARAMS, features: str = "features", label: str = "label") -> GBTClassifier:
-    """learning_rate -> stepSize, max_depth -> maxDepth, subsample ->
-    subsamplingRate, random_state -> seed, n_estimators -> maxIter;
-    min_child_weight (a hessian sum) has no exact twin."""
-    return GBTClassifier(
-        featuresCol=features, labelCol=label,
-        maxIter=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
-        stepSize=float(params["learning_rate"]), subsamplingRate=float(params["subsample"]),
-        seed=int(params["random_state"]), cacheNodeIds=False, checkpointInterval=10,
-    )
+def baseline_settings(params: dict = BASELINE_PARAMS) -> dict:
+    """The booster's settings for the baseline's: a sample of the rows for every
+    tree, trees grown to ``max_depth`` without a limit on leaves or their rows,
+    and what its library does by default: L2 of 1, 256 bins, a start at 0."""
+    return {"lambda_l2": 1.0, "max_bin": 256, "min_child_samples": 0, "num_leaves": None, "subsample_freq": 1,
+            "boost_from_average": False, **params}
 
 
 def assemble(numeric: Sequence[str], output: str = "features", impute: bool = True,
@@ -130,15 +125,17 @@ def _spread(df: DataFrame) -> DataFrame:
 
 @dataclass
 class TrainedModel:
-    model: PipelineModel | BoostedTrees
+    model: BoostedTrees
     features: list[str]
     label: str
     signature: str  # input schema JSON
+    prepare: PipelineModel | None = None  # gives the vectors ("features") that the trees are of
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """df with ``prediction`` and ``probability`` (of the label 1, or a
-        vector of both labels' from a pipeline)."""
-        return transform_native(self.model, df) if isinstance(self.model, BoostedTrees) else self.model.transform(df)
+        """df with ``prediction`` and ``probability`` (of the label 1)."""
+        if self.prepare is None:
+            return transform_native(self.model, df)
+        return self.model.transform_vectors(self.prepare.transform(df), "features")
 
 
 def train_production(train: DataFrame, features: Sequence[str], label: str,
@@ -151,20 +148,23 @@ def train_production(train: DataFrame, features: Sequence[str], label: str,
 
 def train_baseline(train: DataFrame, numeric: Sequence[str], label: str, hashed: Sequence[str] = (),
                    params: dict = BASELINE_PARAMS) -> TrainedModel:
-    """Impute numeric, hash text ('' for null), assemble, standardise, boosted
-    trees with the baseline settings — one Spark ML pipeline."""
+    """Impute numeric, hash text ('' for null), assemble, standardise (one Spark
+    ML pipeline), then second-order trees with the baseline's settings."""
     numeric, hashed = list(numeric), list(hashed)
     data = _prepare(train, numeric, label, hashed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         slots = used_hash_slots(data, hashed) if hashed else None
         stages = assemble(numeric, output="raw_features", hashed=hashed, hash_slots=slots)
         stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=not hashed, withStd=True))
-        stages.append(gbt_from_baseline(params))
-        model = Pipeline(stages=stages).fit(data)
+        prepare = Pipeline(stages=stages).fit(data)
+        names = [*numeric, *(f"slot {i}" for i in sorted(slots or []))]
+        rows = prepare.transform(data).select("label", vector_to_array("features").alias("_x"))
+        wide = rows.select("label", *[F.col("_x")[i].alias(c) for i, c in enumerate(names)])
+        booster = train_booster(wide, names, "label", baseline_settings(params))
     finally:
         data.unpersist()
     fields = [T.StructField(c, T.DoubleType()) for c in numeric] + [T.StructField(c, T.StringType()) for c in hashed]
-    return TrainedModel(model, numeric + hashed, label, schema_to_json(T.StructType(fields)))
+    return TrainedModel(booster, numeric + hashed, label, schema_to_json(T.StructType(fields)), prepare)
 
 
 def score(model: TrainedModel, df: DataFrame, keep: Sequence[str] | None = None,
@@ -186,37 +186,37 @@ def score(model: TrainedModel, df: DataFrame, keep: Sequence[str] | None = None,
 
     src = df.select(*[typed(c) if c in types else F.col(f"`{c}`") for c in df.columns])
     out = model.transform(src)
-    share = F.col("probability") if isinstance(model.model, BoostedTrees) else vector_to_array(F.col("probability"))[1]
     return out.select(
         *[F.col(f"`{c}`") for c in keep],
         F.col("prediction").cast("int").alias(prediction),
-        share.alias(probability),
+        F.col("probability").alias(probability),
     )
 
 
+_SAVED = "signature string, label string, features string, trees string, prepared boolean"
+
+
 def save_model(model: TrainedModel, path: str) -> None:
-    """A pipeline to ``path/model``; the input signature and boosted trees to
-    ``path/signature`` (written through Spark, so any shared file system works)."""
+    """The input signature and the trees to ``path/signature``, a preparing
+    pipeline to ``path/prepare`` (through Spark, so any shared file system works)."""
     spark = SparkSession.getActiveSession()
-    trees = model.model.to_json() if isinstance(model.model, BoostedTrees) else None
-    if trees is None:
-        model.model.write().overwrite().save(f"{path}/model")
-    meta = spark.createDataFrame([(model.signature, model.label, ",".join(model.features), trees)],
-                                 "signature string, label string, features string, trees string")
+    if model.prepare is not None:
+        model.prepare.write().overwrite().save(f"{path}/prepare")
+    meta = spark.createDataFrame([(model.signature, model.label, ",".join(model.features), model.model.to_json(), model.prepare is not None)], _SAVED)
     meta.coalesce(1).write.mode("overwrite").json(f"{path}/signature")
 
 
 def load_model(path: str) -> TrainedModel:
     spark = SparkSession.getActiveSession()
-    meta = spark.read.schema("signature string, label string, features string, trees string").json(f"{path}/signature").first()
-    model = BoostedTrees.from_json(meta["trees"]) if meta["trees"] else PipelineModel.load(f"{path}/model")
-    return TrainedModel(model, meta["features"].split(","), meta["label"], meta["signature"])
+    meta = spark.read.schema(_SAVED).json(f"{path}/signature").first()
+    prepare = PipelineModel.load(f"{path}/prepare") if meta["prepared"] else None
+    return TrainedModel(BoostedTrees.from_json(meta["trees"]), meta["features"].split(","), meta["label"], meta["signature"], prepare)
 
 
 def register_scoring(spark: SparkSession, model: TrainedModel, name: str, stage: str) -> str:
-    """The SQL function ``<name>_<stage>`` of a model of boosted trees."""
-    if not isinstance(model.model, BoostedTrees):
-        raise ValueError("only boosted trees are compiled to a SQL function")
+    """The SQL function ``<name>_<stage>`` of a model whose trees are of plain columns."""
+    if model.prepare is not None:
+        raise ValueError("a model with a preparing pipeline is not compiled to a SQL function")
     return register_function(spark, model.model, name, stage)
 
 

@@ -128,10 +128,26 @@ def register_event(spark: SparkSession, seq: int, name: str, version: int, kind:
     return spark.createDataFrame([(seq, name, version, kind, stage, archive_existing, key, value)], EVENT_SCHEMA)
 
 
+def model_tag(name: str, key: str, value: str) -> tuple:
+    """The row of an event (without its number) that tags a model as such: one with no version."""
+    return (name, None, "tag", None, False, key, value)
+
+
+def _of_versions(events: DataFrame) -> DataFrame:
+    return events.where(F.col("version").isNotNull())
+
+
+def model_tags(events: DataFrame) -> DataFrame:
+    """Last value per (model, key) of the tags that are of no version, such as
+    the model's own description."""
+    t = events.where((F.col("kind") == "tag") & F.col("version").isNull())
+    return t.groupBy("name", "key").agg(F.max_by("value", "seq").alias("value"))
+
+
 def versions(events: DataFrame) -> DataFrame:
     """Registered versions: first event per (name, version), numbered per
     model in registration order (``version_number`` = previous + 1)."""
-    first = events.groupBy("name", "version").agg(F.min("seq").alias("registered_seq"))
+    first = _of_versions(events).groupBy("name", "version").agg(F.min("seq").alias("registered_seq"))
     return row_numbers(first, ["registered_seq", "version"], ["name"], out="version_number")
 
 
@@ -147,7 +163,7 @@ def current_stage(events: DataFrame) -> DataFrame:
     arch = (stage_ev.where(F.col("archive_existing"))
             .groupBy("name", F.col("to_stage").alias("own_stage"))
             .agg(F.max("seq").alias("archive_seq")))
-    reg = events.groupBy("name", "version").agg(F.min("seq").alias("registered_seq"))
+    reg = _of_versions(events).groupBy("name", "version").agg(F.min("seq").alias("registered_seq"))
     o = reg.join(own.select("name", "version", "o.*"), ["name", "version"], "left")
     res = o.join(arch, ["name", "own_stage"], "left")
     stage = (F.when(F.col("own_stage").isNull(), F.lit("None"))
@@ -176,7 +192,7 @@ def latest_versions(stages: DataFrame, wanted: Sequence[str] | None = None) -> D
 def current_tags(events: DataFrame) -> DataFrame:
     """Last value per (name, version, key) — last write wins. Descriptions
     and review comments are tags with keys 'description' / 'comment'."""
-    t = events.where(F.col("kind") == "tag")
+    t = _of_versions(events).where(F.col("kind") == "tag")
     return t.groupBy("name", "version", "key").agg(F.max_by("value", "seq").alias("value"))
 
 

@@ -26,7 +26,7 @@ def event_state(events: DataFrame) -> DataFrame:
                            (none if value is None else F.col(value)).alias("value"), "seq", F.col("seq").alias("first"), F.col("seq").alias("last"))
 
     version, stages = F.col("version"), events.where(F.col("kind") == "stage")
-    parts = [part(events, "registered", version, None, None), part(stages, "stage", version, None, "to_stage"),
+    parts = [part(events.where(version.isNotNull()), "registered", version, None, None), part(stages, "stage", version, None, "to_stage"),
              part(events.where(F.col("kind") == "tag"), "tag", version, "key", "value"),
              part(stages.where(F.col("archive_existing")), "archive", F.lit(None), "to_stage", None)]
     every = parts[0]
@@ -69,4 +69,9 @@ def stage_view(state: DataFrame) -> DataFrame:
 
 def tag_view(state: DataFrame) -> DataFrame:
     """As ``registry.current_tags``."""
-    return state.where(F.col("kind") == "tag").select("name", "version", "key", "value")
+    return state.where((F.col("kind") == "tag") & F.col("version").isNotNull()).select("name", "version", "key", "value")
+
+
+def model_tag_view(state: DataFrame) -> DataFrame:
+    """As ``registry.model_tags``."""
+    return state.where((F.col("kind") == "tag") & F.col("version").isNull()).select("name", "key", "value")

@@ -256,9 +256,9 @@ def q_current_tags(spark, sf):
     return registry.current_tags(fx.version_events(spark, sf))
 
 
-def _advanced(spark, sf):
+def _advanced(spark, sf, ev=None):
     """The state table after the event log has grown to a quarter, to three quarters, and whole."""
-    name, ev = _table(spark, "state"), fx.version_events(spark, sf)
+    name, ev = _table(spark, "state"), fx.version_events(spark, sf) if ev is None else ev
     top = ev.agg(F.max("seq")).first()[0] or 0
     for share in (0.25, 0.75, 1.0):
         state.advance(spark, ev.where(F.col("seq") <= int(top * share)), name)
@@ -273,6 +273,11 @@ def q_current_tags_increment(spark, sf):
     return state.tag_view(_advanced(spark, sf))
 
 
+def q_model_tags(spark, sf):
+    """Current tags of the models themselves, from the state kept up by increments."""
+    return state.model_tag_view(_advanced(spark, sf, fx.model_events(spark, sf)))
+
+
 def q_find_release(spark, sf):
     ev = fx.version_events(spark, sf)
     return registry.find_release(registry.current_stage(ev), registry.current_tags(ev))
@@ -376,7 +381,10 @@ def q_booster_split(spark, sf):
     """The first split of a second-order tree on lineitem's quantity, discount
     and tax under the production settings (one tree of one split, all features)."""
     settings = {**model.PRODUCTION_PARAMS, "n_estimators": 1, "max_depth": 1, "num_leaves": 2, "colsample_bytree": 1.0}
-    booster = boosting.train_booster(fx.training_rows(spark, sf), ["l_quantity", "l_discount", "l_tax"], "label", settings)
+    return _first_split(spark, boosting.train_booster(fx.training_rows(spark, sf), ["l_quantity", "l_discount", "l_tax"], "label", settings))
+
+
+def _first_split(spark, booster):
     nodes = booster.nodes(spark)
     root, left, right = (nodes.where(F.col("node") == i) for i in range(3))
     side = lambda d, name: d.select(F.col("rows").alias(f"n_{name}"), F.round("value", 6).alias(f"{name}_value"))
@@ -413,18 +421,49 @@ def q_check_predicts(spark, sf):
     return checks.check_predicts(model.score(m, fx.training_rows(spark, sf), keep=["label"]))
 
 
+def _baseline_rows(spark, sf):
+    """lineitem with the stratified 25 % validation split, written once: it is
+    read by the preparation, the bins and the validation."""
+    k = (spark.sparkContext.applicationId, sf, "baseline rows")
+    if k not in _TRAINED:
+        li = fx.table(spark, sf, "lineitem").select(*LINE_KEY, *fx.TRAIN_FEATURES, "l_linestatus",
+                                                    (F.col("l_returnflag") == "R").cast("int").alias("label"))
+        _TRAINED[k] = split.stratified_split(li, "label", LINE_KEY, 0.25, seed=520692802).checkpoint()
+    return _TRAINED[k]
+
+
+def _baseline_model(spark, sf) -> model.TrainedModel:
+    k = (spark.sparkContext.applicationId, sf, "baseline")
+    if k not in _TRAINED:
+        _TRAINED[k] = model.train_baseline(_baseline_rows(spark, sf).where(F.col("split") == "train"), fx.TRAIN_FEATURES, "label",
+                                           hashed=["l_linestatus"])
+    return _TRAINED[k]
+
+
 def q_train_baseline(spark, sf):
     """Stratified 25 % validation split, impute + hash + scale + boosted trees;
     one row of val_ metrics."""
-    li = fx.table(spark, sf, "lineitem").select(*LINE_KEY, *fx.TRAIN_FEATURES, "l_linestatus",
-                                                (F.col("l_returnflag") == "R").cast("int").alias("label"))
-    marked = split.stratified_split(li, "label", LINE_KEY, 0.25, seed=520692802)
-    m = model.train_baseline(marked.where(F.col("split") == "train"), fx.TRAIN_FEATURES, "label",
-                             hashed=["l_linestatus"])
-    val = model.score(m, marked.where(F.col("split") == "test"), keep=["label"])
+    val = model.score(_baseline_model(spark, sf), _baseline_rows(spark, sf).where(F.col("split") == "test"), keep=["label"])
     return metrics.binary_metrics(val, "label", "prediction", "probability", prefix="val_")
 
 
+def q_train_baseline_facts(spark, sf):
+    """Rows and positives of the validation split as the metrics count them,
+    trees, and leaves whose hessian sum is below the baseline's least."""
+    nodes = _baseline_model(spark, sf).model.nodes(spark)
+    light = (F.col("feature").isNull()) & (F.col("weight") < model.BASELINE_PARAMS["min_child_weight"])
+    trees = nodes.agg(F.countDistinct("tree").alias("n_trees"), F.count(F.when(light, 1)).alias("n_light"))
+    val = q_train_baseline(spark, sf)
+    return val.select("val_n", (F.col("val_tp") + F.col("val_fn")).alias("val_positives")).join(F.broadcast(trees))  # a row each
+
+
+def q_baseline_split(spark, sf):
+    """The first split of the baseline's first tree on lineitem's quantity,
+    discount and tax: min child weight, L2, a start at 0 (all rows, one split)."""
+    settings = {**model.baseline_settings(), "n_estimators": 1, "max_depth": 1, "subsample": 1.0}
+    return _first_split(spark, boosting.train_booster(fx.training_rows(spark, sf), ["l_quantity", "l_discount", "l_tax"], "label", settings))
+
+
 def q_hash_text(spark, sf):
     p = fx.table(spark, sf, "part").select("p_partkey", "p_type")
     h = model.hash_text(p, "p_type")
@@ -558,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "current_tags": q_current_tags,
     "current_stage_increment": q_current_stage_increment,
     "current_tags_increment": q_current_tags_increment,
+    "model_tags": q_model_tags,
     "find_release": q_find_release,
     "gate": q_gate,
     "check_key": q_check_key,
@@ -572,6 +612,7 @@ QUERIES: dict[str, Query] = {
     "train_production": q_train_production,
     "booster_split": q_booster_split,
     "booster_leaves": q_booster_leaves,
+    "baseline_split": q_baseline_split,
     "score_function": q_score_function,
     "score": q_score,
     "check_predicts": q_check_predicts,
@@ -587,4 +628,5 @@ QUERIES: dict[str, Query] = {
     "kernel_shapley_facts": q_kernel_shapley_facts,
     # 100 trees of depth 8 (the baseline's settings): the slowest query, last
     "train_baseline": q_train_baseline,
+    "train_baseline_facts": q_train_baseline_facts,
 }

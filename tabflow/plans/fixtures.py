@@ -125,3 +125,9 @@ def version_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_tag, key).alias("key"),
         F.when(is_tag, value).alias("value"),
     )
+
+
+def model_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log with its comments and descriptions on the models instead of their versions."""
+    own = (F.col("kind") == "tag") & F.col("key").isin("description", "comment")
+    return version_events(spark, sf_dir).withColumn("version", F.when(~F.coalesce(own, F.lit(False)), F.col("version")))

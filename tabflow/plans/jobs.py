@@ -23,6 +23,7 @@ from tabflow.functions import columns as fc
 from tabflow.operators import checks, metrics, model, registry, split
 from tabflow.operators.encode import OneHot, OneHotModel
 from tabflow.sources import files, tables
+from tabflow.sources.log import Log
 
 
 def compute_features(
@@ -58,47 +59,36 @@ def compute_features(
 
 @dataclass
 class Workspace:
-    """Where a model's tables live: a database holding ``runs`` and
-    ``version_events``, and a shared folder for saved models, by default
-    one in the database's own folder."""
+    """Where a model's tables live: a database holding ``runs``, the log of
+    version events in the database's folder (``version_events``; any number of
+    jobs may write to it at once), and a shared folder for saved models, by
+    default one in the database's folder, too."""
     spark: SparkSession
     db: str = "tabflow"
     model_root: str = field(default="")
 
     def __post_init__(self):
         tables.ensure_database(self.spark, self.db)
+        home = self.spark.catalog.getDatabase(self.db).locationUri.rstrip("/")
+        self.log = Log(self.spark, f"{home}/version_events", registry.EVENT_SCHEMA)
         if not self.model_root:
-            self.model_root = self.spark.catalog.getDatabase(self.db).locationUri.rstrip("/") + "/_models"
+            self.model_root = f"{home}/_models"
 
     @property
     def runs_table(self) -> str:
         return f"{self.db}.runs"
 
-    @property
-    def events_table(self) -> str:
-        return f"{self.db}.version_events"
-
     def runs(self) -> DataFrame:
         if not self.spark.catalog.tableExists(self.runs_table):
             return self.spark.createDataFrame([], registry.RUN_SCHEMA)
         return self.spark.table(self.runs_table)
 
     def events(self) -> DataFrame:
-        if not self.spark.catalog.tableExists(self.events_table):
-            return self.spark.createDataFrame([], registry.EVENT_SCHEMA)
-        return self.spark.table(self.events_table)
+        return self.log.read()
 
     def append_events(self, rows: list[tuple]) -> None:
-        """Append (name, version, kind, to_stage, archive_existing, key, value)
-        rows with the next sequence numbers (one aggregate row read).
-
-        One writer per model at a time: two jobs appending concurrently could
-        draw the same numbers (the flows of one model run one after another,
-        as the monthly job does)."""
-        start = (self.events().agg(F.max("seq")).first()[0] or 0) + 1
-        data = [(start + i, *r) for i, r in enumerate(rows)]
-        df = self.spark.createDataFrame(data, registry.EVENT_SCHEMA)
-        df.write.mode("append").format("parquet").saveAsTable(self.events_table)
+        """Append (name, version, kind, to_stage, archive_existing, key, value) rows."""
+        self.log.commit(lambda events: rows)
 
 
 def ingest_csv(spark: SparkSession, path: str, table: str, schema=None, location: str | None = None,
@@ -202,20 +192,29 @@ def run_info(ws: Workspace, run_id: str) -> dict:
 
 
 def register(ws: Workspace, run_id: str, name: str, description: str = "", to_stage: str = "Staging",
-             archive_existing: bool = False, comment: str = "") -> int:
-    """New version = previous + 1 for the model; registered (stage None),
-    described, optionally commented, then moved to ``to_stage``."""
-    cur = ws.events().where(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = (cur or 0) + 1
-    rows = [(name, version, "stage", "None", False, None, None),
-            (name, version, "tag", None, False, "run_id", run_id),
-            (name, version, "tag", None, False, "description", description)]
-    if comment:
-        rows.append((name, version, "tag", None, False, "comment", comment))
-    if to_stage:
-        rows.append((name, version, "stage", to_stage.capitalize(), archive_existing, None, None))
-    ws.append_events(rows)
-    return version
+             archive_existing: bool = False, comment: str = "", model_description: str = "") -> int:
+    """New version = previous + 1 for the model, also with several jobs that
+    register at once; registered (stage None), described, optionally commented,
+    then moved to ``to_stage``. ``model_description`` is of all versions."""
+    def rows(events: DataFrame) -> list[tuple]:
+        version = (events.where(F.col("name") == name).agg(F.max("version")).first()[0] or 0) + 1
+        out = [(name, version, "stage", "None", False, None, None),
+               (name, version, "tag", None, False, "run_id", run_id),
+               (name, version, "tag", None, False, "description", description)]
+        if model_description:
+            out.append(registry.model_tag(name, "description", model_description))
+        if comment:
+            out.append((name, version, "tag", None, False, "comment", comment))
+        if to_stage:
+            out.append((name, version, "stage", to_stage.capitalize(), archive_existing, None, None))
+        return out
+
+    return ws.log.commit(rows)[0][1]
+
+
+def describe_model(ws: Workspace, name: str, description: str) -> None:
+    """The description of a model as such, beside those of its versions."""
+    ws.append_events([registry.model_tag(name, "description", description)])
 
 
 def _version_state(ws: Workspace, name: str, version: int) -> tuple[str, dict]:

@@ -12,7 +12,7 @@ cast to BIGINT.
 
 from __future__ import annotations
 
-from tabflow.operators.model import PRODUCTION_PARAMS
+from tabflow.operators.model import BASELINE_PARAMS, PRODUCTION_PARAMS
 from tabflow.plans import fixtures as fx
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -189,6 +189,23 @@ x AS (SELECT *, {gain("gl", "hl", "wl")} + {gain("gr", "hr", "wr")} AS gain FROM
 SELECT f AS feature, ROUND((v + above) / 2, 6) AS threshold, ROUND(gain, 3) AS gain, CAST(nl AS BIGINT) AS n_left, ROUND(wl * {rate}, 6) AS left_value,
        CAST(nr AS BIGINT) AS n_right, ROUND(wr * {rate}, 6) AS right_value
 FROM x ORDER BY gain DESC, k, v LIMIT 1"""
+    least, rate = BASELINE_PARAMS["min_child_weight"], BASELINE_PARAMS["learning_rate"]
+    # every row starts at a probability of 1/2: a gradient of 1/2 - y and a hessian of 1/4
+    q["baseline_split"] = f"""
+WITH r AS (SELECT CAST(l_quantity AS DOUBLE) AS l_quantity, l_discount, l_tax, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS y FROM lineitem),
+u AS (SELECT 'l_quantity' AS f, 0 AS k, l_quantity AS v, y FROM r UNION ALL SELECT 'l_discount', 1, l_discount, y FROM r UNION ALL SELECT 'l_tax', 2, l_tax, y FROM r),
+a AS (SELECT f, k, v, COUNT(*) AS n, SUM(0.5 - y) AS g FROM u GROUP BY f, k, v),
+c AS (SELECT f, k, v, LEAD(v) OVER o AS above, SUM(n) OVER o AS nl, SUM(g) OVER o AS gl,
+        SUM(n) OVER (PARTITION BY f) AS nt, SUM(g) OVER (PARTITION BY f) AS gt FROM a WINDOW o AS (PARTITION BY f ORDER BY v)),
+d AS (SELECT *, nt - nl AS nr, gt - gl AS gr, nl / 4.0 + 1 AS hl, (nt - nl) / 4.0 + 1 AS hr FROM c WHERE above IS NOT NULL),
+x AS (SELECT *, gl * gl / hl + gr * gr / hr - gt * gt / (nt / 4.0 + 1) AS gain FROM d WHERE hl - 1 >= {least} AND hr - 1 >= {least})
+SELECT f AS feature, ROUND((v + above) / 2, 6) AS threshold, ROUND(CAST(gain AS DOUBLE), 3) AS gain, CAST(nl AS BIGINT) AS n_left, ROUND(CAST(-gl / hl * {rate} AS DOUBLE), 6) AS left_value,
+       CAST(nr AS BIGINT) AS n_right, ROUND(CAST(-gr / hr * {rate} AS DOUBLE), 6) AS right_value
+FROM x ORDER BY gain DESC, k, v LIMIT 1"""
+    q["train_baseline_facts"] = f"""
+SELECT CAST(SUM(CEIL(0.25 * n)) AS BIGINT) AS val_n, CAST(SUM(CASE WHEN label = 1 THEN CEIL(0.25 * n) ELSE 0 END) AS BIGINT) AS val_positives,
+       CAST({BASELINE_PARAMS["n_estimators"]} AS BIGINT) AS n_trees, CAST(0 AS BIGINT) AS n_light
+FROM (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, COUNT(*) AS n FROM lineitem GROUP BY 1)"""
     q["hash_signed"] = """
 SELECT p_partkey, p_type, 1 AS n_slots, CAST((b % 2147483648) % 4096 AS INTEGER) AS slot, CASE WHEN b >= 2147483648 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END AS value
 FROM (SELECT p_partkey, p_type, CAST('0x' || substr(md5(COALESCE(p_type, '')), 1, 8) AS BIGINT) AS b FROM part)"""
@@ -287,6 +304,8 @@ SELECT name, stage, MAX(version) AS version FROM stages GROUP BY name, stage"""
 WITH {STAGES}
 SELECT name, version, key, value FROM tags"""
     q["current_stage_increment"], q["current_tags_increment"] = q["current_stage"], q["current_tags"]
+    q["model_tags"] = f"""
+SELECT name, key, arg_max(value, seq) AS value FROM ({EVENTS}) WHERE kind = 'tag' AND key IN ('description', 'comment') GROUP BY name, key"""
     q["find_release"] = f"""
 WITH {STAGES}
 SELECT t.name, MAX(t.version) AS version FROM tags t JOIN stages s ON s.name = t.name AND s.version = t.version

@@ -1,6 +1,8 @@
 """End to end: raw CSV -> bronze -> features -> train -> register ->
 validate -> promote -> batch score -> retrain, twice without duplicates."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tabflow.operators import model, registry
 from tabflow.plans import fixtures as fx
 from tabflow.plans import jobs
 from tabflow.session import scratch_path
-from tabflow.sources import files, tables
+from tabflow.sources import files, log, tables
 
 SMALL = dict(model.PRODUCTION_PARAMS, n_estimators=3, min_child_samples=20)
 
@@ -119,3 +121,36 @@ def test_validate_rejects_a_model_that_cannot_score(spark, ws):
     assert res["predicts"] == "0" and res["has_signature"] == "0" and res["rejected"]
     st = {r.version: r.stage for r in registry.current_stage(ws.events().where("name = 'broken_model'")).collect()}
     assert st[v] == "Archived"
+
+
+def test_versions_of_jobs_that_register_at_once_are_distinct(spark):
+    tables.reset_database(spark, "tabflow_many")
+    one, two = jobs.Workspace(spark, db="tabflow_many"), jobs.Workspace(spark, db="tabflow_many")
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda i: jobs.register([one, two][i % 2], f"run{i}", "m", f"version of run {i}"), range(8)))
+    assert sorted(got) == list(range(1, 9))
+    ev = one.events()
+    assert ev.count() == ev.select("seq").distinct().count() == 8 * 4
+    tags = {(r.version, r.key): r.value for r in registry.current_tags(ev).collect()}
+    assert all(tags[v, "run_id"] == f"run{i}" and tags[v, "description"] == f"version of run {i}" for i, v in enumerate(got))
+    assert [r.version_number for r in registry.versions(ev).orderBy("version").collect()] == list(range(1, 9))
+    jobs.describe_model(two, "m", "first")
+    jobs.describe_model(one, "m", "second")
+    assert [tuple(r) for r in registry.model_tags(one.events()).collect()] == [("m", "description", "second")]
+    assert registry.current_tags(one.events()).count() == len(tags)
+
+
+def test_an_append_that_lost_its_number_is_built_anew(spark):
+    w = log.Log(spark, scratch_path(spark, "log"), registry.EVENT_SCHEMA)
+    seen = []
+
+    def build(events):
+        seen.append(events.count())
+        if len(seen) == 1:  # another writer comes between
+            assert w.commit(lambda e: [registry.model_tag("m", "k", "other")])
+        return [registry.model_tag("m", "k", "own")]
+
+    w.commit(build)
+    assert seen == [0, 1] and w.last() == 2 and [r.value for r in w.read().orderBy("seq").collect()] == ["other", "own"]
+    assert w.commit(lambda e: []) == [] and w.last() == 2
+    assert not log.write_new(spark, f"{w.path}/000000000002.json", "x")

@@ -142,3 +142,20 @@ def test_fit_is_repeatable(spark):
     pa = model.score(a, rows, keep=KEY).orderBy(*KEY, "probability").collect()
     pb = model.score(b, rows, keep=KEY).orderBy(*KEY, "probability").collect()
     assert pa == pb
+
+
+def test_baseline_prepares_its_features_and_obeys_the_child_weight(spark, tmp_path):
+    rows = fx.table(spark, SF001, "lineitem").select(*KEY, *fx.TRAIN_FEATURES, "l_linestatus", (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    rows = rows.withColumn("l_tax", F.when(F.col("l_linenumber") != 2, F.col("l_tax"))).withColumn("l_linestatus", F.when(F.col("l_linenumber") != 3, F.col("l_linestatus")))
+    settings = {**model.BASELINE_PARAMS, "n_estimators": 3, "min_child_weight": 20, "subsample": 0.5}
+    m = model.train_baseline(rows, fx.TRAIN_FEATURES, "label", hashed=["l_linestatus"], params=settings)
+    nodes = m.model.nodes(spark).collect()
+    assert len({r.tree for r in nodes}) == 3 and min(r.weight for r in nodes if r.feature is None) >= 20
+    assert any((r.feature or "").startswith("slot") or r.feature in fx.TRAIN_FEATURES for r in nodes)
+    assert m.model.base == 0 and all(r.rows < 0.6 * rows.count() for r in nodes)
+    model.save_model(m, str(tmp_path / "baseline"))
+    back = model.load_model(str(tmp_path / "baseline"))
+    a, b = (model.score(x, rows, keep=KEY).orderBy(*KEY).collect() for x in (m, back))
+    assert a == b and len(a) == rows.count() and all(0 < r.probability < 1 for r in a)
+    with pytest.raises(ValueError):
+        model.register_scoring(spark, m, "baseline", "production")
