@@ -8,8 +8,12 @@ A list whose neighbours all reach the threshold is saturated: it may have no roo
 are therefore enlarged to their whole component of the edges, which is compared in tiles, so that the number of links is
 exact within it, and edges that the lists had no room for cannot be missed. An audit then holds the links of a sample of
 vectors against brute force over all vectors. Every group of linked vectors counts as one there, whatever its size, and the
-sample grows until enough groups are seen. Below the wanted recall the descent goes on, with more orders and longer lists;
-after some audits, or where so few vectors are linked that the sample takes in all of them, brute force is the result.
+sample grows until enough groups are seen, up to BLOCK times AUDIT vectors; if those are all there are, their links are the
+result. Where few vectors are linked, such a sample says little. So vectors are planted as well: some PROBES vectors get a
+partner at the threshold, in a random direction, which is the hardest link to find, and the descent must find these links,
+too. Partners take part in the descent alone and are in no result. Below the wanted recall of either kind the descent goes
+on, with more orders and longer lists. The work is thus of the order n log n; only if the recall is still not reached after
+some audits, all are compared with all.
 
 Equal vectors are one class, and cosines are computed in double precision from unit vectors.
 """
@@ -34,8 +38,9 @@ THRESHOLD = 0.95
 LIST, ORDERS, NEXT, ROUNDS = 8, 8, 4, 2
 #: Vectors audited at first (by a hash of the id), the recall of their links that is wanted, audits before brute force.
 AUDIT, RECALL, AUDITS = 500, 0.99, 4
-#: Groups of linked vectors that an audit must see, and AUDITs of vectors that are compared with all others at a time.
-GROUPS, BLOCK = 100, 16
+#: Groups of linked vectors that an audit should see, AUDITs of vectors that are compared with all others at a time and at
+#: most in an audit, and vectors (about, by a hash of the id) that get a planted partner.
+GROUPS, BLOCK, PROBES = 100, 16, 2000
 #: Vectors of a component that are compared with as many others in one task.
 TILE = 2000
 SEED = 7
@@ -75,6 +80,27 @@ def _groups(batches, keys: list[str]):
         yield pa.Table.from_batches(held)
 
 
+def _probes(vectors: DataFrame, n: int, threshold: float, dims: str) -> DataFrame:
+    """id, v of the planted partners of about PROBES of the n vectors: -1 less the vector's id, at a cosine just above the
+    threshold. The direction is drawn from the id, so that a task that is run again plants the same."""
+    share = min(2**32, 2**32 * PROBES // n)
+    some = vectors.where(F.shiftrightunsigned(F.xxhash64("id", F.lit(SEED + 1)), 32) < share) if share < 2**32 else vectors
+    cosine = min(1.0, threshold + 1e-5)
+
+    def plant(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            m, ids = _matrix(batch.column("v")), np.asarray(batch.column("id"))
+            side = np.stack([np.random.default_rng([SEED, int(i)]).standard_normal(m.shape[1]) for i in ids])
+            side -= (side * m).sum(axis=1, keepdims=True) * m
+            length = np.linalg.norm(side, axis=1, keepdims=True)
+            planted = cosine * m + math.sqrt(1 - cosine * cosine) * np.divide(side, length, out=np.zeros_like(side), where=length > 1e-9)
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - ids), pa.array(list(planted)).cast(batch.schema.field("v").type, safe=False)], names=["id", "v"])
+
+    return some.select("id", "v").mapInArrow(plant, f"id long, v {dims}")
+
+
 def _first_graph(vectors: DataFrame, dims: str, orders: range) -> DataFrame:
     """id, near, sim: each vector with the next ones in several orders by signs of random projections."""
     def sign(batches):
@@ -209,14 +235,14 @@ def _against(vectors: DataFrame, chosen: pa.Table, threshold: float) -> DataFram
 
 def _audit(vectors: DataFrame, links: DataFrame, n: int, threshold: float, whole: bool = False) -> tuple[float, DataFrame | None, DataFrame]:
     """Of n vectors (id, v, weight, component): the recall of the audited vectors' links, a group of linked vectors counting
-    as one; the links of all vectors if all were audited, as they are where ``whole``; and the edges (id, near, sim) between
+    as one (1 if none is seen); the links of all vectors if all were audited, as they are where ``whole``; and the edges (id, near, sim) between
     components that the audit has met."""
     spark = vectors.sparkSession
     buckets = max(1, n // AUDIT)
     placed, path = materialise_at(spark, vectors.withColumn("bucket", F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(buckets))), "audited")
     parts, done, groups, hits = [], 0, 0.0, 0.0
-    while done < buckets and (whole or groups < GROUPS):
-        step = BLOCK if whole else min(max(1, done), BLOCK)
+    while done < buckets and (whole or groups < GROUPS and done < BLOCK):
+        step = BLOCK if whole else min(max(1, done), BLOCK - done)
         chosen = placed.where((F.col("bucket") >= done) & (F.col("bucket") < done + step)).select("id", "v", "component").toArrow()
         done += step
         if not chosen.num_rows:
@@ -264,8 +290,11 @@ def near_duplicates(spark: SparkSession, table: DataFrame, threshold: float = TH
 def _descend(spark: SparkSession, classes: DataFrame, threshold: float, dims: str) -> DataFrame:
     """id, links, component of the classes (id, v, weight) of one length."""
     vectors = classes.select("id", "v", "weight")
-    plain = vectors.select("id", "v")
+    plain, planted = vectors.select("id", "v"), 0
     n = vectors.count()
+    if n // AUDIT > BLOCK:  # else the audit takes in all vectors
+        partners = materialise(spark, _probes(plain, n, threshold, dims), "planted")
+        plain, planted = plain.unionByName(partners), partners.count()
     more = ORDERS + math.ceil(2 * math.log2(max(1, n / 1000)))
 
     def linked() -> tuple[DataFrame, DataFrame]:
@@ -274,23 +303,30 @@ def _descend(spark: SparkSession, classes: DataFrame, threshold: float, dims: st
         membership = materialise(spark, stars.select(F.col("node").alias("id"), "component"), "membership")
         return membership, vectors.join(membership, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    k, orders, turn, graph, edges = LIST, 0, 0, None, []
+    def take(met: DataFrame) -> None:
+        at = met.where(F.col("sim") >= threshold)
+        edges.append(at.where("id >= 0 and near >= 0"))
+        caught.append(at.where("id < 0 and near = -1 - id").select("id"))
+
+    k, orders, turn, graph, edges, caught = LIST, 0, 0, None, [], []
     for audit in range(AUDITS + 1):
         whole = audit == AUDITS
         if not whole:
             for first in range(orders, orders + more, ORDERS):
                 met = materialise(spark, _first_graph(plain, dims, range(first, min(first + ORDERS, orders + more))), "met")
-                edges.append(met.where(F.col("sim") >= threshold))
+                take(met)
                 graph = materialise(spark, _nearest(met if graph is None else graph.unionByName(met), k), "graph")
             orders += more
             for _ in range(ROUNDS):
                 turn += 1
                 met = materialise(spark, _round(plain, graph, k, threshold, dims, turn), "met")
-                edges.append(met.where(F.col("sim") >= threshold))
+                take(met)
                 graph = materialise(spark, _nearest(graph.unionByName(met), k), "graph")
             membership, placed = linked()
             links = materialise(spark, _links_within(spark, vectors, membership, threshold), "links")
         recall, counted, missed = _audit(placed, links, n, threshold, whole)
+        if planted and not whole:
+            recall = min(recall, reduce(DataFrame.unionByName, caught).distinct().count() / planted)
         edges.append(missed)
         if counted is not None or recall >= RECALL:
             if not missed.isEmpty():
