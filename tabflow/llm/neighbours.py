@@ -33,9 +33,10 @@ from tabflow.llm.components import components
 from tabflow.session import shuffle_partitions
 
 THRESHOLD = 0.95
-#: Neighbours a vector keeps, orders of the first graph for up to a thousand vectors (two more whenever they double) and at
-#: a time, the next ones taken in each, rounds between audits.
+#: Neighbours a vector keeps, orders of the first graph at a time, the next ones taken in each, rounds between audits.
 LIST, ORDERS, NEXT, ROUNDS = 8, 8, 4, 2
+#: The share of links at the threshold that all orders of the first graph may miss.
+MISSED = 0.004
 #: Vectors audited at first (by a hash of the id), the recall of their links that is wanted, audits before brute force.
 AUDIT, RECALL, AUDITS = 500, 0.99, 4
 #: Groups of linked vectors that an audit should see, AUDITs of vectors that are compared with all others at a time and at
@@ -101,6 +102,13 @@ def _probes(vectors: DataFrame, n: int, threshold: float, dims: str) -> DataFram
     return some.select("id", "v").mapInArrow(plant, f"id long, v {dims}")
 
 
+def _orders(n: int, threshold: float) -> int:
+    """Orders of n vectors after which a link at the threshold is missed by all of them with the chance MISSED: two vectors
+    agree in a sign with the chance 1 - angle / pi, and stand together in an order if they agree in its first log2(n)."""
+    together = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** math.log2(max(2, n))
+    return max(1, math.ceil(math.log(MISSED) / math.log1p(-min(together, 0.99))))
+
+
 def _first_graph(vectors: DataFrame, dims: str, orders: range) -> DataFrame:
     """id, near, sim: each vector with the next ones in several orders by signs of random projections."""
     def sign(batches):
@@ -295,7 +303,7 @@ def _descend(spark: SparkSession, classes: DataFrame, threshold: float, dims: st
     if n // AUDIT > BLOCK:  # else the audit takes in all vectors
         partners = materialise(spark, _probes(plain, n, threshold, dims), "planted")
         plain, planted = plain.unionByName(partners), partners.count()
-    more = ORDERS + math.ceil(2 * math.log2(max(1, n / 1000)))
+    more = _orders(n, threshold)
 
     def linked() -> tuple[DataFrame, DataFrame]:
         every = reduce(DataFrame.unionByName, edges)

@@ -233,6 +233,7 @@ def test_near_vectors(spark, monkeypatch):
 def test_pairs_beside_a_hot_group_are_found(spark, monkeypatch):
     for name in ("ORDERS", "NEXT", "ROUNDS"):  # a descent that misses most pairs
         monkeypatch.setattr(neighbours, name, 1)
+    monkeypatch.setattr(neighbours, "MISSED", 0.9)
     rng = np.random.default_rng(4)
     near = lambda v, by: v / np.linalg.norm(v) + by * rng.standard_normal(48) / np.sqrt(48)
     hot, pairs = rng.standard_normal(48), rng.standard_normal((150, 48))
