@@ -104,9 +104,10 @@ def _probes(vectors: DataFrame, n: int, threshold: float, dims: str) -> DataFram
 
 def _orders(n: int, threshold: float) -> int:
     """Orders of n vectors after which a link at the threshold is missed by all of them with the chance MISSED: two vectors
-    agree in a sign with the chance 1 - angle / pi, and stand together in an order if they agree in its first log2(n)."""
+    agree in a sign with the chance 1 - angle / pi, and stand together in an order if they agree in its first log2(n). Where
+    that is rarer than one in 50, as at low thresholds, the audits ask for more orders."""
     together = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** math.log2(max(2, n))
-    return max(1, math.ceil(math.log(MISSED) / math.log1p(-min(together, 0.99))))
+    return max(1, math.ceil(math.log(MISSED) / math.log1p(-min(max(together, 0.02), 0.99))))
 
 
 def _first_graph(vectors: DataFrame, dims: str, orders: range) -> DataFrame:
