@@ -233,7 +233,6 @@ def test_near_vectors(spark, monkeypatch):
 def test_pairs_beside_a_hot_group_are_found(spark, monkeypatch):
     for name in ("ORDERS", "NEXT", "ROUNDS"):  # a descent that misses most pairs
         monkeypatch.setattr(neighbours, name, 1)
-    monkeypatch.setattr(neighbours, "MISSED", 0.9)
     rng = np.random.default_rng(4)
     near = lambda v, by: v / np.linalg.norm(v) + by * rng.standard_normal(48) / np.sqrt(48)
     hot, pairs = rng.standard_normal(48), rng.standard_normal((150, 48))
@@ -249,27 +248,6 @@ def test_pairs_beside_a_hot_group_are_found(spark, monkeypatch):
     assert _run(spark, rows) == expected
 
 
-def test_planted_links_stand_in_for_an_audit_of_all(spark, monkeypatch):
-    """Few links among many vectors: a bounded sample is audited, and what the descent finds of planted links decides."""
-    rng = np.random.default_rng(6)
-    vectors = list(rng.standard_normal((900, 32)))
-    vectors += [v + 0.05 * rng.standard_normal(32) for v in vectors[:10]]
-    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(vectors)]
-    audited, asked = [], neighbours._against
-    monkeypatch.setattr(neighbours, "_against", lambda v, chosen, t: audited.append(chosen.num_rows) or asked(v, chosen, t))
-    monkeypatch.setattr(neighbours, "AUDIT", 10)
-    monkeypatch.setattr(neighbours, "BLOCK", 4)
-    monkeypatch.setattr(neighbours, "PROBES", 300)
-    assert _run(spark, rows) == _brute(rows)
-    assert sum(audited) < 400  # 4 audits of about 40 at most; a comparison of all with all would be 910
-    plain = frame(spark, [(i, v) for i, v in rows], "id long, v array<float>")
-    partners = {r.id: r.v for r in neighbours._probes(plain, len(rows), 0.95, "array<float>").collect()}
-    assert 200 < len(partners) < 400
-    for i, v in partners.items():
-        x, y = vectors[-1 - i], np.array(v, float)
-        assert 0.95 <= x @ y / np.linalg.norm(x) / np.linalg.norm(y) < 0.9501
-
-
 def test_odd_vectors(spark):
     x, y = [1.0, 2.0, 3.0], [2.0, 4.0, 6.0]
     rows = [(1, x), (2, y), (3, x), (3, x), (4, None), (5, []), (6, [0.0, 0.0, 0.0]), (7, [1.0, None, 2.0]), (8, [float("nan"), 1.0, 1.0]), (9, [float("inf"), 1.0, 1.0]), (10, [-1.0, -2.0, -3.0]), (11, [1e-30, 2e-30, 3e-30]), (12, [1.0, 2.0])]
