@@ -467,10 +467,10 @@ def q_baseline_split(spark, sf):
 def q_hash_text(spark, sf):
     p = fx.table(spark, sf, "part").select("p_partkey", "p_type")
     h = model.hash_text(p, "p_type")
-    arr = model.vector_to_array(F.col("hashed"))
-    return h.select("p_partkey", "p_type",
-                    (F.array_position(arr, 1.0) - 1).cast("int").alias("hash_index"),
-                    F.size(F.filter(arr, lambda x: x != 0)).alias("n_nonzero"))
+    sparse = F.unwrap_udt("hashed")  # places and values of a row, not all 4096 slots
+    place = F.get(sparse["indices"], (F.array_position(sparse["values"], 1.0) - 1).cast("int"))
+    return h.select("p_partkey", "p_type", F.coalesce(place, F.lit(-1)).alias("hash_index"),
+                    F.size(F.filter(sparse["values"], lambda x: x != 0)).alias("n_nonzero"))
 
 
 def q_shapley(spark, sf):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF001
 from tabflow.operators import checks, model, split
 from tabflow.operators.shapley import coalitions, kernel_shapley, mode_values, shapley
+from tabflow.plans import catalog
 from tabflow.plans import fixtures as fx
 from tabflow.session import scratch_path
 
@@ -159,3 +160,13 @@ def test_baseline_prepares_its_features_and_obeys_the_child_weight(spark, tmp_pa
     assert a == b and len(a) == rows.count() and all(0 < r.probability < 1 for r in a)
     with pytest.raises(ValueError):
         model.register_scoring(spark, m, "baseline", "production")
+
+
+def test_hash_text_query_reads_the_sparse_row(spark, tmp_path):
+    rows = [(1, "SMALL"), (2, None), (2, ""), (None, "SMALL"), (4, "ECONOMY")]
+    spark.createDataFrame(rows, "p_partkey long, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    got = catalog.q_hash_text(spark, str(tmp_path))
+    assert "UDF(hashed" not in got._jdf.queryExecution().executedPlan().toString()  # no array of all slots
+    dense = model.hash_text(fx.table(spark, str(tmp_path), "part"), "p_type").select("p_partkey", "p_type", model.vector_to_array("hashed").alias("a")).collect()
+    want = sorted(((r.p_partkey, r.p_type, r.a.index(1.0), sum(v != 0 for v in r.a)) for r in dense), key=str)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want and len(want) == 5
