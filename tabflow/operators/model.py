@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabflow.operators.boosting import BoostedTrees, register_function, train_booster, transform_native
+from tabflow.operators.boosting import BoostedTrees, register_function, train_booster
 from tabflow.operators.checks import schema_from_json, schema_to_json
 from tabflow.session import scratch_root, shuffle_partitions
 
@@ -134,7 +134,7 @@ class TrainedModel:
     def transform(self, df: DataFrame) -> DataFrame:
         """df with ``prediction`` and ``probability`` (of the label 1)."""
         if self.prepare is None:
-            return transform_native(self.model, df)
+            return self.model.transform(df)
         return self.model.transform_vectors(self.prepare.transform(df), "features")
 
 
