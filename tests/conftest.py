@@ -16,3 +16,14 @@ def spark():
     s = local_session("*", app="tabflow-tests")
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def no_views_left(request):
+    """Temporary views end with the test that made them: the session is shared."""
+    yield
+    if "spark" in request.fixturenames:
+        session = request.getfixturevalue("spark")
+        for t in session.catalog.listTables():
+            if t.isTemporary:
+                session.catalog.dropTempView(t.name)
