@@ -2,8 +2,10 @@
 
 A byte-level tokenizer of this kind never joins bytes across a single blank between two non-blank characters: the blank
 starts the next pre-token. So a text's ids are the ids of its first word followed by those of " " + word for every later
-one, and each distinct word needs encoding only once per worker. Texts with other runs of white space next to a blank, and
-vocabularies of another kind, are handed to the library whole; both ways give the ids of
+one, and each distinct word needs encoding only once per worker. New words of common letters are cut into their
+pre-tokens first, as the same pre-token is in many words ("end", "end," and "end.") and its ids don't depend on its
+neighbours; the library then encodes each new pre-token. Texts with other runs of white space next to a blank, and
+vocabularies of another kind, are handed to the library whole; all ways give the ids of
 ``encode(text, add_special_tokens=False)``.
 """
 
@@ -11,19 +13,28 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words a worker keeps; when it has more, the cache starts anew. It changes no result.
+#: Words and pre-tokens a worker keeps; when it has more, the cache starts anew. It changes no result.
 CACHE_WORDS = 800_000
 #: Words encoded in one call.
 JOIN_WORDS = 4000
+#: Words cut into pre-tokens at a time.
+CUT_WORDS = 40_000
 
 _SPACE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{1c}-\x{1f}]"
 _RISKY = f" {_SPACE}|{_SPACE} |^{_SPACE}|{_SPACE}$"
 
+#: Letters of which every Unicode version of the last decades says so: Latin, Greek, Cyrillic, kana, Han, Hangul.
+LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02c1\u0388-\u038a\u038e-\u03a1\u03a3-\u03e1\u0400-\u0481\u048a-\u0513\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+_PLAIN = re.compile(f"[!-~\t-\r{LETTERS}]+").fullmatch  # a word of these letters and of ASCII alone
+#: The pre-tokenizer's pattern for plain words behind blanks, where digits and white space are those of ASCII.
+_CUT = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[0-9]+| ?[^ \t-\r0-9{LETTERS}]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+").findall
+
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -46,36 +57,77 @@ class Encoder:
         spec = json.loads(self.lib.to_str())
         before = spec.get("pre_tokenizer") or {}
         self.by_word = spec.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        self.by_piece = all(t["special"] for t in spec.get("added_tokens") or [])  # others may span pre-tokens
         self._reset()
 
     def _reset(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.pool, self.edge = np.empty(1 << 20, np.uint32), np.zeros(1 << 16, np.int64)
+        self.slots: dict[str, int] = {}  # of " " + word
+        self.inner: dict[str, int] = {}  # of pre-tokens without a blank
+        self.pool, self.edge, self.n = np.empty(1 << 20, np.uint32), np.zeros(1 << 16, np.int64), 0
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
-        """Cache the ids of " " + word. Many words are encoded in one call: a token that starts with the blank begins one."""
+    def _keep(self, where: dict[str, int], words: list[str], ids: np.ndarray, cuts: np.ndarray) -> None:
+        """Cache the ids of some words, of which word i has those from cuts[i] to cuts[i + 1]."""
+        used, n = int(self.edge[self.n]), self.n
+        while used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        while n + len(words) >= len(self.edge):
+            self.edge = np.concatenate([self.edge, np.empty_like(self.edge)])
+        self.pool[used : used + len(ids)] = ids
+        self.edge[n : n + len(words) + 1] = used + cuts
+        where.update(zip(words, range(n, n + len(words))))
+        self.n += len(words)
+
+    def _kept(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids in some slots, one after the other, and where each slot's end."""
+        begin = self.edge[slot]
+        length = self.edge[slot + 1] - begin
+        end = np.cumsum(length)
+        return self.pool[np.repeat(begin - end + length, length) + np.arange(end[-1] if len(end) else 0)], end
+
+    def _ask(self, words: list[str]) -> None:
+        """Cache what the library gives for " " + word. Many words are encoded in one call: a token that starts with the
+        blank begins one."""
         for i in range(0, len(words), JOIN_WORDS):
-            part, n = words[i : i + JOIN_WORDS], len(self.slots)
-            ids = np.array(self.lib.encode(" " + " ".join(part), add_special_tokens=False).ids, np.uint32)
+            part = words[i : i + JOIN_WORDS]
+            ids = self._whole([" " + " ".join(part)])[0]
             cuts = np.append(np.flatnonzero(self.starts[ids]), len(ids))
             if len(cuts) != len(part) + 1:  # a token of this vocabulary spans words
                 got = self._whole([" " + w for w in part])
                 ids, cuts = np.concatenate(got), np.cumsum([0, *map(len, got)])
-            used = int(self.edge[n])
-            while used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-            while n + len(part) >= len(self.edge):
-                self.edge = np.concatenate([self.edge, np.empty_like(self.edge)])
-            self.pool[used : used + len(ids)] = ids
-            self.edge[n : n + len(part) + 1] = used + cuts
-            self.slots.update(zip(part, range(n, n + len(part))))
+            self._keep(self.slots, part, ids, cuts)
+
+    def _learn(self, words: list[str]) -> None:
+        """Cache the ids of " " + word for words that are not cached. Plain ones are put together from their pre-tokens."""
+        plain = list(filter(_PLAIN, words)) if self.by_piece else []
+        if len(plain) < len(words):
+            self._ask([w for w in words if not _PLAIN(w)] if plain else words)
+        for i in range(0, len(plain), CUT_WORDS):
+            part = plain[i : i + CUT_WORDS]
+            cut = _CUT(" " + " ".join(part))
+            distinct = dict.fromkeys(cut)
+            first = [x[1:] for x in distinct if x[0] == " "]
+            later = [x for x in distinct if x[0] != " "]
+            self._ask([x for x in first if x not in self.slots])
+            if new := [x for x in later if x not in self.inner]:
+                got = self._whole(new)
+                self._keep(self.inner, new, np.concatenate(got), np.cumsum([0, *map(len, got)]))
+            distinct.update((" " + x, self.slots[x]) for x in first)
+            distinct.update((x, ~self.inner[x]) for x in later)
+            slot = np.array(list(map(distinct.__getitem__, cut)), np.int64)
+            begin = np.flatnonzero(slot >= 0)
+            count = np.diff(np.append(begin, len(slot)))
+            joined = count > 1  # the others are their first pre-token, and cached by now
+            if joined.any():
+                slot = slot[np.repeat(joined, count)]
+                ids, end = self._kept(np.where(slot < 0, ~slot, slot))
+                self._keep(self.slots, [part[k] for k in np.flatnonzero(joined)], ids, np.append(0, end[np.cumsum(count[joined]) - 1]))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids (uint32) of every text; null counts as empty."""
-        if len(self.slots) > CACHE_WORDS:
+        if self.n > CACHE_WORDS:
             self._reset()
         texts = pc.fill_null(texts, "")
         if not self.by_word:
@@ -93,16 +145,13 @@ class Encoder:
             first[edge[:-1]] = True
             heads = self._whole(words.filter(pa.array(first)).to_pylist())
             coded = pc.dictionary_encode(words.filter(pa.array(~first)))
-            distinct, get = coded.dictionary.to_pylist(), self.slots.get
+            distinct, get = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.slots.get
             slot = list(map(get, distinct))
             if None in slot:
                 self._learn([w for w, x in zip(distinct, slot) if x is None])
                 slot = list(map(self.slots.__getitem__, distinct))
             slot = np.array(slot, np.int64)[np.asarray(coded.indices)] if distinct else np.empty(0, np.int64)
-            begin = self.edge[slot]
-            length = self.edge[slot + 1] - begin
-            end = np.cumsum(length)
-            ids = self.pool[np.repeat(begin - end + length, length) + np.arange(end[-1] if len(end) else 0)]
+            ids, end = self._kept(slot)
             cut = np.concatenate([[0], end])[edge - np.arange(len(edge))]
             for k, i in enumerate(calm):
                 out[i] = np.concatenate([heads[k], ids[cut[k] : cut[k + 1]]])

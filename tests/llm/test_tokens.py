@@ -2,6 +2,7 @@
 
 import io
 import random
+import re
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tabflow.llm import pack, records
+from tabflow.llm import pack, records, tokens
 from tabflow.llm.tokens import Encoder
 
 from .conftest import ODD_TEXTS, frame
@@ -35,6 +36,45 @@ def test_encoder_equals_the_library(plain):
             assert ids.tolist() == plain(text), text
 
 
+def test_words_are_put_together_from_pre_tokens(plain, monkeypatch):
+    enc, asked = Encoder(VOCABULARY), []
+    whole = Encoder._whole
+    monkeypatch.setattr(Encoder, "_whole", lambda self, texts: asked.extend(texts) or whole(self, texts))
+    texts = ["x sturmwind sturmwind, sturmwind.\nUnd sturmwind's", "x sturmwind; (sturmwind) sturmwind,und"]
+    for text in texts:
+        assert enc.encode(pa.array([text]))[0].tolist() == plain(text)
+    assert sum(t.count("sturmwind") for t in asked) == 2  # behind a blank and, after the bracket, without
+
+
+def test_pre_tokens_are_those_of_the_library(plain):
+    letters = "".join(map(chr, range(0x110000 - 1))).encode("utf-8", "ignore").decode()
+    letters = "".join(re.findall(f"[{tokens.LETTERS}]", letters))
+    assert len(Tokenizer.from_file(VOCABULARY).pre_tokenizer.pre_tokenize_str(letters)) == 1
+    rng = random.Random(2)
+    some = "aZ09'\"`_~!-/:<|>\t\n\r\x0b\x0cstmdrevl" + "\u00aa\u00b5\u00df\u00e9\u02c1\u03a9\u0436\u3042\u30ab\u65e5\ud55c" + "\u00b2\u00d7\u0301\u0660\x1c\x7f\x85\u200b\U0001f600"
+    texts = [" ".join("".join(rng.choice(some[: rng.choice((20, 36, 47, 99))]) for _ in range(rng.choice((1, 2, 5, 9)))) for _ in range(30)) for _ in range(400)]
+    texts += ["it's 's 'll'd don't'tt a''s 'S ''", "a\n\n\nb c\n\t\rd e\n\n\n\n", "<|endoftext|> x<|endoftext|>y z"]
+    enc = Encoder(VOCABULARY)
+    for _ in range(2):  # the second time from the cache
+        for text, ids in zip(texts, enc.encode(pa.array(texts, pa.string()))):
+            assert ids.tolist() == plain(text), text
+
+
+def test_an_added_token_may_span_pre_tokens(tmp_path):
+    lib = Tokenizer.from_file(VOCABULARY)
+    lib.add_tokens(["end.Of"])
+    lib.save(path := str(tmp_path / "added.json"))
+    assert Encoder(path).encode(pa.array(["a end.Of, b"]))[0].tolist() == lib.encode("a end.Of, b", add_special_tokens=False).ids
+
+
+def test_a_full_cache_changes_nothing(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 3)
+    monkeypatch.setattr(tokens, "CUT_WORDS", 2)
+    enc = Encoder(VOCABULARY)
+    for text in ["a b, c. d", "b, b c; \u4e00\u03a9! \U0001f600x", "", "d a b,"] * 3:
+        assert enc.encode(pa.array([text]))[0].tolist() == plain(text)
+
+
 def test_encoder_of_another_kind_of_vocabulary():
     path = public_tokenizers.path("word_bpe_49k.json")
     lib = Tokenizer.from_file(path)
