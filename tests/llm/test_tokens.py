@@ -46,6 +46,23 @@ def test_words_are_put_together_from_pre_tokens(plain, monkeypatch):
     assert sum(t.count("sturmwind") for t in asked) == 2  # behind a blank and, after the bracket, without
 
 
+def test_texts_are_cut_before_words_are_looked_up(plain):
+    enc = Encoder(VOCABULARY)
+    texts = ["sturmwind sturmwind, sturmwind; sturmwind.\n\nUnd sturmwind's sturmwind99", None, "sturmwind.", "sturmwind, \u2026 sturmwind; sturmwind.\nUnd"]
+    for text, ids in zip(texts, enc.encode(pa.array(["", *texts]).slice(1)), strict=True):
+        assert ids.tolist() == plain(text), text
+    assert set(enc.slots) == {"sturmwind", " sturmwind", ",", ";", ".", "\n", "Und", "'s", "99", " \u2026", "\nUnd"}
+
+
+def test_cuts_change_no_ids(plain):
+    rng, enc = random.Random(3), Encoder(VOCABULARY)
+    some = ["ab'stdmrevl.,-1 2\n\t", "a\n\r\x0b\x0c.' ", "\u00e9'\u00dfs.,\n 1\u0436\u65e5\ud55c\u00aa", "a \xa0 \n.'\u2026\x1c\x7f\u00d7\u00b2\u200b\x85"]
+    for _ in range(60):
+        texts = ["".join(rng.choice(rng.choice(some[: rng.choice((1, 2, 4))])) for _ in range(rng.randrange(30))) for _ in range(30)]
+        for text, ids in zip(texts, enc.encode(pa.array(texts, pa.string())), strict=True):
+            assert ids.tolist() == plain(text), text
+
+
 def test_pre_tokens_are_those_of_the_library(plain):
     letters = "".join(map(chr, range(0x110000 - 1))).encode("utf-8", "ignore").decode()
     letters = "".join(re.findall(f"[{tokens.LETTERS}]", letters))
