@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -51,6 +53,27 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(a, b - a)
 
 
+def give_back() -> None:
+    """Return the memory that this process has freed to the system. Arrow's pool and the C library keep it else, for as long
+    as the worker waits for its next task, while the JVM beside it may need the executor's memory for itself."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
+def frugal(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A function of an iterator of batches that gives back its memory at the end of the task."""
+    @wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def materialise_at(spark: SparkSession, df: DataFrame, name: str, compression: str = "zstd") -> tuple[DataFrame, str]:
     """Like materialise, with the folder's path for drop_table."""
     path = scratch_path(spark, name)

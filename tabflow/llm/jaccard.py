@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import drop_table, materialise, materialise_at, release_shuffles, slices
+from tabflow.llm.common import drop_table, frugal, materialise, materialise_at, release_shuffles, slices
 from tabflow.llm.components import components
 from tabflow.session import shuffle_partitions
 
@@ -203,7 +203,7 @@ def _measure(rows: DataFrame, words: int) -> DataFrame:
                 yield from flush()
         yield from flush()
 
-    return rows.mapInArrow(measure, _PASS_SCHEMA)
+    return rows.mapInArrow(frugal(measure), _PASS_SCHEMA)
 
 
 def _unpack(data: bytes, bucket: int) -> np.ndarray:
@@ -229,7 +229,7 @@ def _frequent(measured: DataFrame, above: int) -> DataFrame:
         heads, n = np.unique(np.concatenate(parts), return_counts=True)
         return pa.table({"head": heads[n > above].astype(np.int64), "n": n[n > above].astype(np.int64)})
 
-    packs = measured.where(F.col("bucket").isNotNull()).select("bucket", "hashes").mapInArrow(cut, "b int, h binary")
+    packs = measured.where(F.col("bucket").isNotNull()).select("bucket", "hashes").mapInArrow(frugal(cut), "b int, h binary")
     return packs.groupBy("b").applyInArrow(count, "head long, n long")
 
 
@@ -259,7 +259,7 @@ def _first_shingles(rows: DataFrame, frequent, words: int, percent: int) -> Data
             if sig:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(of))], names=["sig", "node"])
 
-    return rows.mapInArrow(first, "sig long, node long")
+    return rows.mapInArrow(frugal(first), "sig long, node long")
 
 
 def _regions(members: DataFrame) -> DataFrame:
@@ -306,7 +306,7 @@ def _regions(members: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(kind)], names=["a", "b", "kind"])
 
     n = shuffle_partitions(members.sparkSession)
-    return members.repartition(n, "sig").sortWithinPartitions("sig", "node").mapInArrow(gather, "a long, b long, kind int")
+    return members.repartition(n, "sig").sortWithinPartitions("sig", "node").mapInArrow(frugal(gather), "a long, b long, kind int")
 
 
 def _candidates(spark: SparkSession, regions: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -340,10 +340,10 @@ def _candidates(spark: SparkSession, regions: DataFrame, classes: DataFrame, per
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
     pairs = regions.where("kind = 0").select("a", "b").distinct()
-    small = pairs.join(facts("a"), "a").join(facts("b"), "b").select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(near, "a long, b long")
+    small = pairs.join(facts("a"), "a").join(facts("b"), "b").select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(frugal(near), "a long, b long")
     n = shuffle_partitions(spark)
     members = regions.where("kind = 1").select("a", "b").join(facts("b"), "b")
-    large = members.select("a", "b", "n_b", "counts_b").repartition(n, "a").sortWithinPartitions("a", "b").mapInArrow(cells, "a long, b long")
+    large = members.select("a", "b", "n_b", "counts_b").repartition(n, "a").sortWithinPartitions("a", "b").mapInArrow(frugal(cells), "a long, b long")
     return small.unionByName(large).unionByName(regions.where("kind = 2").select("a", "b")).where("a <> b").distinct()
 
 
@@ -519,7 +519,7 @@ def _join_small(members: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(rows[moved]), pa.array(rows[first[moved]])], names=["a", "b"])
 
     n = shuffle_partitions(members.sparkSession)
-    return members.select("family", "_row", "set").repartition(n, "family").sortWithinPartitions("family", "_row").mapInArrow(join, "a long, b long")
+    return members.select("family", "_row", "set").repartition(n, "family").sortWithinPartitions("family", "_row").mapInArrow(frugal(join), "a long, b long")
 
 
 def _join_large(spark: SparkSession, members: DataFrame, percent: int, pivots: int, made: list[DataFrame]) -> DataFrame:
@@ -583,7 +583,7 @@ def _join_large(spark: SparkSession, members: DataFrame, percent: int, pivots: i
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
     n = shuffle_partitions(spark)
-    made.append(materialise(spark, placed.repartition(n, "tile").sortWithinPartitions("tile", "_row").mapInArrow(compare, "a long, b long"), "boundary"))
+    made.append(materialise(spark, placed.repartition(n, "tile").sortWithinPartitions("tile", "_row").mapInArrow(frugal(compare), "a long, b long"), "boundary"))
     return members.join(_listed(spark, found.where("pivot is null").select("_row"), "uncovered"), "_row", "left_semi")
 
 
@@ -645,7 +645,7 @@ def similar_documents(spark: SparkSession, docs: DataFrame, words: int = WORDS,
             ok = [xxhash.xxh128_digest(s.tobytes()) == k for s, k in zip(sets, batch.column("_key").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["family", "_row", "n", "set"]).filter(pa.array(ok, pa.bool_()))
 
-    members, members_path = materialise_at(spark, found.select("family", "node", "_key", "text").mapInArrow(fetch, "family long, _row long, n long, set binary"), "members", "uncompressed")
+    members, members_path = materialise_at(spark, found.select("family", "node", "_key", "text").mapInArrow(frugal(fetch), "family long, _row long, n long, set binary"), "members", "uncompressed")
     release_shuffles(spark)
     made: list[DataFrame] = []
     rest, pivots = members, PIVOTS

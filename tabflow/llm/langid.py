@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import materialise, ship, slices
+from tabflow.llm.common import frugal, materialise, ship, slices
 
 ORDER = 4
 FOLDS = 5
@@ -98,7 +98,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in part]), pa.array([k[1] for k, _ in part]), pa.array([n for _, n in part], pa.int64())], names=["lang", "gram", "n"])
 
     rows = docs.select("text", F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return rows.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(frugal(count), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _groups(counts: DataFrame) -> list[list[str]]:
@@ -230,7 +230,7 @@ def score(docs: DataFrame, model: "Model", keep: list[str]) -> DataFrame:
             pred = np.where(none, "und", langs[best])
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(pred, pa.string()), pa.array(np.where(none, 0.0, share)), pa.array(np.where(none, 0.0, low)), pa.array(np.where(none, 0, chars))], names=[*keep, "lang_pred", "score", "bits", "chars"])
 
-    return rows.mapInArrow(predict, schema)
+    return rows.mapInArrow(frugal(predict), schema)
 
 
 def _score_in_groups(spark: SparkSession, docs: DataFrame, counts: DataFrame, groups: list[list[str]], order: int, keep: list[str]) -> DataFrame:
@@ -247,7 +247,7 @@ def _score_in_groups(spark: SparkSession, docs: DataFrame, counts: DataFrame, gr
                 chars = np.where(_lettered(batch.column("text")), chars, 0)
                 yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(list(bits), pa.list_(pa.float64())), pa.array(chars)], names=["_row", "_bits", "chars"])
 
-        part = materialise(spark, numbered.select("_row", "text").mapInArrow(measure, "_row long, _bits array<double>, chars long"), "bits")
+        part = materialise(spark, numbered.select("_row", "text").mapInArrow(frugal(measure), "_row long, _bits array<double>, chars long"), "bits")
         handed.unpersist()
         every = part if every is None else every.join(part.select("_row", F.col("_bits").alias("_more")), "_row").select("_row", F.concat("_bits", "_more").alias("_bits"), "chars")
     low, langs, some = F.array_min("_bits"), F.array(*[F.lit(x) for g in groups for x in g]), F.col("chars") > 0

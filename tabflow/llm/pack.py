@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import materialise, slices
+from tabflow.llm.common import frugal, materialise, slices
 from tabflow.llm.tokens import encoder
 
 #: (a length counts as large above this share of the capacity, number of groups); all are tried.
@@ -55,7 +55,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    return rows.mapInArrow(cut, PIECE_SCHEMA)
+    return rows.mapInArrow(frugal(cut), PIECE_SCHEMA)
 
 
 def _knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -254,7 +254,7 @@ def assign(spark: SparkSession, pieces: DataFrame, capacity: int) -> DataFrame:
             yield pdf[[f.name for f in keep]].assign(sequence_id=r["seq_from"][at] + q, offset=r["offset"][at] + m * length)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep) + ", sequence_id long, offset long"
-    return ranked.mapInPandas(place, schema)
+    return ranked.mapInPandas(frugal(place), schema)
 
 
 def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = True) -> DataFrame:

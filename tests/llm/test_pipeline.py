@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tabflow.llm import queries
+from tabflow.llm import common, queries
 from tests.conftest import SF001
 
 
@@ -66,3 +66,40 @@ def test_rows_are_told_apart_by_their_texts(spark):
     kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
     assert kept == sorted([(1, a), (1, b), (3, None), (3, None), (4, ""), (None, "alone")], key=str)
     assert corpus_pipeline.near_duplicates(spark, docs.where("false"), "").collect() == []
+
+
+def test_a_task_gives_back_the_memory_it_has_freed():
+    import ctypes
+    import os
+
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("not the GNU C library")
+
+    def resident() -> float:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+
+    last = []
+
+    def work(batches):
+        held = [bytearray(b"x" * 60_000) for _ in range(6000)]
+        last.append(bytearray(b"x" * 60_000))  # what is kept behind them holds the freed ones in the process
+        yield from batches
+        del held
+
+    plain, before = list(work(iter([1]))), resident()
+    assert plain == [1]
+    kept = list(common.frugal(work)(iter([1, 2])))
+    assert kept == [1, 2] and resident() < before - 200
+
+
+def test_python_tasks_of_the_stages_before_native_ones_give_back_memory(spark, monkeypatch, tmp_path):
+    calls = tmp_path / "calls"
+    monkeypatch.setattr(common, "give_back", lambda: open(calls, "a").write("x"))
+    docs = spark.createDataFrame([(i, f"some words of text number {i} that are long enough to be told apart", "en", "web", 60) for i in range(6)], "doc_id long, text string, lang string, source string, n_chars long")
+    from tabflow.llm import jaccard, langid
+
+    jaccard.similar_documents(spark, docs).count()
+    after = calls.stat().st_size if calls.exists() else 0
+    langid.identify(spark, docs).count()
+    assert 0 < after < calls.stat().st_size
