@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tabflow.operators.boosting import BoostedTrees, register_function, train_booster
 from tabflow.operators.checks import schema_from_json, schema_to_json
-from tabflow.session import scratch_root, shuffle_partitions
+from tabflow.session import scratch_path, scratch_root, shuffle_partitions
 
 
 # Production booster settings of the original model, and the
@@ -159,10 +159,13 @@ def train_baseline(train: DataFrame, numeric: Sequence[str], label: str, hashed:
         prepare = Pipeline(stages=stages).fit(data)
         names = [*numeric, *(f"slot {i}" for i in sorted(slots or []))]
         rows = prepare.transform(data).select("label", vector_to_array("features").alias("_x"))
-        wide = rows.select("label", *[F.col("_x")[i].alias(c) for i, c in enumerate(names)])
-        booster = train_booster(wide, names, "label", baseline_settings(params))
+        # written, as the booster reads its rows several times and the pipeline's stages cost more than a scan
+        path = scratch_path(train.sparkSession, "prepared")
+        rows.select("label", *[F.col("_x")[i].alias(f"x{i}") for i in range(len(names))]).write.parquet(path)
     finally:
         data.unpersist()
+    wide = train.sparkSession.read.parquet(path).toDF("label", *names)
+    booster = train_booster(wide, names, "label", baseline_settings(params))
     fields = [T.StructField(c, T.DoubleType()) for c in numeric] + [T.StructField(c, T.StringType()) for c in hashed]
     return TrainedModel(booster, numeric + hashed, label, schema_to_json(T.StructType(fields)), prepare)
 

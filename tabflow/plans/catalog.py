@@ -428,7 +428,9 @@ def _baseline_rows(spark, sf):
     if k not in _TRAINED:
         li = fx.table(spark, sf, "lineitem").select(*LINE_KEY, *fx.TRAIN_FEATURES, "l_linestatus",
                                                     (F.col("l_returnflag") == "R").cast("int").alias("label"))
-        _TRAINED[k] = split.stratified_split(li, "label", LINE_KEY, 0.25, seed=520692802).checkpoint()
+        path = scratch_path(spark, "baseline-rows")
+        split.stratified_split(li, "label", LINE_KEY, 0.25, seed=520692802).write.parquet(path)
+        _TRAINED[k] = spark.read.parquet(path)
     return _TRAINED[k]
 
 
